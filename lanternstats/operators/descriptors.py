@@ -70,33 +70,44 @@ def extra_infos(docs, keep=()):
 
 
 def _statistics_lines(docs, keep):
-    """The lines that matter for histories and requests, cut at the first one that ends a document.
+    """The lines that matter for histories and requests, with what was known when each was read.
 
-    A request header with fewer than five fields, a request list holding a bad number,
-    or a history with a bad number ends the document.  A broken history line
-    itself is kept, because the values right of the bad one count.
+    ``_lines`` holds the line, the publication time and the request header
+    before it.  A request header with fewer than five fields, a request list
+    holding a bad number, or a history with a bad number ends the document.  A broken
+    history line itself is kept, because the values right of the bad one count;
+    one that is too old is passed over before its numbers are looked at.
     """
     relevant = tx.starting(
         tx.lines(F.col("text")), "published ", *[k + " " for k in HISTORY_COLUMNS],
         "dirreq-stats-end ", "dirreq-v3-reqs ",
     )
-    cut = docs.withColumn("_all", relevant)
-    dropped = F.col("_dropped")
-    broken = F.col("_broken")
-    cut = cut.withColumn("_dropped", tx.first_position(F.col("_all"), _ends_before)).withColumn(
-        "_broken", tx.first_position(F.col("_all"), _ends_after)
+    before = lambda i, keyword: tx.last(tx.starting(F.slice("_all", F.lit(1), i + 1), keyword))
+    known = F.transform(
+        "_all",
+        lambda line, i: F.struct(
+            line.alias("line"),
+            i.alias("line_no"),
+            tx.timestamp(F.substring(before(i, "published "), 11, 19)).alias("published"),
+            before(i, "dirreq-stats-end ").alias("header"),
+        ),
     )
+    cut = docs.withColumn("_all", relevant).withColumn("_known", known)
+    cut = cut.withColumn(
+        "_dropped", tx.first_position(F.col("_known"), lambda s: _ends_before(s["line"]))
+    ).withColumn("_broken", tx.first_position(F.col("_known"), _ends_after))
+    dropped, broken = F.col("_dropped"), F.col("_broken")
     length = (
         F.when((dropped > 0) & ((broken == 0) | (dropped < broken)), dropped - 1)
         .when(broken > 0, broken)
-        .otherwise(F.size("_all"))
+        .otherwise(F.size("_known"))
     )
     head = F.substring_index("text", "\n", 1)
     return cut.select(
         *keep,
         digests.span_digest(F.col("content"), F.col("text"), "extra-info ", SIGNATURE).alias("extrainfo"),
         tx.field(head, 2).alias("source"),
-        F.slice("_all", F.lit(1), length).alias("_lines"),
+        F.slice("_known", F.lit(1), length).alias("_lines"),
     )
 
 
@@ -108,13 +119,22 @@ def _ends_before(line):
     return header | requests
 
 
-def _ends_after(line):
-    return _is_history(line) & (
+def _ends_after(seen):
+    line = seen["line"]
+    return _is_history(line) & _is_recent(_history_end(line), seen["published"]) & (
         _interval_length(line).isNull()
         | F.exists(F.split(tx.field(line, 5), ","), lambda v: tx.to_long(v).isNull())
     )
 
 
+def _history_end(line):
+    return tx.timestamp(F.concat_ws(" ", tx.field(line, 1), tx.field(line, 2)))
+
+
+def _is_recent(end, published):
+    return F.coalesce(F.abs(tx.seconds_between(end, published)) <= MAX_HISTORY_AGE, F.lit(False))
+
+
 def _is_history(line):
     return line.rlike("^(dirreq-)?(read|write)-history ") & (F.size(F.split(line, " ")) == 6)
 
@@ -137,26 +157,12 @@ def history_values(docs, keep=()):
     comes before the ``published`` line.
     """
     cut = _statistics_lines(docs, keep)
-    positions = F.transform(
-        "_lines",
-        lambda line, i: F.struct(
-            line.alias("line"),
-            i.alias("line_no"),
-            tx.timestamp(
-                F.substring(tx.last(tx.starting(F.slice("_lines", F.lit(1), i + 1), "published ")), 11, 19)
-            ).alias("published"),
-        ),
-    )
     histories = (
-        cut.select(*keep, "extrainfo", F.lower("source").alias("fingerprint"), F.explode(positions).alias("_p"))
-        .select(*keep, "extrainfo", "fingerprint", "_p.*")
+        cut.select(*keep, "extrainfo", F.lower("source").alias("fingerprint"), F.inline("_lines"))
         .where(_is_history(F.col("line")))
-        .withColumn("_end", tx.timestamp(F.concat_ws(" ", tx.field(F.col("line"), 1), tx.field(F.col("line"), 2))))
+        .withColumn("_end", _history_end(F.col("line")))
         .withColumn("_length", _interval_length(F.col("line")))
-        .where(
-            F.col("_length").isNotNull()
-            & (F.abs(tx.seconds_between(F.col("_end"), F.col("published"))) <= MAX_HISTORY_AGE)
-        )
+        .where(F.col("_length").isNotNull() & _is_recent(F.col("_end"), F.col("published")))
         .withColumn("_texts", F.split(tx.field(F.col("line"), 5), ","))
     )
     first_kept = tx.last_position(F.col("_texts"), lambda v: tx.to_long(v).isNull())
@@ -192,16 +198,8 @@ def history_rows(values, keep=()):
 def directory_requests(docs, keep=()):
     """Requests by country: reported count less the rounding offset, and ``zy`` for their sum."""
     cut = _statistics_lines(docs, keep)
-    positions = F.transform(
-        "_lines",
-        lambda line, i: F.struct(
-            line.alias("line"),
-            tx.last(tx.starting(F.slice("_lines", F.lit(1), i + 1), "dirreq-stats-end ")).alias("header"),
-        ),
-    )
     lists = (
-        cut.select(*keep, "source", F.explode(positions).alias("_p"))
-        .select(*keep, "source", "_p.*")
+        cut.select(*keep, "source", F.inline("_lines"))
         .where(
             F.col("line").startswith("dirreq-v3-reqs ") & (F.length("line") > len("dirreq-v3-reqs "))
         )

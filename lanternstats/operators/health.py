@@ -150,15 +150,10 @@ def flag_matrix(votes, consensus):
             F.array().cast("array<string>"),
         ),
     }
-    tagged = F.concat(
-        *[
-            F.transform(
-                flags,
-                lambda f, state=state: F.struct(f.alias("flag"), F.lit(state).alias("state")),
-            )
-            for state, flags in states.items()
-        ]
-    )
+    def tag(state):
+        return lambda f: F.struct(f.alias("flag"), F.lit(state).alias("state"))
+
+    tagged = F.concat(*[F.transform(flags, tag(state)) for state, flags in states.items()])
     return (
         votes.join(consensus.select("relay", F.col("flags").alias("_consensus")), "relay", "left")
         .select("relay", "dir", F.inline(tagged))

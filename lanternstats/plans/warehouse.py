@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lanternstats import schemas
+from lanternstats.functions import text as tx
 from lanternstats.operators import descriptors, documents, statuses
 from lanternstats.plans import daily, keyed_tables
 from lanternstats.sources.sinks import append_facts
@@ -20,11 +21,23 @@ AGGREGATES = {
 }
 
 
-def relay_facts(files):
-    """Fact tables of a batch of relay documents (``path``, ``content``)."""
-    docs = documents.classify_relay_documents(files)
-    of = lambda kind: docs.where(F.col("doc_type") == kind)
-    headers = statuses.status_headers(of("status").drop("doc_type"))
+def stage_documents(spark, root, files):
+    """Read the raw files of a batch once and keep their documents by type.
+
+    The parse jobs then read only the folder of their own type.
+    """
+    path = f"{root}/staging/documents"
+    documents.classify_relay_documents(files).select("path", "content", "doc_type").write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "static").partitionBy("doc_type").parquet(path)
+    staged = spark.read.schema("path string, content binary, doc_type string").parquet(path)
+    return staged.withColumn("text", tx.body("content"))
+
+
+def relay_facts(docs):
+    """Fact tables of classified relay documents."""
+    of = lambda kind: docs.where(F.col("doc_type") == kind).drop("doc_type")
+    headers = statuses.status_headers(of("status"))
     return {
         "statusentry": statuses.status_entries(of("status"), keep=["path"]),
         "consensus": headers.where("is_consensus").select(
@@ -52,19 +65,27 @@ def stored_table(spark, path):
     return spark.read.parquet(path) if _exists(spark, path) else None
 
 
-def load_facts(spark, root, facts):
-    """Append the rows of a batch that the fact tables lack; return the dates they touch.
+def fact_table(spark, root, name):
+    """A fact table with its fixed schema; empty before the first load."""
+    schema = getattr(schemas, name.upper()) + ", date date"
+    path = f"{root}/facts/{name}"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def load_facts(spark, root, batch, facts):
+    """Append the rows of a batch that the fact tables lack, and note the dates they touch.
 
-    The new rows are written to a staging folder first, so that the dirty
-    dates and the append see the same rows even if executors are lost.
+    New rows are written to a staging folder, the dirty dates to the updates
+    table, and only then are the facts appended.  A batch that fails in
+    between is run again: rows already appended are skipped and their dates
+    are still in the updates table.
     """
     staged = {}
     for name, rows in facts.items():
-        if name not in schemas.EVENT_TIME:
-            continue
-        path = f"{root}/facts/{name}"
         new = keyed_tables.insert_if_absent(
-            rows, stored_table(spark, path), schemas.KEYS[name],
+            rows, fact_table(spark, root, name), schemas.KEYS[name],
             absent_key=["extrainfo"] if name == "bwhist" else None, order=["path"],
         ).drop("path")
         staging = f"{root}/staging/{name}"
@@ -73,11 +94,20 @@ def load_facts(spark, root, facts):
     touched = keyed_tables.dirty_dates(
         staged.get("statusentry"), staged.get("descriptor"), staged.get("bwhist")
     )
-    updates = f"{root}/staging/updates"
-    touched.write.mode("overwrite").parquet(updates)
+    touched.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(
+        f"{root}/updates"
+    )
     for name, rows in staged.items():
         append_facts(rows, f"{root}/facts/{name}", name)
-    return spark.read.parquet(updates)
+
+
+def pending_updates(spark, root):
+    """Dates touched since the last committed refresh."""
+    done = latest_batch(spark, root)
+    updates = spark.read.parquet(f"{root}/updates")
+    if done is not None:
+        updates = updates.where(F.col("batch") > done)
+    return updates.select("date").distinct()
 
 
 def aggregates(status, descriptor, bwhist, dirreq=None, updates=None):

@@ -1,11 +1,4 @@
-"""Table layouts: facts, daily aggregates and helper tables."""
-
-from pyspark.sql import types as T
-
-
-def _schema(ddl):
-    return T.StructType.fromDDL(ddl)
-
+"""Table layouts as DDL texts: facts, daily aggregates and helper tables."""
 
 # Relay flags stored as one boolean column each (fixed values of the document format).
 FLAG_COLUMNS = {
@@ -25,30 +18,30 @@ FLAG_COLUMNS = {
     "V3Dir": "isv3dir",
 }
 
-STATUSENTRY = _schema(
+STATUSENTRY = (
     "validafter timestamp_ntz, nickname string, fingerprint string, descriptor string,"
     " published timestamp_ntz, address string, orport int, dirport int, "
     + ", ".join(f"{c} boolean" for c in FLAG_COLUMNS.values())
     + ", version string, bandwidth bigint, ports string, rawdesc binary"
 )
-DESCRIPTOR = _schema(
+DESCRIPTOR = (
     "descriptor string, nickname string, address string, orport int, dirport int,"
     " fingerprint string, bandwidthavg bigint, bandwidthburst bigint, bandwidthobserved bigint,"
     " platform string, published timestamp_ntz, uptime bigint, extrainfo string, rawdesc binary"
 )
-EXTRAINFO = _schema(
+EXTRAINFO = (
     "extrainfo string, nickname string, fingerprint string, published timestamp_ntz, rawdesc binary"
 )
-BWHIST = _schema(
+BWHIST = (
     "fingerprint string, extrainfo string, intervalend timestamp_ntz,"
     " read bigint, written bigint, dirread bigint, dirwritten bigint"
 )
-CONSENSUS = _schema("validafter timestamp_ntz, rawdesc binary")
-VOTE = _schema("validafter timestamp_ntz, dirsource string, rawdesc binary")
-DIRREQ = _schema(
+CONSENSUS = ("validafter timestamp_ntz, rawdesc binary")
+VOTE = ("validafter timestamp_ntz, dirsource string, rawdesc binary")
+DIRREQ_STATS = (
     "source string, statsend timestamp_ntz, seconds bigint, country string, requests bigint"
 )
-UPDATES = _schema("date date")
+UPDATES = ("date date")
 
 # Primary keys. They are the merge keys of ``plans.facts.insert_if_absent``.
 KEYS = {
@@ -81,4 +74,5 @@ EVENT_TIME = {
     "bwhist": "intervalend",
     "consensus": "validafter",
     "vote": "validafter",
+    "dirreq_stats": "statsend",
 }

@@ -23,10 +23,12 @@ def load_batch(root):
     """A ``foreachBatch`` function: load the facts of new files and refresh the dates they touch."""
     def run(files, batch_id):
         spark = files.sparkSession
-        updates = warehouse.load_facts(spark, root, warehouse.relay_facts(files))
-        fact = lambda name: warehouse.stored_table(spark, f"{root}/facts/{name}")
+        docs = warehouse.stage_documents(spark, root, files)
+        warehouse.load_facts(spark, root, batch_id, warehouse.relay_facts(docs))
+        updates = warehouse.pending_updates(spark, root)
+        fact = lambda name: warehouse.fact_table(spark, root, name)
         fresh = warehouse.aggregates(
-            fact("statusentry"), fact("descriptor"), fact("bwhist"), updates=updates
+            fact("statusentry"), fact("descriptor"), fact("bwhist"), fact("dirreq_stats"), updates
         )
         warehouse.refresh(spark, root, batch_id, fresh, updates)
 
