@@ -5,6 +5,12 @@ and ``{S}`` stand for the names of the timestamp and text types.  ``DOCUMENTS``
 build one text document per row of a table, so their number grows with it.
 """
 
+import re
+
+from pyspark.sql import functions as F
+
+from lanternstats.functions.text import bind
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -236,8 +242,6 @@ def tables(spark, sf_dir, *names):
 
 
 def _source_tables(sql):
-    import re
-
     return [t for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", sql)]
 
 
@@ -250,20 +254,15 @@ def view(spark, sf_dir, name):
 
 def documents(spark, sf_dir, name):
     """Text documents as ``doc_id``, ``content`` and ``text`` (one character per byte)."""
-    from pyspark.sql import functions as F
-
     sql = DOCUMENTS[name]
     tables(spark, sf_dir, *_source_tables(sql))
     frame = spark.sql(sql)
-    return frame.withColumn("content", F.encode("text", "UTF-8")).withColumn(
-        "text", F.decode("content", "ISO-8859-1")
-    )
+    stored = bind(frame, content=F.encode("text", "UTF-8")).drop("text")
+    return bind(stored, text=F.decode("content", "ISO-8859-1"))
 
 
 def oracle_views(sql):
     """The views named in a query as a WITH clause for the oracle."""
-    import re
-
     used, text = [], sql
     for name in VIEWS:
         if re.search(rf"\b{name}\b", text):

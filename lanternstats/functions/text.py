@@ -7,10 +7,21 @@ into result rows.  No shuffle is needed to parse a document.
 
 from pyspark.sql import functions as F
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
 CHARSET = "ISO-8859-1"
 
 
+def bind(df, **columns):
+    """Add columns that are computed once per row.
+
+    The optimizer copies the expression of an ordinary column into every filter
+    and lambda that uses it, which repeats costly text work.  A generator of
+    one row is not copied.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline_outer(F.array(row)))
+
+
 def body(content):
     """Text of a document, one character per byte."""
     return F.decode(content, CHARSET)
@@ -56,8 +67,8 @@ def field(line, number, separator=" "):
 
 
 def timestamp(text):
-    """``yyyy-MM-dd HH:mm:ss`` in UTC to a timestamp without zone; null if malformed."""
-    return F.try_to_timestamp(text, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    """``yyyy-MM-dd HH:mm:ss`` to a timestamp without zone; null if malformed."""
+    return F.regexp_extract(text, TIME_PATTERN, 0).try_cast("timestamp_ntz")
 
 
 def to_long(text):
@@ -77,19 +88,18 @@ def seconds_before(end, seconds):
     return (end - F.make_dt_interval(secs=seconds)).cast("timestamp_ntz")
 
 
-def last_position(array, test):
-    """1-based position of the last element meeting ``test``; 0 if none."""
-    hits = F.filter(F.transform(array, lambda x, i: F.when(test(x), i + 1)), lambda p: p.isNotNull())
-    return F.coalesce(last(hits), F.lit(0))
-
-
 def first_position(array, test):
     """1-based position of the first element meeting ``test``; 0 if none."""
-    hits = F.filter(F.transform(array, lambda x, i: F.when(test(x), i + 1)), lambda p: p.isNotNull())
-    return F.coalesce(first(hits), F.lit(0))
+    return F.array_position(F.transform(array, test), F.lit(True)).cast("int")
+
+
+def last_position(array, test):
+    """1-based position of the last element meeting ``test``; 0 if none."""
+    from_end = F.array_position(F.reverse(F.transform(array, test)), F.lit(True)).cast("int")
+    return F.coalesce(F.size(array) + 1 - F.nullif(from_end, F.lit(0)), F.lit(0))
 
 
 def before_first(array, test):
     """Elements before the first one meeting ``test``; all of them if none does."""
-    stop = first_position(array, test)
-    return F.when(stop == 0, array).otherwise(F.slice(array, F.lit(1), F.greatest(stop - 1, F.lit(0))))
+    stop = F.nullif(first_position(array, test), F.lit(0))
+    return F.slice(array, F.lit(1), F.coalesce(stop - 1, F.size(array)))

@@ -12,8 +12,8 @@ BROKEN_PLATFORM = "Tor 0.2.2"
 
 def running_bridges(docs, keep=()):
     """Number of ``s`` lines with the running flag after the first ``r`` line of a status."""
-    lines = tx.lines(F.col("text"))
-    return docs.select(
+    lines = F.col("_lines")
+    return tx.bind(docs, _lines=tx.lines(F.col("text"))).select(
         *keep,
         F.size(
             F.filter(
@@ -34,10 +34,10 @@ def with_identity(docs, sanitized=False):
     fingerprint = F.regexp_replace(
         F.regexp_extract("text", "(?md)^(?:opt )?fingerprint([^\n]*)$", 1), "[ \r]", ""
     )
-    identity = F.when(fingerprint != "", fingerprint).otherwise(name)
-    return docs.withColumn(
-        "bridge", F.upper(identity) if sanitized else digests.sha1_of_hex(identity)
-    )
+    read = tx.bind(docs, _name=name, _fingerprint=fingerprint)
+    identity = F.when(F.col("_fingerprint") != "", F.col("_fingerprint")).otherwise(F.col("_name"))
+    bridge = F.upper(identity) if sanitized else digests.sha1_of_hex(identity)
+    return tx.bind(read, bridge=bridge).drop("_name", "_fingerprint")
 
 
 def without_known_relays(docs, hashed_relays):
@@ -49,21 +49,14 @@ def without_known_relays(docs, hashed_relays):
 def _state(docs, keywords):
     """Relevant lines with, for each, the last earlier line of every keyword in ``keywords``."""
     relevant = tx.starting(tx.lines(F.col("text")), *keywords, "geoip-client-origins", "bridge-ips")
-    cut = docs.withColumn("_all", relevant).withColumn(
-        "_seen",
-        F.transform(
-            "_all",
-            lambda line, i: F.struct(
-                line.alias("line"),
-                *[
-                    tx.last(tx.starting(F.slice("_all", F.lit(1), i + 1), k)).alias(k.strip())
-                    for k in keywords
-                ],
-            ),
-        ),
+    cut = tx.bind(docs, _all=relevant)
+    before = lambda i, keyword: tx.last(tx.starting(F.slice("_all", F.lit(1), i + 1), keyword))
+    seen = F.transform(
+        "_all",
+        lambda line, i: F.struct(line.alias("line"), *[before(i, k).alias(k.strip()) for k in keywords]),
     )
     # A list without its header lines ends the document.
-    return cut.withColumn("_seen", tx.before_first(F.col("_seen"), _lacks_header))
+    return tx.bind(cut, _seen=seen).withColumn("_seen", tx.before_first(F.col("_seen"), _lacks_header))
 
 
 def _has_list(seen, keyword):
@@ -86,43 +79,31 @@ def bridge_users(docs, keep=()):
     """
     seen = (
         _state(docs, ("published ", "geoip-start-time ", "bridge-stats-end "))
-        .select(*keep, "bridge", F.explode("_seen").alias("_s"))
+        .select(*keep, "bridge", F.explode_outer("_seen").alias("_s"))
     )
     s = F.col("_s")
     stamp = lambda line: tx.timestamp(F.concat_ws(" ", tx.field(line, 1), tx.field(line, 2)))
-    lists = (
-        seen.withColumn(
-            "seen",
-            F.when(_has_list(s, "geoip-client-origins"), stamp(s["published"]))
-            .when(_has_list(s, "bridge-ips"), stamp(s["bridge-stats-end"])),
-        )
-        .where("seen IS NOT NULL")
-        .withColumn(
-            "_scale",
-            F.when(
-                s["line"].startswith("geoip-client-origins"),
-                F.try_divide(
-                    F.lit(SECONDS_PER_DAY),
-                    tx.seconds_between(stamp(s["published"]), stamp(s["geoip-start-time"])).cast("double"),
-                ),
-            ).otherwise(F.lit(1.0)),
-        )
-        .where("_scale IS NOT NULL")
-        .withColumn("_pairs", F.split(tx.field(F.col("_s.line"), 1), ","))
-        .withColumn(
-            "_obs",
-            F.transform(
-                "_pairs",
-                lambda p: F.struct(
-                    F.substring(p, 1, 2).alias("country"),
-                    (
-                        (tx.to_long(F.substring(p, 4, 20)) - UNSAFE_ROUNDING).cast("double") * F.col("_scale")
-                    ).alias("n"),
-                ),
-            ),
-        )
-        .where(~F.exists("_obs", lambda o: o["n"].isNull()))
+    is_geoip = s["line"].startswith("geoip-client-origins")
+    timed = tx.bind(
+        seen.where(_has_list(s, "geoip-client-origins") | _has_list(s, "bridge-ips")),
+        seen=F.when(is_geoip, stamp(s["published"])).otherwise(stamp(s["bridge-stats-end"])),
+        _start=F.when(is_geoip, stamp(s["geoip-start-time"])),
+        _pairs=F.split(tx.field(s["line"], 1), ","),
     )
+    scale = F.when(
+        is_geoip,
+        F.try_divide(
+            F.lit(SECONDS_PER_DAY), tx.seconds_between(F.col("seen"), F.col("_start")).cast("double")
+        ),
+    ).otherwise(F.lit(1.0))
+    scaled = timed.withColumn("_scale", scale).where("seen IS NOT NULL AND _scale IS NOT NULL")
+    users = lambda p: (tx.to_long(F.substring(p, 4, 20)) - UNSAFE_ROUNDING).cast("double") * F.col("_scale")
+    lists = tx.bind(
+        scaled,
+        _obs=F.transform(
+            "_pairs", lambda p: F.struct(F.substring(p, 1, 2).alias("country"), users(p).alias("n"))
+        ),
+    ).where(~F.exists("_obs", lambda o: o["n"].isNull()))
     return explode_countries(
         lists.select(
             *keep, "bridge", F.to_date("seen").alias("date"), "seen",
@@ -136,14 +117,14 @@ def bridge_users(docs, keep=()):
 
 def broken_versions(docs, prefix=BROKEN_PLATFORM):
     """Keys (bridge, time) of descriptors published by versions with broken statistics."""
-    lines = tx.lines(F.col("text"))
+    split = tx.bind(docs, _lines=tx.lines(F.col("text")))
+    read = tx.bind(
+        split,
+        _platform=tx.last_value(F.col("_lines"), "platform "),
+        seen=tx.timestamp(tx.last_value(F.col("_lines"), "published ")),
+    )
     return (
-        docs.select(
-            "bridge",
-            tx.last_value(lines, "platform ").alias("_platform"),
-            tx.timestamp(tx.last_value(lines, "published ")).alias("seen"),
-        )
-        .where(F.col("_platform").startswith(prefix))
+        read.where(F.col("_platform").startswith(prefix))
         .select("bridge", "seen")
         .distinct()
     )

@@ -23,9 +23,12 @@ def server_descriptors(docs, keep=(), old_dirport=False):
     The directory port is the fifth field of the ``router`` line;
     ``old_dirport`` takes the fourth instead.
     """
-    split = docs.withColumn("_lines", tx.lines(F.col("text"))).withColumn(
-        "_router", F.split(tx.first(F.col("_lines")), " ")
-    )
+    split = tx.bind(docs, _lines=tx.lines(F.col("text")))
+    split = tx.bind(
+        split,
+        _router=F.split(tx.first(F.col("_lines")), " "),
+        descriptor=digests.span_digest(F.col("content"), F.col("text"), "router ", SIGNATURE),
+    ).where("descriptor IS NOT NULL")
     at = lambda n: F.try_element_at(F.col("_router"), F.lit(n + 1))
     bandwidth = tx.last(tx.starting(F.col("_lines"), "bandwidth "))
     identity = F.regexp_replace(
@@ -38,7 +41,7 @@ def server_descriptors(docs, keep=(), old_dirport=False):
     )
     return split.select(
         *keep,
-        digests.span_digest(F.col("content"), F.col("text"), "router ", SIGNATURE).alias("descriptor"),
+        "descriptor",
         at(1).alias("nickname"),
         at(2).alias("address"),
         tx.to_int(at(3)).alias("orport"),
@@ -52,21 +55,25 @@ def server_descriptors(docs, keep=(), old_dirport=False):
         tx.to_long(tx.last_value(F.col("_lines"), "uptime ")).alias("uptime"),
         F.lower(tx.field(extra, 1)).alias("extrainfo"),
         F.col("content").alias("rawdesc"),
-    ).where("descriptor IS NOT NULL")
+    )
 
 
 def extra_infos(docs, keep=()):
     """Rows of ``extrainfo``."""
-    split = docs.withColumn("_lines", tx.lines(F.col("text")))
+    split = tx.bind(
+        docs,
+        _lines=tx.lines(F.col("text")),
+        extrainfo=digests.span_digest(F.col("content"), F.col("text"), "extra-info ", SIGNATURE),
+    ).where("extrainfo IS NOT NULL")
     head = tx.first(F.col("_lines"))
     return split.select(
         *keep,
-        digests.span_digest(F.col("content"), F.col("text"), "extra-info ", SIGNATURE).alias("extrainfo"),
+        "extrainfo",
         tx.field(head, 1).alias("nickname"),
         F.lower(tx.field(head, 2)).alias("fingerprint"),
         tx.timestamp(tx.last_value(F.col("_lines"), "published ")).alias("published"),
         F.col("content").alias("rawdesc"),
-    ).where("extrainfo IS NOT NULL")
+    )
 
 
 def _statistics_lines(docs, keep):
@@ -92,10 +99,13 @@ def _statistics_lines(docs, keep):
             before(i, "dirreq-stats-end ").alias("header"),
         ),
     )
-    cut = docs.withColumn("_all", relevant).withColumn("_known", known)
-    cut = cut.withColumn(
-        "_dropped", tx.first_position(F.col("_known"), lambda s: _ends_before(s["line"]))
-    ).withColumn("_broken", tx.first_position(F.col("_known"), _ends_after))
+    cut = tx.bind(docs, _all=relevant)
+    cut = tx.bind(cut, _known=known)
+    cut = tx.bind(
+        cut,
+        _dropped=tx.first_position(F.col("_known"), lambda s: _ends_before(s["line"])),
+        _broken=tx.first_position(F.col("_known"), _ends_after),
+    )
     dropped, broken = F.col("_dropped"), F.col("_broken")
     length = (
         F.when((dropped > 0) & ((broken == 0) | (dropped < broken)), dropped - 1)
@@ -157,21 +167,21 @@ def history_values(docs, keep=()):
     comes before the ``published`` line.
     """
     cut = _statistics_lines(docs, keep)
-    histories = (
-        cut.select(*keep, "extrainfo", F.lower("source").alias("fingerprint"), F.inline("_lines"))
-        .where(_is_history(F.col("line")))
-        .withColumn("_end", _history_end(F.col("line")))
-        .withColumn("_length", _interval_length(F.col("line")))
-        .where(F.col("_length").isNotNull() & _is_recent(F.col("_end"), F.col("published")))
-        .withColumn("_texts", F.split(tx.field(F.col("line"), 5), ","))
-    )
+    histories = tx.bind(
+        cut.select(
+            *keep, "extrainfo", F.lower("source").alias("fingerprint"), F.inline_outer("_lines")
+        ).where(_is_history(F.col("line"))),
+        _end=_history_end(F.col("line")),
+        _length=_interval_length(F.col("line")),
+        _texts=F.split(tx.field(F.col("line"), 5), ","),
+    ).where(F.col("_length").isNotNull() & _is_recent(F.col("_end"), F.col("published")))
     first_kept = tx.last_position(F.col("_texts"), lambda v: tx.to_long(v).isNull())
     values = histories.select(
         *keep, "extrainfo", "fingerprint", "line_no", "_end", "_length",
         tx.field(F.col("line"), 0).alias("type"),
         F.size("_texts").alias("_n"),
         first_kept.alias("_bad"),
-        F.posexplode("_texts").alias("_pos", "_text"),
+        F.posexplode_outer("_texts").alias("_pos", "_text"),
     ).where("_pos >= _bad")
     return values.select(
         *keep,
@@ -199,27 +209,27 @@ def directory_requests(docs, keep=()):
     """Requests by country: reported count less the rounding offset, and ``zy`` for their sum."""
     cut = _statistics_lines(docs, keep)
     lists = (
-        cut.select(*keep, "source", F.inline("_lines"))
+        cut.select(*keep, "source", F.inline_outer("_lines"))
         .where(
             F.col("line").startswith("dirreq-v3-reqs ") & (F.length("line") > len("dirreq-v3-reqs "))
         )
         .withColumn("_pairs", F.split(F.substring("line", 16, 2147483647), ","))
     )
+    observations = tx.bind(
+        lists,
+        statsend=tx.timestamp(
+            F.concat_ws(" ", tx.field(F.col("header"), 1), tx.field(F.col("header"), 2))
+        ),
+        seconds=_interval_length(F.col("header")),
+        _obs=F.transform(
+            "_pairs",
+            lambda p: F.struct(
+                F.substring(p, 1, 2).alias("country"), _count(p).cast("bigint").alias("n")
+            ),
+        ),
+    ).where("statsend IS NOT NULL AND seconds IS NOT NULL")
     return explode_countries(
-        lists.select(
-            *keep,
-            "source",
-            tx.timestamp(
-                F.concat_ws(" ", tx.field(F.col("header"), 1), tx.field(F.col("header"), 2))
-            ).alias("statsend"),
-            _interval_length(F.col("header")).alias("seconds"),
-            F.transform(
-                "_pairs",
-                lambda p: F.struct(
-                    F.substring(p, 1, 2).alias("country"), _count(p).cast("bigint").alias("n")
-                ),
-            ).alias("_obs"),
-        ).where("statsend IS NOT NULL AND seconds IS NOT NULL"),
+        observations.select(*keep, "source", "statsend", "seconds", "_obs"),
         "requests",
         F.lit(0).cast("bigint"),
     )
@@ -242,7 +252,7 @@ def explode_countries(observations, value_name, zero):
         last_of_country,
         F.array(F.struct(F.lit("zy").alias("country"), total.alias("n"))),
     )
-    return observations.select(*keep, F.inline(rows)).withColumnRenamed("n", value_name)
+    return observations.select(*keep, F.inline_outer(rows)).withColumnRenamed("n", value_name)
 
 
 def vote_digests(docs, keep=()):

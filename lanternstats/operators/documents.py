@@ -18,8 +18,10 @@ def split_documents(files, start_token):
     pieces = F.regexp_extract_all(
         tx.body("content"), F.lit(SIGNED_DOCUMENT.format(start=start_token)), F.lit(1)
     )
-    return files.select(*keep, F.posexplode(pieces).alias("doc_no", "_piece")).select(
-        *keep, "doc_no", tx.to_bytes("_piece").alias("content")
+    return (
+        files.select(*keep, F.posexplode_outer(pieces).alias("doc_no", "_piece"))
+        .where("_piece IS NOT NULL")
+        .select(*keep, "doc_no", tx.to_bytes("_piece").alias("content"))
     )
 
 
@@ -28,7 +30,7 @@ def classify_relay_documents(files):
 
     Documents of any other kind, and empty ones, are dropped.
     """
-    typed = files.withColumn("text", tx.body("content")).withColumn(
+    typed = tx.bind(files, text=tx.body("content")).withColumn(
         "_first", F.regexp_extract("text", "^[^\r\n]*", 0)
     )
     doc_type = (
@@ -36,19 +38,20 @@ def classify_relay_documents(files):
         .when(F.col("_first").startswith("router "), "server")
         .when(F.col("_first").startswith("extra-info "), "extra")
     )
-    return typed.withColumn("doc_type", doc_type).drop("_first").where("doc_type IS NOT NULL")
+    return tx.bind(typed, doc_type=doc_type).drop("_first").where("doc_type IS NOT NULL")
 
 
 def classify_bridge_documents(files):
     """As above for bridge documents, where the telling line may stand anywhere."""
-    typed = files.withColumn("text", tx.body("content"))
-    telling = F.regexp_extract("text", "(?md)^(r |router |extra-info )", 1)
+    typed = tx.bind(files, text=tx.body("content"))
+    typed = tx.bind(typed, _telling=F.regexp_extract("text", "(?md)^(r |router |extra-info )", 1))
+    telling = F.col("_telling")
     doc_type = (
         F.when(telling == "r ", "status")
         .when(telling == "router ", "server")
         .when(telling == "extra-info ", "extra")
     )
-    return typed.withColumn("doc_type", doc_type).where("doc_type IS NOT NULL")
+    return typed.withColumn("doc_type", doc_type).drop("_telling").where("doc_type IS NOT NULL")
 
 
 def stale_consensus(docs, now, hours=6):

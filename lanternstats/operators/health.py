@@ -22,7 +22,7 @@ def latest_only(docs, time="validafter"):
 def health_headers(docs, keep=()):
     """One row per status document with the header lines that are compared, null if absent."""
     lines = tx.lines(F.substring_index("text", "\nr ", 1))
-    head = docs.withColumn("_lines", lines)
+    head = tx.bind(docs, _lines=lines)
     value = lambda keyword: tx.last_value(F.col("_lines"), keyword)
     words = lambda keyword: F.split(value(keyword), " ")
     return head.select(

@@ -91,17 +91,18 @@ def scrub_servers(docs, keep=()):
     line that comes before the publication time or the fingerprint drops the
     document, as does a missing one of them.
     """
-    cut = docs.withColumn("_lines", _signed_lines(F.col("text"), True)).where("_lines IS NOT NULL")
-    scrubbed = cut.withColumn("_out", F.transform("_lines", _server_line)).where(_known(F.col("_out")))
+    cut = tx.bind(docs, _lines=_signed_lines(F.col("text"), True)).where("_lines IS NOT NULL")
+    scrubbed = tx.bind(cut, _out=F.transform("_lines", _server_line)).where(_known(F.col("_out")))
     position = lambda keyword: tx.first_position(F.col("_lines"), lambda x: x.startswith(keyword))
-    digest_at = position("opt extra-info-digest ")
     start = tx.last_position(F.col("_lines"), lambda x: x.startswith("router "))
     return (
-        scrubbed.withColumn("_published", position("published "))
-        .withColumn("_identity", position("opt fingerprint "))
+        tx.bind(
+            scrubbed, _published=position("published "), _identity=position("opt fingerprint "),
+            _digest=position("opt extra-info-digest "),
+        )
         .where(
             (F.col("_published") > 0) & (F.col("_identity") > 0)
-            & ((digest_at == 0) | (digest_at > F.greatest("_published", "_identity")))
+            & ((F.col("_digest") == 0) | (F.col("_digest") > F.greatest("_published", "_identity")))
         )
         .select(
             *keep,
@@ -127,9 +128,9 @@ def _extra_line(line):
 
 def scrub_extras(docs, keep=()):
     """Scrubbed extra-info descriptors as ``bridge, published, scrubbed, extra_digest``."""
-    cut = docs.withColumn("_lines", _signed_lines(F.col("text"), False)).where("_lines IS NOT NULL")
+    cut = tx.bind(docs, _lines=_signed_lines(F.col("text"), False)).where("_lines IS NOT NULL")
     rows = (
-        cut.withColumn("_out", F.transform("_lines", _extra_line))
+        tx.bind(cut, _out=F.transform("_lines", _extra_line))
         .where(_known(F.col("_out")))
         .select(
             *keep,
@@ -139,7 +140,7 @@ def scrub_extras(docs, keep=()):
         )
         .where("bridge IS NOT NULL AND published IS NOT NULL")
     )
-    return rows.withColumn("extra_digest", _text_digest(F.col("scrubbed")))
+    return tx.bind(rows, extra_digest=_text_digest(F.col("scrubbed")))
 
 
 def _text_digest(text):
@@ -154,19 +155,19 @@ def scrub_statuses(docs, keep=()):
     A status with any other line than ``r`` and ``s`` is dropped.
     """
     plain = F.regexp_replace(F.regexp_replace(F.col("text"), "\r\n?", "\n"), "\n\\z", "")
-    cut = docs.withColumn("_lines", F.split(plain, "\n")).where(
+    cut = tx.bind(docs, _lines=F.split(plain, "\n")).where(
         ~F.exists(
             "_lines",
             lambda x: ~(x.startswith("s ") | (x.startswith("r ") & (F.size(F.split(x, " ")) >= 9))),
         )
     )
-    rows = cut.select(*keep, F.posexplode("_lines").alias("line_no", "_line")).withColumn(
+    rows = cut.select(*keep, F.posexplode_outer("_lines").alias("line_no", "_line")).withColumn(
         "_parts", F.split("_line", " ")
     )
     part = lambda n: F.try_element_at(F.col("_parts"), F.lit(n + 1))
     is_r = F.col("_line").startswith("r ")
     hashed = F.lower(digests.sha1_of_base64(part(2)))
-    return rows.withColumn("bridge", F.when(is_r, hashed)).select(
+    return tx.bind(rows, bridge=F.when(is_r, hashed)).select(
         *keep,
         "line_no",
         "bridge",
@@ -205,11 +206,11 @@ def link_servers(servers, extras, mapping=None):
         linked = linked.join(stored, ["bridge", "published"], "left").withColumn(
             "extra_digest", F.coalesce("extra_digest", "_stored")
         ).drop("_stored")
-    return (
-        linked.withColumn("extra_digest", F.coalesce("extra_digest", F.lit(NO_REFERENCE)))
-        .withColumn("scrubbed", set_extra_digest(F.col("scrubbed"), F.col("extra_digest")))
-        .withColumn("server_digest", _text_digest(F.col("scrubbed")))
-    )
+    known = linked.withColumn("extra_digest", F.coalesce("extra_digest", F.lit(NO_REFERENCE)))
+    final = tx.bind(
+        known, _text=set_extra_digest(F.col("scrubbed"), F.col("extra_digest"))
+    ).drop("scrubbed").withColumnRenamed("_text", "scrubbed")
+    return tx.bind(final, server_digest=_text_digest(F.col("scrubbed")))
 
 
 def reference_mapping(linked_servers, extras, stored=None, status_lines=None):
@@ -317,7 +318,7 @@ def sanitized_statuses(docs, keep=()):
     descriptor the mapping does not know.
     """
     plain = F.regexp_replace(F.regexp_replace(F.col("text"), "\r\n?", "\n"), "\n\\z", "")
-    rows = docs.select(*keep, F.posexplode(F.split(plain, "\n")).alias("line_no", "_line")).withColumn(
+    rows = docs.select(*keep, F.posexplode_outer(F.split(plain, "\n")).alias("line_no", "_line")).withColumn(
         "_parts", F.split("_line", " ")
     )
     part = lambda n: F.try_element_at(F.col("_parts"), F.lit(n + 1))

@@ -14,9 +14,8 @@ def status_headers(docs):
     ``vote_sources`` are the authorities whose ``dir-source`` line is followed
     by a ``vote-digest`` line before the next ``dir-source`` line.
     """
-    head = docs.withColumn("_head", F.substring_index("text", "\nr ", 1)).withColumn(
-        "_lines", tx.lines(F.col("_head"))
-    )
+    head = tx.bind(docs, _head=F.substring_index("text", "\nr ", 1))
+    head = tx.bind(head, _lines=tx.lines(F.col("_head")))
     sections = F.split(F.col("_head"), "\n(?=dir-source )")
     voting = F.filter(
         sections, lambda s: s.startswith("dir-source ") & F.contains(s, F.lit("\nvote-digest "))
@@ -62,40 +61,36 @@ def status_entries(docs, keep=()):
     ``docs`` has ``text``; ``keep`` names further columns to carry.  Votes
     give no rows.  Entries from the first broken ``r`` line on are dropped.
     """
-    consensus = docs.where(
-        (F.locate("\nvote-status vote\n", "text") == 0)
-    ).withColumn("_head", F.substring_index("text", "\nr ", 1))
-    blocks = (
-        consensus.withColumn(
-            "validafter", tx.timestamp(tx.last_value(tx.lines(F.col("_head")), "valid-after "))
+    consensus = docs.where(F.locate("\nvote-status vote\n", "text") == 0)
+    blocks = tx.bind(
+        consensus,
+        validafter=tx.timestamp(
+            tx.last_value(tx.lines(F.substring_index("text", "\nr ", 1)), "valid-after ")
+        ),
+        _blocks=_entry_blocks(F.col("text")),
+    ).where("validafter IS NOT NULL")
+    entries = (
+        blocks.select(
+            *keep, "validafter", F.explode_outer(tx.before_first(F.col("_blocks"), _is_broken)).alias("_block")
         )
-        .where("validafter IS NOT NULL")
-        .withColumn("_blocks", _entry_blocks(F.col("text")))
-        .select(*keep, "validafter", F.explode(tx.before_first(F.col("_blocks"), _is_broken)).alias("_block"))
+        .where("_block IS NOT NULL")
         .withColumn("_lines", F.split("_block", "\n"))
     )
-    parts = (
-        blocks.withColumn("_r", F.split(tx.first(F.col("_lines")), " "))
-        .withColumn(
-            "_flags",
-            F.split(
-                tx.last(F.filter("_lines", lambda x: x.startswith("s ") | (x == "s"))), " "
-            ),
-        )
-        .withColumn(
-            "_raw",
-            F.filter(
-                "_lines",
-                lambda x: x.startswith("r ") | x.startswith("s ") | (x == "s")
-                | x.startswith("v ") | x.startswith("w ") | x.startswith("p "),
-            ),
-        )
+    kept = tx.bind(
+        entries,
+        _r=F.split(tx.first(F.col("_lines")), " "),
+        _flags=F.split(tx.last(F.filter("_lines", lambda x: x.startswith("s ") | (x == "s"))), " "),
+        _raw=F.filter(
+            "_lines",
+            lambda x: x.startswith("r ") | x.startswith("s ") | (x == "s")
+            | x.startswith("v ") | x.startswith("w ") | x.startswith("p "),
+        ),
     )
     r = lambda n: F.element_at("_r", n + 1)
     bandwidth = tx.last(
-        tx.starting(F.flatten(F.transform(tx.starting(F.col("_lines"), "w "), lambda w: F.split(w, " "))), "Bandwidth=")
+        tx.starting(F.flatten(F.transform(tx.starting(F.col("_raw"), "w "), lambda w: F.split(w, " "))), "Bandwidth=")
     )
-    return parts.select(
+    return kept.select(
         *keep,
         "validafter",
         r(1).alias("nickname"),
@@ -109,20 +104,25 @@ def status_entries(docs, keep=()):
             F.coalesce(F.array_contains("_flags", flag), F.lit(False)).alias(column)
             for flag, column in schemas.FLAG_COLUMNS.items()
         ],
-        tx.last_value(F.col("_lines"), "v ").alias("version"),
+        tx.last_value(F.col("_raw"), "v ").alias("version"),
         tx.to_long(F.substring(bandwidth, 11, 2147483647)).alias("bandwidth"),
-        tx.last_value(F.col("_lines"), "p ").alias("ports"),
+        tx.last_value(F.col("_raw"), "p ").alias("ports"),
         tx.to_bytes(F.concat(F.array_join("_raw", "\n"), F.lit("\n"))).alias("rawdesc"),
     )
 
 
 def vote_entries(docs, keep=()):
     """Every relay listed in a status document with its flags: consensus or vote."""
-    blocks = docs.select(
-        *keep, F.explode(tx.before_first(_entry_blocks(F.col("text")), _is_broken)).alias("_block")
-    ).withColumn("_lines", F.split("_block", "\n"))
-    parts = blocks.withColumn("_r", F.split(tx.first(F.col("_lines")), " ")).withColumn(
-        "_s", tx.last(tx.starting(F.col("_lines"), "s "))
+    blocks = tx.bind(docs, _blocks=_entry_blocks(F.col("text")))
+    entries = (
+        blocks.select(*keep, F.explode_outer(tx.before_first(F.col("_blocks"), _is_broken)).alias("_block"))
+        .where("_block IS NOT NULL")
+        .withColumn("_lines", F.split("_block", "\n"))
+    )
+    parts = tx.bind(
+        entries,
+        _r=F.split(tx.first(F.col("_lines")), " "),
+        _s=tx.last(tx.starting(F.col("_lines"), "s ")),
     )
     return parts.select(
         *keep,
@@ -139,15 +139,15 @@ def vote_entries(docs, keep=()):
 
 def flag_counts(docs, keep=()):
     """Per consensus: running entries, and exit, fast, guard and stable among them."""
-    running = docs.where(F.locate("\nvote-status vote\n", "text") == 0).select(
-        *keep,
-        tx.timestamp(
+    running = tx.bind(
+        docs.where(F.locate("\nvote-status vote\n", "text") == 0),
+        validafter=tx.timestamp(
             tx.last_value(tx.lines(F.substring_index("text", "\nr ", 1)), "valid-after ")
-        ).alias("validafter"),
-        F.filter(
+        ),
+        _running=F.filter(
             tx.lines(F.col("text")),
             lambda x: x.startswith("s ") & F.contains(x, F.lit(" Running")),
-        ).alias("_running"),
+        ),
     )
     holding = lambda flag: F.size(
         F.filter("_running", lambda x: F.contains(x, F.lit(" " + flag)))
