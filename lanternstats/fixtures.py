@@ -241,6 +241,18 @@ def tables(spark, sf_dir, *names):
     return frames[0] if len(frames) == 1 else frames
 
 
+def spread(frame):
+    """A scan with at least as many partitions as the cluster has slots.
+
+    A small table stored as one file would leave the parse jobs to one task.
+    Scans that are wide enough already are not shuffled.
+    """
+    slots = frame.sparkSession.sparkContext.defaultParallelism
+    if frame._jdf.queryExecution().toRdd().getNumPartitions() >= slots:
+        return frame
+    return frame.repartition(slots)
+
+
 def _source_tables(sql):
     return [t for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", sql)]
 
@@ -255,7 +267,8 @@ def view(spark, sf_dir, name):
 def documents(spark, sf_dir, name):
     """Text documents as ``doc_id``, ``content`` and ``text`` (one character per byte)."""
     sql = DOCUMENTS[name]
-    tables(spark, sf_dir, *_source_tables(sql))
+    for table in _source_tables(sql):
+        spread(tables(spark, sf_dir, table)).createOrReplaceTempView(table)
     frame = spark.sql(sql)
     stored = bind(frame, content=F.encode("text", "UTF-8")).drop("text")
     return bind(stored, text=F.decode("content", "ISO-8859-1"))

@@ -187,7 +187,7 @@ def _day_shares(dirreq):
         ),
     ).select(
         *dirreq.columns,
-        F.posexplode("_shares").alias("_back", "_s"),
+        F.posexplode_outer("_shares").alias("_back", "_s"),
     ).where("_back = 0 OR _s.share > 0").select(*dirreq.columns, "_s.date", "_s.share")
 
 
