@@ -27,9 +27,13 @@ def only_dates(facts, time_column, updates, max_dates=MAX_DATES):
     """Rows of ``facts`` whose date is listed in ``updates`` (column ``date``).
 
     When ``facts`` has a physical ``date`` column it is used as it stands, so
-    that the semi join prunes partitions.
+    that the semi join prunes partitions.  Spark prunes by a joined table only
+    if that table is filtered; the comparison, true for every date, is that filter.
     """
-    dates = broadcast_if_small(updates.select("date").distinct(), max_dates)
+    dates = broadcast_if_small(
+        updates.where(F.col("date") >= F.lit("0001-01-01").cast("date")).select("date").distinct(),
+        max_dates,
+    )
     if "date" in facts.columns:
         return facts.join(dates, "date", "left_semi")
     keyed = facts.withColumn("_date", F.to_date(time_column))

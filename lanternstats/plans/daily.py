@@ -174,6 +174,7 @@ def total_bwhist(bwhist, updates=None):
 
 def _day_shares(dirreq):
     """Each observation with the seconds that fall on its last date and on the date before."""
+    dirreq = dirreq.drop("date")
     today = F.to_date("statsend")
     since_midnight = seconds_between(F.col("statsend"), today)
     return dirreq.withColumn(
@@ -239,6 +240,10 @@ def user_stats(status, bwhist, dirreq, updates=None):
     first and joined to the requests afterwards.
     """
     relays = relay_attributes(status, updates)
+    if updates is not None:
+        # An interval reaches the date of its end and the date before.
+        ends = updates.select(F.explode(F.array("date", F.date_add("date", 1))).alias("date"))
+        dirreq = only_dates(dirreq, "statsend", ends)
     requests = (
         dirreq_split(dirreq)
         .where("country IS NOT NULL")

@@ -24,6 +24,7 @@ def read_fixed_csv(spark, path, schema):
         .option("header", "true")
         .option("nullValue", "NA")
         .option("mode", "DROPMALFORMED")
+        .option("columnPruning", "false")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
@@ -64,6 +65,7 @@ def read_wide_csv(spark, path, key, value, column="country"):
         .option("header", "true")
         .option("nullValue", "NA")
         .option("mode", "DROPMALFORMED")
+        .option("columnPruning", "false")
         .csv(path)
     )
     long = strict.unpivot(list(key), columns, column, value).where(F.col(value).isNotNull())
