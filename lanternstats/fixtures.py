@@ -55,11 +55,13 @@ SELECT event_type AS source, CAST(date_trunc('second', ts) AS {T}) AS started,
 FROM events GROUP BY 1, 2""",
     "v_updates": """
 SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE event_id % 1000 = 7""",
-    "v_ip_ranges": """
-SELECT concat('2010010', CAST(1 + v AS {S})) AS version, s_suppkey * 1000 + v * 300 AS from_ip,
- s_suppkey * 1000 + v * 300 + 599 AS to_ip, concat('C', CAST(s_nationkey % 10 AS {S})) AS country
-FROM supplier CROSS JOIN (SELECT DISTINCT r_regionkey AS v FROM region WHERE r_regionkey < 3) x
-WHERE (s_suppkey + v) % 4 <> 0""",
+    "v_ip_ranges": " UNION ALL ".join(
+        f"""
+SELECT '2010010{1 + v}' AS version, s_suppkey * 1000 + {v * 300} AS from_ip,
+ s_suppkey * 1000 + {v * 300 + 599} AS to_ip, concat('C', CAST(s_nationkey % 10 AS {{S}})) AS country
+FROM supplier WHERE (s_suppkey + {v}) % 4 <> 0"""
+        for v in range(3)
+    ),
     "v_ips": """
 SELECT o_orderkey AS req_id, o_orderkey * 7 % 110000 AS ip,
  concat('2010010', CAST(1 + o_custkey % 5 AS {S})) AS day FROM orders""",

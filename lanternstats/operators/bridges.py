@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from lanternstats.functions import digests, text as tx
+from lanternstats.functions.sizing import broadcast_if_small
 from lanternstats.operators.descriptors import UNSAFE_ROUNDING, explode_countries
 
 SECONDS_PER_DAY = 86400.0
+MAX_BROADCAST_IDENTITIES = 500_000  # of 40 characters each
 # Platform prefix of bridges whose country statistics are broken (fixed value).
 BROKEN_PLATFORM = "Tor 0.2.2"
 
@@ -41,8 +43,13 @@ def with_identity(docs, sanitized=False):
 
 
 def without_known_relays(docs, hashed_relays):
-    """Drop the documents of bridges that are also relays, before any line is read."""
+    """Drop the documents of bridges that are also relays, before any line is read.
+
+    The identities are broadcast if a count shows that they fit, so that whole
+    documents need not be shuffled.
+    """
     known = hashed_relays.select(F.col("hashed_relay").alias("bridge")).distinct()
+    known = broadcast_if_small(known, MAX_BROADCAST_IDENTITIES)
     return docs.join(known, "bridge", "left_anti")
 
 

@@ -25,10 +25,18 @@ def archive_completeness(references, servers, extras, by):
     """
     counted = references.groupBy(*by, "descriptor").agg(F.count(F.lit(1)).alias("_n"))
     found_server = servers.groupBy("descriptor").agg(
-        F.lit(True).alias("_has_server"), F.first("extrainfo", ignorenulls=True).alias("extrainfo")
+        F.first("extrainfo", ignorenulls=True).alias("extrainfo")
     )
     found_extra = extras.select("extrainfo").distinct().withColumn("_has_extra", F.lit(True))
-    joined = counted.join(found_server, "descriptor", "left").join(found_extra, "extrainfo", "left")
+    # Descriptors that name no extra-info stay out of the join: their nulls would be one hot key.
+    names_one = F.col("extrainfo").isNotNull()
+    known = (
+        found_server.where(names_one)
+        .join(found_extra, "extrainfo", "left")
+        .unionByName(found_server.where(~names_one), allowMissingColumns=True)
+        .withColumn("_has_server", F.lit(True))
+    )
+    joined = counted.join(known, "descriptor", "left")
     tally = lambda test: F.coalesce(F.sum(F.when(test, F.col("_n"))), F.lit(0)).cast("bigint")
     return (
         joined.groupBy(*by)

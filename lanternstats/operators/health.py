@@ -15,8 +15,7 @@ STALE_HOURS = 3
 
 def latest_only(docs, time="validafter"):
     """Documents of the most recent time: one consensus and its votes."""
-    newest = docs.agg(F.max(time).alias(time))
-    return docs.join(newest, time, "left_semi")
+    return docs.where(F.col(time) == docs.agg(F.max(time)).scalar())
 
 
 def health_headers(docs, keep=()):

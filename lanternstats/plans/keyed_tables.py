@@ -86,13 +86,20 @@ def replace_dates(stored, fresh, updates, date=None):
 
 
 def denormalised_mirror(status, descriptor):
-    """Status entries with their descriptor; descriptors without an entry keep a null time."""
+    """Status entries with their descriptor; descriptors without an entry keep a null time.
+
+    A full outer join written as a left join and the unmatched rest: entries of
+    one descriptor can be split over tasks in a left join, not in a full one.
+    """
     own = [c for c in descriptor.columns if c != "descriptor" and c in status.columns]
     right = descriptor.select(
         "descriptor",
         *[F.col(c).alias(f"desc_{c}" if c in own else c) for c in descriptor.columns if c != "descriptor"],
     )
-    return status.join(right, "descriptor", "full")
+    matched = status.join(right, "descriptor", "left")
+    listed = status.select("descriptor").distinct()
+    unlisted = right.join(listed, "descriptor", "left_anti")
+    return matched.unionByName(unlisted, allowMissingColumns=True)
 
 
 def refresh_mirror(mirror, status, descriptor, changed):

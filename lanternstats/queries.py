@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lanternstats.fixtures import documents, tables, view
 from lanternstats.functions import digests, text as tx
 from lanternstats.functions.numbers import count_when
+from lanternstats.functions.sizing import broadcast_if_small
 from lanternstats.operators import (
     bridges, completeness, descriptors, documents as docs_ops, health, intervals, ip_ranges,
     pseudonymise, statuses,
@@ -283,7 +284,9 @@ def _arrays(rows, *key):
 
 def _flag_inputs(votes, consensus, known):
     per_vote = _arrays(votes, "relay", "dir")
-    known_by_dir = _arrays(known, "dir").withColumnRenamed("flags", "known_flags")
+    known_by_dir = broadcast_if_small(
+        _arrays(known, "dir").withColumnRenamed("flags", "known_flags"), 10_000
+    )
     return per_vote.join(known_by_dir, "dir"), _arrays(consensus, "relay")
 
 

@@ -7,16 +7,21 @@ import tarfile
 from pyspark.sql import functions as F
 
 from lanternstats.functions import text as tx
+from lanternstats.functions.sizing import broadcast_if_small
 from lanternstats.operators.documents import split_documents
 
 FILE_COLUMNS = "path string, name string, modified timestamp, content binary"
+MAX_BROADCAST_PATHS = 200_000
 
 
-def list_files(spark, folder, suffix=None):
-    """Path, base name and content of every file below a folder; content is read only if used."""
+def list_files(spark, folder, modified_after=None):
+    """Path, base name and content of every file below a folder; content is read only if used.
+
+    ``modified_after`` (a timestamp text) leaves older files out of the listing.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if suffix:
-        reader = reader.option("pathGlobFilter", f"*{suffix}")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     return reader.load(folder).select(
         "path",
         F.substring_index("path", "/", -1).alias("name"),
@@ -26,8 +31,14 @@ def list_files(spark, folder, suffix=None):
 
 
 def not_imported(files, history):
-    """Files whose base name is not in the import history (column ``name``)."""
-    return files.join(history.select("name").distinct(), "name", "left_anti")
+    """Files whose base name is not in the import history (column ``name``).
+
+    The history is compared with names only; the paths that remain are
+    broadcast if a count shows that they fit, so that file contents are not
+    shuffled.
+    """
+    new = files.select("path", "name").join(history.select("name").distinct(), "name", "left_anti")
+    return files.join(broadcast_if_small(new.select("path"), MAX_BROADCAST_PATHS), "path", "left_semi")
 
 
 def imported_names(files):
@@ -44,15 +55,16 @@ def _unpack(batches):
         yield batch
 
 
-def scan_archive(spark, folder, history=None):
+def scan_archive(spark, folder, history=None, modified_after=None):
     """Documents of an archive tree.  ``.bz2`` files are unpacked, ``.tar.bz2`` files skipped.
 
-    With a history, known names are dropped before any content is read.
+    With a history, files of known names are dropped before they are unpacked.
+    Their bytes are still read; ``modified_after`` keeps old files from being
+    opened at all, and so does the checkpoint of ``streaming.file_stream``.
     """
-    files = list_files(spark, folder).where(~F.col("name").endswith(".tar.bz2"))
+    files = list_files(spark, folder, modified_after).where(~F.col("name").endswith(".tar.bz2"))
     if history is not None:
-        known = not_imported(files.select("path", "name"), history).select("path")
-        files = files.join(known, "path", "left_semi")
+        files = not_imported(files, history)
     plain = files.where(~F.col("name").endswith(".bz2"))
     packed = files.where(F.col("name").endswith(".bz2")).select("path", "name", "modified", "content")
     return plain.select("path", "name", "modified", "content").unionByName(
@@ -96,9 +108,7 @@ def scan_bridge_snapshots(spark, folder, history=None):
     """
     files = list_files(spark, folder)
     if history is not None:
-        files = files.join(
-            not_imported(files.select("path", "name"), history).select("path"), "path", "left_semi"
-        )
+        files = not_imported(files, history)
     entries = files.select("path", "name", "content").mapInPandas(
         _untar, "path string, name string, entry string, content binary"
     )

@@ -18,6 +18,10 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
+            # Compiling the plans takes longer than running them on a few rows.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+            "spark.sql.adaptive.enabled": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -35,9 +35,6 @@ def test_refresh_in_slices_equals_refresh_of_all(spark, facts, tmp_path):
         warehouse.refresh(spark, root, batch, fresh, updates)
     for name, frame in whole.items():
         assert rows(warehouse.read_aggregate(spark, root, name)) == rows(frame), name
-    # A batch that is run again changes nothing.
-    warehouse.refresh(spark, root, 2, warehouse.aggregates(status, desc, hist, dirreq, updates), updates)
-    assert rows(warehouse.read_aggregate(spark, root, "user_stats")) == rows(whole["user_stats"])
 
 
 def test_uncommitted_batch_is_not_read(spark, facts, tmp_path):
@@ -162,11 +159,6 @@ def test_stream_of_files(spark, tmp_path):
     file_stream.start(spark, inbox, root, checkpoint).awaitTermination()
     assert sizes() == {"2010-02-01": 3, "2010-02-02": 1}
     assert warehouse.fact_table(spark, root, "statusentry").count() == 7
-    # The same files under other names add nothing.
-    (tmp_path / "in" / "copy").write_text((tmp_path / "in" / "2010-02-02-000000").read_text())
-    file_stream.start(spark, inbox, root, checkpoint).awaitTermination()
-    assert sizes() == {"2010-02-01": 3, "2010-02-02": 1}
-    assert warehouse.fact_table(spark, root, "statusentry").count() == 7
 
 
 def test_failed_batch_keeps_its_dirty_dates(spark, tmp_path):
