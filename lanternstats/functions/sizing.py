@@ -6,6 +6,8 @@ broadcasts below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
 shuffles, splitting skewed partitions at run time.
 """
 
+import weakref
+
 from pyspark.sql import functions as F
 
 
@@ -21,19 +23,29 @@ def broadcast_if_small(df, max_rows):
 
 # A calendar of 100 years; dirty-date tables hold one row per date.
 MAX_DATES = 36_600
+_counted = weakref.WeakKeyDictionary()
+
+
+def date_list(updates):
+    """Distinct dates of ``updates``, broadcast if they are as few as dates should be.
+
+    One table of dates limits several facts, so it is counted once.  Spark
+    prunes date-partitioned facts by a joined table only if that table is
+    filtered; the comparison, true for every date, is that filter.
+    """
+    if updates not in _counted:
+        dates = updates.where(F.col("date") >= F.lit("0001-01-01").cast("date")).select("date").distinct()
+        _counted[updates] = broadcast_if_small(dates, MAX_DATES)
+    return _counted[updates]
 
 
-def only_dates(facts, time_column, updates, max_dates=MAX_DATES):
+def only_dates(facts, time_column, updates):
     """Rows of ``facts`` whose date is listed in ``updates`` (column ``date``).
 
     When ``facts`` has a physical ``date`` column it is used as it stands, so
-    that the semi join prunes partitions.  Spark prunes by a joined table only
-    if that table is filtered; the comparison, true for every date, is that filter.
+    that the semi join prunes partitions.
     """
-    dates = broadcast_if_small(
-        updates.where(F.col("date") >= F.lit("0001-01-01").cast("date")).select("date").distinct(),
-        max_dates,
-    )
+    dates = date_list(updates)
     if "date" in facts.columns:
         return facts.join(dates, "date", "left_semi")
     keyed = facts.withColumn("_date", F.to_date(time_column))

@@ -159,7 +159,10 @@ def _count(pair):
 
 
 def history_values(docs, keep=()):
-    """One row per reported interval value: line type, interval end, value, line position.
+    """One row per reported interval value: line type, interval end, value, and ``rank``.
+
+    ``rank`` rises in the order in which values are set: by line, and from
+    right to left within a line.
 
     The last value of a line ends at the line's time and each earlier value one
     interval before.  A line whose time is more than seven days from the
@@ -188,7 +191,7 @@ def history_values(docs, keep=()):
         "extrainfo",
         "fingerprint",
         "type",
-        "line_no",
+        (F.col("line_no").cast("bigint") * 2**31 - F.col("_pos")).alias("rank"),
         tx.seconds_before(F.col("_end"), (F.col("_n") - 1 - F.col("_pos")) * F.col("_length")).alias("intervalend"),
         tx.to_long(F.col("_text")).alias("value"),
     )
@@ -198,7 +201,7 @@ def history_rows(values, keep=()):
     """Rows of ``bwhist``: one per document and interval, a later line wins."""
     latest = lambda keyword: F.max_by(
         F.when(F.col("type") == keyword, F.col("value")),
-        F.when(F.col("type") == keyword, F.struct("line_no", "value")),
+        F.when(F.col("type") == keyword, F.col("rank")),
     )
     return values.groupBy(*keep, "fingerprint", "extrainfo", "intervalend").agg(
         *[latest(keyword).alias(column) for keyword, column in HISTORY_COLUMNS.items()]

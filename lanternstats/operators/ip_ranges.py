@@ -9,6 +9,7 @@ large the input is, and there are at most 2**16 blocks.
 from pyspark.sql import Window, functions as F
 
 from lanternstats.functions.sizing import fits
+from lanternstats.functions.text import bind
 
 BLOCK_BITS = 16
 BLOCK = 1 << BLOCK_BITS
@@ -37,18 +38,12 @@ def choose_version(lookups, ranges, day, days_earlier=0):
         wanted = F.date_format(
             F.date_sub(F.to_date(wanted, "yyyyMMdd"), days_earlier), "yyyyMMdd"
         )
-    return (
-        lookups.withColumn("_known", known)
-        .withColumn("_wanted", wanted)
-        .withColumn(
-            "version",
-            F.coalesce(
-                F.try_element_at(F.filter("_known", lambda v: v <= F.col("_wanted")), F.lit(-1)),
-                F.try_element_at("_known", F.lit(1)),
-            ),
-        )
-        .drop("_known", "_wanted")
+    dated = bind(lookups, _known=known, _wanted=wanted)
+    chosen = F.coalesce(
+        F.try_element_at(F.filter("_known", lambda v: v <= F.col("_wanted")), F.lit(-1)),
+        F.try_element_at("_known", F.lit(1)),
     )
+    return bind(dated, version=chosen).drop("_known", "_wanted")
 
 
 def _pieces(ranges, fill_gaps):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lanternstats.functions.sizing import MAX_DATES, broadcast_if_small
+from lanternstats.functions.sizing import date_list
 
 
 def insert_if_absent(new, stored, key, absent_key=None, order=None):
@@ -80,7 +80,7 @@ def dirty_dates(status=None, descriptor=None, bwhist=None):
 def replace_dates(stored, fresh, updates, date=None):
     """Stored rows of other dates with the recomputed rows; dirty dates without new rows vanish."""
     date = F.col("date") if date is None else date
-    dirty = broadcast_if_small(updates.select(F.col("date").alias("_date")).distinct(), MAX_DATES)
+    dirty = date_list(updates).withColumnRenamed("date", "_date")
     others = stored.withColumn("_date", date).join(dirty, "_date", "left_anti").drop("_date")
     return others.unionByName(fresh.select(*stored.columns))
 

@@ -110,11 +110,13 @@ def pending_updates(spark, root):
     return updates.select("date").distinct()
 
 
-def aggregates(status, descriptor, bwhist, dirreq=None, updates=None):
-    """The daily tables of the given dates.  User statistics need ``dirreq``."""
-    per_day = daily.relay_statuses_per_day(status, updates)
+def aggregates(status, descriptor, bwhist, dirreq=None, updates=None, per_day=None):
+    """The daily tables of the given dates.
+
+    User statistics need ``dirreq``.  A stored ``per_day`` table spares three
+    of the tables their own pass over the consensus times.
+    """
     tables = {
-        "relay_statuses_per_day": per_day,
         "network_size": daily.network_size(status, updates=updates),
         "network_size_hour": daily.network_size_hour(status, updates),
         "relay_platforms": daily.relay_platforms(status, descriptor, per_day, updates),
@@ -133,26 +135,46 @@ def latest_batch(spark, root):
     return None if commits is None else commits.agg(F.max("batch")).first()[0]
 
 
-def refresh(spark, root, batch, fresh, updates):
-    """Write the daily tables of a batch and commit them together.
+def write_table(spark, root, batch, name, rows, updates):
+    """Write a daily table whole into the folder of a batch; return it as stored.
 
-    Every table is written whole into the folder of the batch: other dates
-    from the last committed batch, dirty dates from ``fresh``.  Readers follow
-    the commit table, so all tables change at once and a failed batch can be
-    run again.  The tables hold a few rows per date, so rewriting them is cheap.
+    Other dates come from the last committed batch, dirty dates from ``rows``.
+    The tables hold a few rows per date, so rewriting them is cheap.
     """
     previous = latest_batch(spark, root)
-    for name, rows in fresh.items():
-        old = None if previous is None else stored_table(spark, f"{root}/batch={previous}/{name}")
-        merged = rows if old is None else keyed_tables.replace_dates(
-            old, rows, updates, F.to_date(AGGREGATES[name])
-        )
-        merged.write.mode("overwrite").parquet(f"{root}/batch={batch}/{name}")
+    old = None if previous is None else stored_table(spark, f"{root}/batch={previous}/{name}")
+    merged = rows if old is None else keyed_tables.replace_dates(
+        old, rows, updates, F.to_date(AGGREGATES[name])
+    )
+    path = f"{root}/batch={batch}/{name}"
+    merged.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def commit(spark, root, batch):
+    """Make the tables of a batch the current ones, all at once."""
     spark.range(1).select(F.lit(batch).cast("bigint").alias("batch")).write.mode("append").parquet(
         f"{root}/commits"
     )
 
 
+def refresh(spark, root, batch, status, descriptor, bwhist, dirreq, updates):
+    """Recompute the daily tables of the dirty dates and commit them together.
+
+    Readers follow the commit table, so a batch that fails is never seen and
+    can be run again.  The number of consensuses per date is stored first,
+    because other tables divide by it.
+    """
+    per_day = write_table(
+        spark, root, batch, "relay_statuses_per_day",
+        daily.relay_statuses_per_day(status, updates), updates,
+    )
+    tables = aggregates(status, descriptor, bwhist, dirreq, updates, per_day)
+    for name, rows in tables.items():
+        write_table(spark, root, batch, name, rows, updates)
+    commit(spark, root, batch)
+
+
 def read_aggregate(spark, root, name):
     """A daily table as of the last committed batch."""
     return spark.read.parquet(f"{root}/batch={latest_batch(spark, root)}/{name}")

@@ -27,10 +27,10 @@ def load_batch(root):
         warehouse.load_facts(spark, root, batch_id, warehouse.relay_facts(docs))
         updates = warehouse.pending_updates(spark, root)
         fact = lambda name: warehouse.fact_table(spark, root, name)
-        fresh = warehouse.aggregates(
-            fact("statusentry"), fact("descriptor"), fact("bwhist"), fact("dirreq_stats"), updates
+        warehouse.refresh(
+            spark, root, batch_id,
+            fact("statusentry"), fact("descriptor"), fact("bwhist"), fact("dirreq_stats"), updates,
         )
-        warehouse.refresh(spark, root, batch_id, fresh, updates)
 
     return run
 

@@ -28,11 +28,11 @@ def test_refresh_in_slices_equals_refresh_of_all(spark, facts, tmp_path):
     status, desc, hist, dirreq = facts.values()
     dates = daily.relay_statuses_per_day(status).select("date")
     whole = warehouse.aggregates(status, desc, hist, dirreq)
+    whole["relay_statuses_per_day"] = daily.relay_statuses_per_day(status)
     root = str(tmp_path)
     for batch, half in enumerate(["dayofmonth(date) < 9", "dayofmonth(date) >= 9"]):
         updates = dates.where(half)
-        fresh = warehouse.aggregates(status, desc, hist, dirreq, updates)
-        warehouse.refresh(spark, root, batch, fresh, updates)
+        warehouse.refresh(spark, root, batch, status, desc, hist, dirreq, updates)
     for name, frame in whole.items():
         assert rows(warehouse.read_aggregate(spark, root, name)) == rows(frame), name
 
@@ -41,8 +41,9 @@ def test_uncommitted_batch_is_not_read(spark, facts, tmp_path):
     root = str(tmp_path)
     sizes = daily.network_size(facts["v_status"])
     updates = sizes.select("date")
-    warehouse.refresh(spark, root, 0, {"network_size": sizes}, updates)
-    sizes.limit(1).write.parquet(f"{root}/batch=1/network_size")
+    warehouse.write_table(spark, root, 0, "network_size", sizes, updates)
+    warehouse.commit(spark, root, 0)
+    warehouse.write_table(spark, root, 1, "network_size", sizes.limit(1), updates)
     assert warehouse.read_aggregate(spark, root, "network_size").count() == sizes.count()
 
 
