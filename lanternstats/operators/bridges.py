@@ -81,8 +81,8 @@ def bridge_users(docs, keep=()):
     """Users by bridge, time and country from both kinds of lists.
 
     Counts since ``geoip-start-time`` are scaled to a day; daily counts are
-    taken as they are.  ``zy`` holds the total.  Rows of an interval of zero
-    length are dropped.
+    taken as they are.  ``zy`` holds the total of the exact numbers; then all
+    are rounded to two decimals.  Rows of an interval of zero length are dropped.
     """
     seen = (
         _state(docs, ("published ", "geoip-start-time ", "bridge-stats-end "))
@@ -119,7 +119,7 @@ def bridge_users(docs, keep=()):
         ),
         "users",
         F.lit(0.0),
-    )
+    ).withColumn("users", F.round("users", 2))
 
 
 def broken_versions(docs, prefix=BROKEN_PLATFORM):

@@ -66,6 +66,42 @@ def vote_completeness(vote_references, votes, by):
     )
 
 
+def archive_report(headers, entries, servers, extras, last=3):
+    """Completeness of the last consensuses (``C``) and of the votes they name (``V``).
+
+    ``headers`` is the output of ``statuses.status_headers``; ``entries`` has ``validafter``,
+    ``is_consensus``, ``dirsource`` and ``descriptor``.
+    """
+    consensuses = last_documents(headers.where("is_consensus"), "validafter", last)
+    named = consensuses.select("validafter", F.explode("vote_sources").alias("dirsource")).distinct()
+    votes = vote_completeness(named, headers.where("NOT is_consensus"), ["validafter"])
+    times = consensuses.select("validafter").distinct()
+    listed = entries.where("is_consensus").join(times, "validafter", "left_semi").select(
+        F.lit("C").alias("kind"), "validafter", F.lit(None).cast("string").alias("dirsource"), "descriptor"
+    ).unionByName(
+        entries.where("NOT is_consensus").join(named, ["validafter", "dirsource"], "left_semi").select(
+            F.lit("V").alias("kind"), "validafter", "dirsource", "descriptor"
+        )
+    )
+    report = archive_completeness(listed, servers, extras, ["kind", "validafter", "dirsource"])
+    return report.join(votes.withColumn("kind", F.lit("C")), ["kind", "validafter"], "left")
+
+
+def documents_at_hand(consensuses, votes, servers, extras):
+    """Keys of the documents we have, in the form of ``references_seen``."""
+    text = lambda c: F.col(c).cast("string")
+    none = F.lit(None).cast("string")
+    rows = lambda kind, frame, time, relay, digest: frame.select(
+        F.lit(kind).alias("type"), F.col(time).alias("published"), relay.alias("relay"), digest.alias("digest")
+    )
+    return (
+        rows("consensus", consensuses, "validafter", none, none)
+        .unionByName(rows("vote", votes, "validafter", text("dirsource"), none))
+        .unionByName(rows("server", servers, "published", text("fingerprint"), text("descriptor")))
+        .unionByName(rows("extra", extras, "published", text("fingerprint"), text("extrainfo")))
+    )
+
+
 def references_seen(consensuses, entries, servers):
     """References found in parsed documents as rows ``type, published, relay, digest``.
 

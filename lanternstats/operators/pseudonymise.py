@@ -8,6 +8,7 @@ is linked in dependency order: extra-info, then server descriptor, then status.
 from pyspark.sql import functions as F
 
 from lanternstats.functions import digests, text as tx
+from lanternstats.operators.intervals import statuses_to_rewrite
 
 NO_REFERENCE = "0" * 40
 # Line starts copied unchanged, and whole lines copied unchanged (fixed values).
@@ -344,3 +345,14 @@ def mapping_with_read_digests(mapping, status_lines):
     return mapping.unionByName(
         read.join(mapping, keys, "left_anti").withColumn("extra_digest", F.lit(NO_REFERENCE))
     )
+
+
+def rewrite_statuses(statuses, changed, mapping, status_key):
+    """Stored scrubbed statuses (``validafter``, ``text``) whose references may have changed.
+
+    Only statuses of the 24 hours after a changed descriptor (``published``)
+    are read and linked anew; the others stay as they are stored.
+    """
+    affected = statuses_to_rewrite(statuses, changed)
+    lines = sanitized_statuses(affected, keep=status_key)
+    return link_statuses(lines, mapping_with_read_digests(mapping, lines), status_key)

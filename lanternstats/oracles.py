@@ -463,7 +463,7 @@ FROM intervals GROUP BY k, intervalend""", _EXTRA_KEYS, _HISTORY,
  unnest([4 + k % 50, 12 + k % 9, 4, 20 + k % 50 + k % 9]) AS requests FROM c WHERE k % 7 > 1 AND NOT stopped""", _EXTRA_KEYS,
     ),
     "bridge_users_geoip": _with(
-        f"SELECT k AS doc_id, {_BRIDGE} AS bridge, seen, kind, country, round(CAST(users AS DOUBLE), 4) AS users FROM bridge_rows", _BRIDGE_LISTS
+        f"SELECT k AS doc_id, {_BRIDGE} AS bridge, seen, kind, country, round(CAST(users AS DOUBLE), 2) AS users FROM bridge_rows", _BRIDGE_LISTS
     ),
     "bridge_unknown_only": _with(
         f"""SELECT CAST(seen AS DATE) AS date, country, CAST(sum(users) AS DOUBLE) AS users FROM bridge_rows WHERE kind = 'ips'

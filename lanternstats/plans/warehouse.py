@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from lanternstats import schemas
 from lanternstats.functions import text as tx
-from lanternstats.operators import descriptors, documents, statuses
-from lanternstats.plans import daily, keyed_tables
+from lanternstats.functions.sizing import only_dates
+from lanternstats.operators import bridges, descriptors, documents, statuses
+from lanternstats.plans import daily, keyed_tables, summaries
 from lanternstats.sources.sinks import append_facts
 
 # Aggregate tables and the column their date is taken from.
@@ -21,6 +22,10 @@ AGGREGATES = {
 }
 
 
+# Facts of which a later document replaces an earlier one.
+OVERWRITTEN = {"dirreq_stats"}
+
+
 def stage_documents(spark, root, files):
     """Read the raw files of a batch once and keep their documents by type.
 
@@ -68,7 +73,7 @@ def stored_table(spark, path):
 def fact_table(spark, root, name):
     """A fact table with its fixed schema; empty before the first load."""
     schema = getattr(schemas, name.upper()) + ", date date"
-    path = f"{root}/facts/{name}"
+    path = f"{root}/{'tables' if name in OVERWRITTEN else 'facts'}/{name}"
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
@@ -84,6 +89,11 @@ def load_facts(spark, root, batch, facts):
     """
     staged = {}
     for name, rows in facts.items():
+        if name in OVERWRITTEN:
+            key = schemas.KEYS[name]
+            latest = rows.groupBy(*key).agg(F.max_by("requests", F.struct("path", "requests")).alias("requests"))
+            upsert_table(spark, root, name, latest, key, schemas.EVENT_TIME[name])
+            continue
         new = keyed_tables.insert_if_absent(
             rows, fact_table(spark, root, name), schemas.KEYS[name],
             absent_key=["extrainfo"] if name == "bwhist" else None, order=["path"],
@@ -101,6 +111,69 @@ def load_facts(spark, root, batch, facts):
         append_facts(rows, f"{root}/facts/{name}", name)
 
 
+def upsert_table(spark, root, name, rows, key, time):
+    """Merge rows into a keyed table that is stored by date; only their dates are rewritten.
+
+    A row with a known key and other values replaces the stored one.  Returns
+    how many rows were inserted, updated, unchanged or kept in those dates.
+    """
+    path = f"{root}/tables/{name}"
+    values = [c for c in rows.columns if c not in key]
+    staging = f"{root}/staging/{name}"
+    added = "date" not in rows.columns
+    dated = lambda frame: keyed_tables.with_date(frame, time) if added else frame
+    plain = lambda frame: frame.select(*rows.columns)
+    schema = _schema_of(rows)
+    dated(rows).write.mode("overwrite").parquet(f"{staging}/new")
+    new = spark.read.schema(schema + (", date date" if added else "")).parquet(f"{staging}/new")
+    if _exists(spark, path):
+        stored = only_dates(spark.read.schema(new.schema).parquet(path), time, new.select("date"))
+    else:
+        stored = spark.createDataFrame([], new.schema)
+    keyed_tables.upsert(plain(new), plain(stored), key, values).write.mode("overwrite").parquet(
+        f"{staging}/merged"
+    )
+    merged = spark.read.schema(schema + ", action string").parquet(f"{staging}/merged")
+    dated(plain(merged)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("date").parquet(path)
+    return keyed_tables.action_counts(merged)
+
+
+def _schema_of(rows):
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+
+def keyed_table(spark, root, name):
+    return spark.read.parquet(f"{root}/tables/{name}")
+
+
+def bridge_statistics(docs, hashed_relays, sanitized=False):
+    """Tables of running bridges and bridge users from classified bridge documents.
+
+    ``docs`` has ``doc_type``, ``text`` and ``snapshot``, the time of a status.
+    Relays must have been read before, so that their identities are known.
+    """
+    of = lambda kind: docs.where(F.col("doc_type") == kind)
+    counted = bridges.running_bridges(of("status"), keep=["snapshot"]).select(
+        F.col("snapshot").alias("validafter"), F.col("running").alias("brunning")
+    )
+    counts = keyed_tables.latest_value(counted, ["validafter"], "brunning", ["brunning"])
+    extras = bridges.without_known_relays(
+        bridges.with_identity(of("extra"), sanitized), hashed_relays
+    )
+    users = bridges.bridge_users(extras).groupBy("bridge", "date", "seen", "country").agg(
+        F.max("users").alias("users")
+    )
+    broken = bridges.broken_versions(bridges.with_identity(of("server"), sanitized))
+    return {
+        "bridge_network_size": summaries.bridge_daily_averages(counts),
+        "bridge_stats": summaries.bridge_stats_rows(
+            summaries.bridge_users_by_day(users, hashed_relays, broken)
+        ),
+    }
+
+
 def pending_updates(spark, root):
     """Dates touched since the last committed refresh."""
     done = latest_batch(spark, root)

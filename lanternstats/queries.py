@@ -247,7 +247,7 @@ def _known_bridges(docs):
 
 def bridge_users_documents(docs):
     return bridges.bridge_users(_known_bridges(docs), keep=["doc_id"]).select(
-        "doc_id", "bridge", "seen", "kind", "country", F.round("users", 4).alias("users")
+        "doc_id", "bridge", "seen", "kind", "country", "users"
     )
 
 

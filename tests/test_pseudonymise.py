@@ -123,3 +123,16 @@ def test_sanitized_status_keeps_what_it_knew(docs, spark):
 def test_sanitized_extra(docs):
     row = ps.sanitized_extras(docs(SCRUBBED_EXTRA)).first()
     assert (row.bridge, row.scrubbed) == (HASHED, SCRUBBED_EXTRA)
+
+
+def test_only_affected_statuses_are_rewritten(spark):
+    import datetime
+
+    extra, _, server = expected_server()
+    start = datetime.datetime(2010, 2, 1, 10)
+    rows = [(h, start + datetime.timedelta(hours=h), status_line("0" * 40)) for h in (-1, 0, 24, 25)]
+    stored = spark.createDataFrame(rows, "doc int, validafter timestamp_ntz, text string")
+    changed = spark.createDataFrame([(start,)], "published timestamp_ntz")
+    mapping = spark.createDataFrame([(HASHED, TIME, server, extra)], "bridge string, published string, server_digest string, extra_digest string")
+    got = {r.doc: r.scrubbed for r in ps.rewrite_statuses(stored, changed, mapping, ["doc"]).collect()}
+    assert got == {0: status_line(server), 24: status_line(server)}

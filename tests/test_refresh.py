@@ -175,3 +175,80 @@ def test_failed_batch_keeps_its_dirty_dates(spark, tmp_path):
     load()
     assert [str(r.date) for r in warehouse.pending_updates(spark, root).collect()] == ["2010-02-01"]
     assert warehouse.fact_table(spark, root, "statusentry").count() == 1
+
+
+def test_upsert_table_rewrites_only_its_dates(spark, tmp_path):
+    root, key = str(tmp_path), ["date", "country"]
+    make = lambda *rows: spark.createDataFrame([(datetime.date(2010, 2, d), c, u) for d, c, u in rows], "date date, country string, users bigint")
+    first = warehouse.upsert_table(spark, root, "bridge_stats", make((1, "de", 5), (2, "de", 6)), key, "date")
+    assert {r.action: r.n for r in first.collect()} == {"insert": 2}
+    before = {p for p in (tmp_path / "tables" / "bridge_stats" / "date=2010-02-01").iterdir()}
+    second = warehouse.upsert_table(spark, root, "bridge_stats", make((2, "de", 7), (2, "us", 1)), key, "date")
+    assert {r.action: r.n for r in second.collect()} == {"update": 1, "insert": 1}
+    assert {p for p in (tmp_path / "tables" / "bridge_stats" / "date=2010-02-01").iterdir()} == before
+    stored = warehouse.keyed_table(spark, root, "bridge_stats")
+    assert {(r.date.day, r.country, r.users) for r in stored.collect()} == {(1, "de", 5), (2, "de", 7), (2, "us", 1)}
+
+
+def test_bridge_statistics(spark):
+    """Statuses give daily averages, extra-infos give users; relays and broken versions are left out."""
+    from pyspark.sql import functions as F
+
+    from lanternstats.operators import bridges
+
+    def extra(identity, time):
+        return (
+            f"extra-info n {identity}\npublished 2010-02-01 {time}\ngeoip-start-time 2010-01-31 {time}\n"
+            "geoip-client-origins de=12,us=4\n"
+        )
+
+    good, relay, broken = "AA" * 20, "BB" * 20, "CC" * 20
+    texts = [extra(good, "10:00:00"), extra(good, "12:00:00").replace("de=12", "de=20"), extra(relay, "10:00:00"), extra(broken, "10:00:00")]
+    texts.append(f"router n 1 2 3 4\nplatform {bridges.BROKEN_PLATFORM}.1\npublished 2010-02-01 10:00:00\nopt fingerprint {broken}\n")
+    rows = [("server" if t.startswith("router") else "extra", t, None) for t in texts]
+    rows += [("status", "r a\ns Running\n" * (1 + i % 2), datetime.datetime(2010, 2, 1, i)) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_type string, text string, snapshot timestamp_ntz")
+    known = spark.sql(f"SELECT upper(sha1(unhex('{relay}'))) AS hashed_relay")
+    tables = warehouse.bridge_statistics(docs, known)
+    assert [tuple(r) for r in tables["bridge_network_size"].collect()] == [(datetime.date(2010, 2, 1), 1)]
+    assert {(r.country, r.users) for r in tables["bridge_stats"].collect()} == {("de", 16), ("zy", 16)}
+
+
+def test_completeness_and_missing_references(spark):
+    from lanternstats.operators import completeness
+
+    headers = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2010-02-01 00:00:00' + make_interval(0,0,0,0,h) AS validafter, true AS is_consensus,"
+        " 'X' AS dirsource, array('A', 'B') AS vote_sources FROM range(5) AS t(h)"
+        " UNION ALL SELECT TIMESTAMP_NTZ'2010-02-01 04:00:00', false, 'A', array()"
+    )
+    entries = headers.selectExpr("validafter", "is_consensus", "dirsource", "explode(array('d1', 'd2', 'd3')) AS descriptor")
+    servers = spark.sql("SELECT * FROM VALUES ('d1', 'x1'), ('d2', 'x2'), ('d9', NULL) AS t(descriptor, extrainfo)")
+    extras = spark.sql("SELECT 'x1' AS extrainfo")
+    report = completeness.archive_report(headers, entries, servers, extras).collect()
+    assert len(report) == 4
+    for r in report:
+        assert (r.found_servers, r.all_servers, r.servers_pct) == (2, 3, 66.7)
+        assert (r.found_extras, r.all_extras, r.extras_pct) == (1, 2, 50.0)
+    assert {(r.kind, r.validafter.hour, r.found_votes, r.all_votes) for r in report} == {
+        ("C", 4, 1, 2), ("C", 3, 0, 2), ("C", 2, 0, 2), ("V", 4, None, None),
+    }
+
+    time = "TIMESTAMP_NTZ'2010-02-01 00:00:00'"
+    seen = completeness.references_seen(
+        headers.where("is_consensus"),
+        spark.sql(f"SELECT {time} AS published, 'AB' AS relay, 'd1' AS descriptor UNION ALL SELECT {time}, 'AB', 'd2'"),
+        spark.sql(f"SELECT {time} AS published, 'ab' AS fingerprint, 'd1' AS descriptor, 'x1' AS extrainfo"),
+    )
+    have = completeness.documents_at_hand(
+        headers.where("is_consensus"),
+        headers.where("NOT is_consensus"),
+        spark.sql(f"SELECT {time} AS published, 'ab' AS fingerprint, 'd1' AS descriptor"),
+        spark.sql(f"SELECT {time} AS published, 'ab' AS fingerprint, 'x9' AS extrainfo"),
+    )
+    missing = lambda now: {
+        (r.type, r.relay, r.digest)
+        for r in completeness.missing_references(seen, have, now, "2010-02-01 04:00:00").collect()
+    }
+    assert missing("2010-02-02 00:00:00") == {("vote", "B", None), ("server", "ab", "d2"), ("extra", "ab", "x1")}
+    assert missing("2010-02-02 00:00:01") == {("vote", "B", None)}
