@@ -16,7 +16,7 @@ BLOCK = 1 << BLOCK_BITS
 UNKNOWN = "ZZ"
 # Country codes that do not name a country (fixed values of the database format).
 UNRESOLVED = ["--", "A1", "A2", "EU", "AP"]
-MAX_BROADCAST_PIECES = 2_000_000
+MAX_BROADCAST_PIECES = 500_000
 
 
 def ip_number(address):

@@ -402,7 +402,7 @@ LEFT JOIN r ON r.date = s.date LEFT JOIN b ON b.date = s.date""",
     "package_log": _with(
         "SELECT date, bundle, downloads FROM kept UNION ALL SELECT date, 'other', user_id FROM kept", _PACKAGES
     ),
-    "gettor_wide": _with(
+    "package_wide": _with(
         "SELECT CAST(date AS VARCHAR) AS date, " + ", ".join(
             f"coalesce(CAST(max(CASE WHEN bundle = '{b}' THEN downloads END) AS VARCHAR), 'NA') AS \"{b}\""
             for b in ("click", "error", "purchase", "signup", "view")
@@ -434,6 +434,17 @@ SELECT 'server', count(*) FROM customer UNION ALL SELECT 'extra', count(*) FROM
  CASE WHEN k % 3 = 1 THEN concat('KP', k % 8) END AS fingerprint,
  CASE WHEN k % 3 = 1 THEN '' ELSE concat('FP', k % 8, CASE WHEN k % 2 = 0 THEN concat(',GP', k % 8) ELSE '' END) END AS vote_sources
 FROM ({_K}) o"""
+    ),
+    "stale_consensus": _with(
+        f"SELECT k AS doc_id, {_VALID_AFTER} AS valid_after, {_VALID_AFTER} < TIMESTAMP '1996-12-31 18:00:00' AS is_stale FROM ({_K}) o"
+    ),
+    "references_seen": _with(
+        f"""SELECT 'vote' AS type, {_VALID_AFTER} AS published, concat('FP', k % 8) AS relay, CAST(NULL AS VARCHAR) AS digest
+ FROM ({_K}) o WHERE k % 3 <> 1
+UNION ALL SELECT 'vote', {_VALID_AFTER}, concat('GP', k % 8), NULL FROM ({_K}) o WHERE k % 3 <> 1 AND k % 2 = 0
+UNION ALL SELECT 'server', CAST(day AS TIMESTAMP) + to_hours(CAST(i AS INTEGER)), {_ID}, {_DESC} FROM entries
+UNION ALL SELECT 'extra', CAST({_PUBLISHED_TEXT} AS TIMESTAMP), sha1(concat('id', k)), sha1(concat('x', k)) FROM c
+ WHERE k % 10 <> 9 AND k % 4 <> 0""", _ENTRIES, _CUST
     ),
     "parse_status_entries": _with(_STATUS_ROWS, _ENTRIES),
     "flag_counts": _with(_FLAG_COUNTS, _ALL_ENTRIES),
@@ -536,6 +547,10 @@ LEFT JOIN v_have h ON r.doc_id = h.doc_id GROUP BY 1"""
     "missing_references": _with(
         """SELECT DISTINCT published, doc_id FROM v_refs WHERE published >= DATE '1998-01-01'
  AND doc_id NOT IN (SELECT doc_id FROM v_have)"""
+    ),
+    "missing_counts": _with(
+        """SELECT 'server' AS type, count(*) AS missing FROM (SELECT DISTINCT published, doc_id FROM v_refs
+ WHERE published >= DATE '1998-01-01' AND doc_id NOT IN (SELECT doc_id FROM v_have)) x"""
     ),
     "ip_country": _with(_IP_COUNTRY, _RANGES_BY_VERSION),
     "ip_country_shuffled": _with(_IP_COUNTRY, _RANGES_BY_VERSION),

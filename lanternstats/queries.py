@@ -85,7 +85,7 @@ def daily_spine(status, observations):
     )
 
 
-def gettor_wide(packages):
+def package_wide(packages):
     """Package requests with one column per bundle and ``NA`` for none."""
     return sinks.as_text(
         summaries.wide(packages, ["date"], "bundle", "downloads", ["click", "error", "purchase", "signup", "view"])
@@ -241,6 +241,18 @@ def dirreq_observations(docs):
     return descriptors.directory_requests(docs, keep=["doc_id"])
 
 
+def stale_consensus(docs):
+    return docs_ops.stale_consensus(docs, "1997-01-01 00:00:00")
+
+
+def references_seen(status_docs, server_docs):
+    """References from consensuses, from entries of all statuses, and from server descriptors."""
+    headers = statuses.status_headers(status_docs.select("doc_id", "text")).where("is_consensus")
+    entries = statuses.vote_entries(status_docs)
+    servers = descriptors.server_descriptors(server_docs)
+    return completeness.references_seen(headers, entries, servers)
+
+
 def _known_bridges(docs):
     return bridges.with_identity(docs)
 
@@ -404,6 +416,11 @@ def missing_references(refs, have):
     ).drop("type")
 
 
+def missing_counts(refs, have):
+    missing = missing_references(refs, have).withColumn("type", F.lit("server"))
+    return completeness.missing_counts(missing)
+
+
 def ip_country(ips, ranges):
     return ip_ranges.lookup_country(
         ip_ranges.choose_version(ips, ranges, "day"), ranges
@@ -519,7 +536,7 @@ QUERIES = {
     "timing_quartiles": _q(summaries.timing_quartiles, "v_timing"),
     "last_observation": _q(lambda t: summaries.last_observation(t, "source", "started"), "v_timing"),
     "package_log": package_log,
-    "gettor_wide": _q(gettor_wide, "v_packages"),
+    "package_wide": _q(package_wide, "v_packages"),
     # keyed tables
     "insert_if_absent": _q(insert_if_absent, "v_status"),
     "upsert_rows": _q(upsert_actions, "v_dirreq"),
@@ -533,6 +550,8 @@ QUERIES = {
     "document_digest": _d(document_digest, "cached_files"),
     "classify_documents": _d(classify_documents, "status_docs", "server_docs", "extra_docs", "bridge_status_docs"),
     "status_headers": _d(status_headers, "status_docs"),
+    "stale_consensus": _d(stale_consensus, "status_docs"),
+    "references_seen": _d(references_seen, "status_docs", "server_docs"),
     "parse_status_entries": _d(parse_status_entries, "status_docs"),
     "flag_counts": _d(flag_counts, "status_docs"),
     "identity_hash": _d(identity_hash, "status_docs"),
@@ -566,6 +585,7 @@ QUERIES = {
     "last_three_documents": _q(last_three_documents, "v_refs"),
     "vote_completeness": _q(vote_completeness, "v_refs", "v_have"),
     "missing_references": _q(missing_references, "v_refs", "v_have"),
+    "missing_counts": _q(missing_counts, "v_refs", "v_have"),
     "ip_country": _q(ip_country, "v_ips", "v_ip_ranges"),
     "ip_country_shuffled": _q(ip_country_shuffled, "v_ips", "v_ip_ranges"),
     "ip_country_gaps": _q(ip_country_gaps, "v_ips", "v_ip_ranges"),

@@ -14,6 +14,8 @@ def build_session(master=None, app_name="lanternstats", conf=None):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Whole files pass through Arrow when archives are unpacked.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
         # Recording the call site of every column costs more than building the plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

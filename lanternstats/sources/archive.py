@@ -47,12 +47,14 @@ def imported_names(files):
 
 
 def _unpack(batches):
+    import pandas as pd
+
+    # One file at a time: unpacked contents may be far larger than the batch.
     for batch in batches:
-        packed = batch["name"].str.endswith(".bz2")
-        batch["content"] = [
-            bz2.decompress(c) if p else c for c, p in zip(batch["content"], packed)
-        ]
-        yield batch
+        for path, name, modified, content in batch.itertuples(index=False):
+            yield pd.DataFrame(
+                {"path": [path], "name": [name], "modified": [modified], "content": [bz2.decompress(content)]}
+            )
 
 
 def scan_archive(spark, folder, history=None, modified_after=None):

@@ -9,6 +9,7 @@ from lanternstats.plans.summaries import wide
 
 NOT_AVAILABLE = "NA"
 EXPORT_NULL = "\\N"
+EXPORT_ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
 
 
 def append_facts(rows, path, table):
@@ -29,7 +30,10 @@ def as_text(df, null=NOT_AVAILABLE):
         elif isinstance(f.dataType, T.BooleanType) and null == EXPORT_NULL:
             text = F.when(F.col(f.name), "t").when(~F.col(f.name), "f")
         elif isinstance(f.dataType, T.BinaryType):
-            text = F.concat(F.lit("\\x"), F.lower(F.hex(f.name)))
+            text = F.concat(F.lit("\\\\x" if null == EXPORT_NULL else "\\x"), F.lower(F.hex(f.name)))
+        elif isinstance(f.dataType, T.StringType) and null == EXPORT_NULL:
+            for plain, escaped in EXPORT_ESCAPES:
+                text = F.replace(text, F.lit(plain), F.lit(escaped))
         columns.append(F.coalesce(text, F.lit(null)).alias(f.name))
     return df.select(*columns)
 
@@ -52,7 +56,7 @@ def write_wide_csv(rows, path, key, column, value, columns=None):
 
 
 def write_bulk_export(df, path):
-    """Tab-separated rows for bulk loading: ``t``/``f``, ``\\N`` for null, hex for bytes."""
+    """Tab-separated rows for bulk loading: ``t``/``f``, a mark for null, hex for bytes, escaped text."""
     as_text(df, EXPORT_NULL).write.mode("overwrite").option("sep", "\t").option(
         "quote", ""
     ).option("escape", "").option("emptyValue", "").csv(path)

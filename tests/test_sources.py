@@ -57,12 +57,12 @@ def test_bridge_snapshots(spark, tmp_path):
             info = tarfile.TarInfo("from/" + name)
             info.size = len(text)
             tar.addfile(info, io.BytesIO(text.encode()))
-    put(tmp_path, "from-tonga-2010-02-01T013000Z.tar.gz", gzip.compress(buffer.getvalue()))
+    put(tmp_path, "from-abcde-2010-02-01T013000Z.tar.gz", gzip.compress(buffer.getvalue()))
     rows = archive.scan_bridge_snapshots(spark, str(tmp_path)).collect()
     assert len(rows) == 4
     assert {r.snapshot for r in rows} == {datetime.datetime(2010, 2, 1, 1, 30)}
     assert sorted(bytes(r.content)[:8] for r in rows) == [b"@type x\n", b"extra-in", b"router a", b"router b"]
-    history = spark.createDataFrame([("from-tonga-2010-02-01T013000Z.tar.gz",)], "name string")
+    history = spark.createDataFrame([("from-abcde-2010-02-01T013000Z.tar.gz",)], "name string")
     assert archive.scan_bridge_snapshots(spark, str(tmp_path), history).count() == 0
 
 
@@ -136,10 +136,14 @@ def test_wide_csv_round_trip(spark, tmp_path):
 
 
 def test_bulk_export(spark, tmp_path):
-    frame = spark.sql("SELECT true AS a, CAST(NULL AS STRING) AS b, X'00ff' AS c, TIMESTAMP_NTZ'2010-02-01 00:00:00' AS d")
+    frame = spark.sql(
+        "SELECT true AS a, CAST(NULL AS STRING) AS b, X'00ff' AS c, TIMESTAMP_NTZ'2010-02-01 00:00:00' AS d,"
+        " concat('x', chr(9), 'y', chr(10), chr(92)) AS e"
+    )
     path = str(tmp_path / "out")
     sinks.write_bulk_export(frame, path)
-    assert spark.read.text(path).first().value == "t\t\\N\t\\x00ff\t2010-02-01 00:00:00"
+    rows = [r.value for r in spark.read.text(path).collect()]
+    assert rows == ["t\t\\N\t\\\\x00ff\t2010-02-01 00:00:00\tx\\ty\\n\\\\"]
 
 
 def test_archive_sink_stores_once(spark, tmp_path):

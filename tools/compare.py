@@ -1,6 +1,6 @@
 """Run registered queries against their SQL twins and report differences.
 
-    python tools/compare.py [sf] [name ...]
+    python tools/compare.py [sf or folder] [name ...]
 """
 
 import sys
@@ -33,7 +33,7 @@ def normal(frame):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     names = sys.argv[2:] or list(QUERIES)
-    folder = f"/root/testdata/sf{sf}"
+    folder = sf if sf.startswith("/") else f"/root/testdata/sf{sf}"
     spark = build_session(
         "local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
     )
