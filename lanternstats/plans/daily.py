@@ -6,7 +6,7 @@ before every join, so a hot relay, descriptor or date never reaches one task
 as raw rows.
 """
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lanternstats.functions.numbers import big, count_when, int_div, round_div, sum_when
 from lanternstats.functions.sizing import only_dates
@@ -237,30 +237,45 @@ def user_stats(status, bwhist, dirreq, updates=None):
     """Directory requests and byte sums by date and country.
 
     The byte sums do not depend on the country, so they are summed per date
-    first and joined to the requests afterwards.
+    and not per date and country.  Each fact table is read once: all three are
+    brought to one row per relay and date, with the few countries of a relay
+    packed in an array, joined on that key, and summed in one aggregation in
+    which the byte counts stand on rows without a country.
     """
-    relays = relay_attributes(status, updates)
     if updates is not None:
         # An interval reaches the date of its end and the date before.
         ends = updates.select(F.explode(F.array("date", F.date_add("date", 1))).alias("date"))
         dirreq = only_dates(dirreq, "statsend", ends)
+    key = ["fingerprint", "date"]
     requests = (
         dirreq_split(dirreq)
         .where("country IS NOT NULL")
-        .join(relays.where("ismirror").select("fingerprint", "date"), ["fingerprint", "date"], "left_semi")
-        .groupBy("date", "country")
-        .agg(F.sum("requests").alias("r"))
+        .groupBy(*key)
+        .agg(
+            F.collect_list(F.struct("country", "requests")).alias("_requests"),
+            F.bool_or(F.col("country") == ALL_COUNTRIES).alias("_asked"),
+        )
     )
-    history = (
-        history_by_relay(bwhist.withColumn("fingerprint", F.col("fingerprint").cast("string")), updates)
-        .join(relays.drop("ismirror"), ["fingerprint", "date"], "left")
-        .where("authority IS NULL")
-        .join(reporting_relays(dirreq, updates), ["fingerprint", "date"], "left")
+    history = history_by_relay(
+        bwhist.withColumn("fingerprint", F.col("fingerprint").cast("string")), updates
     )
-    always = F.lit(True)
-    asked = F.col("requests").isNotNull()
+    relays = history.join(requests, key, "full").join(relay_attributes(status, updates), key, "left")
+
+    nothing = F.struct(
+        F.lit(None).cast("string").alias("country"), F.lit(None).cast("bigint").alias("requests")
+    )
+    counted_requests = F.when(F.col("ismirror"), F.col("_requests"))
+    rows = relays.select(
+        *[c for c in relays.columns if c != "_requests"],
+        F.inline_outer(
+            F.concat(F.array(nothing), F.coalesce(counted_requests, F.array().cast("array<struct<country:string,requests:bigint>>")))
+        ),
+    )
+    is_relay = F.col("country").isNull() & F.col("authority").isNull()
+    asked = F.coalesce(F.col("_asked"), F.lit(False))
     counted = F.col("dirwritten").isNotNull()
     open_port = F.col("opendirport").isNotNull()
+    always = F.lit(True)
     measures = {
         "dw": (always, "dirwritten"), "dr": (always, "dirread"),
         "drw": (asked, "dirwritten"), "drr": (asked, "dirread"),
@@ -271,10 +286,15 @@ def user_stats(status, bwhist, dirreq, updates=None):
         "bwp": (open_port, "written"), "brp": (open_port, "read"),
         "bwn": (~open_port, "written"), "brn": (~open_port, "read"),
     }
-    sums = history.groupBy("date").agg(
-        *[sum_when(test, F.col(c)).cast("bigint").alias(n) for n, (test, c) in measures.items()]
+    sums = rows.groupBy("date", "country").agg(
+        F.sum("requests").alias("r"),
+        *[sum_when(is_relay & test, F.col(c)).cast("bigint").alias(n) for n, (test, c) in measures.items()],
     )
-    return requests.join(sums, "date", "left").select("date", "country", "r", *measures)
+    # One row per country and date is left; the row without a country carries the byte sums.
+    same_date = Window.partitionBy("date")
+    return sums.select(
+        "date", "country", "r", *[F.max(n).over(same_date).alias(n) for n in measures]
+    ).where("country IS NOT NULL")
 
 
 def tutorial_running_exit(status):
