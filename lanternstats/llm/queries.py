@@ -1,6 +1,6 @@
 """Registered queries of this folder; each applies its operator to the whole of its table."""
 
-from lanternstats.llm import decontaminate, mixing, quality_bands, secrets, token_counts
+from lanternstats.llm import decontaminate, language_id, mixing, quality_bands, secrets, token_counts, warc_zstd
 from lanternstats.llm.common import table
 
 
@@ -26,5 +26,28 @@ def op6_decontaminate(spark, folder):
     return found.drop("spans", "items")
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_compression_bands, op4_mix_sources, op5_token_counts, op6_decontaminate)}
-ORACLES = {"op4_mix_sources": mixing.ORACLE, "op6_decontaminate": decontaminate.ORACLE}
+def op8_language_id(spark, folder):
+    return language_id.language_id(table(spark, folder, "documents"))
+
+
+def op10_warc_zstd(spark, folder):
+    return warc_zstd.round_trip(table(spark, folder, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_secret_scan,
+        op3_compression_bands,
+        op4_mix_sources,
+        op5_token_counts,
+        op6_decontaminate,
+        op8_language_id,
+        op10_warc_zstd,
+    )
+}
+ORACLES = {
+    "op4_mix_sources": mixing.ORACLE,
+    "op6_decontaminate": decontaminate.ORACLE,
+    "op10_warc_zstd": warc_zstd.ORACLE,
+}
