@@ -1,9 +1,13 @@
 """Registered queries of this folder; each applies its operator to the whole of its table."""
 
-from lanternstats.llm import decontaminate, language_id, mixing, quality_bands, secrets, token_counts, warc_zstd
+from lanternstats.llm import decontaminate, language_id, lattice_lm, mixing, quality_bands, secrets, token_counts, toxicity, warc_zstd
 from lanternstats.llm.common import table
 
 
+def op1_lattice_lm(spark, folder):
+    return lattice_lm.score_documents(table(spark, folder, "documents"))
+
+
 def op2_secret_scan(spark, folder):
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -26,6 +30,10 @@ def op6_decontaminate(spark, folder):
     return found.drop("spans", "items")
 
 
+def op7_toxicity(spark, folder):
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_language_id(spark, folder):
     return language_id.language_id(table(spark, folder, "documents"))
 
@@ -37,11 +45,13 @@ def op10_warc_zstd(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_lattice_lm,
         op2_secret_scan,
         op3_compression_bands,
         op4_mix_sources,
         op5_token_counts,
         op6_decontaminate,
+        op7_toxicity,
         op8_language_id,
         op10_warc_zstd,
     )
