@@ -1,6 +1,6 @@
 """Registered queries of this folder; each applies its operator to the whole of its table."""
 
-from lanternstats.llm import decontaminate, language_id, lattice_lm, mixing, quality_bands, secrets, token_counts, toxicity, warc_zstd
+from lanternstats.llm import decontaminate, language_id, lattice_lm, mixing, near_duplicates, quality_bands, secrets, token_counts, toxicity, warc_zstd
 from lanternstats.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op8_language_id(spark, folder):
     return language_id.language_id(table(spark, folder, "documents"))
 
 
+def op9_near_duplicates(spark, folder):
+    docs = table(spark, folder, "documents")
+    return near_duplicates.near_duplicates(docs, words=3, similarity=(85, 100))
+
+
 def op10_warc_zstd(spark, folder):
     return warc_zstd.round_trip(table(spark, folder, "pages"))
 
@@ -53,6 +58,7 @@ QUERIES = {
         op6_decontaminate,
         op7_toxicity,
         op8_language_id,
+        op9_near_duplicates,
         op10_warc_zstd,
     )
 }
