@@ -25,94 +25,79 @@ def _half_up(numerator, denominator):
 _FLAGS = ("exit", "guard", "fast", "stable")
 
 
-def _network_size(where="", source="v_status"):
-    return f"""SELECT CAST(validafter AS DATE) AS date, {_i('count(*) // per_day.count')} AS avg_running,
- {', '.join(_i(_sum('is' + f) + ' // per_day.count') + f' AS avg_{f}' for f in _FLAGS)}
-FROM {source} JOIN per_day ON CAST(validafter AS DATE) = per_day.date WHERE isrunning {where}
-GROUP BY CAST(validafter AS DATE), per_day.count"""
+def _network_size(source="v_status"):
+    return f"""SELECT date, {_i('count(*) // any_value(count)')} AS avg_running,
+ {', '.join(_i(f'count(*) FILTER (is{f}) // any_value(count)') + f' AS avg_{f}' for f in _FLAGS)}
+FROM (SELECT *, CAST(validafter AS DATE) AS date FROM {source} WHERE isrunning) s JOIN per_day USING (date) GROUP BY date"""
 
 
-_DIRTY = """AND CAST(validafter AS DATE) >= (SELECT min(date) FROM v_updates)
- AND CAST(validafter AS DATE) <= (SELECT max(date) FROM v_updates)
- AND CAST(validafter AS DATE) IN (SELECT date FROM v_updates)"""
+_DIRTY_STATUS = "dirty_status AS (FROM v_status s SEMI JOIN v_updates u ON u.date = CAST(s.validafter AS DATE))"
 
 
-def _platforms(where=""):
-    like = {"linux": "%Linux%", "darwin": "%Darwin%", "bsd": "%BSD%", "windows": "%Windows%"}
-    cols = [
-        _i(_sum(f"platform LIKE '{p}'") + " // per_day.count") + f" AS avg_{n}" for n, p in like.items()
-    ]
-    other = " AND ".join(f"platform NOT LIKE '{p}'" for p in like.values())
-    cols.append(_i(_sum(other) + " // per_day.count") + " AS avg_other")
-    return f"""SELECT CAST(validafter AS DATE) AS date, {', '.join(cols)}
-FROM v_descriptor d RIGHT JOIN v_status s ON s.descriptor = d.descriptor
-JOIN per_day ON CAST(validafter AS DATE) = per_day.date WHERE isrunning {where}
-GROUP BY CAST(validafter AS DATE), per_day.count"""
+def _running(source, columns):
+    """Running entries of ``source`` with their descriptor's columns and the consensuses of their date."""
+    return f"""(SELECT CAST(s.validafter AS DATE) AS date, count, {columns} FROM {source} s
+ LEFT JOIN v_descriptor USING (descriptor) JOIN per_day ON per_day.date = CAST(s.validafter AS DATE) WHERE isrunning)"""
 
 
-def _bwhist_by_relay(where=""):
-    return f"""SELECT fingerprint, CAST(intervalend AS DATE) AS date, sum(read) AS read, sum(written) AS written,
+def _platforms(source="v_status"):
+    names = {"linux": "Linux", "darwin": "Darwin", "bsd": "BSD", "windows": "Windows"}
+    found = {n: f"contains(platform, '{w}')" for n, w in names.items()}
+    tests = found | {"other": f"NOT ({' OR '.join(found.values())})"}
+    cols = ", ".join(_i(f"count(*) FILTER ({t}) // any_value(count)") + f" AS avg_{n}" for n, t in tests.items())
+    return f"SELECT date, {cols} FROM {_running(source, 'platform')} r GROUP BY date"
+
+
+def _relay_day(dirty=False):
+    limit = "SEMI JOIN v_updates u ON u.date = CAST(h.intervalend AS DATE)" if dirty else ""
+    return f"""relay_day AS (SELECT fingerprint, CAST(intervalend AS DATE) AS date, sum(read) AS read, sum(written) AS written,
  sum(dirread) AS dirread, sum(dirwritten) AS dirwritten
-FROM (SELECT DISTINCT fingerprint, intervalend, read, written, dirread, dirwritten FROM v_bwhist {where}) x GROUP BY 1, 2"""
+FROM (SELECT DISTINCT fingerprint, intervalend, read, written, dirread, dirwritten FROM v_bwhist h {limit}) GROUP BY ALL)"""
+
 
+_TOTAL_BWHIST = f"""SELECT date, {_i('r')} AS read, {_i('w')} AS written, {_half_up('dr * (r + w)', '(1 + rw + rr)')} AS dirread,
+ {_half_up('dw * (r + w)', '(1 + rw + rr)')} AS dirwritten
+FROM (SELECT date, sum(read) AS r, sum(written) AS w, sum(dirread) AS dr, sum(dirwritten) AS dw,
+ sum(written) FILTER (dirwritten IS NOT NULL) AS rw, sum(read) FILTER (dirread IS NOT NULL) AS rr FROM relay_day GROUP BY date) t"""
 
-def _total_bwhist(where=""):
-    reporting = """(1 + sum(CASE WHEN dirwritten IS NULL THEN NULL ELSE written END)
-  + sum(CASE WHEN dirread IS NULL THEN NULL ELSE read END))"""
-    return f"""SELECT date, {_i('sum(read)')} AS read, {_i('sum(written)')} AS written,
- {_half_up('sum(dirread) * (sum(written) + sum(read))', reporting)} AS dirread,
- {_half_up('sum(dirwritten) * (sum(written) + sum(read))', reporting)} AS dirwritten
-FROM ({_bwhist_by_relay(where)}) byrelay GROUP BY date"""
 
+# Each observation once for the date it ends on (back = 0) and once for the date before, with its seconds there.
+_PARTS = """parts AS (SELECT lower(CAST(source AS VARCHAR)) AS fingerprint, CAST(CAST(statsend AS DATE) - back AS DATE) AS date, country,
+ requests, seconds, CASE back WHEN 0 THEN least(since, seconds) ELSE seconds - since END AS share
+FROM (SELECT *, unnest([0, 1]) AS back, epoch(statsend) - epoch(CAST(statsend AS DATE)) AS since FROM v_dirreq) o
+WHERE back = 0 OR since < seconds)"""
+_SPLIT = f"""SELECT fingerprint, date, country, {_i('sum(piece)')} AS requests
+FROM (SELECT DISTINCT fingerprint, date, country, floor(requests * share / seconds) AS piece FROM parts) p GROUP BY ALL"""
 
-_SINCE = "(epoch(statsend) - epoch(CAST(statsend AS DATE)))"
-_SPLIT = f"""SELECT fingerprint, date, country, {_i('sum(requests)')} AS requests FROM (
- SELECT lower(CAST(source AS VARCHAR)) AS fingerprint, CAST(statsend AS DATE) AS date, country,
-  floor(requests * (CASE WHEN {_SINCE} < seconds THEN {_SINCE} ELSE seconds END) / seconds) AS requests FROM v_dirreq
- UNION
- SELECT lower(CAST(source AS VARCHAR)), CAST(CAST(statsend AS DATE) - 1 AS DATE), country,
-  floor(requests * (seconds - {_SINCE}) / seconds) FROM v_dirreq WHERE seconds - {_SINCE} > 0) s GROUP BY 1, 2, 3"""
 
+def _reporting(dirty=False):
+    limit = "SEMI JOIN v_updates u ON u.date = p.date" if dirty else ""
+    return f"SELECT DISTINCT fingerprint, p.date AS date, CAST(1 AS BIGINT) AS requests FROM parts p {limit} WHERE country = 'zy'"
 
-def _reporting(dirty):
-    limit = lambda d: f"AND {d} IN (SELECT date FROM v_updates)" if dirty else ""
-    first = "CAST(statsend AS DATE)"
-    second = "CAST(CAST(statsend AS DATE) - 1 AS DATE)"
-    return f"""SELECT fingerprint, date, CAST(1 AS BIGINT) AS requests FROM (
- SELECT lower(CAST(source AS VARCHAR)) AS fingerprint, {first} AS date FROM v_dirreq WHERE country = 'zy' {limit(first)}
- UNION
- SELECT lower(CAST(source AS VARCHAR)), {second} FROM v_dirreq
- WHERE country = 'zy' AND seconds - {_SINCE} > 0 {limit(second)}) s GROUP BY 1, 2"""
+
+_MEASURES = {
+    "dw": ("true", "dirwritten"), "dr": ("true", "dirread"), "drw": ("asked", "dirwritten"), "drr": ("asked", "dirread"),
+    "bw": ("true", "written"), "br": ("true", "read"), "bwd": ("counts", "written"), "brd": ("counts", "read"),
+    "bwr": ("asked", "written"), "brr": ("asked", "read"), "bwdr": ("counts AND asked", "written"),
+    "brdr": ("counts AND asked", "read"), "bwp": ("open", "written"), "brp": ("open", "read"),
+    "bwn": ("NOT open", "written"), "brn": ("NOT open", "read"),
+}
+_USER_STATS = f"""SELECT date, country, r, {', '.join(f'b.{n}' for n in _MEASURES)} FROM
+ (SELECT date, country, {_i('sum(requests)')} AS r FROM split SEMI JOIN (FROM attributes WHERE mirror) m USING (fingerprint, date)
+  GROUP BY ALL) c LEFT JOIN (SELECT date, {', '.join(_i(f'sum({c}) FILTER ({t})') + f' AS {n}' for n, (t, c) in _MEASURES.items())}
+ FROM (SELECT h.*, h.dirwritten IS NOT NULL AS counts, q.requests IS NOT NULL AS asked, coalesce(a.open, false) AS open
+  FROM relay_day h LEFT JOIN attributes a ON a.fingerprint = CAST(h.fingerprint AS VARCHAR) AND a.date = h.date
+  LEFT JOIN reporting q ON q.fingerprint = CAST(h.fingerprint AS VARCHAR) AND q.date = h.date
+  WHERE NOT coalesce(a.authority, false)) d GROUP BY date) b USING (date)"""
 
 
 def _user_stats(dirty):
-    status = "WHERE CAST(validafter AS DATE) IN (SELECT date FROM v_updates)" if dirty else "WHERE true"
-    hist = "WHERE CAST(intervalend AS DATE) IN (SELECT date FROM v_updates)" if dirty else ""
-    no = "authority IS NOT NULL"
-    measures = {
-        "dw": (no, "dirwritten"), "dr": (no, "dirread"),
-        "drw": (f"requests IS NULL OR {no}", "dirwritten"), "drr": (f"requests IS NULL OR {no}", "dirread"),
-        "bw": (no, "written"), "br": (no, "read"),
-        "bwd": (f"dirwritten IS NULL OR {no}", "written"), "brd": (f"dirwritten IS NULL OR {no}", "read"),
-        "bwr": (f"requests IS NULL OR {no}", "written"), "brr": (f"requests IS NULL OR {no}", "read"),
-        "bwdr": (f"dirwritten IS NULL OR requests IS NULL OR {no}", "written"),
-        "brdr": (f"dirwritten IS NULL OR requests IS NULL OR {no}", "read"),
-        "bwp": (f"opendirport IS NULL OR {no}", "written"), "brp": (f"opendirport IS NULL OR {no}", "read"),
-        "bwn": (f"opendirport IS NOT NULL OR {no}", "written"), "brn": (f"opendirport IS NOT NULL OR {no}", "read"),
-    }
-    cols = ", ".join(
-        _i(f"sum(CASE WHEN {t} THEN NULL ELSE {c} END)") + f" AS {n}" for n, (t, c) in measures.items()
-    )
-    return f"""SELECT c.date AS date, c.country AS country, {_i('c.r')} AS r, {cols}
-FROM (SELECT d.date AS date, d.country AS country, sum(d.requests) AS r FROM ({_SPLIT}) d
- RIGHT JOIN (SELECT CAST(fingerprint AS VARCHAR) AS fingerprint, CAST(validafter AS DATE) AS date FROM v_status {status}
-  AND isauthority IS FALSE GROUP BY 1, 2) m ON d.fingerprint = m.fingerprint AND d.date = m.date GROUP BY 1, 2) c
-LEFT JOIN ({_bwhist_by_relay(hist)}) b ON c.date = b.date
-LEFT JOIN (SELECT fingerprint, CAST(validafter AS DATE) AS date, sum(CASE WHEN dirport > 0 THEN 1 END) AS opendirport,
-  sum(CASE WHEN isauthority THEN 1 END) AS authority FROM v_status {status} GROUP BY 1, 2) a
- ON b.fingerprint = a.fingerprint AND b.date = a.date
-LEFT JOIN ({_reporting(dirty)}) q ON CAST(b.fingerprint AS VARCHAR) = q.fingerprint AND b.date = q.date
-WHERE c.country IS NOT NULL GROUP BY 1, 2, c.r"""
+    source = "dirty_status" if dirty else "v_status"
+    attributes = f"""attributes AS (SELECT CAST(fingerprint AS VARCHAR) AS fingerprint, CAST(validafter AS DATE) AS date,
+ bool_or(dirport > 0) AS open, bool_or(isauthority) AS authority, bool_or(NOT isauthority) AS mirror FROM {source} GROUP BY ALL)"""
+    ctes = [_DIRTY_STATUS] if dirty else []
+    ctes += [attributes, _relay_day(dirty), _PARTS, f"split AS ({_SPLIT})", f"reporting AS ({_reporting(dirty)})"]
+    return _with(_USER_STATS, *ctes)
 
 
 _RELAY_COUNTS = f"""relay_counts AS (SELECT validafter, {', '.join(_sum(f'isrunning AND is{f}') + f' AS {f}' for f in ('exit', 'fast', 'guard', 'stable'))},
@@ -193,7 +178,7 @@ _STATUS_ROWS = f"""SELECT k AS doc_id, {_VALID_AFTER} AS validafter, concat('n',
  CAST({_VALID_AFTER} AS DATE) AS date FROM entries WHERE k % 3 <> 1"""
 
 # The signed text of a status document, rebuilt.
-_STATUS_SIGNED = f"""SELECT k AS doc_id, upper(sha1(concat('network-status-version 3', chr(10),
+_STATUS_SIGNED = f"""SELECT k AS doc_id, upper(sha1(replace(concat('network-status-version 3', chr(10),
  CASE WHEN k % 3 = 1 THEN concat('vote-status vote', chr(10)) ELSE '' END,
  'valid-after ', strftime(any_value(day), '%Y-%m-%d'), ' ', lpad(CAST(k % 24 AS VARCHAR), 2, '0'), ':00:00', chr(10),
  CASE WHEN k % 3 = 1 THEN concat('consensus-methods 1 10 ', k % 12, chr(10)) ELSE concat('consensus-method ', k % 12, chr(10)) END,
@@ -204,13 +189,14 @@ _STATUS_SIGNED = f"""SELECT k AS doc_id, upper(sha1(concat('network-status-versi
   CASE WHEN k % 2 = 0 THEN concat('vote-digest E', k, chr(10)) ELSE '' END)
   ELSE concat('fingerprint KP', k % 8, chr(10)) END,
  string_agg(CASE WHEN k % 13 = 0 AND i = 2 THEN concat('r broken x', chr(10), substr({_RAW}, strpos({_RAW}, chr(10)) + 1))
-  ELSE {_RAW} END, '' ORDER BY i), 'directory-signature '))) AS digest FROM all_entries GROUP BY k"""
+  ELSE {_RAW} END, '' ORDER BY i), 'directory-signature '), chr(10),
+ CASE WHEN k % 3 = 1 AND k % 5 = 2 THEN concat(chr(13), chr(10)) ELSE chr(10) END))) AS digest FROM all_entries GROUP BY k"""
 
-# Every s line counts, also those of the entries after a broken one.
 _ALL_ENTRIES = f"all_entries AS (SELECT k, day, i FROM ({_K}) o, unnest(generate_series(1, 1 + k % 4)) AS g(i))"
+# Counting ends at the broken line.
 _FLAG_COUNTS = f"""SELECT k AS doc_id, any_value({_VALID_AFTER}) AS validafter,
  {', '.join(_i(_sum('(' + _FLAG['Running'] + ') AND (' + _FLAG[f] + ')')) + ' AS ' + f.lower() for f in ('Exit', 'Fast', 'Guard', 'Stable'))},
- {_i(_sum(_FLAG['Running']))} AS running FROM all_entries WHERE k % 3 <> 1 GROUP BY k"""
+ {_i(_sum(_FLAG['Running']))} AS running FROM entries WHERE k % 3 <> 1 GROUP BY k"""
 
 _C = "SELECT c_custkey AS k FROM customer"
 _CUST = f"c AS ({_C})"
@@ -235,19 +221,19 @@ def _pick(type_):
 
 
 _BRIDGE_STAMP = "TIMESTAMP '2010-02-01 00:00:00' + to_days(CAST(k % 28 AS INTEGER))"
-_BRIDGE = "upper(sha1(unhex(sha1(concat('id', k % 500)))))"
+_BRIDGE = "upper(sha1(unhex(sha1(concat('id', k % m)))))"
 # Without a published line the first list already ends the document.
-_BRIDGE_LISTS = f"""b AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 6 <> 0),
+_BRIDGE_LISTS = f"""b AS (SELECT o_orderkey AS k, (SELECT max(c_custkey) FROM customer) AS m FROM orders WHERE o_orderkey % 6 <> 0),
  lists AS (
- SELECT k, 'geoip' AS kind, {_BRIDGE_STAMP} + to_hours(12) AS seen, unnest(['de', 'us']) AS country,
+ SELECT k, m, 'geoip' AS kind, {_BRIDGE_STAMP} + to_hours(12) AS seen, unnest(['de', 'us']) AS country,
   unnest([8 * (1 + k % 5) - 4, 4]) * 86400.0 / (3600 * (12 - k % 10)) AS users FROM b
  UNION ALL
- SELECT k, 'ips', {_BRIDGE_STAMP} + to_hours(13), unnest(['fr', 'de']), unnest([8 * (1 + k % 3) - 4, 12]) FROM b WHERE k % 4 = 0),
- bridge_rows AS (SELECT k, kind, seen, country, users FROM lists
- UNION ALL SELECT k, kind, seen, 'zy', sum(users) FROM lists GROUP BY 1, 2, 3)"""
+ SELECT k, m, 'ips', {_BRIDGE_STAMP} + to_hours(13), unnest(['fr', 'de']), unnest([8 * (1 + k % 3) - 4, 12]) FROM b WHERE k % 4 = 0),
+ bridge_rows AS (SELECT k, m, kind, seen, country, users FROM lists
+ UNION ALL SELECT k, m, kind, seen, 'zy', sum(users) FROM lists GROUP BY ALL)"""
 
-_BRIDGE_STATUS = """bs AS (SELECT k, i, (k + i) % 1500 AS m, sha1(unhex(sha1(concat('id', (k + i) % 1500)))) AS bridge
- FROM (SELECT o_orderkey AS k FROM orders) o, unnest(generate_series(1, 1 + k % 4)) AS g(i))"""
+_BRIDGE_STATUS = """bs AS (SELECT k, i, (k + i) % n AS m, sha1(unhex(sha1(concat('id', (k + i) % n)))) AS bridge
+ FROM (SELECT o_orderkey AS k, (SELECT max(c_custkey) FROM customer) AS n FROM orders) o, unnest(generate_series(1, 1 + k % 4)) AS g(i))"""
 
 # Scrubbed texts built from the keys alone.
 _HASHED = "sha1(unhex(sha1(concat('id', k))))"
@@ -300,6 +286,9 @@ _RANGES_BY_VERSION = """versions AS (SELECT DISTINCT version FROM v_ip_ranges),
 _IP_COUNTRY = """SELECT a.req_id, a.version, coalesce(r.country, 'ZZ') AS country FROM asked a LEFT JOIN v_ip_ranges r
  ON a.version = r.version AND a.ip BETWEEN r.from_ip AND r.to_ip"""
 
+_SEGMENTS = """borders AS (SELECT from_ip AS b FROM v_ip_ranges UNION SELECT to_ip + 1 FROM v_ip_ranges),
+ segments AS (SELECT b AS from_ip, lead(b) OVER (ORDER BY b) - 1 AS to_ip FROM borders)"""
+
 _COMPLETENESS = """SELECT published, {found_s} AS found_servers, {all_s} AS all_servers,
  CASE WHEN {all_s} > 0 THEN round(100.0 * {found_s} / {all_s}, 1) END AS servers_pct,
  {found_e} AS found_extras, {all_e} AS all_extras,
@@ -331,7 +320,7 @@ def _with_tail(text, *ctes):
 _STALE_SIZES = "SELECT date, avg_running + 1000 AS avg_running, " + ", ".join(
     f"avg_{f} + 1000 AS avg_{f}" for f in _FLAGS
 ) + f" FROM ({_network_size()}) z"
-_HALF_STATUS = "half AS (SELECT * FROM v_status WHERE day(validafter) % 2 = 0)"
+_HALF_STATUS = "half AS (SELECT * FROM dirty_status WHERE day(validafter) % 2 = 0)"
 
 ORACLES = {
     "relay_statuses_per_day": _with("SELECT * FROM per_day", _PER_DAY),
@@ -342,47 +331,44 @@ ORACLES = {
     ),
     "relay_platforms": _with(_platforms(), _PER_DAY),
     "relay_versions": _with(
-        f"""SELECT CAST(validafter AS DATE) AS date, substring(platform, 5, 5) AS version, {_i('count(*) // per_day.count')} AS relays
-FROM v_descriptor d RIGHT JOIN v_status s ON d.descriptor = s.descriptor JOIN per_day ON CAST(validafter AS DATE) = per_day.date
-WHERE isrunning AND platform IS NOT NULL GROUP BY 1, 2, per_day.count""", _PER_DAY,
+        f"""SELECT date, version, {_i('count(*) // any_value(count)')} AS relays
+FROM {_running('v_status', 'substring(platform, 5, 5) AS version')} r WHERE version IS NOT NULL GROUP BY ALL""", _PER_DAY,
     ),
     "total_bandwidth": _with(
-        "SELECT CAST(validafter AS DATE) AS date, " + ", ".join(
-            _half_up(f"sum({e})", "per_day.count") + f" AS {n}" for n, e in {
+        "SELECT date, " + ", ".join(
+            _half_up(f"sum({e})", "any_value(count)") + f" AS {n}" for n, e in {
                 "bwavg": "bandwidthavg", "bwburst": "bandwidthburst", "bwobserved": "bandwidthobserved",
                 "bwadvertised": "least(bandwidthavg, bandwidthobserved)",
             }.items()
-        ) + """ FROM v_descriptor d RIGHT JOIN v_status s ON d.descriptor = s.descriptor
-JOIN per_day ON CAST(validafter AS DATE) = per_day.date WHERE isrunning GROUP BY 1, per_day.count""", _PER_DAY,
+        ) + f" FROM {_running('v_status', 'bandwidthavg, bandwidthburst, bandwidthobserved')} r GROUP BY date", _PER_DAY,
     ),
-    "total_bwhist": _with(_total_bwhist()),
-    "dirreq_split": _with(_SPLIT),
+    "total_bwhist": _with(_TOTAL_BWHIST, _relay_day()),
+    "dirreq_split": _with(_SPLIT, _PARTS),
     "relay_attributes": _with(
         f"""SELECT CAST(fingerprint AS VARCHAR) AS fingerprint, CAST(validafter AS DATE) AS date,
  {_i('sum(CASE WHEN dirport > 0 THEN 1 END)')} AS opendirport, {_i('sum(CASE WHEN isauthority THEN 1 END)')} AS authority,
  bool_or(NOT isauthority) AS ismirror FROM v_status GROUP BY 1, 2"""
     ),
-    "reporting_relays": _with(_reporting(False)),
-    "user_stats": _with(_user_stats(False)),
+    "reporting_relays": _with(_reporting(), _PARTS),
+    "user_stats": _user_stats(False),
     "tutorial_running_exit": _with(
-        f"""SELECT CAST(validafter AS DATE) AS date, {_i('count(*) // per_day.count')} AS avg_running,
- {_i(_sum('isexit') + ' // per_day.count')} AS avg_exit FROM v_status, per_day
-WHERE CAST(validafter AS DATE) = per_day.date GROUP BY 1, per_day.count ORDER BY 1""", _PER_DAY,
+        f"""SELECT CAST(validafter AS DATE) AS date, {_i('sum(listed) // count(*)')} AS avg_running, {_i('sum(exits) // count(*)')} AS avg_exit
+FROM (SELECT validafter, count(*) AS listed, count(*) FILTER (isexit) AS exits FROM v_status GROUP BY validafter) c GROUP BY 1 ORDER BY 1"""
     ),
     "tutorial_versions": _with(
-        f"""SELECT CAST(validafter AS DATE) AS date, substring(platform, 5, 5) AS version, {_i('count(*) // per_day.count')} AS count
-FROM per_day JOIN v_status s ON per_day.date = CAST(validafter AS DATE) LEFT JOIN v_descriptor d ON s.descriptor = d.descriptor
-GROUP BY 1, 2, per_day.count ORDER BY 1, 2""", _PER_DAY,
-    ),
-    "network_size_dirty": _with(_network_size(_DIRTY), _PER_DAY),
-    "relay_platforms_dirty": _with(_platforms(_DIRTY), _PER_DAY),
-    "total_bwhist_dirty": _with(_total_bwhist("WHERE CAST(intervalend AS DATE) IN (SELECT date FROM v_updates)")),
-    "user_stats_dirty": _with(_user_stats(True)),
+        f"""SELECT date, version, {_i('count(*) // any_value(count)')} AS count
+FROM (SELECT CAST(validafter AS DATE) AS date, (SELECT max(substring(platform, 5, 5)) FROM v_descriptor d WHERE d.descriptor = s.descriptor) AS version
+ FROM v_status s) l JOIN per_day USING (date) GROUP BY date, version ORDER BY date, version NULLS LAST""", _PER_DAY,
+    ),
+    "network_size_dirty": _with(_network_size("dirty_status"), _PER_DAY, _DIRTY_STATUS),
+    "relay_platforms_dirty": _with(_platforms("dirty_status"), _PER_DAY, _DIRTY_STATUS),
+    "total_bwhist_dirty": _with(_TOTAL_BWHIST, _relay_day(True)),
+    "user_stats_dirty": _user_stats(True),
     "partial_refresh": _with_tail(
-        _REPLACED.format(stored=_STALE_SIZES, fresh=_network_size(_DIRTY)), _PER_DAY
+        _REPLACED.format(stored=_STALE_SIZES, fresh=_network_size("dirty_status")), _PER_DAY, _DIRTY_STATUS
     ),
     "refresh_vanished": _with_tail(
-        _REPLACED.format(stored=_network_size(), fresh=_network_size(_DIRTY, "half")), _PER_DAY, _HALF_STATUS
+        _REPLACED.format(stored=_network_size(), fresh=_network_size("half")), _PER_DAY, _DIRTY_STATUS, _HALF_STATUS
     ),
     "consensus_daily_avg": _with(_RELAY_AVG, _RELAY_COUNTS),
     "bridge_daily_avg": _with(_bridge_avg(24), _BRIDGE_COUNTS),
@@ -447,7 +433,7 @@ UNION ALL SELECT 'extra', CAST({_PUBLISHED_TEXT} AS TIMESTAMP), sha1(concat('id'
  WHERE k % 10 <> 9 AND k % 4 <> 0""", _ENTRIES, _CUST
     ),
     "parse_status_entries": _with(_STATUS_ROWS, _ENTRIES),
-    "flag_counts": _with(_FLAG_COUNTS, _ALL_ENTRIES),
+    "flag_counts": _with(_FLAG_COUNTS, _ENTRIES),
     "identity_hash": _with(f"SELECT DISTINCT upper(sha1(unhex({_ID}))) AS hashed_relay FROM entries WHERE k % 3 <> 1", _ENTRIES),
     "vote_digest": _with(_STATUS_SIGNED, _ALL_ENTRIES),
     "parse_server_descriptors": _with(
@@ -477,8 +463,8 @@ FROM intervals GROUP BY k, intervalend""", _EXTRA_KEYS, _HISTORY,
         f"SELECT k AS doc_id, {_BRIDGE} AS bridge, seen, kind, country, round(CAST(users AS DOUBLE), 2) AS users FROM bridge_rows", _BRIDGE_LISTS
     ),
     "bridge_unknown_only": _with(
-        f"""SELECT CAST(seen AS DATE) AS date, country, CAST(sum(users) AS DOUBLE) AS users FROM bridge_rows WHERE kind = 'ips'
- AND k % 500 NOT IN (SELECT hashed_relay FROM v_hashed_relays) GROUP BY 1, 2""", _BRIDGE_LISTS
+        """SELECT CAST(seen AS DATE) AS date, kind, country, round(sum(round(CAST(users AS DOUBLE), 2)), 2) AS users FROM bridge_rows
+WHERE k % m NOT IN (SELECT hashed_relay FROM v_hashed_relays) GROUP BY ALL""", _BRIDGE_LISTS
     ),
     "bridge_running": """SELECT k AS doc_id, count(CASE WHEN (k + i) % 3 = 0 THEN 1 END) AS running
 FROM (SELECT o_orderkey AS k FROM orders) o, unnest(generate_series(1, 1 + k % 4)) AS g(i) GROUP BY k""",
@@ -496,7 +482,7 @@ FROM ({_K}) o WHERE k % 3 = 1"""
     ),
     "missing_votes": _with(
         """SELECT DISTINCT concat('auth', CAST(s_suppkey % 8 AS VARCHAR)) AS dir FROM supplier
-WHERE concat('auth', CAST(s_suppkey % 8 AS VARCHAR)) NOT IN (SELECT dir FROM v_vote_flags)"""
+WHERE concat('auth', CAST(s_suppkey % 8 AS VARCHAR)) NOT IN (SELECT dir FROM v_vote_flags WHERE dir <> 'auth7')"""
     ),
     "vote_relay_counts": _with(
         f"SELECT k AS dir, count(*) AS total, {_i(_sum(_FLAG['Running']))} AS running FROM entries WHERE k % 3 = 1 GROUP BY k", _ENTRIES
@@ -555,8 +541,10 @@ LEFT JOIN v_have h ON r.doc_id = h.doc_id GROUP BY 1"""
     "ip_country": _with(_IP_COUNTRY, _RANGES_BY_VERSION),
     "ip_country_shuffled": _with(_IP_COUNTRY, _RANGES_BY_VERSION),
     "ip_country_gaps": _with(
-        """SELECT a.req_id, a.version, coalesce(r.country, 'ZZ') AS country FROM asked a ASOF LEFT JOIN v_ip_ranges r
- ON a.version = r.version AND a.ip >= r.from_ip""", _RANGES_BY_VERSION
+        """SELECT a.req_id, a.version, coalesce((SELECT max(r.country) FROM v_ip_ranges r WHERE r.version = a.version
+  AND s.from_ip BETWEEN r.from_ip AND r.to_ip), 'ZZ') AS country
+FROM asked a ASOF LEFT JOIN (FROM segments g SEMI JOIN v_ip_ranges r ON g.from_ip BETWEEN r.from_ip AND r.to_ip) s ON a.ip >= s.from_ip""",
+        _RANGES_BY_VERSION, _SEGMENTS
     ),
     "db_version_asof": _with(
         """SELECT req_id, version AS version_now, coalesce((SELECT max(version) FROM versions
@@ -568,8 +556,7 @@ FROM asked""", _RANGES_BY_VERSION
             f"coalesce(max(CASE WHEN r.version = '{v}' THEN r.country END), 'ZZ') AS v{v}"
             for v in ("20100101", "20100102", "20100103")
         ) + " FROM segments s JOIN v_ip_ranges r ON s.from_ip BETWEEN r.from_ip AND r.to_ip GROUP BY 1, 2",
-        """borders AS (SELECT from_ip AS b FROM v_ip_ranges UNION SELECT to_ip + 1 FROM v_ip_ranges),
- segments AS (SELECT b AS from_ip, lead(b) OVER (ORDER BY b) - 1 AS to_ip FROM borders)""",
+        _SEGMENTS,
     ),
     "statuses_to_rewrite": """SELECT DISTINCT date_trunc('hour', ts) AS validafter, event_id AS status FROM events e
 WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT TIMESTAMP '2024-01-01' + to_days(CAST(o_custkey % 20 * 3 AS INTEGER))
