@@ -1,42 +1,20 @@
-"""Broadcast only what has been counted.
+"""Facts limited to dates.
 
-Joins in this package carry no broadcast hint unless they go through
-``broadcast_if_small``.  Everything else is left to the optimizer, which
-broadcasts below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-shuffles, splitting skewed partitions at run time.
+Joins in this package carry no broadcast hint.  The optimizer broadcasts below
+``spark.sql.autoBroadcastJoinThreshold``, by the sizes it sees at run time, and
+otherwise shuffles, splitting skewed partitions.
 """
 
-import weakref
-
 from pyspark.sql import functions as F
 
 
-def fits(df, max_rows):
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than needed to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df, max_rows):
-    """``df`` with a broadcast hint if a count shows it is small, else unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-# A calendar of 100 years; dirty-date tables hold one row per date.
-MAX_DATES = 36_600
-_counted = weakref.WeakKeyDictionary()
-
-
 def date_list(updates):
-    """Distinct dates of ``updates``, broadcast if they are as few as dates should be.
+    """Distinct dates of ``updates``.
 
-    One table of dates limits several facts, so it is counted once.  Spark
-    prunes date-partitioned facts by a joined table only if that table is
+    Spark prunes date-partitioned facts by a joined table only if that table is
     filtered; the comparison, true for every date, is that filter.
     """
-    if updates not in _counted:
-        dates = updates.where(F.col("date") >= F.lit("0001-01-01").cast("date")).select("date").distinct()
-        _counted[updates] = broadcast_if_small(dates, MAX_DATES)
-    return _counted[updates]
+    return updates.where(F.col("date") >= F.lit("0001-01-01").cast("date")).select("date").distinct()
 
 
 def only_dates(facts, time_column, updates):

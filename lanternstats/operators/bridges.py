@@ -3,11 +3,9 @@
 from pyspark.sql import functions as F
 
 from lanternstats.functions import digests, text as tx
-from lanternstats.functions.sizing import broadcast_if_small
 from lanternstats.operators.descriptors import UNSAFE_ROUNDING, explode_countries
 
 SECONDS_PER_DAY = 86400.0
-MAX_BROADCAST_IDENTITIES = 500_000  # of 40 characters each
 # Platform prefix of bridges whose country statistics are broken (fixed value).
 BROKEN_PLATFORM = "Tor 0.2.2"
 
@@ -42,15 +40,13 @@ def with_identity(docs, sanitized=False):
     return tx.bind(read, bridge=bridge).drop("_name", "_fingerprint")
 
 
-def without_known_relays(docs, hashed_relays):
-    """Drop the documents of bridges that are also relays, before any line is read.
+def without_known_relays(rows, hashed_relays):
+    """Drop the rows of bridges that are also relays.
 
-    The identities are broadcast if a count shows that they fit, so that whole
-    documents need not be shuffled.
+    Use it on parsed rows: they are small, while documents would be shuffled whole.
     """
     known = hashed_relays.select(F.col("hashed_relay").alias("bridge")).distinct()
-    known = broadcast_if_small(known, MAX_BROADCAST_IDENTITIES)
-    return docs.join(known, "bridge", "left_anti")
+    return rows.join(known, "bridge", "left_anti")
 
 
 def _state(docs, keywords):
@@ -104,7 +100,7 @@ def bridge_users(docs, keep=()):
         ),
     ).otherwise(F.lit(1.0))
     scaled = timed.withColumn("_scale", scale).where("seen IS NOT NULL AND _scale IS NOT NULL")
-    users = lambda p: (tx.to_long(F.substring(p, 4, 20)) - UNSAFE_ROUNDING).cast("double") * F.col("_scale")
+    users = lambda p: (tx.to_long(F.substring(p, 4, 2147483647)) - UNSAFE_ROUNDING).cast("double") * F.col("_scale")
     lists = tx.bind(
         scaled,
         _obs=F.transform(

@@ -150,12 +150,12 @@ def _is_history(line):
 
 
 def _interval_length(line):
-    return tx.to_long(F.substring(tx.field(line, 3), 2, 20))
+    return tx.to_long(F.substring(tx.field(line, 3), 2, 2147483647))
 
 
 def _count(pair):
     """Number behind ``cc=`` less the rounding offset."""
-    return tx.to_int(F.substring(pair, 4, 20)) - UNSAFE_ROUNDING
+    return tx.to_int(F.substring(pair, 4, 2147483647)) - UNSAFE_ROUNDING
 
 
 def history_values(docs, keep=()):

@@ -8,15 +8,13 @@ large the input is, and there are at most 2**16 blocks.
 
 from pyspark.sql import Window, functions as F
 
-from lanternstats.functions.sizing import fits
 from lanternstats.functions.text import bind
 
 BLOCK_BITS = 16
 BLOCK = 1 << BLOCK_BITS
 UNKNOWN = "ZZ"
-# Country codes that do not name a country (fixed values of the database format).
-UNRESOLVED = ["--", "A1", "A2", "EU", "AP"]
-MAX_BROADCAST_PIECES = 500_000
+# Country codes that do not name a country (fixed values; lower case, so that upper-case codes pass).
+UNRESOLVED = ["--", "a1", "a2", "eu", "ap"]
 
 
 def ip_number(address):
@@ -46,7 +44,7 @@ def choose_version(lookups, ranges, day, days_earlier=0):
     return bind(dated, version=chosen).drop("_known", "_wanted")
 
 
-def _pieces(ranges, fill_gaps):
+def _pieces(ranges):
     """Ranges cut at block borders, disjoint within a version: the later start wins."""
     blocks = F.explode(F.sequence(F.shiftright("from_ip", BLOCK_BITS), F.shiftright("to_ip", BLOCK_BITS)))
     cut = ranges.select("version", "from_ip", "to_ip", "country", blocks.alias("block")).select(
@@ -57,10 +55,6 @@ def _pieces(ranges, fill_gaps):
         "country",
         F.col("from_ip").alias("_start"),
     )
-    if fill_gaps:
-        cut = _carried(ranges).unionByName(cut).withColumn(
-            "to_ip", F.col("block") * BLOCK + (BLOCK - 1)
-        )
     one_per_start = cut.groupBy("version", "block", "from_ip").agg(
         F.max_by(F.struct("to_ip", "country"), F.struct("_start", "to_ip")).alias("_p")
     ).select("version", "block", "from_ip", "_p.*")
@@ -70,59 +64,57 @@ def _pieces(ranges, fill_gaps):
     )
 
 
-def _carried(ranges):
-    """For every later block, the last range that started in an earlier one."""
-    last = ranges.groupBy("version", F.shiftright("from_ip", BLOCK_BITS).alias("block")).agg(
-        F.max_by("country", "from_ip").alias("country"), F.max("from_ip").alias("_start")
-    )
-    upto = Window.partitionBy("version").orderBy("block")
-    next_block = F.coalesce(F.lead("block").over(upto), F.lit(BLOCK - 1).cast("bigint"))
-    return (
-        last.withColumn("_until", next_block)
-        .where("_until > block")
-        .select(
-            "version",
-            F.explode(F.sequence(F.col("block") + 1, F.col("_until"))).alias("block"),
-            "country",
-            "_start",
-        )
-        .select(
-            "version", "block", (F.col("block") * BLOCK).alias("from_ip"),
-            F.lit(0).cast("bigint").alias("to_ip"), "country", "_start",
-        )
-    )
-
-
-def lookup_country(lookups, ranges, fill_gaps=False, max_broadcast=MAX_BROADCAST_PIECES):
+def lookup_country(lookups, ranges, fill_gaps=False, any_case=False):
     """Add ``country`` to rows with ``version`` and ``ip``; ``ZZ`` if no range holds the address.
 
-    ``fill_gaps`` gives addresses between ranges the country of the range
-    before them.  Few ranges are broadcast after counting them; otherwise each
-    distinct address is resolved once in its block and joined back.
+    Each distinct address is resolved once in its block and joined back.
+    ``fill_gaps`` is the old form, see ``_segment_before``.  Codes that name no
+    country give ``ZZ``: as they are written in ``UNRESOLVED``, or with
+    ``any_case`` in upper case too.
     """
-    pieces = _pieces(ranges, fill_gaps)
     keyed = lookups.withColumn("block", F.shiftright("ip", BLOCK_BITS))
-    if fits(ranges, max_broadcast // 2) and fits(pieces, max_broadcast):
-        p = F.broadcast(pieces).alias("p")
-        found = keyed.alias("l").join(
-            p,
-            (F.col("l.version") == F.col("p.version"))
-            & (F.col("l.block") == F.col("p.block"))
-            & F.col("l.ip").between(F.col("p.from_ip"), F.col("p.to_ip")),
-            "left",
-        ).select("l.*", "p.country")
+    asked = keyed.select("version", "block", "ip").distinct()
+    if fill_gaps:
+        segments = overlay_ranges(ranges)
+        found = _segment_before(asked, segments.select("from_ip").distinct()).join(
+            segments.select("from_ip", "version", "country"), ["from_ip", "version"]
+        ).select("version", "block", "ip", "country")
     else:
-        found = keyed.join(
-            _resolve(keyed.select("version", "block", "ip").distinct(), pieces),
-            ["version", "block", "ip"],
-            "left",
-        )
+        found = _resolve(asked, _pieces(ranges))
+    rows = keyed.join(found, ["version", "block", "ip"], "left")
     country = F.col("country")
-    return found.withColumn(
-        "country", F.when(country.isNull() | country.isin(UNRESOLVED), UNKNOWN).otherwise(country)
+    unresolved = (F.lower(country) if any_case else country).isin(UNRESOLVED)
+    return rows.withColumn(
+        "country", F.when(country.isNull() | unresolved, UNKNOWN).otherwise(country)
     ).drop("block")
 
 
+def _segment_before(asked, starts):
+    """Add ``from_ip``: the last segment of any version that starts at or before the address.
+
+    The old form cuts the ranges of all versions into segments and does not
+    look where one ends.  An address between segments belongs to the one before
+    it, which is ``ZZ`` in the versions that do not cover it.
+    """
+    marks = asked.select("version", "block", "ip", F.lit(None).cast("bigint").alias("_from")).unionByName(
+        starts.select(
+            F.lit(None).cast("string").alias("version"), F.shiftright("from_ip", BLOCK_BITS).alias("block"),
+            F.col("from_ip").alias("ip"), F.col("from_ip").alias("_from"),
+        )
+    )
+    before = Window.partitionBy("block").orderBy("ip", F.col("_from").isNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    inside = marks.withColumn("_last", F.max("_from").over(before)).where("_from IS NULL")
+    # The last start of each block, carried to later blocks: at most 2**16 rows.
+    last = marks.groupBy("block").agg(F.max("_from").alias("_top"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("block", F.max("_top").over(earlier).alias("_carried"))
+    return inside.join(carried, "block", "left").select(
+        "version", "block", "ip", F.coalesce("_last", "_carried").alias("from_ip")
+    )
+
+
 def _resolve(addresses, pieces):
     """Country of distinct addresses: the last piece at or before each in its block, if it reaches."""
     marks = pieces.select(
@@ -177,7 +169,7 @@ def overlay_ranges(ranges):
         "to_ip", F.col("from_ip").alias("ip"),
         F.shiftright("from_ip", BLOCK_BITS).alias("block"), F.explode(versions).alias("version"),
     )
-    covered = _resolve(asked.select("version", "block", "ip").distinct(), _pieces(ranges, False))
+    covered = _resolve(asked.select("version", "block", "ip").distinct(), _pieces(ranges))
     return (
         segments.join(
             covered.where("country IS NOT NULL").select(F.col("ip").alias("from_ip"), "version", "country"),
@@ -186,9 +178,10 @@ def overlay_ranges(ranges):
     )
 
 
-def overlay_table(ranges, versions):
+def overlay_table(ranges):
     """The overlay with one country column per version, ``ZZ`` where a version has none."""
-    wide = overlay_ranges(ranges).groupBy("from_ip", "to_ip").pivot("version", versions).agg(F.first("country"))
+    wide = overlay_ranges(ranges).groupBy("from_ip", "to_ip").pivot("version").agg(F.first("country"))
     return wide.select(
-        "from_ip", "to_ip", *[F.coalesce(F.col(v), F.lit(UNKNOWN)).alias(f"v{v}") for v in versions]
+        "from_ip", "to_ip",
+        *[F.coalesce(F.col(f"`{v}`"), F.lit(UNKNOWN)).alias(f"v{v}") for v in wide.columns[2:]],
     )

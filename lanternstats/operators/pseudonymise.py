@@ -56,14 +56,21 @@ def _known(lines):
     return lines.isNotNull() & ~F.exists(lines, lambda x: x.isNull())
 
 
+def _rest(line, start):
+    return F.substring(line, len(start) + 1, 2147483647)
+
+
+def _hashed(identity):
+    """Hashed identity; null, which drops the document, unless it has 40 hex digits."""
+    return F.when(F.length(identity) == 40, digests.sha1_of_hex(identity))
+
+
 def _server_line(line):
     parts = F.split(line, " ")
     port = lambda n: F.try_element_at(parts, F.lit(n + 1))
-    identity = F.regexp_replace(F.substring(line, len("opt fingerprint") + 1, 200), " ", "")
-    member = lambda s: F.when(
-        s.startswith("$"), F.concat(F.lit("$"), digests.sha1_of_hex(F.substring(s, 2, 200)))
-    ).otherwise("Unnamed")
-    family = F.transform(F.split(F.substring(line, 8, 2147483647), " "), member)
+    identity = F.regexp_replace(_rest(line, "opt fingerprint"), " ", "")
+    member = lambda s: F.when(s.startswith("$"), F.concat(F.lit("$"), _hashed(_rest(s, "$")))).otherwise("Unnamed")
+    family = F.transform(F.split(_rest(line, "family "), " "), member)
     return (
         F.when(
             line.startswith("router "),
@@ -72,7 +79,7 @@ def _server_line(line):
         .when(line.startswith("published "), line)
         .when(
             line.startswith("opt fingerprint "),
-            F.concat(F.lit("opt fingerprint "), _grouped(digests.sha1_of_hex(identity))),
+            F.concat(F.lit("opt fingerprint "), _grouped(_hashed(identity))),
         )
         .when(line.startswith("contact "), F.lit("contact somebody"))
         .when(line.startswith("opt extra-info-digest "), F.lit("opt extra-info-digest " + NO_REFERENCE))
@@ -108,9 +115,7 @@ def scrub_servers(docs, keep=()):
         .select(
             *keep,
             F.lower(
-                F.regexp_replace(
-                    F.substring(tx.last(tx.starting(F.col("_out"), "opt fingerprint ")), 17, 200), " ", ""
-                )
+                F.regexp_replace(tx.last_value(F.col("_out"), "opt fingerprint "), " ", "")
             ).alias("bridge"),
             tx.last_value(F.col("_out"), "published ").alias("published"),
             _joined(F.slice("_out", F.greatest(start, F.lit(1)), F.size("_out"))).alias("scrubbed"),

@@ -42,6 +42,15 @@ def _entry_blocks(text):
     return F.filter(F.split(body, "\n(?=r )"), lambda b: b.startswith("r "))
 
 
+def is_vote(text):
+    """Whether a status document is a vote, whatever its line ends."""
+    return F.substring_index(text, "\nr ", 1).rlike("(\\A|[\r\n])vote-status vote([\r\n]|\\z)")
+
+
+def _is_short(line):
+    return line.startswith("r ") & (F.size(F.split(line, " ")) < MIN_ENTRY_FIELDS)
+
+
 def _is_broken(block):
     """An entry whose ``r`` line cannot be read; it ends the document."""
     parts = F.split(F.substring_index(block, "\n", 1), " ")
@@ -61,7 +70,7 @@ def status_entries(docs, keep=()):
     ``docs`` has ``text``; ``keep`` names further columns to carry.  Votes
     give no rows.  Entries from the first broken ``r`` line on are dropped.
     """
-    consensus = docs.where(F.locate("\nvote-status vote\n", "text") == 0)
+    consensus = docs.where(~is_vote(F.col("text")))
     blocks = tx.bind(
         consensus,
         validafter=tx.timestamp(
@@ -138,14 +147,17 @@ def vote_entries(docs, keep=()):
 
 
 def flag_counts(docs, keep=()):
-    """Per consensus: running entries, and exit, fast, guard and stable among them."""
+    """Per consensus: running entries, and exit, fast, guard and stable among them.
+
+    Counting ends at the first ``r`` line with too few fields.
+    """
     running = tx.bind(
-        docs.where(F.locate("\nvote-status vote\n", "text") == 0),
+        docs.where(~is_vote(F.col("text"))),
         validafter=tx.timestamp(
             tx.last_value(tx.lines(F.substring_index("text", "\nr ", 1)), "valid-after ")
         ),
         _running=F.filter(
-            tx.lines(F.col("text")),
+            tx.before_first(tx.lines(F.col("text")), _is_short),
             lambda x: x.startswith("s ") & F.contains(x, F.lit(" Running")),
         ),
     )

@@ -313,7 +313,7 @@ def tutorial_running_exit(status):
 
 
 def tutorial_versions(status, descriptor):
-    """Listed relays per day and version, with a null version for unknown descriptors."""
+    """Listed relays per day and version; unknown descriptors have a null version, last in its day."""
     counted = (
         status.groupBy(F.to_date("validafter").alias("date"), "descriptor")
         .agg(F.count(F.lit(1)).alias("entries"))
@@ -324,4 +324,4 @@ def tutorial_versions(status, descriptor):
     )
     return counted.select(
         "date", "version", int_div(F.col("entries"), F.col("count")).alias("count")
-    ).orderBy("date", "version")
+    ).orderBy("date", F.asc_nulls_last("version"))

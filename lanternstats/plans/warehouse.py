@@ -159,10 +159,8 @@ def bridge_statistics(docs, hashed_relays, sanitized=False):
         F.col("snapshot").alias("validafter"), F.col("running").alias("brunning")
     )
     counts = keyed_tables.latest_value(counted, ["validafter"], "brunning", ["brunning"])
-    extras = bridges.without_known_relays(
-        bridges.with_identity(of("extra"), sanitized), hashed_relays
-    )
-    users = bridges.bridge_users(extras).groupBy("bridge", "date", "seen", "country").agg(
+    listed = bridges.bridge_users(bridges.with_identity(of("extra"), sanitized))
+    users = bridges.without_known_relays(listed, hashed_relays).groupBy("bridge", "date", "seen", "country").agg(
         F.max("users").alias("users")
     )
     broken = bridges.broken_versions(bridges.with_identity(of("server"), sanitized))

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from lanternstats.fixtures import documents, tables, view
 from lanternstats.functions import digests, text as tx
 from lanternstats.functions.numbers import count_when
-from lanternstats.functions.sizing import broadcast_if_small
 from lanternstats.operators import (
     bridges, completeness, descriptors, documents as docs_ops, health, intervals, ip_ranges,
     pseudonymise, statuses,
@@ -88,7 +87,7 @@ def daily_spine(status, observations):
 def package_wide(packages):
     """Package requests with one column per bundle and ``NA`` for none."""
     return sinks.as_text(
-        summaries.wide(packages, ["date"], "bundle", "downloads", ["click", "error", "purchase", "signup", "view"])
+        summaries.wide(packages, ["date"], "bundle", "downloads")
     )
 
 
@@ -111,8 +110,8 @@ def timing_log(spark, sf_dir):
         " user_id * 10, repeat(' 0', 14), ' ', CASE WHEN event_id % 7 = 0 THEN '0' ELSE CAST(1264982400 + event_id * 300 + event_id % 60 AS STRING) END,"
         " ' ', user_id * 1000, ' 0 ', CASE WHEN event_id % 5 = 0 THEN 51200 ELSE 51300 END,"
         " CASE WHEN event_id % 13 = 0 THEN ' extra' ELSE '' END) AS value,"
-        " concat(event_type, '.-50kb.data') AS name, 0 AS block, event_id AS line_no FROM events"
-    ).withColumn("name", F.regexp_replace("name", r"\.-", ".x-"))
+        " concat(event_type, '.x-50kb.data') AS name, 0 AS block, event_id AS line_no FROM events"
+    )
     return logs.timing_lines(lines)
 
 
@@ -269,9 +268,8 @@ def bridge_unknown_only(docs, relays):
         F.upper(F.sha1(F.unhex(F.sha1(F.concat(F.lit("id"), F.col("hashed_relay").cast("string")).cast("binary")))))
         .alias("hashed_relay")
     )
-    kept = bridges.without_known_relays(_known_bridges(docs), known)
-    users = bridges.bridge_users(kept, keep=["doc_id"]).where("kind = 'ips'")
-    return users.groupBy("date", "country").agg(F.sum("users").alias("users"))
+    users = bridges.without_known_relays(bridges.bridge_users(_known_bridges(docs)), known)
+    return users.groupBy("date", "kind", "country").agg(F.round(F.sum("users"), 2).alias("users"))
 
 
 def bridge_unknown_query(spark, sf_dir):
@@ -296,10 +294,8 @@ def _arrays(rows, *key):
 
 def _flag_inputs(votes, consensus, known):
     per_vote = _arrays(votes, "relay", "dir")
-    known_by_dir = broadcast_if_small(
-        _arrays(known, "dir").withColumnRenamed("flags", "known_flags"), 10_000
-    )
-    return per_vote.join(known_by_dir, "dir"), _arrays(consensus, "relay")
+    known_by_dir = _arrays(known, "dir").withColumnRenamed("flags", "known_flags")
+    return per_vote.join(known_by_dir, "dir", "left"), _arrays(consensus, "relay")
 
 
 def flag_matrix(votes, consensus, known):
@@ -311,13 +307,13 @@ def flag_overlap(votes, consensus, known):
 
 
 def _is_vote():
-    return F.contains(F.col("text"), F.lit("\nvote-status vote\n"))
+    return statuses.is_vote(F.col("text"))
 
 
 def missing_votes(spark, sf_dir):
     tables(spark, sf_dir, "supplier")
     expected = spark.sql("SELECT DISTINCT concat('auth', CAST(s_suppkey % 8 AS STRING)) AS dir FROM supplier")
-    return health.missing_votes(view(spark, sf_dir, "v_vote_flags"), expected)
+    return health.missing_votes(view(spark, sf_dir, "v_vote_flags").where("dir <> 'auth7'"), expected)
 
 
 def vote_relay_counts(docs):
@@ -428,9 +424,9 @@ def ip_country(ips, ranges):
 
 
 def ip_country_shuffled(ips, ranges):
-    """The same lookup for range tables too large to broadcast."""
+    """The same lookup with the codes of no country in any case."""
     return ip_ranges.lookup_country(
-        ip_ranges.choose_version(ips, ranges, "day"), ranges, max_broadcast=0
+        ip_ranges.choose_version(ips, ranges, "day"), ranges, any_case=True
     ).select("req_id", "version", "country")
 
 
@@ -449,7 +445,7 @@ def db_version_asof(ips, ranges):
 
 
 def ip_overlay(ranges):
-    return ip_ranges.overlay_table(ranges, ["20100101", "20100102", "20100103"])
+    return ip_ranges.overlay_table(ranges)
 
 
 def statuses_to_rewrite(spark, sf_dir):
@@ -488,7 +484,7 @@ def reference_mapping(servers, extras):
 
 def relink_statuses(statuses_, servers, extras):
     batch = pseudonymise.pseudonymise_batch(statuses_, servers, extras, ["doc_id"])
-    return batch["statuses"].withColumn("scrubbed", F.col("scrubbed"))
+    return batch["statuses"]
 
 
 def resanitized_statuses(statuses_, servers, extras):

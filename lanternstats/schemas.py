@@ -18,6 +18,7 @@ FLAG_COLUMNS = {
     "V3Dir": "isv3dir",
 }
 
+# Layouts of the fact tables (fixed values, in this order).
 STATUSENTRY = (
     "validafter timestamp_ntz, nickname string, fingerprint string, descriptor string,"
     " published timestamp_ntz, address string, orport int, dirport int, "
@@ -43,7 +44,7 @@ DIRREQ_STATS = (
 )
 UPDATES = ("date date")
 
-# Primary keys. They are the merge keys of ``plans.facts.insert_if_absent``.
+# Primary keys. They are the merge keys of ``plans.keyed_tables.insert_if_absent``.
 KEYS = {
     "statusentry": ["validafter", "fingerprint"],
     "descriptor": ["descriptor"],

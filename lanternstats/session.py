@@ -1,8 +1,5 @@
 """Session settings the jobs rely on."""
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -24,14 +21,3 @@ def build_session(master=None, app_name="lanternstats", conf=None):
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def use_checkpoint_dir(spark):
-    """Take the shared folder named by the cluster; fall back to a local one only if unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        spark.sparkContext.setCheckpointDir(folder)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(
-            tempfile.mkdtemp(prefix="lanternstats-", dir=os.environ.get("TMPDIR", "/tmp"))
-        )

@@ -2,16 +2,19 @@
 
 import bz2
 import io
+import re
+import sys
 import tarfile
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lanternstats.functions import text as tx
-from lanternstats.functions.sizing import broadcast_if_small
 from lanternstats.operators.documents import split_documents
 
 FILE_COLUMNS = "path string, name string, modified timestamp, content binary"
-MAX_BROADCAST_PATHS = 200_000
+#: Contents go to Spark in frames of about so many bytes.
+BATCH_BYTES = 8 << 20
 
 
 def list_files(spark, folder, modified_after=None):
@@ -30,15 +33,25 @@ def list_files(spark, folder, modified_after=None):
     )
 
 
-def not_imported(files, history):
-    """Files whose base name is not in the import history (column ``name``).
+def not_imported(files, history=None):
+    """Files to parse: of each base name the first path, and none whose name is in ``history``.
 
-    The history is compared with names only; the paths that remain are
-    broadcast if a count shows that they fit, so that file contents are not
-    shuffled.
+    Only names and paths are compared.  The paths that remain are opened anew,
+    so contents are never shuffled and old files never read; the driver's file
+    index holds all paths anyway.
     """
-    new = files.select("path", "name").join(history.select("name").distinct(), "name", "left_anti")
-    return files.join(broadcast_if_small(new.select("path"), MAX_BROADCAST_PATHS), "path", "left_semi")
+    first = files.groupBy("name").agg(F.min("path").alias("path"))
+    if history is not None:
+        first = first.join(history.select("name").distinct(), "name", "left_anti")
+    paths = [_escaped(r["path"]) for r in first.select("path").collect()]
+    if not paths:
+        return files.where(F.lit(False))
+    return list_files(files.sparkSession, paths)
+
+
+def _escaped(path):
+    """A path as a pattern that only it matches."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
 
 
 def imported_names(files):
@@ -46,32 +59,43 @@ def imported_names(files):
     return files.select("name").distinct()
 
 
-def _unpack(batches):
+def _batches(rows, columns):
+    """Rows as frames of at most ``BATCH_BYTES`` of content, or one larger row."""
     import pandas as pd
 
-    # One file at a time: unpacked contents may be far larger than the batch.
-    for batch in batches:
-        for path, name, modified, content in batch.itertuples(index=False):
-            yield pd.DataFrame(
-                {"path": [path], "name": [name], "modified": [modified], "content": [bz2.decompress(content)]}
-            )
+    held, size = [], 0
+    for row in rows:
+        if held and size + len(row[-1]) > BATCH_BYTES:
+            yield pd.DataFrame(held, columns=columns)
+            held, size = [], 0
+        held.append(row)
+        size += len(row[-1])
+    if held:
+        yield pd.DataFrame(held, columns=columns)
+
+
+def unpacked(files):
+    """Contents of ``.bz2`` files unpacked, other files as they are, ``.tar.bz2`` files left out."""
+    columns = ["path", "name", "modified", "content"]
+
+    def unpack(batches):
+        for batch in batches:
+            rows = batch.itertuples(index=False, name=None)
+            yield from _batches(((*row[:-1], bz2.decompress(row[-1])) for row in rows), columns)
+
+    files = files.where(~F.col("name").endswith(".tar.bz2")).select(*columns)
+    packed = F.col("name").endswith(".bz2")
+    return files.where(~packed).unionByName(files.where(packed).mapInPandas(unpack, FILE_COLUMNS))
 
 
 def scan_archive(spark, folder, history=None, modified_after=None):
-    """Documents of an archive tree.  ``.bz2`` files are unpacked, ``.tar.bz2`` files skipped.
+    """Documents of an archive tree, unpacked; of files with the same base name the first.
 
-    With a history, files of known names are dropped before they are unpacked.
-    Their bytes are still read; ``modified_after`` keeps old files from being
-    opened at all, and so does the checkpoint of ``streaming.file_stream``.
+    With a history, files of known names are not opened; ``modified_after``
+    keeps old files out of the listing, and so does the checkpoint of
+    ``streaming.file_stream``.
     """
-    files = list_files(spark, folder, modified_after).where(~F.col("name").endswith(".tar.bz2"))
-    if history is not None:
-        files = not_imported(files, history)
-    plain = files.where(~F.col("name").endswith(".bz2"))
-    packed = files.where(F.col("name").endswith(".bz2")).select("path", "name", "modified", "content")
-    return plain.select("path", "name", "modified", "content").unionByName(
-        packed.mapInPandas(_unpack, FILE_COLUMNS)
-    )
+    return unpacked(not_imported(list_files(spark, folder, modified_after), history))
 
 
 def scan_cached(spark, folder):
@@ -86,20 +110,25 @@ def scan_cached(spark, folder):
     )
 
 
-def _untar(batches):
-    import pandas as pd
-
-    for batch in batches:
-        for path, name, content in zip(batch["path"], batch["name"], batch["content"]):
-            if not content:
-                continue
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
-                for member in tar:
-                    data = tar.extractfile(member).read() if member.isfile() else b""
-                    if data:
-                        yield pd.DataFrame(
-                            {"path": [path], "name": [name], "entry": [member.name], "content": [data]}
-                        )
+def _untarred(files):
+    """Members of gzip tar files as ``path, name, entry, content``."""
+    def members(batches):
+        for batch in batches:
+            for path, name, content in zip(batch["path"], batch["name"], batch["content"]):
+                if not content:
+                    continue
+                with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
+                    for member in tar:
+                        data = tar.extractfile(member).read() if member.isfile() else b""
+                        if data:
+                            yield path, name, member.name, data
+
+    def untar(batches):
+        yield from _batches(members(batches), ["path", "name", "entry", "content"])
+
+    return files.select("path", "name", "content").mapInPandas(
+        untar, "path string, name string, entry string, content binary"
+    )
 
 
 def scan_bridge_snapshots(spark, folder, history=None):
@@ -108,12 +137,7 @@ def scan_bridge_snapshots(spark, folder, history=None):
     Lines starting with ``@`` before the first line are looked past to tell the
     kind of an entry.  Statuses stay whole, other entries are split.
     """
-    files = list_files(spark, folder)
-    if history is not None:
-        files = not_imported(files, history)
-    entries = files.select("path", "name", "content").mapInPandas(
-        _untar, "path string, name string, entry string, content binary"
-    )
+    entries = _untarred(not_imported(list_files(spark, folder), history))
     stamp = F.substring("name", 12, 17)
     entries = entries.withColumn(
         "snapshot",
@@ -147,3 +171,7 @@ def scan_sanitized_bridges(spark, folder, history=None):
         "snapshot",
         F.try_to_timestamp(stamp, F.lit("yyyyMMdd-HHmmss")).cast("timestamp_ntz"),
     )
+
+
+# The functions that run in Python workers are sent by value: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

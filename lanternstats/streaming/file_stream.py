@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lanternstats.plans import warehouse
+from lanternstats.sources.archive import unpacked
 
 BINARY_FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -15,7 +16,7 @@ def document_stream(spark, folder, files_per_batch=1000):
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
-        .select("path", F.substring_index("path", "/", -1).alias("name"), "content")
+        .select("path", F.substring_index("path", "/", -1).alias("name"), F.col("modificationTime").alias("modified"), "content")
     )
 
 
@@ -23,7 +24,7 @@ def load_batch(root):
     """A ``foreachBatch`` function: load the facts of new files and refresh the dates they touch."""
     def run(files, batch_id):
         spark = files.sparkSession
-        docs = warehouse.stage_documents(spark, root, files)
+        docs = warehouse.stage_documents(spark, root, unpacked(files))
         warehouse.load_facts(spark, root, batch_id, warehouse.relay_facts(docs))
         updates = warehouse.pending_updates(spark, root)
         fact = lambda name: warehouse.fact_table(spark, root, name)
