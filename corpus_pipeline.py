@@ -1,12 +1,80 @@
-"""The corpus pipeline: stages over ``documents``."""
+"""The corpus pipeline: language ID, near-duplicates, decontamination, secrets, mixing.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir) and returns what it keeps of ``docs``, with the columns of ``documents``;
+the last one returns each document as often as the mix takes it, numbered in a further column.
+"""
+
+from pyspark.sql import functions as F
+
+from lanternstats.llm import decontaminate as leaks
+from lanternstats.llm import language_id as languages
+from lanternstats.llm import mixing
+from lanternstats.llm import near_duplicates as duplicates
+from lanternstats.llm import secrets
+from lanternstats.llm.common import stored, table, workspace
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def keyed(docs):
+    """Rows with a key of id and text, which null and repeated ids do not share unless the texts are equal too."""
+    return docs.select(COLUMNS).withColumn("key", F.xxhash64("doc_id", "text"))
+
+
+def language_id(spark, docs, sf_dir):
+    """Documents in a language; those without a letter in them go."""
+    rows = keyed(docs)
+    labelled = docs.select("doc_id", "text", "lang")
+    found = languages.language_id(rows, id_col="key", fold=None, labelled=labelled, labelled_id_col="doc_id")
+    return rows.join(found.where("lang_pred = 'und'").select("key"), "key", "left_anti").select(COLUMNS)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each group: that with the smallest id."""
+    found = duplicates.near_duplicates(docs, words=5, similarity=(80, 100)).where("NOT kept")
+    return docs.select(COLUMNS).join(found.select("doc_id"), "doc_id", "left_anti").select(COLUMNS)
+
+
+def decontaminate(spark, docs, sf_dir):
+    """Documents without any window of the benchmark."""
+    return leaks.clean_documents(docs.select(COLUMNS), table(spark, sf_dir, "benchmark")).select(COLUMNS)
+
+
+def secret_scan(spark, docs, sf_dir):
+    """All documents, with every secret replaced by a mark."""
+    rows = keyed(docs)
+    found = secrets.scan(rows, id_col="key").where(F.size("spans") > 0).select("key", "spans").dropDuplicates(["key"])
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("spans")))
+    n_chars = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("new").cast("long"))
+    return (
+        rows.join(found, "key", "left")
+        .withColumn("new", text)
+        .withColumn("n_chars", n_chars)
+        .withColumn("text", F.col("new"))
+        .select(COLUMNS)
+    )
+
+
+def mix(spark, docs, sf_dir):
+    """Documents as often as the mix takes them."""
+    return mixing.emit(mixing.mix_plan(docs.select(COLUMNS))).select(*COLUMNS, "copy")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("secret_scan", secret_scan),
+    ("mix", mix),
+]
+
+#: Language ID, MinHash and the linking of secrets are not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """Rows that the stages leave."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """What the stages leave of ``documents``; each stage is written and read again."""
+    docs, folder = table(spark, sf_dir, "documents"), workspace(spark)
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), folder, name)
     return docs

@@ -167,7 +167,7 @@ def training_texts(df, id_col, text_col, lang_col, fold, docs=SAMPLE_DOCS, chars
     return texts
 
 
-def language_id(df, id_col="doc_id", text_col="text", lang_col="lang", fold=(3, 1), labelled=None):
+def language_id(df, id_col="doc_id", text_col="text", lang_col="lang", fold=(3, 1), labelled=None, labelled_id_col=None):
     """Fold, predicted language and score of each row of ``df``.
 
     Learns from ``labelled`` (``df`` itself if not given), rows of the fold left out.  ``und`` with score 0
@@ -175,7 +175,7 @@ def language_id(df, id_col="doc_id", text_col="text", lang_col="lang", fold=(3,
     is judged alone; null ids are in no fold and are not learnt from; repeated rows are returned as often.
     Ties go to the language that is first by name.  Extra columns are left out.
     """
-    model = learn(training_texts(labelled if labelled is not None else df, id_col, text_col, lang_col, fold))
+    model = learn(training_texts(labelled if labelled is not None else df, labelled_id_col or id_col, text_col, lang_col, fold))
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
