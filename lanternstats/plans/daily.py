@@ -65,8 +65,19 @@ def network_size_hour(status, updates=None):
     )
 
 
+_DESCRIBED = ("platform", "bandwidthavg", "bandwidthburst", "bandwidthobserved")
+
+
+def running_descriptors(status, descriptor, updates=None):
+    """Running entries counted by date and descriptor, with what the daily tables take from it."""
+    return _running_descriptors(status, descriptor.select("descriptor", *_DESCRIBED), updates)
+
+
 def _running_descriptors(status, descriptor, updates):
-    """Running entries counted by date and descriptor, with the descriptor's columns if known."""
+    """Running entries counted by date and descriptor, with the descriptor's columns if known.
+
+    Entries are counted before they are joined.
+    """
     counted = (
         _limited(status, "validafter", updates)
         .where("isrunning")
@@ -80,8 +91,13 @@ def _days(status, per_day, updates):
     return relay_statuses_per_day(status, updates) if per_day is None else per_day
 
 
-def relay_platforms(status, descriptor, per_day=None, updates=None):
-    """Average running relays per date by operating system; unknown platforms count in none."""
+def relay_platforms(status, descriptor, per_day=None, updates=None, running=None):
+    """Average running relays per date by operating system; unknown platforms count in none.
+
+    ``running``, the output of ``running_descriptors``, spares the join.
+    """
+    if running is None:
+        running = _running_descriptors(status, descriptor.select("descriptor", "platform"), updates)
     platform = F.col("platform")
     systems = {"linux": "%Linux%", "darwin": "%Darwin%", "bsd": "%BSD%", "windows": "%Windows%"}
     other = ~(
@@ -90,20 +106,20 @@ def relay_platforms(status, descriptor, per_day=None, updates=None):
     )
     tests = {name: platform.like(pattern) for name, pattern in systems.items()} | {"other": other}
     days = (
-        _running_descriptors(status, descriptor.select("descriptor", "platform"), updates)
-        .groupBy("date")
+        running.groupBy("date")
         .agg(*[F.sum(F.when(t, F.col("entries")).otherwise(0)).alias(n) for n, t in tests.items()])
         .join(_days(status, per_day, updates), "date")
     )
     return days.select("date", *[int_div(F.col(n), F.col("count")).alias(f"avg_{n}") for n in tests])
 
 
-def relay_versions(status, descriptor, per_day=None, updates=None):
+def relay_versions(status, descriptor, per_day=None, updates=None, running=None):
     """Average running relays per date and software version."""
-    known = descriptor.select("descriptor", "platform").where("platform IS NOT NULL")
+    if running is None:
+        known = descriptor.select("descriptor", "platform").where("platform IS NOT NULL")
+        running = _running_descriptors(status, known, updates)
     counted = (
-        _running_descriptors(status, known, updates)
-        .where("platform IS NOT NULL")
+        running.where("platform IS NOT NULL")
         .groupBy("date", F.substring("platform", 5, 5).alias("version"))
         .agg(F.sum("entries").alias("entries"))
         .join(_days(status, per_day, updates), "date")
@@ -111,10 +127,12 @@ def relay_versions(status, descriptor, per_day=None, updates=None):
     return counted.select("date", "version", int_div(F.col("entries"), F.col("count")).alias("relays"))
 
 
-def total_bandwidth(status, descriptor, per_day=None, updates=None):
+def total_bandwidth(status, descriptor, per_day=None, updates=None, running=None):
     """Average total bandwidth per date; null where no descriptor of the date is known."""
     columns = ("bandwidthavg", "bandwidthburst", "bandwidthobserved")
-    joined = _running_descriptors(status, descriptor.select("descriptor", *columns), updates)
+    joined = running
+    if running is None:
+        joined = _running_descriptors(status, descriptor.select("descriptor", *columns), updates)
     measures = {
         "bwavg": F.col("bandwidthavg"),
         "bwburst": F.col("bandwidthburst"),

@@ -10,18 +10,20 @@ def insert_if_absent(new, stored, key, absent_key=None, order=None):
 
     ``absent_key`` is the part of the key looked up in the stored table, for
     tables where a whole document is loaded or skipped.  ``order`` names the
-    columns telling which of several new rows came first; without it the
-    smallest row is taken, so that a rerun gives the same table.
+    columns telling which of several new rows came first; among equals, and
+    without it, a hash of the row decides, so that a rerun gives the same table.
+    Keys are looked up before the rows are grouped, so that known documents go
+    no further.
     """
     values = [c for c in new.columns if c not in key]
-    first = new.groupBy(*key).agg(
-        F.min_by(F.struct(*values), F.struct(*(order or []), *values)).alias("_row")
-    ) if values else new.select(*key).distinct()
-    rows = first.select(*key, "_row.*") if values else first
-    if stored is None:
-        return rows.select(*new.columns)
-    known = stored.select(*(absent_key or key)).distinct()
-    return rows.join(known, absent_key or key, "left_anti").select(*new.columns)
+    rows = new
+    if stored is not None:
+        rows = rows.join(stored.select(*(absent_key or key)).distinct(), absent_key or key, "left_anti")
+    if not values:
+        return rows.select(*key).distinct().select(*new.columns)
+    rank = F.struct(*(order or []), F.xxhash64(*values))
+    first = rows.groupBy(*key).agg(F.min_by(F.struct(*values), rank).alias("_row"))
+    return first.select(*key, "_row.*").select(*new.columns)
 
 
 def upsert(new, stored, key, values):

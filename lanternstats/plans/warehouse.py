@@ -94,13 +94,7 @@ def load_facts(spark, root, batch, facts):
             latest = rows.groupBy(*key).agg(F.max_by("requests", F.struct("path", "requests")).alias("requests"))
             upsert_table(spark, root, name, latest, key, schemas.EVENT_TIME[name])
             continue
-        new = keyed_tables.insert_if_absent(
-            rows, fact_table(spark, root, name), schemas.KEYS[name],
-            absent_key=["extrainfo"] if name == "bwhist" else None, order=["path"],
-        ).drop("path")
-        staging = f"{root}/staging/{name}"
-        new.write.mode("overwrite").parquet(staging)
-        staged[name] = spark.read.schema(new.schema).parquet(staging)
+        staged[name] = new_facts(spark, root, name, rows)
     touched = keyed_tables.dirty_dates(
         staged.get("statusentry"), staged.get("descriptor"), staged.get("bwhist")
     )
@@ -111,6 +105,30 @@ def load_facts(spark, root, batch, facts):
         append_facts(rows, f"{root}/facts/{name}", name)
 
 
+def new_facts(spark, root, name, rows):
+    """The rows of a batch that a fact table lacks, staged.
+
+    The date of a row follows from its key, and all rows of an extra-info lie
+    on its own dates.  So only the batch's dates, of which there is one per
+    calendar day at most, are read of the stored table.
+    """
+    parsed, staging = f"{root}/staging/parsed-{name}", f"{root}/staging/{name}"
+    rows.write.mode("overwrite").parquet(parsed)
+    rows = spark.read.schema(rows.schema).parquet(parsed)
+    date = F.to_date(schemas.EVENT_TIME[name])
+    dates = [r[0] for r in rows.select(date.alias("date")).distinct().collect()]
+    stored = fact_table(spark, root, name)
+    known = F.col("date").isin([d for d in dates if d is not None])
+    if None in dates:
+        known = known | F.col("date").isNull()
+    new = keyed_tables.insert_if_absent(
+        rows, stored.where(known), schemas.KEYS[name],
+        absent_key=["extrainfo"] if name == "bwhist" else None, order=["path"],
+    ).drop("path")
+    new.write.mode("overwrite").parquet(staging)
+    return spark.read.schema(new.schema).parquet(staging)
+
+
 def upsert_table(spark, root, name, rows, key, time):
     """Merge rows into a keyed table that is stored by date; only their dates are rewritten.
 
@@ -181,18 +199,19 @@ def pending_updates(spark, root):
     return updates.select("date").distinct()
 
 
-def aggregates(status, descriptor, bwhist, dirreq=None, updates=None, per_day=None):
+def aggregates(status, descriptor, bwhist, dirreq=None, updates=None, per_day=None, running=None):
     """The daily tables of the given dates.
 
-    User statistics need ``dirreq``.  A stored ``per_day`` table spares three
-    of the tables their own pass over the consensus times.
+    User statistics need ``dirreq``.  Stored tables ``per_day`` and ``running``
+    (``daily.running_descriptors``) spare three of the tables their own pass
+    over entries and descriptors.
     """
     tables = {
         "network_size": daily.network_size(status, updates=updates),
         "network_size_hour": daily.network_size_hour(status, updates),
-        "relay_platforms": daily.relay_platforms(status, descriptor, per_day, updates),
-        "relay_versions": daily.relay_versions(status, descriptor, per_day, updates),
-        "total_bandwidth": daily.total_bandwidth(status, descriptor, per_day, updates),
+        "relay_platforms": daily.relay_platforms(status, descriptor, per_day, updates, running),
+        "relay_versions": daily.relay_versions(status, descriptor, per_day, updates, running),
+        "total_bandwidth": daily.total_bandwidth(status, descriptor, per_day, updates, running),
         "total_bwhist": daily.total_bwhist(bwhist, updates),
     }
     if dirreq is not None:
@@ -206,46 +225,57 @@ def latest_batch(spark, root):
     return None if commits is None else commits.agg(F.max("batch")).first()[0]
 
 
-def write_table(spark, root, batch, name, rows, updates):
-    """Write a daily table whole into the folder of a batch; return it as stored.
-
-    Other dates come from the last committed batch, dirty dates from ``rows``.
-    The tables hold a few rows per date, so rewriting them is cheap.
-    """
-    previous = latest_batch(spark, root)
-    old = None if previous is None else stored_table(spark, f"{root}/batch={previous}/{name}")
-    merged = rows if old is None else keyed_tables.replace_dates(
-        old, rows, updates, F.to_date(AGGREGATES[name])
-    )
-    path = f"{root}/batch={batch}/{name}"
-    merged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def write_table(spark, root, batch, name, rows):
+    """Write the rows of a batch's dirty dates into a folder of their own; return them as stored."""
+    path = f"{root}/aggregates/{name}/batch={batch}"
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
-def commit(spark, root, batch):
-    """Make the tables of a batch the current ones, all at once."""
-    spark.range(1).select(F.lit(batch).cast("bigint").alias("batch")).write.mode("append").parquet(
-        f"{root}/commits"
-    )
+def commit(spark, root, batch, updates):
+    """Make the batch the current one for its dirty dates, in all tables at once."""
+    updates.select("date").distinct().select(F.lit(batch).cast("bigint").alias("batch"), "date").write.mode(
+        "append"
+    ).parquet(f"{root}/commits")
 
 
 def refresh(spark, root, batch, status, descriptor, bwhist, dirreq, updates):
     """Recompute the daily tables of the dirty dates and commit them together.
 
-    Readers follow the commit table, so a batch that fails is never seen and
-    can be run again.  The number of consensuses per date is stored first,
-    because other tables divide by it.
+    Only dirty dates are written.  Readers follow the commit table, so a batch
+    that fails is never seen and can be run again.  The number of consensuses
+    per date, by which other tables divide, and the running entries per date
+    and descriptor, of which three are made, are stored first.
     """
     per_day = write_table(
-        spark, root, batch, "relay_statuses_per_day",
-        daily.relay_statuses_per_day(status, updates), updates,
+        spark, root, batch, "relay_statuses_per_day", daily.relay_statuses_per_day(status, updates)
     )
-    tables = aggregates(status, descriptor, bwhist, dirreq, updates, per_day)
+    running = daily.running_descriptors(status, descriptor, updates)
+    staging = f"{root}/staging/running"
+    running.write.mode("overwrite").parquet(staging)
+    running = spark.read.schema(running.schema).parquet(staging)
+    tables = aggregates(status, descriptor, bwhist, dirreq, updates, per_day, running)
     for name, rows in tables.items():
-        write_table(spark, root, batch, name, rows, updates)
-    commit(spark, root, batch)
+        write_table(spark, root, batch, name, rows)
+    commit(spark, root, batch, updates)
 
 
 def read_aggregate(spark, root, name):
-    """A daily table as of the last committed batch."""
-    return spark.read.parquet(f"{root}/batch={latest_batch(spark, root)}/{name}")
+    """A daily table: of every date the rows of the last batch that was committed for it."""
+    current = spark.read.parquet(f"{root}/commits").groupBy("date").agg(F.max("batch").alias("batch"))
+    rows = spark.read.parquet(f"{root}/aggregates/{name}").withColumn("batch", F.col("batch").cast("bigint"))
+    columns = [c for c in rows.columns if c != "batch"]
+    dated = rows.withColumn("_date", F.to_date(AGGREGATES[name]))
+    return dated.join(current.withColumnRenamed("date", "_date"), ["batch", "_date"], "left_semi").select(columns)
+
+
+def drop_superseded(spark, root, batch):
+    """Gather the current rows of all tables under one new batch number and commit it for every date.
+
+    Run it now and then, not beside a refresh; the folders of earlier batches
+    are no longer read then and can be removed.
+    """
+    dates = spark.read.parquet(f"{root}/commits").select("date").distinct()
+    for name in AGGREGATES:
+        write_table(spark, root, batch, name, read_aggregate(spark, root, name))
+    commit(spark, root, batch, dates)

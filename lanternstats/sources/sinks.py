@@ -13,8 +13,13 @@ EXPORT_ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
 
 
 def append_facts(rows, path, table):
-    """Append new facts, one folder per date."""
-    with_date(rows, schemas.EVENT_TIME[table]).write.mode("append").partitionBy("date").parquet(path)
+    """Append new facts, one folder per date.
+
+    Rows are dealt out by date first, large dates over several tasks, so that
+    not every task writes a file into every folder.
+    """
+    dated = with_date(rows, schemas.EVENT_TIME[table]).hint("rebalance", "date")
+    dated.write.mode("append").partitionBy("date").parquet(path)
 
 
 def as_text(df, null=NOT_AVAILABLE):
@@ -81,4 +86,4 @@ def store_documents(rows, stored, path):
     ).select("type", "digest", "_row.*")
     if stored is not None:
         new = new.join(stored.select("type", "digest").distinct(), ["type", "digest"], "left_anti")
-    new.write.mode("append").partitionBy("type", "year", "month").parquet(path)
+    new.hint("rebalance", "type", "year", "month").write.mode("append").partitionBy("type", "year", "month").parquet(path)

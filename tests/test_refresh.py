@@ -1,8 +1,10 @@
 """Incremental work gives the same tables as work on everything."""
 
 import datetime
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lanternstats.fixtures import view
 from lanternstats.plans import daily, keyed_tables, warehouse
@@ -40,11 +42,12 @@ def test_refresh_in_slices_equals_refresh_of_all(spark, facts, tmp_path):
 def test_uncommitted_batch_is_not_read(spark, facts, tmp_path):
     root = str(tmp_path)
     sizes = daily.network_size(facts["v_status"])
-    updates = sizes.select("date")
-    warehouse.write_table(spark, root, 0, "network_size", sizes, updates)
-    warehouse.commit(spark, root, 0)
-    warehouse.write_table(spark, root, 1, "network_size", sizes.limit(1), updates)
+    warehouse.write_table(spark, root, 0, "network_size", sizes)
+    warehouse.commit(spark, root, 0, sizes)
+    warehouse.write_table(spark, root, 1, "network_size", sizes.limit(1))
     assert warehouse.read_aggregate(spark, root, "network_size").count() == sizes.count()
+    warehouse.commit(spark, root, 1, sizes.limit(2))
+    assert warehouse.read_aggregate(spark, root, "network_size").count() == sizes.count() - 1
 
 
 def test_facts_physically_partitioned_by_date(spark, facts, tmp_path):
@@ -67,6 +70,27 @@ def test_insert_twice_equals_once(spark, facts):
     assert keyed_tables.insert_if_absent(status, once, key).count() == 0
 
 
+def test_only_dates_of_the_batch_are_looked_up(spark, tmp_path):
+    """The stored side of a load is pruned to the batch's dates, and documents known are not loaded again."""
+    root = str(tmp_path)
+
+    def files(*days):
+        texts = [HEAD.format(time=f"2010-02-0{d} 00:00:00") + ENTRY.format(n="a") + ENTRY.format(n="b") for d in days]
+        return spark.createDataFrame([(f"p{d}", bytearray(t.encode())) for d, t in zip(days, texts)], "path string, content binary")
+
+    load = lambda batch, *days: warehouse.load_facts(
+        spark, root, batch, warehouse.relay_facts(warehouse.stage_documents(spark, root, files(*days)))
+    )
+    load(0, 1, 2, 3)
+    load(1, 2, 4)
+    assert warehouse.fact_table(spark, root, "statusentry").count() == 8
+    docs = warehouse.stage_documents(spark, root, files(2))
+    new = warehouse.relay_facts(docs)["statusentry"]
+    stored = warehouse.fact_table(spark, root, "statusentry").where(F.col("date").isin([datetime.date(2010, 2, 2)]))
+    plan = keyed_tables.insert_if_absent(new, stored, ["validafter", "fingerprint"], order=["path"])._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date", plan)
+
+
 def test_first_arrival_wins(spark):
     new = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y")], "k string, n int, v string")
     assert keyed_tables.insert_if_absent(new, None, ["k"], order=["n"]).first().v == "y"
