@@ -97,7 +97,7 @@ GROUP BY 1, 2""",
 # ---------------------------------------------------------------- documents
 
 _NL = "chr(10)"
-_SIGNATURE = (
+SIGNATURE_TEXT = (
     "concat('router-signature', chr(10), '-----BEGIN SIGNATURE-----', chr(10), 'c2ln', chr(10),"
     " '-----END SIGNATURE-----', chr(10))"
 )
@@ -157,7 +157,7 @@ SERVER_TEXT = (
 )
 _SERVER_DOCS = f"""
 SELECT k AS doc_id, concat({SERVER_TEXT.format(k='k')},
- CASE WHEN k % 10 <> 9 THEN {_SIGNATURE} ELSE '' END) AS text FROM (SELECT c_custkey AS k FROM customer) c"""
+ CASE WHEN k % 10 <> 9 THEN {SIGNATURE_TEXT} ELSE '' END) AS text FROM (SELECT c_custkey AS k FROM customer) c"""
 
 # Extra-info of a customer: histories with late, bad and repeated lines, and request lists.
 _values = (
@@ -178,7 +178,7 @@ SELECT k AS doc_id, concat(
  CASE WHEN k % 7 = 0 THEN concat('dirreq-v3-reqs ', chr(10))
   WHEN k % 7 = 1 THEN concat('dirreq-v3-reqs de=8,us=x', chr(10))
   ELSE concat('dirreq-v3-reqs de=', 8 + k % 50, ',us=', 16 + k % 9, ',fr=8', chr(10)) END,
- {_SIGNATURE}) AS text FROM (SELECT c_custkey AS k FROM customer) c"""
+ {SIGNATURE_TEXT}) AS text FROM (SELECT c_custkey AS k FROM customer) c"""
 
 # Bridge extra-info of an order.
 _BRIDGE_DOCS = f"""
@@ -188,7 +188,7 @@ SELECT k AS doc_id, concat(
  'geoip-start-time 2010-02-', lpad(CAST(1 + k % 28 AS STRING), 2, '0'), ' 0', k % 10, ':00:00', chr(10),
  'geoip-client-origins de=', 8 * (1 + k % 5), ',us=8', chr(10),
  CASE WHEN k % 4 = 0 THEN concat('bridge-stats-end 2010-02-', lpad(CAST(1 + k % 28 AS STRING), 2, '0'), ' 13:00:00 (86400 s)', chr(10)) ELSE '' END,
- 'bridge-ips fr=', 8 * (1 + k % 3), ',de=', 16, chr(10), {_SIGNATURE}) AS text
+ 'bridge-ips fr=', 8 * (1 + k % 3), ',de=', 16, chr(10), {SIGNATURE_TEXT}) AS text
 FROM (SELECT o_orderkey AS k, (SELECT max(c_custkey) FROM customer) AS m FROM orders) o"""
 
 # Bridge status of an order, and bridge descriptors of a customer, for scrubbing.
@@ -207,19 +207,19 @@ SELECT k AS doc_id, concat(CASE WHEN k % 2 = 0 THEN concat('@purpose bridge', ch
  'family $', upper(sha1(concat('id', k + 1))), ' friend', chr(10), 'onion-key', chr(10), '-----BEGIN RSA PUBLIC KEY-----', chr(10), 'secret', chr(10),
  '-----END RSA PUBLIC KEY-----', chr(10), 'opt hidden-service-dir', chr(10),
  CASE WHEN k % 8 = 3 THEN concat('surprise line', chr(10)) ELSE '' END,
- CASE WHEN k % 10 <> 9 THEN {_SIGNATURE} ELSE '' END) AS text FROM (SELECT c_custkey AS k FROM customer) c"""
+ CASE WHEN k % 10 <> 9 THEN {SIGNATURE_TEXT} ELSE '' END) AS text FROM (SELECT c_custkey AS k FROM customer) c"""
 
 _BRIDGE_EXTRA_DOCS = f"""
 SELECT k AS doc_id, concat('extra-info nick', k, ' ', upper(sha1(concat('id', k))), chr(10),
  'published 2010-02-0', 1 + k % 9, ' 0', k % 10, ':00:00', chr(10),
  'write-history 2010-02-01 00:00:00 (900 s) ', k, chr(10), 'dirreq-stats-end x', chr(10),
  'bridge-ips de=', 8 + k % 8, chr(10),
- CASE WHEN k % 12 = 5 THEN concat('surprise line', chr(10)) ELSE '' END, {_SIGNATURE}) AS text
+ CASE WHEN k % 12 = 5 THEN concat('surprise line', chr(10)) ELSE '' END, {SIGNATURE_TEXT}) AS text
 FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 5 <> 2) c"""
 
 # Cached files: copies of a whole text as signed documents, then a truncated one.
 _CACHED_FILES = f"""
-SELECT doc_id, concat('@type x', chr(10), repeat(concat('router ', text, chr(10), {_SIGNATURE}), CAST(1 + doc_id % 3 AS INT)),
+SELECT doc_id, concat('@type x', chr(10), repeat(concat('router ', text, chr(10), {SIGNATURE_TEXT}), CAST(1 + doc_id % 3 AS INT)),
  'router ', text) AS text FROM documents"""
 
 DOCUMENTS = {

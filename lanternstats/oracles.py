@@ -4,6 +4,7 @@ They follow the textbook formulation (outer joins, unions, date fan-out) or
 compute the expected rows straight from the tables, without any document.
 """
 
+from lanternstats.file_queries import FILE_ORACLES
 from lanternstats.fixtures import SERVER_TEXT, oracle_views
 
 _PER_DAY = """per_day AS (SELECT CAST(validafter AS DATE) AS date, count(*) AS count
@@ -576,4 +577,5 @@ WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT TIMESTAMP '2024-01-01' + to_days(CA
     ),
     "relink_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
     "resanitized_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
+    **FILE_ORACLES,
 }

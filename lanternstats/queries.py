@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lanternstats.file_queries import FILE_QUERIES
 from lanternstats.fixtures import documents, tables, view
 from lanternstats.functions import digests, text as tx
 from lanternstats.functions.numbers import count_when
@@ -597,4 +598,6 @@ QUERIES = {
     "resanitized_statuses": _d(
         resanitized_statuses, "bridge_status_docs", "bridge_server_docs", "bridge_extra_docs"
     ),
+    # sources and sinks
+    **FILE_QUERIES,
 }
