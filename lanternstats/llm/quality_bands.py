@@ -14,15 +14,15 @@ from lanternstats.llm.common import ship, slices
 #: (up to so many bytes, least ratio, most ratio) of a whole document.
 WHOLE_BANDS = (
     (256, 0.85, 3.5),
-    (1_024, 1.05, 5.0),
-    (4_096, 1.2, 6.5),
-    (16_384, 1.3, 8.0),
-    (65_536, 1.4, 10.0),
-    (float("inf"), 1.5, 12.0),
+    (1_024, 1.15, 4.0),
+    (4_096, 1.4, 4.5),
+    (16_384, 1.6, 5.0),
+    (65_536, 1.7, 5.5),
+    (float("inf"), 1.8, 6.0),
 )
 #: The same for chunks; a document fails when more than a share of its chunks do.
 CHUNK_BYTES = 4_096
-CHUNK_BANDS = ((512, 0.85, 4.5), (1_024, 1.05, 5.0), (float("inf"), 1.15, 6.5))
+CHUNK_BANDS = ((512, 0.85, 4.0), (1_024, 1.15, 4.0), (float("inf"), 1.4, 4.5))
 CHUNK_SHARE = 0.5
 LEVEL = 3
 
