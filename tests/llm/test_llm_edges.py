@@ -88,7 +88,7 @@ def test_secrets(docs, empty):
 def test_compression_bands(docs, empty):
     got = quality_bands.compression_bands(docs)
     assert rows_of(got.where("doc_id IN (2, 3, 4)"), "doc_id", "n_words", "verdict", "kept") == [
-        (2, 0, "empty", False), (3, 0, "empty", False), (4, 0, "ok", False)
+        (2, 0, "empty", False), (3, 0, "empty", False), (4, 0, "incompressible", False)
     ]
     assert got.count() == len(ROWS) and quality_bands.compression_bands(empty).count() == 0
 

@@ -156,16 +156,18 @@ def test_chains_and_large_buckets_of_copies(spark):
     assert {x["doc_id"]: x["component_id"] for x in got} == want
 
 
-def test_blocks_cover_every_pair(spark, monkeypatch, tmp_path):
-    """Small blocks: each pair of components of a bucket still meets once."""
+def test_blocks_cover_every_pair(spark, monkeypatch):
+    """Small blocks: whichever pair of a bucket is similar is found, and the sets decide."""
     monkeypatch.setattr(near_duplicates, "BLOCK", 3)
     sig = bytearray(np.zeros(20, np.uint32).tobytes())
     classes = spark.createDataFrame([(i, 10, sig) for i in range(17)], "node long, n long, sig binary")
-    members = spark.createDataFrame([(h, i) for h in (7, 8) for i in range(17) if h == 7 or i % 2], "h long, node long")
+    members = spark.createDataFrame([(b, b, i) for b in (0, 1) for i in range(17) if b == 0 or i % 2], "h long, band int, node long")
     labels = spark.createDataFrame([(i, 0) for i in range(1, 9)], "node long, component long")
-    got = near_duplicates.block_pairs(members, labels, classes, (85, 100), 20).collect()
-    label = lambda i: 0 if i < 9 else i
-    assert sorted((x["a"], x["b"]) for x in got) == [(a, b) for a in range(17) for b in range(a + 1, 17) if label(a) != label(b)]
+    for x, y in [(2, 11), (10, 12), (16, 9), (0, 16)]:
+        sets = [(i, bytearray(np.arange(10, dtype=np.uint64).tobytes() if i in (x, y) else np.arange(100 * i + 100, 100 * i + 110, dtype=np.uint64).tobytes())) for i in range(17)]
+        frame = spark.createDataFrame(sets, "node long, shingles binary")
+        got = near_duplicates.block_links(members, labels, classes, frame, (85, 100), 20, 5).collect()
+        assert {frozenset((r["a"], r["b"])) for r in got} == {frozenset((x, y))}
 
 
 def test_weak_parts_are_reported_with_their_partners(spark):
@@ -276,10 +278,18 @@ def test_files_can_be_read_by_the_binary_source(spark, tmp_path):
     assert {int(x["page_id"]): bytes(x["payload"]).decode() for x in read if x["payload"] is not None}[1] == "page 1 " * 30
 
 
-def test_workspace_follows_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "file:///tmp/shared/")
-    try:
-        assert workspace(spark).startswith("file:///tmp/shared/llm-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+def test_workspace_follows_the_session():
+    class Session:
+        """What ``workspace`` asks a session for."""
+
+        def __init__(self, folder, master):
+            self.settings, self.sparkContext = {"spark.checkpoint.dir": folder}, self
+            self.master, self.conf, self.getCheckpointDir = master, self, lambda: None
+
+        def get(self, key, default):
+            return self.settings[key] or default
+
+    assert workspace(Session("file:///shared/", "spark://a")).startswith("file:///shared/llm-")
+    assert workspace(Session(None, "local[2]")).startswith("/")
+    with pytest.raises(ValueError):
+        workspace(Session(None, "spark://a"))
