@@ -254,9 +254,15 @@ def link_statuses(status_lines, mapping, status_key):
     A status came in as one row and is put together to one row of at most the
     same number of lines.  Lines of one much-listed bridge differ in their
     time; those of one time and bridge are left to the skew handling of the join.
+    Lines without a bridge, half of all, get keys that match nothing, so that
+    their nulls do not meet in one task.
     """
     digests_by_key = mapping.select("bridge", "published", "server_digest")
-    filled = status_lines.join(digests_by_key, ["bridge", "published"], "left").withColumn(
+    no_bridge = F.concat(F.lit("-"), F.xxhash64(*status_key, "line_no").cast("string"))
+    keyed = status_lines.withColumn("bridge", F.coalesce("bridge", no_bridge)).withColumn(
+        "published", F.coalesce("published", F.lit(""))
+    )
+    filled = keyed.join(digests_by_key, ["bridge", "published"], "left").withColumn(
         "line",
         F.when(
             F.col("tail").isNotNull(),
@@ -274,16 +280,49 @@ def link_statuses(status_lines, mapping, status_key):
 
 
 def pseudonymise_batch(statuses, servers, extras, status_key, mapping=None):
-    """Scrub and link one batch; returns the three document tables and the new mapping."""
+    """Scrub and link one batch; returns the three document tables and the new mapping.
+
+    A job that writes more than one of them reads ``extras`` and ``servers``
+    back from what it wrote first, see ``write_batch``.
+    """
     scrubbed_extras = scrub_extras(extras)
     linked = link_servers(scrub_servers(servers), scrubbed_extras, mapping)
-    lines = scrub_statuses(statuses, keep=status_key)
-    new_mapping = reference_mapping(linked, scrubbed_extras, mapping, lines)
+    return _linked_batch(scrubbed_extras, linked, scrub_statuses(statuses, keep=status_key), status_key, mapping)
+
+
+def _linked_batch(scrubbed_extras, linked, lines, status_key, mapping):
+    return {
+        "extras": scrubbed_extras,
+        "servers": linked,
+        "statuses": link_statuses(lines, server_digests(linked, mapping), status_key),
+        "mapping": reference_mapping(linked, scrubbed_extras, mapping, lines),
+    }
+
+
+def server_digests(linked_servers, stored=None):
+    """The server part of ``reference_mapping``: all that statuses need of it."""
+    fresh = _one_per_key(linked_servers, "server_digest")
+    if stored is None:
+        return fresh
+    keys = ["bridge", "published"]
+    return fresh.unionByName(stored.select(*keys, "server_digest").join(fresh, keys, "left_anti"))
+
+
+def write_batch(spark, root, statuses, servers, extras, status_key, mapping=None):
+    """Scrub and link one batch into Parquet tables below ``root``; every document is scrubbed once."""
+    def written(name, frame):
+        frame.write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+
+    scrubbed_extras = written("extras", scrub_extras(extras))
+    linked = written("servers", link_servers(scrub_servers(servers), scrubbed_extras, mapping))
+    lines = written("status_lines", scrub_statuses(statuses, keep=status_key))
+    batch = _linked_batch(scrubbed_extras, linked, lines, status_key, mapping)
     return {
         "extras": scrubbed_extras,
         "servers": linked,
-        "statuses": link_statuses(lines, new_mapping, status_key),
-        "mapping": new_mapping,
+        "statuses": written("statuses", batch["statuses"]),
+        "mapping": written("mapping", batch["mapping"]),
     }
 
 

@@ -577,5 +577,7 @@ WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT TIMESTAMP '2024-01-01' + to_days(CA
     ),
     "relink_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
     "resanitized_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
+    "resanitized_servers": _with("SELECT k AS doc_id, bridge, published, extra_digest, server_digest FROM full_links WHERE has_server", _LINKED),
+    "rewritten_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
     **FILE_ORACLES,
 }

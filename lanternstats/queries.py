@@ -488,6 +488,32 @@ def relink_statuses(statuses_, servers, extras):
     return batch["statuses"]
 
 
+def resanitized_servers(servers, extras):
+    """Scrubbed servers and extra-infos go through the second form of the job unchanged."""
+    infos = pseudonymise.scrub_extras(extras)
+    linked = pseudonymise.link_servers(pseudonymise.scrub_servers(servers, keep=["doc_id"]), infos)
+    as_text = lambda frame, *keep: frame.select(*keep, F.col("scrubbed").alias("text"))
+    again = pseudonymise.link_servers(
+        pseudonymise.sanitized_servers(as_text(linked, "doc_id"), keep=["doc_id"]), pseudonymise.sanitized_extras(as_text(infos))
+    )
+    return again.select("doc_id", "bridge", "published", "extra_digest", "server_digest")
+
+
+def rewritten_statuses(statuses_, servers, extras):
+    """Statuses stored without their servers, written anew once those arrive."""
+    lines = pseudonymise.scrub_statuses(statuses_, keep=["doc_id", "day"])
+    infos = pseudonymise.scrub_extras(extras)
+    linked = pseudonymise.link_servers(pseudonymise.scrub_servers(servers), infos)
+    none = pseudonymise.server_digests(linked).where("false")
+    early = pseudonymise.link_statuses(lines, none, ["doc_id", "day"])
+    # Every stored status lies in the 24 hours after some late descriptor.
+    stored = early.select(
+        "doc_id", F.to_timestamp_ntz(F.lit("2010-02-05 12:00:00")).alias("validafter"), F.col("scrubbed").alias("text")
+    )
+    changed = linked.select(F.to_timestamp_ntz("published").alias("published")).where("published <= TIMESTAMP_NTZ'2010-02-05 12:00:00'")
+    return pseudonymise.rewrite_statuses(stored, changed, pseudonymise.reference_mapping(linked, infos), ["doc_id"])
+
+
 def resanitized_statuses(statuses_, servers, extras):
     """Scrubbed documents go through the second form of the job unchanged."""
     batch = pseudonymise.pseudonymise_batch(statuses_, servers, extras, ["doc_id"])
@@ -598,6 +624,8 @@ QUERIES = {
     "resanitized_statuses": _d(
         resanitized_statuses, "bridge_status_docs", "bridge_server_docs", "bridge_extra_docs"
     ),
+    "resanitized_servers": _d(resanitized_servers, "bridge_server_docs", "bridge_extra_docs"),
+    "rewritten_statuses": _d(rewritten_statuses, "bridge_status_docs", "bridge_server_docs", "bridge_extra_docs"),
     # sources and sinks
     **FILE_QUERIES,
 }
