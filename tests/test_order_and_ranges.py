@@ -64,21 +64,35 @@ def test_lookup(spark, fill_gaps):
     ranges = spark.createDataFrame(rows, "version string, from_ip bigint, to_ip bigint, country string")
     lookups = spark.createDataFrame(asked, "id int, ip bigint, day string")
     versions = sorted({r[0] for r in rows})
+    borders = sorted({b for r in rows for b in (r[1], r[2] + 1)})
+    starts = [b for b in borders if any(r[1] <= b <= r[2] for r in rows)]
 
     def expected(ip, day):
         version = max([v for v in versions if v <= day], default=versions[0])
-        before = [r for r in rows if r[0] == version and r[1] <= ip]
-        if not before:
-            return "ZZ"
-        last = max(before, key=lambda r: r[1])
-        country = last[3] if fill_gaps or last[2] >= ip else "ZZ"
-        return "ZZ" if country in ip_ranges.UNRESOLVED else country
+        if fill_gaps:
+            ip = max([s for s in starts if s <= ip], default=-1)
+        holding = [r for r in rows if r[0] == version and r[1] <= ip <= r[2]]
+        return max(holding, key=lambda r: r[1])[3] if holding else "ZZ"
 
     want = {i: expected(ip, day) for i, ip, day in asked}
     chosen = ip_ranges.choose_version(lookups, ranges, "day")
-    for limit in (ip_ranges.MAX_BROADCAST_PIECES, 0):
-        found = ip_ranges.lookup_country(chosen, ranges, fill_gaps, limit)
-        assert {r.id: r.country for r in found.collect()} == want
+    found = ip_ranges.lookup_country(chosen, ranges, fill_gaps)
+    assert {r.id: r.country for r in found.collect()} == want
+
+
+def test_gap_before_another_version(spark):
+    """An address that only another version's range covers, and one between ranges."""
+    ranges = spark.sql("SELECT * FROM VALUES ('a', 0L, 9L, 'DE'), ('b', 20L, 29L, 'US') AS t(version, from_ip, to_ip, country)")
+    asked = spark.sql("SELECT * FROM VALUES ('a', 25L), ('a', 12L), ('b', 12L), ('b', 99999L) AS t(version, ip)")
+    found = {(r.version, r.ip): r.country for r in ip_ranges.lookup_country(asked, ranges, fill_gaps=True).collect()}
+    assert found == {("a", 25): "ZZ", ("a", 12): "DE", ("b", 12): "ZZ", ("b", 99999): "US"}
+
+
+def test_codes_of_no_country(spark):
+    ranges = spark.sql("SELECT * FROM VALUES ('a', 0L, 9L, 'EU'), ('a', 10L, 19L, 'eu') AS t(version, from_ip, to_ip, country)")
+    asked = spark.sql("SELECT * FROM VALUES ('a', 5L), ('a', 15L) AS t(version, ip)")
+    look = lambda **k: {r.ip: r.country for r in ip_ranges.lookup_country(asked, ranges, **k).collect()}
+    assert look() == {5: "EU", 15: "ZZ"} and look(any_case=True) == {5: "ZZ", 15: "ZZ"}
 
 
 def test_overlay(spark):
@@ -86,7 +100,7 @@ def test_overlay(spark):
     rows = make_ranges(rng)
     ranges = spark.createDataFrame(rows, "version string, from_ip bigint, to_ip bigint, country string")
     versions = sorted({r[0] for r in rows})
-    got = {(r[0], r[1]): tuple(r)[2:] for r in ip_ranges.overlay_table(ranges, versions).collect()}
+    got = {(r[0], r[1]): tuple(r)[2:] for r in ip_ranges.overlay_table(ranges).collect()}
     borders = sorted({b for r in rows for b in (r[1], r[2] + 1)})
     want = {}
     for a, b in zip(borders, borders[1:]):

@@ -136,3 +136,20 @@ def test_only_affected_statuses_are_rewritten(spark):
     mapping = spark.createDataFrame([(HASHED, TIME, server, extra)], "bridge string, published string, server_digest string, extra_digest string")
     got = {r.doc: r.scrubbed for r in ps.rewrite_statuses(stored, changed, mapping, ["doc"]).collect()}
     assert got == {0: status_line(server), 24: status_line(server)}
+
+
+def test_long_members_drop_the_document(docs):
+    """Fingerprints and family members are hashed whole or not at all."""
+    assert ps.scrub_servers(docs(SERVER.replace(f"family ${IDENTITY}", "family $" + "A" * 300))).count() == 0
+    assert ps.scrub_servers(docs(SERVER.replace(f"family ${IDENTITY}", "family $AB"))).count() == 0
+    many = " ".join([f"${IDENTITY}"] * 40)
+    row = ps.scrub_servers(docs(SERVER.replace(f"family ${IDENTITY}", f"family {many}"))).first()
+    assert row.scrubbed.count("$" + HASHED.upper()) == 40
+
+
+def test_written_batch(docs, spark, tmp_path):
+    """The job that writes its tables gives what the batch in one plan gives."""
+    args = (docs(STATUS), docs(SERVER), docs(EXTRA), ["doc"])
+    plain, written = ps.pseudonymise_batch(*args), ps.write_batch(spark, str(tmp_path), *args)
+    for name, frame in plain.items():
+        assert sorted(map(str, written[name].select(frame.columns).collect())) == sorted(map(str, frame.collect())), name

@@ -1,5 +1,6 @@
 """Incremental work gives the same tables as work on everything."""
 
+import bz2
 import datetime
 import re
 
@@ -181,9 +182,11 @@ def test_stream_of_files(spark, tmp_path):
     assert warehouse.fact_table(spark, root, "dirreq_stats").count() == 2
     consensus("2010-02-01 01:00:00", "a", "b", "c", "d")
     consensus("2010-02-02 00:00:00", "a")
+    packed = HEAD.format(time="2010-02-03 00:00:00") + "".join(ENTRY.format(n=n) for n in "abcde")
+    (tmp_path / "in" / "packed.bz2").write_bytes(bz2.compress(packed.encode()))
     file_stream.start(spark, inbox, root, checkpoint).awaitTermination()
-    assert sizes() == {"2010-02-01": 3, "2010-02-02": 1}
-    assert warehouse.fact_table(spark, root, "statusentry").count() == 7
+    assert sizes() == {"2010-02-01": 3, "2010-02-02": 1, "2010-02-03": 5}
+    assert warehouse.fact_table(spark, root, "statusentry").count() == 12
 
 
 def test_failed_batch_keeps_its_dirty_dates(spark, tmp_path):

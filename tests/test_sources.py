@@ -35,6 +35,15 @@ def test_archive(spark, tmp_path):
     assert archive.scan_archive(spark, str(tmp_path), again).count() == 0
 
 
+def test_first_file_of_a_name(spark, tmp_path):
+    """Two files of one base name in the same run: only the first is parsed; odd names are found."""
+    put(tmp_path, "a/same", "router a\n")
+    put(tmp_path, "b/same", "router b\n")
+    put(tmp_path, "c/odd [1] {x}*", "router c\n")
+    found = archive.scan_archive(spark, str(tmp_path))
+    assert sorted(bytes(r.content) for r in found.collect()) == [b"router a\n", b"router c\n"]
+
+
 def test_cached_files(spark, tmp_path):
     put(tmp_path, "cached-consensus", "network-status-version 3\nvalid-after 2010-02-01 00:00:00\n")
     put(tmp_path, "cached-descriptors.new", "@x\nrouter a\n" + SIGNED + "router b\n" + SIGNED + "router c\n")

@@ -150,3 +150,31 @@ def test_no_consensus_parameters_means_conflict(spark):
     assert health.parameter_conflicts(votes, cons).first().conflicting
     none = votes.selectExpr("validafter", "dir", "CAST(NULL AS ARRAY<STRING>) AS params")
     assert not health.parameter_conflicts(none, cons).first().conflicting
+
+
+def test_counting_ends_at_a_broken_line(docs):
+    entry = "r a AAAAAAAAAAAAAAAAAAAAAAAAAAA BBBBBBBBBBBBBBBBBBBBBBBBBBB 2010-02-01 00:00:00 1.1.1.1 9 0\ns Exit Running\n"
+    text = "network-status-version 3\nvalid-after 2010-02-01 00:00:00\n" + entry + "r broken\ns Running\ns Running\n"
+    row = statuses.flag_counts(docs(text)).first()
+    assert (row.running, row.exit) == (1, 1)
+
+
+def test_votes_with_any_line_ends(docs):
+    text = "network-status-version 3\nvote-status vote\nvalid-after 2010-02-01 00:00:00\n" + (
+        "r a AAAAAAAAAAAAAAAAAAAAAAAAAAA BBBBBBBBBBBBBBBBBBBBBBBBBBB 2010-02-01 00:00:00 1.1.1.1 9 0\ns Running\n"
+    )
+    votes = docs(text, text.replace("\n", "\r\n"), text.replace("\n", "\r"))
+    assert statuses.status_entries(votes).count() == 0 and statuses.flag_counts(votes).count() == 0
+    assert not any(r.is_consensus for r in statuses.status_headers(votes).collect())
+
+
+def test_unknown_version_comes_last_in_its_date(spark):
+    from lanternstats.plans import daily
+
+    status = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2010-02-01 00:00:00' + make_interval(0, 0, 0, d) AS validafter, concat('x', i) AS descriptor"
+        " FROM VALUES (0), (1) AS t(d) CROSS JOIN VALUES (1), (2), (3) AS u(i)"
+    )
+    known = spark.sql("SELECT * FROM VALUES ('x1', 'Rly 0.2.2 on x'), ('x2', 'Rly 0.2.1 on x') AS t(descriptor, platform)")
+    got = [(r.date.day, r.version) for r in daily.tutorial_versions(status, known).collect()]
+    assert got == [(1, "0.2.1"), (1, "0.2.2"), (1, None), (2, "0.2.1"), (2, "0.2.2"), (2, None)]
