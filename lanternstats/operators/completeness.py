@@ -127,10 +127,14 @@ def missing_references(references, have, now, current=None, key=("type", "publis
     """References worth fetching: not at hand and still likely to be available.
 
     Descriptors count for 24 hours after publication, votes and consensuses
-    only for the hour ``current``.  ``references`` may include those carried
-    over from an earlier run.
+    only for the hour ``current``, whose consensus is itself wanted until it is
+    at hand.  ``references`` may include those carried over from an earlier run.
     """
     key = list(key)
+    if current is not None:
+        wanted = {"type": "consensus", "published": current}
+        row = [F.lit(wanted.get(c)).cast(references.schema[c].dataType).alias(c) for c in key]
+        references = references.select(*key).unionByName(references.sparkSession.range(1).select(*row))
     cut_off = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(DAY_HOURS))
     fresh = F.col("published").cast("timestamp_ntz") >= cut_off
     if current is not None:

@@ -164,7 +164,7 @@ def flag_overlap(matrix, known):
 
     ``known`` has ``dir`` and ``flag``.
     """
-    counts = matrix.groupBy("dir", "flag").pivot("state", ["lost", "agree", "missing"]).agg(
-        F.count(F.lit(1))
+    counts = matrix.groupBy("dir", "flag").agg(
+        *[F.nullif(F.count_if(F.col("state") == s), F.lit(0)).alias(s) for s in ("lost", "agree", "missing")]
     )
     return known.select("dir", "flag").distinct().join(counts, ["dir", "flag"], "left")

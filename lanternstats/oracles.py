@@ -5,7 +5,7 @@ compute the expected rows straight from the tables, without any document.
 """
 
 from lanternstats.file_queries import FILE_ORACLES
-from lanternstats.fixtures import SERVER_TEXT, oracle_views
+from lanternstats.fixtures import HEALTH_LINES, SERVER_TEXT, oracle_views
 
 _PER_DAY = """per_day AS (SELECT CAST(validafter AS DATE) AS date, count(*) AS count
  FROM (SELECT DISTINCT validafter FROM v_status) GROUP BY 1)"""
@@ -153,7 +153,7 @@ FROM v_status s FULL JOIN v_descriptor d ON s.descriptor = d.descriptor"""
 _K = "SELECT o_orderkey AS k, o_custkey AS cust, CAST(o_orderdate AS DATE) AS day FROM orders"
 _ENTRIES = f"""entries AS (SELECT k, day, i FROM ({_K}) o, unnest(generate_series(1, 1 + k % 4)) AS g(i)
  WHERE NOT (k % 13 = 0 AND i >= 2))"""
-_VALID_AFTER = "CAST(day AS TIMESTAMP) + to_hours(CAST(k % 24 AS INTEGER))"
+_VALID_AFTER = "CAST(day AS TIMESTAMP) + to_hours(CAST(k // 3 % 4 * 6 AS INTEGER))"
 _ID = "sha1(concat('id', CAST(k AS VARCHAR), '-', CAST(i AS VARCHAR)))"
 _DESC = "sha1(concat('d', CAST(k AS VARCHAR), '-', CAST(i AS VARCHAR)))"
 _FLAG = {
@@ -181,9 +181,9 @@ _STATUS_ROWS = f"""SELECT k AS doc_id, {_VALID_AFTER} AS validafter, concat('n',
 # The signed text of a status document, rebuilt.
 _STATUS_SIGNED = f"""SELECT k AS doc_id, upper(sha1(replace(concat('network-status-version 3', chr(10),
  CASE WHEN k % 3 = 1 THEN concat('vote-status vote', chr(10)) ELSE '' END,
- 'valid-after ', strftime(any_value(day), '%Y-%m-%d'), ' ', lpad(CAST(k % 24 AS VARCHAR), 2, '0'), ':00:00', chr(10),
+ 'valid-after ', strftime(any_value(day), '%Y-%m-%d'), ' ', lpad(CAST(k // 3 % 4 * 6 AS VARCHAR), 2, '0'), ':00:00', chr(10),
  CASE WHEN k % 3 = 1 THEN concat('consensus-methods 1 10 ', k % 12, chr(10)) ELSE concat('consensus-method ', k % 12, chr(10)) END,
- 'known-flags Exit Fast Running', chr(10),
+ {HEALTH_LINES.format(S='VARCHAR')}, 'known-flags Exit Fast Running', chr(10),
  'dir-source a', k % 8, ' FP', k % 8, ' 10.0.0.1 80 443', chr(10), 'contact somebody', chr(10),
  CASE WHEN k % 3 <> 1 THEN concat('vote-digest D', k, chr(10), 'dir-source b', k % 8, ' GP', k % 8,
   ' 10.0.0.2 80 443', chr(10), 'contact nobody', chr(10),
@@ -278,8 +278,14 @@ def _state(name):
     return _i(f"CASE WHEN {count} > 0 THEN {count} END") + f" AS {name}"
 
 
-_VOTES = """votes AS (SELECT CAST(o_orderdate AS TIMESTAMP) AS validafter, o_orderkey AS k, o_custkey % 12 AS m FROM orders),
- cons AS (SELECT validafter, min(m) AS method, min(k) % 8 <> 0 AS has_params FROM votes GROUP BY 1)"""
+# Votes and, per time, the consensus with the smallest key.
+_VOTES = f"""heads AS (SELECT {_VALID_AFTER} AS validafter, k, concat('a', k % 8) AS dir, k % 3 = 1 AS is_vote,
+ CASE WHEN k % 4 <> 0 THEN concat('0.2.', k % 3) END AS client, CASE WHEN k % 5 <> 0 THEN concat('0.2.', k % 2) END AS server,
+ k % 6 <> 0 AS has_params, k % 7 = 0 AS bogus FROM ({_K}) o),
+ votes AS (SELECT * FROM heads WHERE is_vote),
+ cons AS (SELECT validafter, min(k) AS c FROM heads WHERE NOT is_vote GROUP BY 1),
+ pairs AS (SELECT v.k AS k, v.dir AS dir, v.client, v.server, v.has_params, v.bogus, h.k AS c, h.client AS c_client, h.server AS c_server,
+  h.has_params AS c_has_params, h.bogus AS c_bogus FROM votes v JOIN cons USING (validafter) JOIN heads h ON h.k = cons.c)"""
 
 _RANGES_BY_VERSION = """versions AS (SELECT DISTINCT version FROM v_ip_ranges),
  asked AS (SELECT req_id, ip, day, coalesce((SELECT max(version) FROM versions WHERE version <= day),
@@ -497,24 +503,51 @@ GROUP BY k HAVING sum(CASE WHEN (k + i) % 5 <> 0 AND (k + i) % 3 = 1 THEN 1 ELSE
 FROM entries WHERE k % 3 <> 1 AND (k + i) % 11 = 0 AND (k + i) % 6 <> 0""", _ENTRIES
     ),
     "method_support": _with(
-        """SELECT CAST(k AS VARCHAR) AS dir, concat('1 10 ', m) AS consensus_methods,
- contains(concat('1 10 ', m), CAST(method AS VARCHAR)) AS supported, method IN (1, 10, m) AS supported_exactly
-FROM votes JOIN cons USING (validafter)""", _VOTES
+        """SELECT dir, concat('1 10 ', k % 12) AS consensus_methods, contains(concat('1 10 ', k % 12), CAST(c % 12 AS VARCHAR)) AS supported,
+ c % 12 IN (1, 10, k % 12) AS supported_exactly FROM pairs""", _VOTES
     ),
     "version_agreement": _with(
-        """SELECT CAST(k AS VARCHAR) AS dir, CASE WHEN k % 4 <> 0 THEN k % 3 = 1 END AS client_agrees,
- CASE WHEN k % 5 <> 0 THEN k % 2 = 0 END AS server_agrees FROM votes""", _VOTES
+        """SELECT dir, CASE WHEN client IS NOT NULL THEN client IS NOT DISTINCT FROM c_client END AS client_agrees,
+ CASE WHEN server IS NOT NULL THEN server IS NOT DISTINCT FROM c_server END AS server_agrees FROM pairs""", _VOTES
     ),
     "params_conflicts": _with(
-        """SELECT CAST(k AS VARCHAR) AS dir, k % 6 <> 0 AND (NOT has_params OR k % 2 = 0 OR k % 7 = 0) AS conflicting
-FROM votes JOIN cons USING (validafter)""", _VOTES
+        "SELECT dir, has_params AND (bogus OR NOT c_has_params OR k % 2 <> c % 2) AS conflicting FROM pairs", _VOTES
     ),
     "expiring_keys": _with(
-        """SELECT CAST(k AS VARCHAR) AS dir, TIMESTAMP '2024-01-01' + to_days(CAST(k % 60 AS INTEGER)) AS key_expires, k % 60 < 33 AS expires_soon
+        """SELECT dir, TIMESTAMP '2024-02-01' + to_days(CAST(k % 28 AS INTEGER)) AS key_expires, 1 + k % 28 < 3 AS expires_soon
 FROM votes WHERE k % 9 <> 0""", _VOTES
     ),
     "latest_votes": _with(
-        "SELECT validafter, CAST(k AS VARCHAR) AS dir FROM votes WHERE validafter = (SELECT max(validafter) FROM votes)", _VOTES
+        "SELECT validafter, dir FROM votes WHERE validafter = (SELECT max(validafter) FROM heads)", _VOTES
+    ),
+    "flag_overlap_documents": _with(
+        f"""SELECT d.dir AS dir, f.flag AS flag, {_state('lost')}, {_state('agree')}, {_state('missing')}
+FROM (SELECT DISTINCT dir FROM voted) d CROSS JOIN (SELECT unnest(['Exit', 'Fast', 'Running']) AS flag) f
+LEFT JOIN states s ON s.dir = d.dir AND s.flag = f.flag GROUP BY 1, 2""", _ENTRIES,
+        f"""flagged AS (SELECT k, i, k % 3 = 1 AS is_vote, concat('a', k % 8) AS dir, list_filter([{', '.join(f"CASE WHEN {c} THEN '{f}' END" for f, c in _FLAG.items())}, 'Valid'], lambda x: x IS NOT NULL) AS flags FROM entries)""",
+        """voted AS (SELECT i AS relay, dir, list_distinct(flatten(list(flags))) AS flags FROM flagged WHERE is_vote GROUP BY 1, 2)""",
+        """listed AS (SELECT i AS relay, list_distinct(flatten(list(flags))) AS flags FROM flagged WHERE NOT is_vote GROUP BY 1)""",
+        """states AS (SELECT v.dir AS dir, unnest(v.flags) AS flag, 'agree' AS state FROM voted v WHERE v.relay NOT IN (SELECT relay FROM listed)
+ UNION ALL SELECT v.dir, unnest(list_intersect(v.flags, l.flags)), 'agree' FROM voted v JOIN listed l USING (relay)
+ UNION ALL SELECT v.dir, unnest(list_filter(v.flags, lambda x: NOT list_contains(l.flags, x))), 'lost' FROM voted v JOIN listed l USING (relay)
+ UNION ALL SELECT v.dir, unnest(list_filter(l.flags, lambda x: NOT list_contains(v.flags, x) AND x IN ('Exit', 'Fast', 'Running'))), 'missing' FROM voted v JOIN listed l USING (relay))""",
+    ),
+    "archive_report": _with(
+        """SELECT kind, x.validafter AS validafter, x.dirsource AS dirsource, count(s.d) AS found_servers, count(*) AS all_servers, round(100.0 * count(s.d) / count(*), 1) AS servers_pct,
+ count(*) FILTER (s.has_extra AND s.extra_found) AS found_extras, count(*) FILTER (s.has_extra) AS all_extras,
+ CASE WHEN count(*) FILTER (s.has_extra) > 0 THEN round(100.0 * count(*) FILTER (s.has_extra AND s.extra_found) / count(*) FILTER (s.has_extra), 1) END AS extras_pct,
+ any_value(v.found_votes) AS found_votes, any_value(v.all_votes) AS all_votes, any_value(round(100.0 * v.found_votes / v.all_votes, 1)) AS votes_pct
+FROM (SELECT 'C' AS kind, r.validafter AS validafter, CAST(NULL AS VARCHAR) AS dirsource, k, i FROM refs r JOIN newest USING (validafter) WHERE NOT is_vote
+ UNION ALL SELECT 'V', r.validafter, source, k, i FROM refs r JOIN named n ON n.validafter = r.validafter AND n.dirsource = r.source WHERE is_vote) x
+LEFT JOIN have s ON s.d = x.k * 8 + x.i
+LEFT JOIN (SELECT n.validafter, count(DISTINCT n.dirsource) AS all_votes, count(DISTINCT h.source) AS found_votes FROM named n
+ LEFT JOIN refs h ON h.is_vote AND h.validafter = n.validafter AND h.source = n.dirsource GROUP BY 1) v ON x.kind = 'C' AND v.validafter = x.validafter
+GROUP BY 1, 2, 3""", _ENTRIES,
+        f"""refs AS (SELECT k, i, k % 3 = 1 AS is_vote, {_VALID_AFTER} AS validafter, concat(CASE WHEN k % 3 = 1 THEN 'FP' ELSE 'GP' END, k % 8) AS source FROM entries)""",
+        """newest AS (SELECT DISTINCT validafter FROM refs WHERE NOT is_vote ORDER BY 1 DESC LIMIT 3)""",
+        """named AS (SELECT DISTINCT validafter, dirsource FROM (SELECT validafter, concat('FP', k % 8) AS dirsource FROM refs WHERE NOT is_vote
+ UNION ALL SELECT validafter, concat('GP', k % 8) FROM refs WHERE NOT is_vote AND k % 2 = 0) n JOIN newest USING (validafter))""",
+        """have AS (SELECT k * 8 + i AS d, k % 2 = 0 AS has_extra, k % 4 = 0 AS extra_found FROM entries WHERE k % 5 <> 0)""",
     ),
     "consensus_age": _with(
         "SELECT max(validafter) AS validafter, max(validafter) < TIMESTAMP '2024-01-19 21:00:00' AS is_stale FROM v_status"

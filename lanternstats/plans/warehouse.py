@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lanternstats import schemas
 from lanternstats.functions import text as tx
 from lanternstats.functions.sizing import only_dates
-from lanternstats.operators import bridges, descriptors, documents, statuses
+from lanternstats.operators import bridges, completeness, descriptors, documents, statuses
 from lanternstats.plans import daily, keyed_tables, summaries
 from lanternstats.sources.sinks import append_facts
 
@@ -190,6 +190,25 @@ def bridge_statistics(docs, hashed_relays, sanitized=False):
     }
 
 
+def update_missing(spark, root, batch, seen, have, now, current):
+    """The list of missing references of a batch: those seen now and those carried over, less what is at hand.
+
+    ``seen`` and ``have`` are the tables of ``completeness.references_seen`` and
+    ``documents_at_hand``.  The list of each batch is stored, so a batch can be run again.
+    """
+    path = f"{root}/missing"
+    references = seen
+    before = stored_table(spark, path)
+    if before is not None:
+        earlier = before.where(F.col("batch") < batch)
+        last = earlier.agg(F.max("batch")).first()[0]
+        if last is not None:
+            references = seen.unionByName(earlier.where(F.col("batch") == last).select(seen.columns))
+    missing = completeness.missing_references(references, have, now, current)
+    missing.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    return spark.read.schema(missing.schema).parquet(f"{path}/batch={batch}")
+
+
 def pending_updates(spark, root):
     """Dates touched since the last committed refresh."""
     done = latest_batch(spark, root)

@@ -10,7 +10,7 @@ from lanternstats.operators import (
     bridges, completeness, descriptors, documents as docs_ops, health, intervals, ip_ranges,
     pseudonymise, statuses,
 )
-from lanternstats.plans import daily, keyed_tables, summaries
+from lanternstats.plans import daily, health_report, keyed_tables, summaries
 from lanternstats.sources import logs, sinks
 
 NOW = "2024-01-20 00:00:00"
@@ -332,47 +332,60 @@ def authority_versions(docs):
     return health.authority_versions(entries)
 
 
-def _vote_headers(spark, sf_dir):
-    """A vote per order and a consensus per date of orders, as parsed header lines."""
-    tables(spark, sf_dir, "orders")
-    votes = spark.sql(
-        "SELECT CAST(o_orderdate AS TIMESTAMP_NTZ) AS validafter, CAST(o_orderkey AS STRING) AS dir,"
-        " concat('1 10 ', CAST(o_custkey % 12 AS STRING)) AS consensus_methods,"
-        " CASE WHEN o_orderkey % 4 <> 0 THEN concat('0.2.', CAST(o_orderkey % 3 AS STRING)) END AS client_versions,"
-        " CASE WHEN o_orderkey % 5 <> 0 THEN concat('0.2.', CAST(o_orderkey % 2 AS STRING)) END AS server_versions,"
-        " CASE WHEN o_orderkey % 6 <> 0 THEN split(concat('circwindow=', CAST(o_orderkey % 2 AS STRING),"
-        "  CASE WHEN o_orderkey % 7 = 0 THEN ' bogus=1' ELSE '' END), ' ') END AS params,"
-        " CASE WHEN o_orderkey % 9 <> 0 THEN CAST(date_add(DATE'2024-01-01', CAST(o_orderkey % 60 AS INT)) AS TIMESTAMP_NTZ) END AS key_expires"
-        " FROM orders"
-    )
-    consensus = spark.sql(
-        "SELECT CAST(o_orderdate AS TIMESTAMP_NTZ) AS validafter, CAST(min(o_custkey % 12) AS STRING) AS consensus_method,"
-        " '0.2.1' AS client_versions, '0.2.0' AS server_versions,"
-        " CASE WHEN min(o_orderkey) % 8 <> 0 THEN split('circwindow=1 bogus=1', ' ') END AS params"
-        " FROM orders GROUP BY o_orderdate"
-    )
-    return votes, consensus
+def _vote_headers(docs):
+    """Header lines of all votes, and of one consensus per time."""
+    headers = health.health_headers(docs, keep=["doc_id"])
+    return headers.where("NOT is_consensus"), health_report.one_consensus(headers)
 
 
-def method_support(spark, sf_dir):
-    return health.method_support(*_vote_headers(spark, sf_dir))
+def method_support(docs):
+    return health.method_support(*_vote_headers(docs))
 
 
-def version_agreement(spark, sf_dir):
-    return health.version_agreement(*_vote_headers(spark, sf_dir))
+def version_agreement(docs):
+    return health.version_agreement(*_vote_headers(docs))
 
 
-def params_conflicts(spark, sf_dir):
-    return health.parameter_conflicts(*_vote_headers(spark, sf_dir)).drop("params")
+def params_conflicts(docs):
+    return health.parameter_conflicts(*_vote_headers(docs)).drop("params")
 
 
-def expiring_keys(spark, sf_dir):
-    return health.expiring_keys(_vote_headers(spark, sf_dir)[0], NOW)
+def expiring_keys(docs):
+    return health.expiring_keys(_vote_headers(docs)[0], NOW)
 
 
-def latest_votes(spark, sf_dir):
-    votes, _ = _vote_headers(spark, sf_dir)
-    return health.latest_only(votes.select("validafter", "dir"))
+def latest_votes(docs):
+    return health_report.latest_documents(docs).where("NOT is_consensus").select("validafter", "dir")
+
+
+def flag_overlap_documents(docs):
+    """Flags of parsed votes by authority and place in the vote, against those of parsed consensuses."""
+    headers = health.health_headers(docs, keep=["doc_id"])
+    votes = headers.where("NOT is_consensus").select("doc_id", "dir", "known_flags")
+    entries = statuses.vote_entries(docs, keep=["doc_id"]).select(
+        "doc_id", F.substring_index("nickname", "x", -1).alias("relay"), "flags"
+    )
+    together = lambda rows, *key: rows.groupBy(*key).agg(F.array_distinct(F.flatten(F.collect_set("flags"))).alias("flags"))
+    known = health.known_flags(headers.where("NOT is_consensus")).select("dir", "flag").distinct()
+    voted = together(entries.join(votes.select("doc_id", "dir"), "doc_id"), "relay", "dir").join(
+        known.groupBy("dir").agg(F.collect_set("flag").alias("known_flags")), "dir", "left"
+    )
+    listed = together(entries.join(headers.where("is_consensus").select("doc_id"), "doc_id", "left_semi"), "relay")
+    return health.flag_overlap(health.flag_matrix(voted, listed), known)
+
+
+def archive_report(docs):
+    """Completeness of the last three consensuses and the votes they name, from parsed documents."""
+    headers = statuses.status_headers(docs.select("doc_id", "text"))
+    entries = statuses.vote_entries(docs, keep=["doc_id"]).join(
+        headers.select("doc_id", "validafter", "is_consensus", "dirsource"), "doc_id"
+    )
+    # What is at hand: descriptors of four documents of five; those of even documents name an extra-info.
+    have = statuses.vote_entries(docs, keep=["doc_id"]).where("doc_id % 5 <> 0").select(
+        "doc_id", "descriptor", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("x"), "descriptor")).alias("extrainfo")
+    )
+    extras = have.where("doc_id % 4 = 0").select("extrainfo")
+    return completeness.archive_report(headers, entries, have.select("descriptor", "extrainfo"), extras)
 
 
 def known_flags(docs):
@@ -596,11 +609,13 @@ QUERIES = {
     "vote_relay_counts": _d(vote_relay_counts, "status_docs"),
     "bandwidth_scanners": _d(bandwidth_scanners, "status_docs"),
     "authority_versions": _d(authority_versions, "status_docs"),
-    "method_support": method_support,
-    "version_agreement": version_agreement,
-    "params_conflicts": params_conflicts,
-    "expiring_keys": expiring_keys,
-    "latest_votes": latest_votes,
+    "method_support": _d(method_support, "status_docs"),
+    "version_agreement": _d(version_agreement, "status_docs"),
+    "params_conflicts": _d(params_conflicts, "status_docs"),
+    "expiring_keys": _d(expiring_keys, "status_docs"),
+    "latest_votes": _d(latest_votes, "status_docs"),
+    "flag_overlap_documents": _d(flag_overlap_documents, "status_docs"),
+    "archive_report": _d(archive_report, "status_docs"),
     "consensus_age": _q(lambda s: health.consensus_age(s, NOW), "v_status"),
     "stale_status": _q(lambda s: docs_ops.latest_is_stale(s, "2024-02-02 00:00:00"), "v_status"),
     # completeness, ranges

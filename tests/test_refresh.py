@@ -279,3 +279,21 @@ def test_completeness_and_missing_references(spark):
     }
     assert missing("2010-02-02 00:00:00") == {("vote", "B", None), ("server", "ab", "d2"), ("extra", "ab", "x1")}
     assert missing("2010-02-02 00:00:01") == {("vote", "B", None)}
+
+
+def test_missing_references_are_carried_over(spark, tmp_path):
+    """The current consensus is wanted until it is seen; descriptors stay wanted for a day."""
+    schema = "type string, published timestamp_ntz, relay string, digest string"
+    at = lambda h, d=1: datetime.datetime(2010, 2, d, h)
+    make = lambda *rows: spark.createDataFrame(list(rows), schema)
+
+    def run(batch, seen, have, now):
+        rows = warehouse.update_missing(spark, str(tmp_path), batch, make(*seen), make(*have), now, now).collect()
+        return {(r.type, r.published.hour, r.digest) for r in rows}
+
+    server, consensus = ("server", at(1), "r", "d1"), lambda h: ("consensus", at(h), None, None)
+    assert run(0, [server], [], at(2)) == {("server", 1, "d1"), ("consensus", 2, None)}
+    assert run(1, [], [consensus(3)], at(3)) == {("server", 1, "d1")}
+    assert run(1, [], [consensus(3)], at(3)) == {("server", 1, "d1")}
+    assert run(2, [], [server], at(4)) == {("consensus", 4, None)}
+    assert run(3, [server], [], at(2, 2)) == {("consensus", 2, None)}
