@@ -5,9 +5,10 @@ of their signatures are candidates.  A candidate pair's signatures are compared
 batch the posterior of its similarity, under a uniform prior, is asked whether the threshold is still likely
 enough, and the pair is dropped once it is not.  Survivors are checked on their full shingle sets.
 
-No bucket is turned into all of its pairs.  First every class meets the smallest class of each of its buckets;
-what is linked then needs no further comparison.  After that only pairs from different components are left
-in a bucket, and they are compared in blocks, inside tasks, of which only surviving pairs come out.
+No bucket is turned into all of its pairs.  First every class meets the smallest class of each of its buckets,
+and is checked with the most similar of these; what is linked then needs no further comparison.  After that
+only pairs from different components are left in a bucket, and they are compared in blocks, inside tasks, of
+which only links come out.
 """
 
 import math
@@ -29,7 +30,7 @@ PRUNE = 1e-6
 #: Hashes compared at a time.
 STEP = 20
 #: Classes of a bucket compared with as many others in a task at a time.
-BLOCK = 512
+BLOCK = 256
 #: Remembered words of a task; beyond that it starts anew.
 CACHE = 400_000
 _SEED = 11
@@ -78,7 +79,7 @@ class Shingler:
         h = np.fromiter(map(seen.__getitem__, tokens), np.uint64, len(tokens))
         k = min(self.words, len(tokens))
         # The number of words goes in, so that a short text is not part of a longer one.
-        mixed = np.full(len(tokens) - k + 1, np.uint64(k) * self.odd[-1], np.uint64)
+        mixed = np.full(len(tokens) - k + 1, k, np.uint64) * self.odd[-1]
         for i in range(k):
             mixed = (mixed ^ h[i : len(tokens) - k + 1 + i]) * self.odd[i]
             mixed ^= mixed >> np.uint64(29)
@@ -182,6 +183,14 @@ def shingle_sets(df, id_col, text_col, nodes, words):
     return rows.mapInArrow(run, f"node {id_type}, shingles binary")
 
 
+def _similar(x, y, t, of):
+    """Whether two shingle sets reach the threshold ``t / of``."""
+    if of * min(len(x), len(y)) < t * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return of * both >= t * (len(x) + len(y) - both)
+
+
 def verify_sets(pairs, sets, similarity):
     """Pairs (a, b) whose full sets are similar enough."""
     t, of = similarity
@@ -189,12 +198,7 @@ def verify_sets(pairs, sets, similarity):
     def run(batches):
         for batch in slices(batches, 64):
             a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
-            stay = []
-            for i, (x, y) in enumerate(zip(a, b)):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if of * both >= t * (len(x) + len(y) - both):
-                    stay.append(i)
-            at = pa.array(stay, pa.int64())
+            at = pa.array([i for i, (x, y) in enumerate(zip(a, b)) if _similar(x, y, t, of)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
     side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
@@ -203,6 +207,10 @@ def verify_sets(pairs, sets, similarity):
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _stars(labels):
+    return labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def components(edges, folder):
     """(node, component) of all nodes of ``edges`` (a, b): the smallest node that is reachable.
 
@@ -228,75 +236,92 @@ def components(edges, folder):
         state = now
 
 
-def block_pairs(members, labels, classes, similarity, hashes):
-    """Pairs from different components in buckets of three or more classes that pass the sequential test.
+def block_links(members, labels, classes, sets, similarity, hashes, rows):
+    """Links (a, b) between different components of a bucket, enough of them to join what belongs together.
 
     In each bucket the component with most members needs no comparison within.  The other members ask, in
-    blocks, the blocks of all members; a pair of blocks meets in one task.
+    blocks, the blocks of all members; a pair of blocks meets in one task.  A pair that shares several buckets
+    is compared in that of its first band only.  There it passes the sequential test, then the check on full
+    sets, unless its components have been linked in this task already.
     """
-    rows = members.join(labels, "node", "left").select("h", "node", F.coalesce("component", "node").alias("component"))
-    share = rows.groupBy("h", "component").agg(F.count("*").alias("k"))
-    buckets = share.groupBy("h").agg(
+    t, of = similarity
+    bucket = members.join(labels, "node", "left").select("h", "band", "node", F.coalesce("component", "node").alias("component"))
+    share = bucket.groupBy("h", "component").agg(F.count("*").alias("k"))
+    active = share.groupBy("h").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"),
         F.max("k").alias("k_main"),
         F.sum("k").alias("k_all"),
         F.count("*").alias("parts"),
     )
-    buckets = buckets.where("parts > 1").select(
+    active = active.where("parts > 1").select(
         "h", "main", F.ceil(F.col("k_all") / BLOCK).alias("blocks"), F.ceil((F.col("k_all") - F.col("k_main")) / BLOCK).alias("asking")
     )
-    rows = rows.join(buckets, "h").withColumn("mix", F.xxhash64("node"))
+    bucket = bucket.join(active, "h").withColumn("mix", F.xxhash64("node"))
     own = lambda n: F.pmod("mix", F.col(n))
-    count = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asked = rows.select("h", "node", "component", F.lit(False).alias("asks"), own("blocks").alias("j"), count("asking").alias("i"))
-    asks = rows.where("component <> main").select(
-        "h", "node", "component", F.lit(True).alias("asks"), count("blocks").alias("j"), own("asking").alias("i")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = bucket.select("h", "band", "node", "component", F.lit(False).alias("asks"), own("blocks").alias("j"), every("asking").alias("i"))
+    asks = bucket.where("component <> main").select(
+        "h", "band", "node", "component", F.lit(True).alias("asks"), every("blocks").alias("j"), own("asking").alias("i")
     )
-    cells = asked.unionByName(asks.select(asked.columns)).join(classes.select("node", "sig"), "node")
+    cells = asked.unionByName(asks.select(asked.columns)).join(classes.select("node", "sig"), "node").join(sets, "node")
     needed = least_matches(similarity, hashes)
 
-    def compare(batch):
-        """Surviving pairs of the cells in ``batch``, whose rows are ordered by cell."""
-        node, part = (batch.column(k).to_pylist() for k in (1, 2))
-        cell = np.stack([batch.column(k).to_numpy() for k in (0, 5, 4)], 1)
-        ask = batch.column(3).to_numpy(zero_copy_only=False)
-        sig = _matrix(batch.column(6), hashes)
+    def links_of(table):
+        """Links in the cells of ``table``, whose rows are ordered by cell."""
+        column = {name: table.column(name) for name in table.column_names}
+        node, part = column["node"].to_pylist(), column["component"].to_pylist()
+        cell = np.stack([column[c].to_numpy() for c in ("h", "i", "j")], 1)
+        band, ask = column["band"].to_numpy(), column["asks"].to_numpy()
+        sig = _matrix(column["sig"], hashes)
+        bands = sig.reshape(len(sig), hashes // rows, rows)
+        full = [np.frombuffer(x, np.uint64) for x in column["shingles"].to_pylist()]
         starts = np.flatnonzero(np.append(True, (cell[1:] != cell[:-1]).any(1)))
-        found = set()
+        found = []
         for lo, hi in zip(starts, [*starts[1:], len(node)]):
             at = np.arange(lo, hi)
             q, c = at[ask[lo:hi]], at[~ask[lo:hi]]
+            group = {}
+
+            def find(x):
+                while group.get(x, x) != x:
+                    x = group[x]
+                return x
+
             for i in range(0, len(q), 64):
                 few = q[i : i + 64]
-                first, second = np.repeat(few, len(c)), np.tile(c, len(few))
-                for x, y in zip(*surviving(sig, sig, first, second, needed)[:2]):
-                    if part[x] != part[y]:
-                        found.add((node[x], node[y]) if node[x] < node[y] else (node[y], node[x]))
+                x, y, matches = surviving(sig, sig, np.repeat(few, len(c)), np.tile(c, len(few)), needed)
+                first = (bands[x] == bands[y]).all(2).argmax(1) == band[lo]
+                x, y, matches = x[first], y[first], matches[first]
+                for k in np.argsort(-matches, kind="stable"):
+                    a, b = x[k], y[k]
+                    left, right = find(part[a]), find(part[b])
+                    if left != right and _similar(full[a], full[b], t, of):
+                        group[left] = right
+                        found.append((node[a], node[b]))
         return found
 
     def run(batches):
         rest = None
         for batch in batches:
-            rows = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
-            batch = rows.to_batches()[0] if rows.num_rows else batch
-            last = np.stack([batch.column(k).to_numpy() for k in (0, 5, 4)], 1)
-            same = (last != last[-1]).any(1)
-            cut = int(np.flatnonzero(same)[-1]) + 1 if same.any() else 0
-            rest = batch.slice(cut)
+            table = pa.Table.from_batches([batch])
+            table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
+            cell = np.stack([table.column(c).to_numpy() for c in ("h", "i", "j")], 1)
+            other = np.flatnonzero((cell != cell[-1]).any(1))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            rest = table.slice(cut)
             if cut:
-                yield pairs_of(compare(batch.slice(0, cut)))
+                yield pairs_of(links_of(table.slice(0, cut)))
         if rest is not None and rest.num_rows:
-            yield pairs_of(compare(rest))
+            yield pairs_of(links_of(rest))
 
-    id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     kind = classes.schema["node"].dataType.simpleString()
+    id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
     def pairs_of(found):
-        pairs = sorted(found)
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], id_arrow[kind]) for k in (0, 1)], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], id_arrow) for k in (0, 1)], names=["a", "b"])
 
-    ordered = cells.select("h", "node", "component", "asks", "j", "i", "sig").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-    return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    ordered = cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    return ordered.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def near_duplicates(df, id_col="doc_id", text_col="text", words=WORDS, similarity=SIMILARITY, rows=ROWS):
@@ -321,45 +346,28 @@ def near_duplicates(df, id_col="doc_id", text_col="text", words=WORDS, similarit
     )
     classes = stored(classes.select("node", "n", "sig"), folder, "classes")
 
-    band = lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * rows) + 1, F.lit(4 * rows)))
-    members = classes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), band)).alias("h"))
+    hashed = lambda b: F.struct(
+        b.alias("band"), F.xxhash64(b, F.substring(F.col("sig"), b * (4 * rows) + 1, F.lit(4 * rows))).alias("h")
+    )
+    members = classes.select("node", F.inline(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), hashed)))
     buckets = members.groupBy("h").agg(F.min("node").alias("a"), F.count("*").alias("k")).where("k > 1")
     members = stored(members.join(buckets, "h"), folder, "members")
 
-    links, labels, tested, number = None, None, None, 0
-
-    def link(pairs, sets, name):
-        """Check ``pairs`` on their sets, add them to the links and label anew."""
-        nonlocal links, labels
-        found = stored(verify_sets(pairs, sets, similarity), folder, f"found-{name}")
-        known = found if links is None else links.unionByName(found)
-        stars = components(known, f"{folder}/components-{name}")
-        links, labels = stars.select(F.col("node").alias("a"), F.col("component").alias("b")), stars
-
-    def apart(pairs):
-        """Pairs whose ends are in different components."""
-        of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-        both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return both.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b", "matches")
-
-    def link_all(pairs, name):
-        """Link the most similar pair of every class first; most of the others are then in one component."""
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        sets = stored(shingle_sets(df, id_col, text_col, nodes, words), folder, f"sets-{name}")
-        best = pairs.groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a"))
-        link(best.select("a", "b"), sets, f"{name}-best")
-        rest = stored(apart(pairs).join(best, ["a", "b"], "left_anti"), folder, f"rest-{name}")
-        if not rest.isEmpty():
-            link(rest, sets, f"{name}-rest")
-
+    # First every class meets its most similar leader: what is linked then needs no comparison any more.
     pairs = members.where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    tested = stored(verify_signatures(pairs, classes, similarity, hashes), folder, "tested")
-    link_all(tested, "first")
-    later = block_pairs(members.where("k > 2").select("h", "node"), labels, classes, similarity, hashes)
-    later = later.join(tested.select("a", "b"), ["a", "b"], "left_anti").withColumn("matches", F.lit(0))
+    near = stored(verify_signatures(pairs, classes, similarity, hashes), folder, "near")
+    # A bucket of two is a pair with its leader, so only survivors and larger buckets need their sets.
+    nodes = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.where("k > 2").select("node"))
+    sets = stored(shingle_sets(df, id_col, text_col, nodes, words), folder, "sets")
+    best = near.groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a"))
+    links = stored(verify_sets(best, sets, similarity), folder, "first")
+    labels = components(links, f"{folder}/first-components")
+
+    # Then what is still apart in a bucket.
+    later = block_links(members.select("h", "band", "node"), labels, classes, sets, similarity, hashes, rows)
     later = stored(later, folder, "later")
     if not later.isEmpty():
-        link_all(later, "later")
+        labels = components(_stars(labels).unionByName(later), f"{folder}/later-components")
 
     by_node = owners.join(labels, "node", "left").select("fp1", "fp2", F.coalesce("component", "node").alias("label"))
     result = sketches.join(by_node, ["fp1", "fp2"], "left")
