@@ -241,7 +241,8 @@ def block_links(members, labels, classes, sets, similarity, hashes, rows):
 
     In each bucket the component with most members needs no comparison within.  The other members ask, in
     blocks, the blocks of all members; a pair of blocks meets in one task.  A pair that shares several buckets
-    is compared in that of its first band only.  There it passes the sequential test, then the check on full
+    is compared in that of its first band only, or nowhere if that is a bucket of two, whose pair the caller
+    has compared.  There it passes the sequential test, then the check on full
     sets, unless its components have been linked in this task already.
     """
     t, of = similarity
@@ -363,9 +364,13 @@ def near_duplicates(df, id_col="doc_id", text_col="text", words=WORDS, similarit
     links = stored(verify_sets(best, sets, similarity), folder, "first")
     labels = components(links, f"{folder}/first-components")
 
-    # Then what is still apart in a bucket.
-    later = block_links(members.select("h", "band", "node"), labels, classes, sets, similarity, hashes, rows)
-    later = stored(later, folder, "later")
+    # Then the other pairs with leaders, and in buckets of more than two the pairs without one, that are still apart.
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+    rest = near.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    rest = rest.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
+    large = members.where("k > 2").select("h", "band", "node")
+    later = block_links(large, labels, classes, sets, similarity, hashes, rows)
+    later = stored(verify_sets(rest, sets, similarity).unionByName(later), folder, "later")
     if not later.isEmpty():
         labels = components(_stars(labels).unionByName(later), f"{folder}/later-components")
 
