@@ -126,6 +126,22 @@ def test_sequential_test_keeps_similar_pairs():
         assert len(near_duplicates.surviving(a, b, every, every, needed)[0]) == 2000 * kept
 
 
+def test_chains_are_followed(spark):
+    """Neighbours in a chain reach the threshold, others do not, and the smallest id of a bucket is anywhere."""
+    r = random.Random(12)
+    ids, texts = r.sample(range(10_000), 240), {}
+    for chain in range(8):
+        words = [f"c{chain}w{k}" for k in range(30 * 3 + 60)]
+        for k in range(30):
+            texts[ids.pop()] = " ".join(words[3 * k : 3 * k + 60])
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = near_duplicates.near_duplicates(frame, words=3, similarity=(85, 100)).collect()
+    expected, sets = plain.near_duplicates(texts, 3, 85)
+    assert len(set(expected.values())) == 8
+    assert {x["doc_id"]: x["component_id"] for x in found} == expected
+    assert all(x["n_shingles"] == len(sets[x["doc_id"]]) and x["kept"] == (x["doc_id"] == x["component_id"]) for x in found)
+
+
 def test_components(spark, tmp_path):
     r = random.Random(2)
     edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(150)] + [(k, k + 1) for k in range(1000, 1060)]
