@@ -17,33 +17,42 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keyed(docs):
-    """Rows with a key of id and text, which null and repeated ids do not share unless the texts are equal too."""
-    return docs.select(COLUMNS).withColumn("key", F.xxhash64("doc_id", "text"))
+    """Rows of a Parquet table, each with a key of its own: that of its file and its place in there.
+
+    It is the same whenever the table is read, and null ids, repeated ids and equal rows do not share it.
+    """
+    return docs.select(*COLUMNS, F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("key"))
 
 
 def language_id(spark, docs, sf_dir):
-    """Documents in a language; those without a letter in them go."""
+    """Documents in a language; those without a letter in them go, also if no label tells a language."""
     rows = keyed(docs)
     labelled = docs.select("doc_id", "text", "lang")
     found = languages.language_id(rows, id_col="key", fold=None, labelled=labelled, labelled_id_col="doc_id")
-    return rows.join(found.where("lang_pred = 'und'").select("key"), "key", "left_anti").select(COLUMNS)
+    rejected = found.where("lang_pred = 'und'").select("key", F.lit(True).alias("rejected"))
+    # Without any label everything is undetermined.
+    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return rows.join(rejected, "key", "left").where(F.col("rejected").isNull() | has_letter).select(COLUMNS)
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each group: that with the smallest id."""
-    found = duplicates.near_duplicates(docs, words=5, similarity=(80, 100)).where("NOT kept")
-    return docs.select(COLUMNS).join(found.select("doc_id"), "doc_id", "left_anti").select(COLUMNS)
+    """One row of each group: that with the smallest id, of several the first by key; no id comes last."""
+    rows = keyed(docs)
+    found = duplicates.near_duplicates(rows, id_col="key", words=5, similarity=(80, 100)).select("key", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "key")
+    first = rows.select("key", "doc_id").join(found, "key").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select("first.key"), "key", "left_semi").select(COLUMNS)
 
 
 def decontaminate(spark, docs, sf_dir):
-    """Documents without any window of the benchmark."""
-    return leaks.clean_documents(docs.select(COLUMNS), table(spark, sf_dir, "benchmark")).select(COLUMNS)
+    """Rows without any window of the benchmark, each judged alone."""
+    return leaks.clean_documents(keyed(docs), table(spark, sf_dir, "benchmark"), id_col="key").select(COLUMNS)
 
 
 def secret_scan(spark, docs, sf_dir):
     """All documents, with every secret replaced by a mark."""
     rows = keyed(docs)
-    found = secrets.scan(rows, id_col="key").where(F.size("spans") > 0).select("key", "spans").dropDuplicates(["key"])
+    found = secrets.scan(rows, id_col="key").where(F.size("spans") > 0).select("key", "spans")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("spans")))
     n_chars = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("new").cast("long"))
     return (

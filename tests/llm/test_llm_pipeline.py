@@ -70,3 +70,30 @@ def test_run_on_nulls_and_repeats(spark, tmp_path):
     spark.read.parquet(f"{tmp_path}/documents.parquet").where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.read.parquet(f"{tmp_path}/benchmark.parquet").write.parquet(f"{tmp_path}/none/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def staged(spark, path, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_rows_are_told_apart_without_ids(spark, tmp_path):
+    """Null ids, repeated ids and equal rows: one row of each group stays, and a row goes for its own text only."""
+    a, b, c = (" ".join(f"{x}word{k}" for k in range(30)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (1, c), (1, c), (None, c), (None, a), (None, "only here without any id")]
+    docs = staged(spark, tmp_path / "near", [(i, t, "en", "s", 1) for i, t in rows])
+    got = corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted([("3", a), ("5", b), ("1", c), ("None", "only here without any id")])
+    docs = staged(spark, tmp_path / "none", [(None, t, "en", "s", 1) for t in (a, a, b)])
+    assert sorted(r["text"] for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()) == [a, b]
+
+    spark.createDataFrame([(1, a)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = staged(spark, tmp_path / "leaks", [(i, t, "en", "s", 1) for i, t in [(None, a), (None, b), (None, b), (7, a), (7, c)]])
+    got = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted([("None", b), ("None", b), ("7", c)])
+
+
+def test_no_label_rejects_no_text_with_a_letter(spark, tmp_path):
+    docs = staged(spark, tmp_path / "plain", [(1, "some words", None, "s", 1), (2, "123 ...", None, "s", 1), (3, None, None, "s", 1), (4, "слово", None, "s", 1)])
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, FOLDER).collect()} == {1, 4}
