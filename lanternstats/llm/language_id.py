@@ -17,8 +17,6 @@ from lanternstats.llm.common import is_in_fold, ship, slices
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 4_000
 TRAIN_LETTERS = 24_000
-#: Different letters told apart; rarer ones are one further letter, which no training text has.
-ALPHABET = 200
 #: A document is parsed in stretches of so many letters; a phrase ends where a stretch ends.
 STRETCH = 2_048
 _GAP, _RARE = 0, 1
@@ -26,8 +24,8 @@ _SALTS = 16
 
 
 def code_table(alphabet):
-    """Code of every character: 0 for what is no letter, 1 for rare letters, from 2 on those of ``alphabet``."""
-    codes = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.uint8, 0x110000)
+    """Code of every character: 0 for what is no letter, from 2 on those of ``alphabet``, 1 for other letters."""
+    codes = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.int32, 0x110000)
     codes[[ord(c) for c in alphabet]] = np.arange(2, 2 + len(alphabet))
     return codes
 
@@ -70,31 +68,68 @@ def suffix_automaton(letters):
 
 
 def parse_table(letters, width):
-    """Table of what a letter does in a state: (next state's row, phrases it ends), packed into one number.
+    """Tables of what a letter does in a state: (entries, restarts).
 
-    A letter that does not go on ends the phrase and begins the next; one that the text lacks is a phrase itself.
+    A state is a place in the entries, the root 0; its transition of a letter lies as many places further on,
+    where no other state has one.  An entry holds the state that it belongs to and the next one.  A letter that
+    does not go on ends the phrase and begins the next, at the restart's state; one that the text lacks is a
+    phrase itself.  So the size follows from the text, not from the number of letters.
     """
     steps = suffix_automaton(letters.tolist())
-    table = np.full((len(steps), width), -1, np.int64)
-    for state, step in enumerate(steps):
-        table[state, list(step)] = list(step.values())
-    root = table[0]
-    ends = np.where(root >= 0, 1, 2)[None, :].repeat(len(steps), 0)
-    ends[0] = 1
-    restart = np.where(root >= 0, root, 0)[None, :]
-    packed = np.where(table >= 0, table * width * 4, restart * width * 4 + ends)
-    return packed.astype(np.int32).ravel()
-
-
-def learn(texts_by_language, train_letters=TRAIN_LETTERS, alphabet=ALPHABET):
-    """The model: languages, alphabet, a parse table and the cost of a phrase for each language."""
-    counts = {}
-    for texts in texts_by_language.values():
-        for text in texts:
-            for c in text.lower():
-                if c.isalpha():
-                    counts[c] = counts.get(c, 0) + 1
-    letters = sorted(sorted(counts, key=lambda c: (-counts[c], c))[:alphabet])
+    base, free = np.full(len(steps), -1, np.int64), np.ones(2 * sum(map(len, steps)) + 2 * width, bool)
+    bases = np.zeros(len(free), bool)
+    order = sorted(range(1, len(steps)), key=lambda s: -len(steps[s]))
+    base[0], bases[0] = 0, True
+    free[list(steps[0])] = False
+    low = 0
+    for state in order:
+        if len(steps[state]) < 2:
+            break
+        of = np.sort(np.fromiter(steps[state], np.int64, len(steps[state])))
+        low += int(free[low:].argmax())
+        at, far = max(low - int(of[0]), 0), 64
+        while True:
+            if at + far + width > len(free):
+                free = np.append(free, np.ones(len(free), bool))
+                bases = np.append(bases, np.zeros(len(bases), bool))
+            fits = ~bases[at : at + far]
+            for c in of:
+                fits &= free[at + c : at + c + far]
+            if fits.any():
+                break
+            at, far = at + far, 2 * far
+        base[state] = at + int(fits.argmax())
+        bases[base[state]] = True
+        free[base[state] + of] = False
+    # States of one transition or none: whatever places are left.
+    few = [s for s in order if base[s] < 0]
+    taken, vacant = bases.tolist(), iter(np.flatnonzero(free).tolist())
+    end = len(taken)
+    for state in few:
+        place = None
+        for c in steps[state]:
+            for v in vacant:
+                if v >= c and not taken[v - c]:
+                    place = v - c
+                    break
+        if place is None:
+            place, end = end, end + width
+        if place < len(taken):
+            taken[place] = True
+        base[state] = place
+    source = np.repeat(base, list(map(len, steps)))
+    letter = np.fromiter((c for step in steps for c in step), np.int64, len(source))
+    target = base[np.fromiter((t for step in steps for t in step.values()), np.int64, len(source))]
+    entries = np.full(int(base.max()) + width, -1, np.int64)
+    entries[source + letter] = source << 32 | target
+    known = entries[:width] >> 32 == 0
+    restarts = np.where(known, (entries[:width] & 0xFFFFFFFF) << 2 | 1, 2)
+    return entries, restarts
+
+
+def learn(texts_by_language, train_letters=TRAIN_LETTERS):
+    """The model: languages, all letters of their texts, parse tables and the cost of a phrase for each language."""
+    letters = sorted({c for texts in texts_by_language.values() for text in texts for c in text.lower() if c.isalpha()})
     codes = code_table(letters)
     model = {"languages": [], "alphabet": letters, "tables": [], "cost": [], "width": len(letters) + 2}
     for language in sorted(texts_by_language):
@@ -123,12 +158,16 @@ def count_phrases(encoded, model, stretch=STRETCH):
     for k, (i, a, b) in enumerate(spans):
         lanes[: b - a, k] = encoded[i][a:b]
     active = np.searchsorted(-size, -np.arange(size[0]), side="left")
-    for row, table in enumerate(model["tables"]):
-        state, phrases = np.zeros(len(spans), np.int32), np.zeros(len(spans), np.int32)
+    for row, (entries, restarts) in enumerate(model["tables"]):
+        state, phrases = np.zeros(len(spans), np.int64), np.zeros(len(spans), np.int64)
         for j, k in enumerate(active):
-            packed = table[state[:k] + lanes[j, :k]]
-            phrases[:k] += packed & 3
-            state[:k] = packed >> 2
+            now, letter = state[:k], lanes[j, :k]
+            found = entries[now + letter]
+            again = restarts[letter]
+            ends = found >> 32 != now
+            # In the root no phrase is under way.
+            phrases[:k] += ends * ((again & 3) - (now == 0))
+            state[:k] = np.where(ends, again >> 2, found & 0xFFFFFFFF)
         phrases += state > 0
         np.add.at(out[row], owner, phrases)
     return out

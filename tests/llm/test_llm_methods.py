@@ -309,3 +309,23 @@ def test_workspace_follows_the_session():
     assert workspace(Session(None, "local[2]")).startswith("/")
     with pytest.raises(ValueError):
         workspace(Session(None, "spark://a"))
+
+
+def test_every_letter_of_the_training_text_counts():
+    """Two languages of thousands of letters each, from one range: they are told apart, and so is an unknown script."""
+    r = random.Random(3)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 6000)]
+    r.shuffle(letters)
+    first, second = letters[:3000], letters[3000:]
+    pairs = {c: r.choice(first) for c in first} | {c: r.choice(second) for c in second}
+
+    def text(own, n):
+        return "".join(c + pairs[c] for c in (r.choice(own) for _ in range(n)))
+
+    model = language_id.learn({"a": [text(first, 6000)], "b": [text(second, 6000)]})
+    codes = language_id.code_table(model["alphabet"])
+    assert len(model["alphabet"]) > 5000 and sum(x.nbytes for table in model["tables"] for x in table) < 3_000_000
+    texts = [text(own, 200) for own in (first, second) * 5]
+    assert [x for x, _ in language_id.identify(texts, model, codes)] == ["a", "b"] * 5
+    unknown = language_id.encode("\u0e01\u0e02\u0e03" * 50, codes)
+    assert language_id.count_phrases([unknown], model).tolist() == [[150], [150]]
