@@ -6,6 +6,9 @@ logarithm of the length of the text that it is found in, so a language's cost is
 smallest wins.  Many documents are parsed at once: a step moves all of them on by one letter in a numpy table.
 """
 
+import re
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
@@ -13,14 +16,16 @@ from pyspark.sql import functions as F
 
 from lanternstats.llm.common import is_in_fold, ship, slices
 
-#: Bounds of what is learnt from: documents per language, first characters of each, letters per language.
+#: Bounds of what is learnt from: documents per language, letters (with gaps) per language.
 SAMPLE_DOCS = 64
-SAMPLE_CHARS = 4_000
 TRAIN_LETTERS = 24_000
+#: A document that is longer than its share gives stretches of about so many letters from all over its text.
+SAMPLE_STRETCH = 128
 #: A document is parsed in stretches of so many letters; a phrase ends where a stretch ends.
 STRETCH = 2_048
 _GAP, _RARE = 0, 1
 _SALTS = 16
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def code_table(alphabet):
@@ -38,6 +43,39 @@ def encode(text, codes):
     return out[keep]
 
 
+def letters_of(text):
+    """Lower-cased words of a text with one gap between."""
+    return _NO_LETTERS.sub(" ", text.lower()).strip()
+
+
+def shares(lengths, bound=TRAIN_LETTERS):
+    """Letters to take of texts of these lengths: all of the short ones, what they leave goes to the longer ones."""
+    out, left = [0] * len(lengths), bound
+    for k, i in enumerate(sorted(range(len(lengths)), key=lambda i: lengths[i])):
+        # A gap follows each text.
+        out[i] = max(min(lengths[i], left // (len(lengths) - k) - 1), 0)
+        left -= out[i] + (out[i] > 0)
+    return out
+
+
+def spread(text, share):
+    """At most ``share`` letters of ``letters_of`` a text: the whole, or a stretch of each of equal parts of it.
+
+    Where in its part a stretch begins is chosen by a hash of the text.
+    """
+    if len(text) <= share:
+        return text
+    if share <= 0:
+        return ""
+    parts = -(-share // SAMPLE_STRETCH)
+    size, seed, out = (share - parts + 1) // parts, zlib.crc32(text.encode("utf-8", "replace")), []
+    for k in range(parts):
+        low, high = len(text) * k // parts, len(text) * (k + 1) // parts - size
+        at = low + zlib.crc32(k.to_bytes(8, "big"), seed) % max(high - low + 1, 1)
+        out.append(text[at : at + size])
+    return " ".join(out)
+
+
 def suffix_automaton(letters):
     """Transitions of the automaton of all substrings of ``letters``: a list of {letter: state}."""
     step, link, size, last = [{}], [-1], [0], 0
@@ -129,16 +167,18 @@ def parse_table(letters, width):
 
 def learn(texts_by_language, train_letters=TRAIN_LETTERS):
     """The model: languages, all letters of their texts, parse tables and the cost of a phrase for each language."""
-    letters = sorted({c for texts in texts_by_language.values() for text in texts for c in text.lower() if c.isalpha()})
+    chosen = {}
+    for language, texts in texts_by_language.items():
+        texts = [x for x in map(letters_of, texts) if x]
+        chosen[language] = [spread(x, n) for x, n in zip(texts, shares(list(map(len, texts)), train_letters))]
+    letters = sorted({c for texts in chosen.values() for text in texts for c in text if c.isalpha()})
     codes = code_table(letters)
     model = {"languages": [], "alphabet": letters, "tables": [], "cost": [], "width": len(letters) + 2}
-    for language in sorted(texts_by_language):
-        parts = [x for x in (encode(t, codes) for t in texts_by_language[language]) if len(x)]
+    for language in sorted(chosen):
+        parts = [x for x in (encode(t, codes) for t in chosen[language]) if len(x)]
         if not parts:
             continue
-        # Every document gives an equal share, until the bound is reached.
-        share = max(1, -(-train_letters // len(parts)))
-        joined = np.concatenate([np.append(x[:share], _GAP) for x in parts])[:train_letters].astype(np.int64)
+        joined = np.concatenate([np.append(x, _GAP) for x in parts])[:train_letters].astype(np.int64)
         model["languages"].append(language)
         model["tables"].append(parse_table(joined, model["width"]))
         model["cost"].append(float(np.log2(len(joined) + 1)))
@@ -185,10 +225,11 @@ def identify(texts, model, codes):
     return [(model["languages"][b], float(s)) if ok else ("und", 0.0) for b, s, ok in zip(best, share, has_letter)]
 
 
-def training_texts(df, id_col, text_col, lang_col, fold, docs=SAMPLE_DOCS, chars=SAMPLE_CHARS):
+def training_texts(df, id_col, text_col, lang_col, fold, docs=SAMPLE_DOCS, train_letters=TRAIN_LETTERS):
     """Texts by language: of each language so many documents with the smallest hashes, outside the fold.
 
-    The hashes are ranked within parts of a language, so no task sees all its documents.
+    The hashes are ranked within parts of a language, so no task sees all its documents.  The tasks first tell how
+    long the texts are, then send each text's share of the letters, so that no whole long text is sent.
     """
     rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     if fold:
@@ -199,9 +240,30 @@ def training_texts(df, id_col, text_col, lang_col, fold, docs=SAMPLE_DOCS, chars
     ids = sorted({r[0] for r in chosen})
     if not ids:
         return {}
-    found = rows.where(F.col(id_col).isin(ids)).select(lang_col, id_col, F.substring(text_col, 1, chars)).collect()
+    found = rows.where(F.col(id_col).isin(ids)).select(F.col(lang_col).cast("string"), F.col(id_col).cast("string"), text_col)
+
+    def taken(share):
+        def run(batches):
+            for batch in slices(batches):
+                out = []
+                for language, i, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    text = letters_of(text)
+                    out.append((language, i, len(text), spread(text, share.get((language, i, len(text)), 0))))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.int64(), pa.string()))],
+                    names=["lang", "id", "n", "text"],
+                )
+
+        return found.mapInArrow(run, "lang string, id string, n long, text string").where("n > 0").collect()
+
+    sizes = {}
+    for r in taken({}):
+        sizes.setdefault(r["lang"], []).append((r["id"], r["n"]))
+    share = {}
+    for language, of in sizes.items():
+        share |= {(language, *x): n for x, n in zip(of, shares([n for _, n in of], train_letters))}
     texts = {}
-    for language, _, text in sorted(found, key=lambda r: (str(r[1]), r[2])):
+    for language, _, _, text in sorted(taken(share), key=lambda r: (r["id"], r["text"])):
         texts.setdefault(language, []).append(text)
     return texts
 

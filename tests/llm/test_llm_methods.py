@@ -329,3 +329,25 @@ def test_every_letter_of_the_training_text_counts():
     assert [x for x, _ in language_id.identify(texts, model, codes)] == ["a", "b"] * 5
     unknown = language_id.encode("\u0e01\u0e02\u0e03" * 50, codes)
     assert language_id.count_phrases([unknown], model).tolist() == [[150], [150]]
+
+
+def test_training_letters_come_from_the_whole_texts(spark):
+    """Documents that all open with one long banner: the languages are learnt from their bodies."""
+    assert language_id.shares([10, 5000, 100_000], 1000) == [10, 493, 494]
+    r = random.Random(5)
+    words = {x: ["".join(r.choice(x) for _ in range(5)) for _ in range(300)] for x in ("abcdef", "efghij")}
+    banner = " ".join("".join(r.choice("klmnopqrs") for _ in range(6)) for _ in range(900))
+    assert len(banner) > 4_000
+    rows = [
+        (i, banner + " " + " ".join(r.choice(of) for _ in range(3_000)), x)
+        for i, (x, of) in enumerate(list(words.items()) * 4)
+    ]
+    docs = spark.createDataFrame([*rows, (98, "abc", "abcdef")], "doc_id long, text string, lang string")
+    found = language_id.training_texts(docs, "doc_id", "text", "lang", None)
+    for language, texts in found.items():
+        assert 0.97 * language_id.TRAIN_LETTERS < sum(map(len, texts)) <= language_id.TRAIN_LETTERS
+        assert sum(set(w) <= set(language) for t in texts for w in t.split()) > 0.5 * sum(len(t.split()) for t in texts)
+    model = language_id.learn(found)
+    codes = language_id.code_table(model["alphabet"])
+    bodies = [" ".join(r.choice(of) for _ in range(50)) for of in words.values()]
+    assert [x for x, _ in language_id.identify(bodies, model, codes)] == list(words)
