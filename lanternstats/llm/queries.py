@@ -1,6 +1,6 @@
 """Registered queries of this folder; each applies its operator to the whole of its table."""
 
-from lanternstats.llm import decontaminate, filter_audit, language_id, lattice_lm, lexical_search, mixing, near_duplicates, quality_bands, secrets, token_counts, toxicity, warc_zstd
+from lanternstats.llm import decontaminate, filter_audit, language_id, lattice_lm, lexical_search, mixing, near_duplicates, ngram_join, quality_bands, secrets, token_counts, toxicity, warc_zstd
 from lanternstats.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op10_warc_zstd(spark, folder):
     return warc_zstd.round_trip(table(spark, folder, "pages"))
 
 
+def op11_ngram_join(spark, folder):
+    return ngram_join.ngram_join(table(spark, folder, "documents"))
+
+
 def op12_lexical_search(spark, folder):
     return lexical_search.lexical_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -68,6 +72,7 @@ QUERIES = {
         op8_language_id,
         op9_near_duplicates,
         op10_warc_zstd,
+        op11_ngram_join,
         op12_lexical_search,
         op13_filter_audit,
     )
