@@ -6,16 +6,20 @@ of their prefixes meet in its bucket.  There they are asked for a common member
 orders, and only pairs that pass all of them are verified.
 
 How rare an n-gram is comes from a table of a fixed number of cells which counts the n-grams of all documents; any
-order is right, and one by cells needs no count for each n-gram.  Documents with equal sets are one class.  Buckets
-with the same members are one bucket.  Every class is first verified with the classes that lead its buckets, the
-best one of them; what is still apart in a bucket afterwards meets in blocks inside tasks, on fingerprints of the
-sets, and only links come out.
+order is right, and one by cells needs no count for each n-gram.  Documents with equal sets are one class.
+
+Sizes say how many members of their prefixes two similar sets share at least, so a class stays only in as many of
+its first buckets as a partner needs to be met.  Buckets with the same members are one bucket.  In large buckets
+every class first asks the class that leads most of its buckets; what is still apart in a bucket then meets in blocks inside
+tasks, on fingerprints of the sets, and only as many pairs come out as join what belongs together.  Those are
+verified on the full sets; if one of them fails, the blocks are asked again without it.
 """
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lanternstats.llm.common import ship, slices, stored, workspace
@@ -30,6 +34,8 @@ FILTER_BITS = 27
 PIECES = 64
 #: Documents of a bucket that meet as many others in a task at a time.
 BLOCK = 256
+#: In buckets of more members than this, all of them ask the leader before they ask each other.
+LEAD = 32
 #: Bits of a fingerprint, and the factors that shuffle fingerprints into the further orders.
 FINGERPRINT = 24
 ORDERS = (0x9E3779B1, 0x85EBCA6B)
@@ -58,7 +64,13 @@ def _cell(hashes, bits):
 
 
 def _pack(part):
-    return zstandard.ZstdCompressor(level=1).compress(part.tobytes())
+    """A piece in as few bytes a cell as hold it, which the first byte tells."""
+    part = part.astype(np.min_scalar_type(int(part.max())))
+    return bytes([part.itemsize]) + zstandard.ZstdCompressor(level=1).compress(part.tobytes())
+
+
+def _unpack(packed):
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), f"u{packed[0]}")
 
 
 def sketch(df, id_col, text_col, words, bits=COUNT_BITS):
@@ -109,7 +121,7 @@ def _merged(pieces, finish):
         place, total = None, None
         for batch in slices(batches, 16):
             for k, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                part = zstandard.ZstdDecompressor().decompress(packed)
+                part = _unpack(packed)
                 if k != place:
                     if place is not None:
                         yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([finish(total, None)])], names=["piece", "cells"])
@@ -128,8 +140,7 @@ def ranks(pieces, bits=COUNT_BITS):
     def finish(total, part):
         if part is None:
             return np.minimum(255, np.floor(8 * np.log2(total + 1.0))).astype(np.uint8).tobytes()
-        part = np.frombuffer(part, np.uint32).astype(np.uint64)
-        return part if total is None else total + part
+        return part.astype(np.uint64) if total is None else total + part
 
     found = _merged(pieces, finish)
     nothing = bytes((1 << bits) // PIECES)
@@ -153,7 +164,6 @@ def bitmap(hashes, bits=FILTER_BITS):
     def finish(total, part):
         if part is None:
             return total.tobytes()
-        part = np.frombuffer(part, np.uint8)
         return part if total is None else total | part
 
     found = _merged(hashes.mapInArrow(run, "piece int, counts binary"), finish)
@@ -189,40 +199,67 @@ def prefixes(df, id_col, text_col, words, similarity, rank, bits=COUNT_BITS):
     return df.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, fp1 long, fp2 long, prefix array<long>")
 
 
-def likely_members(classes, cells, bits=FILTER_BITS):
-    """(node, token) of the prefixes whose n-grams lie in the bitmap ``cells``."""
+def likely_members(prefixed, cells, bits=FILTER_BITS):
+    """(id, fp1, fp2, token) of the prefixes whose n-grams lie in the bitmap ``cells``."""
 
     def run(batches):
         for batch in slices(batches, 4_096):
-            column = batch.column(1)
+            column = batch.column(3)
             tokens = column.flatten().to_numpy()
             stay = np.flatnonzero(_in(cells, tokens.view(np.uint64), bits))
-            node = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(node[stay])), pa.array(tokens[stay])], names=["node", "token"])
+            row = pa.array(np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))[stay])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(row) for k in range(3)), pa.array(tokens[stay])], names=["id", "fp1", "fp2", "token"])
 
-    return classes.select("node", "prefix").mapInArrow(run, "node long, token long")
+    kind = prefixed.schema["id"].dataType.simpleString()
+    return prefixed.select("id", "fp1", "fp2", "prefix").mapInArrow(run, f"id {kind}, fp1 long, fp2 long, token long")
 
 
-def full_sets(df, id_col, text_col, owners, words, bits=FILTER_BITS):
-    """(node, shingles) of the classes in ``owners`` (id, fp1, fp2, node), from the rows of their owners."""
+def useful_members(members, similarity):
+    """(token, node): the members (token, node, n) of buckets that a partner can make it necessary to keep.
+
+    Sets of sizes x and y that reach the threshold share at least a = t (x + y) / (1 + t) members, so their prefixes
+    share at least r = a + 1 - max(t x, t y), each rounded up.  With r shared n-grams of the u that a class shares with any
+    other, the first one that it shares with the partner is among its first u - r + 1.
+    """
+    t, of = similarity
+    up = lambda x, d: F.floor((x + (d - 1)) / d).cast("long")
+    stats = members.groupBy("token").agg(F.count("*").alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi")).where("k > 1")
+    rows = members.join(stats, "token")
+    # In a bucket of two the partner's size is known.
+    other = F.col("lo") + F.col("hi") - F.col("n")
+    lo, hi = (F.when(F.col("k") == 2, other).otherwise(F.col(c)) for c in ("lo", "hi"))
+    rows = rows.withColumn("lo", F.greatest(lo, up(F.col("n") * t, of))).withColumn("hi", F.least(hi, F.floor(F.col("n") * of / t)))
+    least = lambda y: up((F.col("n") + y) * t, of + t) + 1 - F.greatest(up(F.col("n") * t, of), up(y * t, of))
+    rows = rows.withColumn("r", F.least(least(F.col("lo")), least(F.col("hi"))))
+    own = Window.partitionBy("node")
+    rows = rows.withColumn("u", F.count("*").over(own)).withColumn("at", F.row_number().over(own.orderBy("token")))
+    return rows.where("lo <= hi AND at <= u - r + 1").select("token", "node")
+
+
+def texts_of(df, id_col, text_col, owners, words, result, bits=FILTER_BITS):
+    """(node, ``result``) of the classes in ``owners`` (id, fp1, fp2, node), read from one row of each class.
+
+    ``result`` is "text", or "prints" for the fingerprints of its set.
+    """
     cells = bitmap(owners.select(F.xxhash64("id")), bits)
 
     def run(batches):
         shingles = Shingler(words)
         for batch in slices(batches):
-            at = np.flatnonzero(_in(cells, batch.column(2).to_numpy().view(np.uint64), bits))
-            some = batch.take(pa.array(at))
-            sets = [shingles(t) for t in some.column(1).to_pylist()]
+            some = batch.take(pa.array(np.flatnonzero(_in(cells, batch.column(2).to_numpy().view(np.uint64), bits))))
+            texts = some.column(1).to_pylist()
+            sets = [shingles(t) for t in texts]
             prints = [_prints(s) for s in sets]
+            last = pa.array(texts, pa.string()) if result == "text" else pa.array([fingerprints(s) for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [some.column(0), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1)), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["id", "fp1", "fp2", "shingles"],
+                [some.column(0), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1)), last], names=["id", "fp1", "fp2", result]
             )
 
     kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), text_col, F.xxhash64(F.col(id_col))).where(F.col("id").isNotNull())
-    rows = rows.mapInArrow(run, f"id {kind}, fp1 long, fp2 long, shingles binary")
-    return rows.join(owners, ["id", "fp1", "fp2"]).select("node", "shingles").dropDuplicates(["node"])
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_col, F.xxhash64(F.col(id_col)))
+    rows = rows.mapInArrow(run, f"id {kind}, fp1 long, fp2 long, {result} {'string' if result == 'text' else 'binary'}")
+    # A row that stands twice in the table comes twice; the copies are in one partition after the join.
+    return rows.join(owners, ["id", "fp1", "fp2"]).dropDuplicates(["id", "fp1", "fp2"]).select("node", result)
 
 
 class Sets:
@@ -286,48 +323,54 @@ class Sets:
 
 def fingerprints(shingles):
     """The members of a set in three bytes each."""
-    return np.frombuffer(shingles, np.uint64).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
-
-
-def with_fingerprints(sets):
-    def run(batches):
-        for batch in slices(batches, 1_024):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([fingerprints(s) for s in batch.column(1).to_pylist()], pa.binary())], names=["node", "prints"]
-            )
+    return shingles.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
-    return sets.mapInArrow(run, "node long, prints binary")
 
-
-def verified(pairs, sets, similarity):
+def verified(pairs, texts, words, similarity):
     """Pairs (a, b) with whether their full sets are similar enough."""
     t, of = similarity
 
     def run(batches):
+        shingles = Shingler(words)
         for batch in slices(batches, 128):
             good = []
             for x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3))):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                pair = Sets([fingerprints(x), fingerprints(y)], similarity)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if len(pair.candidates(0, np.array([1]))) else 0
+                x, y = shingles(x), shingles(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(of * both >= t * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(good, pa.bool_())], names=["a", "b", "linked"])
 
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long, linked boolean")
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
 
 
 def _labelled(members, labels):
     return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def leader_pairs(buckets, prints, similarity):
+    """Pairs (a, b) of a class and the leader of most of its buckets that may be linked; ``buckets``: (node, leader)."""
+    led = buckets.groupBy("node", "leader").agg(F.count("*").alias("weight"))
+    best = led.groupBy("node").agg(F.max_by("leader", F.struct("weight", "leader")).alias("token"))
+    best = best.withColumn("component", F.col("node"))
+    blocks = best.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    asks = best.join(blocks, "token").select(
+        "token", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("i"), "node", "component", F.lit(True).alias("asks")
+    )
+    asked = blocks.select(
+        "token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), F.col("token").alias("node"), F.col("token").alias("component"), F.lit(False).alias("asks")
+    )
+    cells = asks.unionByName(asked).withColumn("j", F.lit(0).cast("long")).withColumn("tokens", F.array("token")).withColumn("vain", F.array().cast("array<long>"))
+    return cell_pairs(cells.join(prints, "node"), similarity)
+
+
 def bucket_pairs(members, labels, prints, failed, similarity):
     """Pairs (a, b) of different components in a bucket that may be linked; if all are, no others need be looked at.
 
     In a bucket the largest component needs no comparison within.  The other members ask, in blocks, the blocks of
     all members; a pair of blocks meets in one task.  A pair that shares several buckets is compared in the first of
-    them only.  ``failed`` has pairs that were verified in vain.
+    them only.  ``failed`` has pairs, in both directions, that were verified in vain.
     """
     bucket = _labelled(members, labels)
     share = bucket.groupBy("token", "component").agg(F.count("*").alias("k"))
@@ -347,7 +390,14 @@ def bucket_pairs(members, labels, prints, failed, similarity):
     asks = bucket.where("component <> main").select(
         "token", "node", "component", F.lit(True).alias("asks"), every("blocks").alias("j"), deal("asking").alias("i")
     )
-    cells = asked.unionByName(asks).join(own, "node").select("token", "i", "j", "node", "component", "asks", "tokens", "vain", "prints")
+    return cell_pairs(asked.unionByName(asks).join(own, "node"), similarity)
+
+
+def cell_pairs(cells, similarity):
+    """Pairs (a, b) in the cells (token, i, j), of a member that asks and one that does not, which may be linked.
+
+    Only as many come out as join the members' components, should all of them be linked.
+    """
 
     def pairs_of(table):
         """Pairs in the cells of ``table``, whose rows are ordered by cell."""
@@ -390,6 +440,7 @@ def bucket_pairs(members, labels, prints, failed, similarity):
         if rest is not None and rest.num_rows:
             yield pairs_of(rest)
 
+    cells = cells.select("token", "i", "j", "node", "component", "asks", "tokens", "vain", "prints")
     return cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long")
 
 
@@ -407,45 +458,42 @@ def ngram_join(df, id_col="doc_id", text_col="text", words=WORDS, similarity=SIM
     rank = ranks(known.where("piece IS NOT NULL").select("piece", "counts"))
     sketches = known.where("piece IS NULL").select("id", "n", "fp1", "fp2")
     some = sketches.where("n > 0 AND id IS NOT NULL")
-    owners = some.groupBy("fp1", "fp2").agg(F.min("id").alias("id")).withColumn("node", F.monotonically_increasing_id())
+    owners = some.groupBy("fp1", "fp2").agg(F.min("id").alias("id"), F.min("n").alias("n")).withColumn("node", F.monotonically_increasing_id())
     owners = stored(owners, folder, "owners")
-    # A row that stands twice in the table comes twice here; repeated members of buckets are left out below.
-    classes = prefixes(df.where(F.col(id_col).isNotNull()), id_col, text_col, words, similarity, rank)
-    classes = stored(classes.join(owners, ["fp1", "fp2", "id"]).select("node", "prefix"), folder, "classes")
 
-    tokens = classes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
+    prefixed = prefixes(df.where(F.col(id_col).isNotNull()), id_col, text_col, words, similarity, rank)
+    prefixed = stored(prefixed, folder, "prefixes")
+    tokens = prefixed.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
     tokens = stored(tokens, folder, "tokens")
-    members = likely_members(classes, bitmap(tokens)).join(tokens, "token").distinct()
-    members = stored(members, folder, "all-members")
+    # Copies do not count, so a bucket may turn out to have one member.
+    members = likely_members(prefixed, bitmap(tokens)).join(owners, ["id", "fp1", "fp2"]).join(tokens, "token")
+    members = stored(members.select("token", "node", "n").distinct(), folder, "all-members")
+    members = stored(useful_members(members, similarity), folder, "useful-members")
     # Of buckets with the same members one is enough.
     same = members.groupBy("token").agg(
         F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.min("node").alias("leader")
     )
-    same = same.where("k > 1").groupBy("k", "x", "y").agg(F.min("token").alias("token"), F.min("leader").alias("leader"), F.count("*").alias("weight"))
-    buckets = stored(members.join(same.select("token", "leader", "weight"), "token"), folder, "members")
+    same = same.where("k > 1").groupBy("k", "x", "y").agg(F.min("token").alias("token"), F.min("leader").alias("leader"))
+    buckets = stored(members.join(same.select("token", "k", "leader"), "token"), folder, "buckets")
     members = buckets.select("token", "node")
-    wanted = owners.join(members.select("node").distinct(), "node", "left_semi")
-    sets = stored(full_sets(df, id_col, text_col, wanted, words), folder, "sets")
-    prints = stored(with_fingerprints(sets), folder, "prints")
-
-    # Each class is verified with the leader that it shares most n-grams with.
-    led = buckets.where("node <> leader").groupBy("node", "leader").agg(F.sum("weight").alias("weight"))
-    best = led.groupBy("node").agg(F.max_by("leader", F.struct("weight", "leader")).alias("leader"))
-    tried = stored(verified(best.select(F.col("leader").alias("a"), F.col("node").alias("b")), sets, similarity), folder, "tried-0")
-    labels, k = components(tried.where("linked"), f"{folder}/components-0"), 0
-    failed = tried.where("NOT linked").select("a", "b")
+
+    # Classes with fingerprints of their sets; and, from their owners' rows again, the texts of those to be verified.
+    of = lambda nodes: owners.drop("n").join(nodes.distinct(), "node", "left_semi")
+    prints = stored(texts_of(df, id_col, text_col, of(members.select("node")), words, "prints"), folder, "prints")
+    asked = stored(leader_pairs(buckets.where(f"k > {LEAD} AND node <> leader").select("node", "leader"), prints, similarity), folder, "asked-0")
+    labels, links, failed, k = components(asked, f"{folder}/components-0"), asked.limit(0), asked.limit(0), 0
     while True:
         k += 1
         both = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        asked = bucket_pairs(members, labels, prints, both, similarity)
-        tried = stored(verified(asked, sets, similarity), folder, f"tried-{k}")
-        if tried.isEmpty():
-            break
-        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(tried.where("linked").select("a", "b"))
+        asked = stored(asked.unionByName(bucket_pairs(members, labels, prints, both, similarity)), folder, f"asked-{k}")
+        nodes = asked.select(F.explode(F.array("a", "b")).alias("node"))
+        texts = stored(texts_of(df, id_col, text_col, of(nodes), words, "text"), folder, f"texts-{k}")
+        tried = stored(verified(asked, texts, words, similarity), folder, f"tried-{k}")
+        links = links.unionByName(tried.where("linked").select("a", "b"))
         labels = components(links, f"{folder}/components-{k}")
         if tried.where("NOT linked").isEmpty():
             break
-        failed = failed.unionByName(tried.where("NOT linked").select("a", "b"))
+        failed, asked = failed.unionByName(tried.where("NOT linked").select("a", "b")), asked.limit(0)
 
     owned = _labelled(owners, labels)
     least = owned.groupBy("component").agg(F.min("id").alias("component_id"))
