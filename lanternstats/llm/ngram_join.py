@@ -29,7 +29,7 @@ WORDS = 5
 SIMILARITY = (80, 100)
 #: Cells of the table of counts, and of the bitmaps that keep most n-grams and rows without partners out of
 #: shuffles, as powers of two.  Both are sent to all tasks; their size does not depend on the data.
-COUNT_BITS = 24
+COUNT_BITS = 26
 FILTER_BITS = 27
 PIECES = 64
 #: Documents of a bucket that meet as many others in a task at a time.
@@ -77,11 +77,12 @@ def sketch(df, id_col, text_col, words, bits=COUNT_BITS):
     """(id, n, fp1, fp2) of each row; and at the end of each task (piece, counts): the cells of its n-grams."""
 
     def run(batches):
-        shingles, cells, waiting, held = Shingler(words), np.zeros(1 << bits, np.uint32), [], 0
+        shingles, cells, waiting, held = Shingler(words), np.zeros(1 << bits, np.uint8), [], 0
 
         def count():
             at, often = np.unique(_cell(np.concatenate(waiting), bits), return_counts=True)
-            cells[at] += often.astype(np.uint32)
+            # A cell that a single task fills is frequent enough.
+            cells[at] = np.minimum(cells[at] + often, 255).astype(np.uint8)
 
         for batch in slices(batches):
             rows = []
@@ -134,19 +135,26 @@ def _merged(pieces, finish):
     return {r.piece: bytes(r.cells) for r in rows}
 
 
-def ranks(pieces, bits=COUNT_BITS):
-    """How frequent the n-grams of each cell are, from 0 to 255."""
+def ranks(pieces, total, bits=COUNT_BITS):
+    """How frequent the n-grams of each cell are against the mean of ``total`` n-grams: two levels, 0 to 15, a byte."""
+    mean = total / (1 << bits)
 
     def finish(total, part):
         if part is None:
-            return np.minimum(255, np.floor(8 * np.log2(total + 1.0))).astype(np.uint8).tobytes()
+            level = np.clip(8 + np.floor(4 * np.log2((total + 1.0) / (mean + 1))), 0, 15).astype(np.uint8)
+            return (level[::2] << 4 | level[1::2]).tobytes()
         return part.astype(np.uint64) if total is None else total + part
 
     found = _merged(pieces, finish)
-    nothing = bytes((1 << bits) // PIECES)
+    nothing = bytes((1 << bits) // PIECES // 2)
     return np.frombuffer(b"".join(found.get(k, nothing) for k in range(PIECES)), np.uint8)
 
 
+def _rank(cells, hashes, bits):
+    at = _cell(hashes, bits)
+    return np.where(at & 1 == 0, cells[at >> 1] >> 4, cells[at >> 1] & 15)
+
+
 def bitmap(hashes, bits=FILTER_BITS):
     """Cells in which one of the 64-bit ``hashes`` (a frame of one column) lies, as packed bits."""
     width = (1 << bits) // PIECES
@@ -185,7 +193,7 @@ def prefixes(df, id_col, text_col, words, similarity, rank, bits=COUNT_BITS):
             for i, text in enumerate(batch.column(1).to_pylist()):
                 found = shingles(text)
                 if len(found):
-                    order = np.lexsort((found * np.uint64(0x9E3779B97F4A7C15), rank[_cell(found, bits)]))
+                    order = np.lexsort((found * np.uint64(0x9E3779B97F4A7C15), _rank(rank, found, bits)))
                     first = found[order[: prefix_length(len(found), similarity)]]
                     at.append(i)
                     rows.append((*_prints(found), first.view(np.int64)))
@@ -455,7 +463,8 @@ def ngram_join(df, id_col="doc_id", text_col="text", words=WORDS, similarity=SIM
     """
     folder = workspace(df.sparkSession)
     known = stored(sketch(df, id_col, text_col, words), folder, "sketches")
-    rank = ranks(known.where("piece IS NOT NULL").select("piece", "counts"))
+    total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rank = ranks(known.where("piece IS NOT NULL").select("piece", "counts"), total)
     sketches = known.where("piece IS NULL").select("id", "n", "fp1", "fp2")
     some = sketches.where("n > 0 AND id IS NOT NULL")
     owners = some.groupBy("fp1", "fp2").agg(F.min("id").alias("id"), F.min("n").alias("n")).withColumn("node", F.monotonically_increasing_id())
