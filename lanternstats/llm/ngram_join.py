@@ -28,9 +28,10 @@ from lanternstats.llm.near_duplicates import Shingler, components
 WORDS = 5
 SIMILARITY = (80, 100)
 #: Cells of the table of counts, and of the bitmaps that keep most n-grams and rows without partners out of
-#: shuffles, as powers of two.  Both are sent to all tasks; their size does not depend on the data.
+#: shuffles, as powers of two.  They are sent to all tasks in packed pieces; their size does not depend on the data.
 COUNT_BITS = 26
-FILTER_BITS = 27
+TOKEN_BITS = 26
+ROW_BITS = 24
 PIECES = 64
 #: Documents of a bucket that meet as many others in a task at a time.
 BLOCK = 256
@@ -113,9 +114,9 @@ def sketch(df, id_col, text_col, words, bits=COUNT_BITS):
 
 
 def _merged(pieces, finish):
-    """Pieces (piece, counts) of all tasks combined by ``finish(first, next)``, as bytes in the order of pieces.
+    """Pieces (piece, counts) of all tasks, combined by ``finish(so far, next)`` and ended by ``finish(all, None)``.
 
-    They are bounded by the size of the table, not by the data.
+    They stay packed, and are bounded by the size of the table, not by the data.
     """
 
     def run(batches):
@@ -125,16 +126,24 @@ def _merged(pieces, finish):
                 part = _unpack(packed)
                 if k != place:
                     if place is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([finish(total, None)])], names=["piece", "cells"])
+                        yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([_pack(finish(total, None))])], names=["piece", "cells"])
                     place, total = k, None
                 total = finish(total, part)
         if place is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([finish(total, None)])], names=["piece", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([_pack(finish(total, None))])], names=["piece", "cells"])
 
     rows = pieces.repartition(PIECES, "piece").sortWithinPartitions("piece").mapInArrow(run, "piece int, cells binary").collect()
     return {r.piece: bytes(r.cells) for r in rows}
 
 
+def _table(packed, size):
+    """A table of ``size`` bytes from its packed pieces; those left out are zero."""
+    table = np.zeros((PIECES, size // PIECES), np.uint8)
+    for k, piece in packed.items():
+        table[k] = _unpack(piece)
+    return table.reshape(-1)
+
+
 def ranks(pieces, total, bits=COUNT_BITS):
     """How frequent the n-grams of each cell are against the mean of ``total`` n-grams: two levels, 0 to 15, a byte."""
     mean = total / (1 << bits)
@@ -142,12 +151,10 @@ def ranks(pieces, total, bits=COUNT_BITS):
     def finish(total, part):
         if part is None:
             level = np.clip(8 + np.floor(4 * np.log2((total + 1.0) / (mean + 1))), 0, 15).astype(np.uint8)
-            return (level[::2] << 4 | level[1::2]).tobytes()
+            return level[::2] << 4 | level[1::2]
         return part.astype(np.uint64) if total is None else total + part
 
-    found = _merged(pieces, finish)
-    nothing = bytes((1 << bits) // PIECES // 2)
-    return np.frombuffer(b"".join(found.get(k, nothing) for k in range(PIECES)), np.uint8)
+    return _merged(pieces, finish)
 
 
 def _rank(cells, hashes, bits):
@@ -155,8 +162,8 @@ def _rank(cells, hashes, bits):
     return np.where(at & 1 == 0, cells[at >> 1] >> 4, cells[at >> 1] & 15)
 
 
-def bitmap(hashes, bits=FILTER_BITS):
-    """Cells in which one of the 64-bit ``hashes`` (a frame of one column) lies, as packed bits."""
+def bitmap(hashes, bits):
+    """Cells in which one of the 64-bit ``hashes`` (a frame of one column) lies, a bit each."""
     width = (1 << bits) // PIECES
 
     def run(batches):
@@ -171,11 +178,10 @@ def bitmap(hashes, bits=FILTER_BITS):
 
     def finish(total, part):
         if part is None:
-            return total.tobytes()
+            return total
         return part if total is None else total | part
 
-    found = _merged(hashes.mapInArrow(run, "piece int, counts binary"), finish)
-    return np.frombuffer(b"".join(found.get(k, bytes(width // 8)) for k in range(PIECES)), np.uint8)
+    return _merged(hashes.mapInArrow(run, "piece int, counts binary"), finish)
 
 
 def _in(cells, hashes, bits):
@@ -187,13 +193,13 @@ def prefixes(df, id_col, text_col, words, similarity, rank, bits=COUNT_BITS):
     """(id, fp1, fp2, prefix) of all rows with an n-gram: the first members under the order by rarity."""
 
     def run(batches):
-        shingles = Shingler(words)
+        shingles, cells = Shingler(words), _table(rank, (1 << bits) // 2)
         for batch in slices(batches):
             at, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 found = shingles(text)
                 if len(found):
-                    order = np.lexsort((found * np.uint64(0x9E3779B97F4A7C15), _rank(rank, found, bits)))
+                    order = np.lexsort((found * np.uint64(0x9E3779B97F4A7C15), _rank(cells, found, bits)))
                     first = found[order[: prefix_length(len(found), similarity)]]
                     at.append(i)
                     rows.append((*_prints(found), first.view(np.int64)))
@@ -207,10 +213,12 @@ def prefixes(df, id_col, text_col, words, similarity, rank, bits=COUNT_BITS):
     return df.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, fp1 long, fp2 long, prefix array<long>")
 
 
-def likely_members(prefixed, cells, bits=FILTER_BITS):
-    """(id, fp1, fp2, token) of the prefixes whose n-grams lie in the bitmap ``cells``."""
+def likely_members(prefixed, tokens, bits=TOKEN_BITS):
+    """(id, fp1, fp2, token) of the prefixes, of n-grams that may be among ``tokens``."""
+    packed = bitmap(tokens, bits)
 
     def run(batches):
+        cells = _table(packed, (1 << bits) // 8)
         for batch in slices(batches, 4_096):
             column = batch.column(3)
             tokens = column.flatten().to_numpy()
@@ -244,15 +252,15 @@ def useful_members(members, similarity):
     return rows.where("lo <= hi AND at <= u - r + 1").select("token", "node")
 
 
-def texts_of(df, id_col, text_col, owners, words, result, bits=FILTER_BITS):
+def texts_of(df, id_col, text_col, owners, words, result, bits=ROW_BITS):
     """(node, ``result``) of the classes in ``owners`` (id, fp1, fp2, node), read from one row of each class.
 
     ``result`` is "text", or "prints" for the fingerprints of its set.
     """
-    cells = bitmap(owners.select(F.xxhash64("id")), bits)
+    packed = bitmap(owners.select(F.xxhash64("id")), bits)
 
     def run(batches):
-        shingles = Shingler(words)
+        shingles, cells = Shingler(words), _table(packed, (1 << bits) // 8)
         for batch in slices(batches):
             some = batch.take(pa.array(np.flatnonzero(_in(cells, batch.column(2).to_numpy().view(np.uint64), bits))))
             texts = some.column(1).to_pylist()
@@ -475,7 +483,7 @@ def ngram_join(df, id_col="doc_id", text_col="text", words=WORDS, similarity=SIM
     tokens = prefixed.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
     tokens = stored(tokens, folder, "tokens")
     # Copies do not count, so a bucket may turn out to have one member.
-    members = likely_members(prefixed, bitmap(tokens)).join(owners, ["id", "fp1", "fp2"]).join(tokens, "token")
+    members = likely_members(prefixed, tokens).join(owners, ["id", "fp1", "fp2"]).join(tokens, "token")
     members = stored(members.select("token", "node", "n").distinct(), folder, "all-members")
     members = stored(useful_members(members, similarity), folder, "useful-members")
     # Of buckets with the same members one is enough.
