@@ -308,21 +308,25 @@ def server_digests(linked_servers, stored=None):
     return fresh.unionByName(stored.select(*keys, "server_digest").join(fresh, keys, "left_anti"))
 
 
-def write_batch(spark, root, statuses, servers, extras, status_key, mapping=None):
-    """Scrub and link one batch into Parquet tables below ``root``; every document is scrubbed once."""
+def write_batch(spark, root, batch, statuses, servers, extras, status_key, mapping=None):
+    """Scrub and link one batch into Parquet tables below ``root/batch=...``; every document is scrubbed once.
+
+    Each batch has a folder of its own, so ``mapping`` may be the table that an earlier one wrote.
+    """
     def written(name, frame):
-        frame.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+        path = f"{root}/batch={batch}/{name}"
+        frame.write.mode("overwrite").parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
 
     scrubbed_extras = written("extras", scrub_extras(extras))
     linked = written("servers", link_servers(scrub_servers(servers), scrubbed_extras, mapping))
     lines = written("status_lines", scrub_statuses(statuses, keep=status_key))
-    batch = _linked_batch(scrubbed_extras, linked, lines, status_key, mapping)
+    linked_batch = _linked_batch(scrubbed_extras, linked, lines, status_key, mapping)
     return {
         "extras": scrubbed_extras,
         "servers": linked,
-        "statuses": written("statuses", batch["statuses"]),
-        "mapping": written("mapping", batch["mapping"]),
+        "statuses": written("statuses", linked_batch["statuses"]),
+        "mapping": written("mapping", linked_batch["mapping"]),
     }
 
 

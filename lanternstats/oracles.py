@@ -257,6 +257,7 @@ _LINKED = f"""{_CUST}, linked AS (SELECT k, {_HASHED} AS bridge, {_PUBLISHED_TEX
   {_SERVER_KEPT} AS has_server, {_EXTRA_KEPT} AS has_extra FROM c),
  full_links AS (SELECT *, CASE WHEN has_server THEN
    sha1({_SCRUBBED_SERVER.format(digest='upper(extra_digest)')}) ELSE {_ZEROS} END AS server_digest FROM linked)"""
+_NOON = "TIMESTAMP '2010-02-01 12:00:00' + to_days(CAST(s.k % 14 AS INTEGER))"
 _STATUS_TEXT = f"""SELECT s.k AS doc_id, string_agg(concat('r Unnamed ', left(base64(unhex(s.bridge)), 27), ' ',
   left(base64(unhex(coalesce(f.server_digest, {_ZEROS}))), 27), ' 2010-02-0', 1 + s.m % 9, ' 0', s.m % 10, ':00:00 127.0.0.1 443 0', chr(10),
   's ', CASE WHEN (s.k + s.i) % 3 = 0 THEN 'Running ' ELSE '' END, 'Valid', chr(10)), '' ORDER BY s.i) AS scrubbed
@@ -611,6 +612,18 @@ WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT TIMESTAMP '2024-01-01' + to_days(CA
     "relink_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
     "resanitized_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
     "resanitized_servers": _with("SELECT k AS doc_id, bridge, published, extra_digest, server_digest FROM full_links WHERE has_server", _LINKED),
-    "rewritten_statuses": _with(_STATUS_TEXT, _LINKED, _BRIDGE_STATUS),
+    "late_extra_infos": _with("SELECT bridge, published, extra_digest, server_digest FROM full_links WHERE has_server", _LINKED),
+    "rewritten_statuses": _with(
+        _STATUS_TEXT.replace("f.server_digest", "CASE WHEN hit.noon IS NULL THEN e.early ELSE f.server_digest END").replace(
+            "WHERE s.k % 9", f"LEFT JOIN early e ON e.k = s.m LEFT JOIN hit ON hit.noon = {_NOON} WHERE s.k % 9"
+        ),
+        _LINKED, _BRIDGE_STATUS,
+        # Digests while only the extra-infos of even documents were there, and times of statuses near a change.
+        f"""early AS (SELECT k, published, server_digest, CASE WHEN has_server THEN
+   sha1({_SCRUBBED_SERVER.format(digest=f'CASE WHEN k % 2 = 0 THEN upper(extra_digest) ELSE {_ZEROS} END')}) ELSE {_ZEROS} END AS early FROM full_links)""",
+        f"""hit AS (SELECT DISTINCT noon FROM (SELECT DISTINCT {_NOON} AS noon FROM (SELECT o_orderkey AS k FROM orders) s) n
+ JOIN (SELECT DISTINCT CAST(published AS TIMESTAMP) AS changed FROM early WHERE early <> server_digest) c
+ ON changed <= noon AND changed >= noon - INTERVAL 24 HOUR)""",
+    ),
     **FILE_ORACLES,
 }

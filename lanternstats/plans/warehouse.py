@@ -60,21 +60,21 @@ def relay_facts(docs):
     }
 
 
-def _exists(spark, path):
+def exists(spark, path):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def stored_table(spark, path):
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    return spark.read.parquet(path) if exists(spark, path) else None
 
 
 def fact_table(spark, root, name):
     """A fact table with its fixed schema; empty before the first load."""
     schema = getattr(schemas, name.upper()) + ", date date"
     path = f"{root}/{'tables' if name in OVERWRITTEN else 'facts'}/{name}"
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -144,7 +144,7 @@ def upsert_table(spark, root, name, rows, key, time):
     schema = _schema_of(rows)
     dated(rows).write.mode("overwrite").parquet(f"{staging}/new")
     new = spark.read.schema(schema + (", date date" if added else "")).parquet(f"{staging}/new")
-    if _exists(spark, path):
+    if exists(spark, path):
         stored = only_dates(spark.read.schema(new.schema).parquet(path), time, new.select("date"))
     else:
         stored = spark.createDataFrame([], new.schema)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lanternstats.file_queries import FILE_QUERIES
+from lanternstats.file_queries import FILE_QUERIES, scratch
 from lanternstats.fixtures import documents, tables, view
 from lanternstats.functions import digests, text as tx
 from lanternstats.functions.numbers import count_when
@@ -10,7 +10,7 @@ from lanternstats.operators import (
     bridges, completeness, descriptors, documents as docs_ops, health, intervals, ip_ranges,
     pseudonymise, statuses,
 )
-from lanternstats.plans import daily, health_report, keyed_tables, summaries
+from lanternstats.plans import bridge_store, daily, health_report, keyed_tables, summaries
 from lanternstats.sources import logs, sinks
 
 NOW = "2024-01-20 00:00:00"
@@ -512,24 +512,33 @@ def resanitized_servers(servers, extras):
     return again.select("doc_id", "bridge", "published", "extra_digest", "server_digest")
 
 
-def rewritten_statuses(statuses_, servers, extras):
-    """Statuses stored without their servers, written anew once those arrive."""
-    lines = pseudonymise.scrub_statuses(statuses_, keep=["doc_id", "day"])
-    infos = pseudonymise.scrub_extras(extras)
-    linked = pseudonymise.link_servers(pseudonymise.scrub_servers(servers), infos)
-    none = pseudonymise.server_digests(linked).where("false")
-    early = pseudonymise.link_statuses(lines, none, ["doc_id", "day"])
-    # Every stored status lies in the 24 hours after some late descriptor.
-    stored = early.select(
-        "doc_id", F.to_timestamp_ntz(F.lit("2010-02-05 12:00:00")).alias("validafter"), F.col("scrubbed").alias("text")
-    )
-    changed = linked.select(F.to_timestamp_ntz("published").alias("published")).where("published <= TIMESTAMP_NTZ'2010-02-05 12:00:00'")
-    return pseudonymise.rewrite_statuses(stored, changed, pseudonymise.reference_mapping(linked, infos), ["doc_id"])
+def _late_batches(spark, sf_dir):
+    """A store to which the extra-infos of odd documents come late, after all servers and statuses."""
+    root = scratch(spark)
+    status_docs, servers, extras = (documents(spark, sf_dir, n) for n in ("bridge_status_docs", "bridge_server_docs", "bridge_extra_docs"))
+    noon = F.lit("2010-02-01 12:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.pmod(F.col("doc_id"), F.lit(14)).cast("int"))
+    statuses_ = status_docs.select(F.col("doc_id").cast("string").alias("status"), noon.alias("validafter"), "text")
+    bridge_store.apply_batch(spark, root, 1, statuses_, servers, extras.where("doc_id % 2 = 0"))
+    bridge_store.apply_batch(spark, root, 2, extras=extras.where("doc_id % 2 <> 0"))
+    return root
 
 
-def resanitized_statuses(statuses_, servers, extras):
-    """Scrubbed documents go through the second form of the job unchanged."""
-    batch = pseudonymise.pseudonymise_batch(statuses_, servers, extras, ["doc_id"])
+def late_extra_infos(spark, sf_dir):
+    """Stored servers after late extra-infos: the same as if all had come together."""
+    found = bridge_store.read_table(spark, _late_batches(spark, sf_dir), "servers")
+    return found.select("bridge", "published", "extra_digest", "server_digest")
+
+
+def rewritten_statuses(spark, sf_dir):
+    """Stored statuses after late extra-infos: those of the 24 hours after a changed server are written anew."""
+    found = bridge_store.read_table(spark, _late_batches(spark, sf_dir), "statuses")
+    return found.select(F.col("status").cast("bigint").alias("doc_id"), "scrubbed")
+
+
+def resanitized_statuses(spark, sf_dir):
+    """Stored scrubbed documents go through the second form of the job unchanged."""
+    raw = [documents(spark, sf_dir, n) for n in ("bridge_status_docs", "bridge_server_docs", "bridge_extra_docs")]
+    batch = pseudonymise.write_batch(spark, scratch(spark), 1, *raw, ["doc_id"])
     lines = pseudonymise.sanitized_statuses(
         batch["statuses"].withColumnRenamed("scrubbed", "text"), keep=["doc_id"]
     )
@@ -636,11 +645,10 @@ QUERIES = {
     "relink_servers": _d(relink_servers, "bridge_server_docs", "bridge_extra_docs"),
     "reference_mapping": _d(reference_mapping, "bridge_server_docs", "bridge_extra_docs"),
     "relink_statuses": _d(relink_statuses, "bridge_status_docs", "bridge_server_docs", "bridge_extra_docs"),
-    "resanitized_statuses": _d(
-        resanitized_statuses, "bridge_status_docs", "bridge_server_docs", "bridge_extra_docs"
-    ),
+    "resanitized_statuses": resanitized_statuses,
     "resanitized_servers": _d(resanitized_servers, "bridge_server_docs", "bridge_extra_docs"),
-    "rewritten_statuses": _d(rewritten_statuses, "bridge_status_docs", "bridge_server_docs", "bridge_extra_docs"),
+    "rewritten_statuses": rewritten_statuses,
+    "late_extra_infos": late_extra_infos,
     # sources and sinks
     **FILE_QUERIES,
 }

@@ -150,6 +150,6 @@ def test_long_members_drop_the_document(docs):
 def test_written_batch(docs, spark, tmp_path):
     """The job that writes its tables gives what the batch in one plan gives."""
     args = (docs(STATUS), docs(SERVER), docs(EXTRA), ["doc"])
-    plain, written = ps.pseudonymise_batch(*args), ps.write_batch(spark, str(tmp_path), *args)
+    plain, written = ps.pseudonymise_batch(*args), ps.write_batch(spark, str(tmp_path), 1, *args)
     for name, frame in plain.items():
         assert sorted(map(str, written[name].select(frame.columns).collect())) == sorted(map(str, frame.collect())), name
