@@ -44,7 +44,7 @@ def choose_version(lookups, ranges, day, days_earlier=0):
     return bind(dated, version=chosen).drop("_known", "_wanted")
 
 
-def _pieces(ranges):
+def disjoint_pieces(ranges):
     """Ranges cut at block borders, disjoint within a version: the later start wins."""
     blocks = F.explode(F.sequence(F.shiftright("from_ip", BLOCK_BITS), F.shiftright("to_ip", BLOCK_BITS)))
     cut = ranges.select("version", "from_ip", "to_ip", "country", blocks.alias("block")).select(
@@ -80,7 +80,7 @@ def lookup_country(lookups, ranges, fill_gaps=False, any_case=False):
             segments.select("from_ip", "version", "country"), ["from_ip", "version"]
         ).select("version", "block", "ip", "country")
     else:
-        found = _resolve(asked, _pieces(ranges))
+        found = _resolve(asked, disjoint_pieces(ranges))
     rows = keyed.join(found, ["version", "block", "ip"], "left")
     country = F.col("country")
     unresolved = (F.lower(country) if any_case else country).isin(UNRESOLVED)
@@ -169,7 +169,7 @@ def overlay_ranges(ranges):
         "to_ip", F.col("from_ip").alias("ip"),
         F.shiftright("from_ip", BLOCK_BITS).alias("block"), F.explode(versions).alias("version"),
     )
-    covered = _resolve(asked.select("version", "block", "ip").distinct(), _pieces(ranges))
+    covered = _resolve(asked.select("version", "block", "ip").distinct(), disjoint_pieces(ranges))
     return (
         segments.join(
             covered.where("country IS NOT NULL").select(F.col("ip").alias("from_ip"), "version", "country"),

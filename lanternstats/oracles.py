@@ -330,6 +330,13 @@ _STALE_SIZES = "SELECT date, avg_running + 1000 AS avg_running, " + ", ".join(
 ) + f" FROM ({_network_size()}) z"
 _HALF_STATUS = "half AS (SELECT * FROM dirty_status WHERE day(validafter) % 2 = 0)"
 
+_OVERLAY = _with(
+    "SELECT s.from_ip AS from_ip, s.to_ip AS to_ip, " + ", ".join(
+        f"coalesce(max(CASE WHEN r.version = '{v}' THEN r.country END), 'ZZ') AS v{v}"
+        for v in ("20100101", "20100102", "20100103")
+    ) + " FROM segments s JOIN v_ip_ranges r ON s.from_ip BETWEEN r.from_ip AND r.to_ip GROUP BY 1, 2",
+    _SEGMENTS,
+)
 ORACLES = {
     "relay_statuses_per_day": _with("SELECT * FROM per_day", _PER_DAY),
     "network_size": _with(_network_size(), _PER_DAY),
@@ -586,13 +593,9 @@ FROM asked a ASOF LEFT JOIN (FROM segments g SEMI JOIN v_ip_ranges r ON g.from_i
   WHERE version <= strftime(strptime(day, '%Y%m%d') - INTERVAL 7 DAY, '%Y%m%d')), (SELECT min(version) FROM versions)) AS version_week
 FROM asked""", _RANGES_BY_VERSION
     ),
-    "ip_overlay": _with(
-        "SELECT s.from_ip AS from_ip, s.to_ip AS to_ip, " + ", ".join(
-            f"coalesce(max(CASE WHEN r.version = '{v}' THEN r.country END), 'ZZ') AS v{v}"
-            for v in ("20100101", "20100102", "20100103")
-        ) + " FROM segments s JOIN v_ip_ranges r ON s.from_ip BETWEEN r.from_ip AND r.to_ip GROUP BY 1, 2",
-        _SEGMENTS,
-    ),
+    "ip_overlay": _OVERLAY,
+    "stored_overlay": _OVERLAY,
+    "ip_country_stored": _with(_IP_COUNTRY, _RANGES_BY_VERSION),
     "statuses_to_rewrite": """SELECT DISTINCT date_trunc('hour', ts) AS validafter, event_id AS status FROM events e
 WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT TIMESTAMP '2024-01-01' + to_days(CAST(o_custkey % 20 * 3 AS INTEGER))
   + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS published FROM orders) p

@@ -10,7 +10,7 @@ from lanternstats.operators import (
     bridges, completeness, descriptors, documents as docs_ops, health, intervals, ip_ranges,
     pseudonymise, statuses,
 )
-from lanternstats.plans import bridge_store, daily, health_report, keyed_tables, summaries
+from lanternstats.plans import bridge_store, daily, health_report, keyed_tables, overlay_store, summaries
 from lanternstats.sources import logs, sinks
 
 NOW = "2024-01-20 00:00:00"
@@ -462,6 +462,24 @@ def ip_overlay(ranges):
     return ip_ranges.overlay_table(ranges)
 
 
+def _stored_overlay(spark, sf_dir):
+    """A stored overlay to which the versions of the ranges were added one by one."""
+    root = scratch(spark)
+    overlay_store.add_versions(spark, root, view(spark, sf_dir, "v_ip_ranges"))
+    return root
+
+
+def stored_overlay(spark, sf_dir):
+    return overlay_store.overlay_table(spark, _stored_overlay(spark, sf_dir))
+
+
+def ip_country_stored(spark, sf_dir):
+    """The lookup of ``ip_country`` in the stored overlay."""
+    marks = overlay_store.read_marks(spark, _stored_overlay(spark, sf_dir))
+    lookups = ip_ranges.choose_version(view(spark, sf_dir, "v_ips"), view(spark, sf_dir, "v_ip_ranges"), "day")
+    return overlay_store.lookup_country(lookups, marks).select("req_id", "version", "country")
+
+
 def statuses_to_rewrite(spark, sf_dir):
     tables(spark, sf_dir, "events", "orders")
     events = spark.sql("SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS validafter, event_id AS status FROM events")
@@ -649,6 +667,8 @@ QUERIES = {
     "resanitized_servers": _d(resanitized_servers, "bridge_server_docs", "bridge_extra_docs"),
     "rewritten_statuses": rewritten_statuses,
     "late_extra_infos": late_extra_infos,
+    "stored_overlay": stored_overlay,
+    "ip_country_stored": ip_country_stored,
     # sources and sinks
     **FILE_QUERIES,
 }
