@@ -5,6 +5,8 @@ character, cut into lines or blocks with array functions and exploded only
 into result rows.  No shuffle is needed to parse a document.
 """
 
+import re
+
 from pyspark.sql import functions as F
 
 TIME_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
@@ -61,6 +63,21 @@ def last_value(line_array, keyword):
     return F.substring(last(starting(line_array, keyword)), len(keyword) + 1, 2147483647)
 
 
+def held(line_array, keyword, value=lambda line: line):
+    """For each line, ``value`` of the last line up to it that starts with ``keyword``; null before the first.
+
+    The lines are cut into stretches that begin with such a line, and each stretch repeats its value for its
+    lines, so the work grows with the lines.  Lines hold no line feeds.
+    """
+    stretches = F.split(F.array_join(line_array, "\n"), "\n(?=" + re.escape(keyword) + ")")
+
+    def repeated(stretch):
+        head = F.substring_index(stretch, "\n", 1)
+        return F.array_repeat(F.when(head.startswith(keyword), value(head)), F.size(F.split(stretch, "\n")))
+
+    return F.flatten(F.transform(stretches, repeated))
+
+
 def field(line, number, separator=" "):
     """0-based field of a line; null if it is absent."""
     return F.try_element_at(F.split(line, separator), F.lit(number + 1))

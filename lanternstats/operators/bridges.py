@@ -53,10 +53,13 @@ def _state(docs, keywords):
     """Relevant lines with, for each, the last earlier line of every keyword in ``keywords``."""
     relevant = tx.starting(tx.lines(F.col("text")), *keywords, "geoip-client-origins", "bridge-ips")
     cut = tx.bind(docs, _all=relevant)
-    before = lambda i, keyword: tx.last(tx.starting(F.slice("_all", F.lit(1), i + 1), keyword))
+    name = lambda keyword: "_" + keyword.strip()
+    cut = tx.bind(cut, **{name(k): tx.held(F.col("_all"), k) for k in keywords})
     seen = F.transform(
         "_all",
-        lambda line, i: F.struct(line.alias("line"), *[before(i, k).alias(k.strip()) for k in keywords]),
+        lambda line, i: F.struct(
+            line.alias("line"), *[F.try_element_at(F.col(f"`{name(k)}`"), i + 1).alias(k.strip()) for k in keywords]
+        ),
     )
     # A list without its header lines ends the document.
     return tx.bind(cut, _seen=seen).withColumn("_seen", tx.before_first(F.col("_seen"), _lacks_header))

@@ -89,17 +89,19 @@ def _statistics_lines(docs, keep):
         tx.lines(F.col("text")), "published ", *[k + " " for k in HISTORY_COLUMNS],
         "dirreq-stats-end ", "dirreq-v3-reqs ",
     )
-    before = lambda i, keyword: tx.last(tx.starting(F.slice("_all", F.lit(1), i + 1), keyword))
+    cut = tx.bind(docs, _all=relevant)
+    cut = tx.bind(
+        cut,
+        _published=tx.held(F.col("_all"), "published ", lambda line: tx.timestamp(F.substring(line, 11, 19))),
+        _header=tx.held(F.col("_all"), "dirreq-stats-end "),
+    )
+    at = lambda column, i: F.try_element_at(F.col(column), i + 1)
     known = F.transform(
         "_all",
         lambda line, i: F.struct(
-            line.alias("line"),
-            i.alias("line_no"),
-            tx.timestamp(F.substring(before(i, "published "), 11, 19)).alias("published"),
-            before(i, "dirreq-stats-end ").alias("header"),
+            line.alias("line"), i.alias("line_no"), at("_published", i).alias("published"), at("_header", i).alias("header")
         ),
     )
-    cut = tx.bind(docs, _all=relevant)
     cut = tx.bind(cut, _known=known)
     cut = tx.bind(
         cut,
@@ -245,12 +247,14 @@ def explode_countries(observations, value_name, zero):
     """
     keep = [c for c in observations.columns if c != "_obs"]
     total = F.aggregate("_obs", zero, lambda acc, o: acc + o["n"])
-    last_of_country = F.filter(
-        F.col("_obs"),
-        lambda o, i: ~F.exists(
-            F.slice("_obs", i + 2, F.size("_obs")), lambda later: later["country"] == o["country"]
-        ) & (o["country"] != "zy"),
+    # Sorted by country, the last count of each first.
+    by_country = F.array_sort(
+        F.transform("_obs", lambda o, i: F.struct(o["country"].alias("country"), (-i).alias("at"), o["n"].alias("n")))
     )
+    observations = tx.bind(observations, _sorted=by_country)
+    before = lambda i: F.try_element_at(F.col("_sorted"), F.greatest(i, F.lit(1)))["country"]
+    firsts = F.filter("_sorted", lambda o, i: (o["country"] != "zy") & ((i == 0) | ~o["country"].eqNullSafe(before(i))))
+    last_of_country = F.transform(firsts, lambda o: F.struct(o["country"].alias("country"), o["n"].alias("n")))
     rows = F.concat(
         last_of_country,
         F.array(F.struct(F.lit("zy").alias("country"), total.alias("n"))),
