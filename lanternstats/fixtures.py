@@ -126,7 +126,7 @@ _ENTRY = (
 # Header lines of a status that votes and consensuses are compared by.  Both engines can build this text.
 HEALTH_LINES = """CASE WHEN k % 4 <> 0 THEN concat('client-versions 0.2.', k % 3, chr(10)) ELSE '' END,
  CASE WHEN k % 5 <> 0 THEN concat('server-versions 0.2.', k % 2, chr(10)) ELSE '' END,
- CASE WHEN k % 6 <> 0 THEN concat('params circwindow=', k % 2, CASE WHEN k % 7 = 0 THEN ' bogus=1' ELSE '' END, chr(10)) ELSE '' END,
+ CASE WHEN k % 6 <> 0 THEN concat('params circwindow=', CASE WHEN k % 4 = 1 THEN 10 ELSE k % 2 END, CASE WHEN k % 7 = 0 THEN ' bogus=1' ELSE '' END, chr(10)) ELSE '' END,
  CASE WHEN k % 9 <> 0 THEN concat('dir-key-expires 2024-02-', lpad(CAST(1 + k % 28 AS {S}), 2, '0'), ' 00:00:00', chr(10)) ELSE '' END"""
 
 # One network status per order: a vote for every third key, some with CRLF line ends, otherwise a consensus.
@@ -138,10 +138,10 @@ SELECT k AS doc_id, replace(concat(
  CASE WHEN k % 3 = 1 THEN concat('consensus-methods 1 10 ', CAST(k % 12 AS STRING), chr(10))
   ELSE concat('consensus-method ', CAST(k % 12 AS STRING), chr(10)) END,
  {HEALTH_LINES.format(S='STRING')}, 'known-flags Exit Fast Running', chr(10),
- 'dir-source a', k % 8, ' FP', k % 8, ' 10.0.0.1 80 443', chr(10), 'contact somebody', chr(10),
- CASE WHEN k % 3 <> 1 THEN concat('vote-digest D', k, chr(10), 'dir-source b', k % 8, ' GP', k % 8,
+ 'dir-source a', k % 8, ' FP', (k + 1 - k % 3) % 8, ' 10.0.0.1 80 443', chr(10), 'contact somebody', chr(10),
+ CASE WHEN k % 3 <> 1 THEN concat('vote-digest D', k DIV 8 % 2, chr(10), 'dir-source b', k % 8, ' GP', k % 8,
   ' 10.0.0.2 80 443', chr(10), 'contact nobody', chr(10),
-  CASE WHEN k % 2 = 0 THEN concat('vote-digest E', k, chr(10)) ELSE '' END)
+  CASE WHEN k % 2 = 0 THEN concat('vote-digest E', k DIV 8 % 2, chr(10)) ELSE '' END)
   ELSE concat('fingerprint KP', k % 8, chr(10)) END,
  array_join({_ENTRY}, ''), 'directory-signature x', chr(10)),
  chr(10), CASE WHEN k % 3 = 1 AND k % 5 = 2 THEN concat(chr(13), chr(10)) ELSE chr(10) END) AS text

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 DAY_HOURS = 24
+VOTE_KEY = ("dirsource", "digest")
 
 
 def last_documents(docs, time, count=3):
@@ -54,32 +55,48 @@ def archive_completeness(references, servers, extras, by):
     )
 
 
-def vote_completeness(vote_references, votes, by):
-    """Found and referenced votes per consensus; both sides have ``by`` and ``dirsource``."""
-    asked = vote_references.select(*by, "dirsource").distinct()
-    found = votes.select(*by, "dirsource").distinct().withColumn("_found", F.lit(1))
+def vote_completeness(vote_references, votes, by, key=("dirsource",)):
+    """Found and referenced votes per consensus; both sides have ``by`` and ``key``."""
+    asked = vote_references.select(*by, *key).distinct()
+    found = votes.select(*by, *key).distinct().withColumn("_found", F.lit(1))
     return (
-        asked.join(found, [*by, "dirsource"], "left")
+        asked.join(found, [*by, *key], "left")
         .groupBy(*by)
         .agg(F.count("_found").alias("found_votes"), F.count(F.lit(1)).alias("all_votes"))
         .withColumn("votes_pct", _share("found_votes", "all_votes"))
     )
 
 
+def named_votes(consensuses):
+    """Votes that consensuses name, by time, authority and digest."""
+    return consensuses.select("validafter", F.inline("vote_references")).distinct()
+
+
+def report_documents(headers, last=3):
+    """The rows of ``headers`` that ``archive_report`` is about: the last consensuses and the votes they name.
+
+    Headers are cheap to read; only the entries of these documents need be parsed.
+    """
+    consensuses = last_documents(headers.where("is_consensus"), "validafter", last)
+    votes = headers.where("NOT is_consensus").join(named_votes(consensuses), ["validafter", *VOTE_KEY], "left_semi")
+    return consensuses.unionByName(votes)
+
+
 def archive_report(headers, entries, servers, extras, last=3):
     """Completeness of the last consensuses (``C``) and of the votes they name (``V``).
 
-    ``headers`` is the output of ``statuses.status_headers``; ``entries`` has ``validafter``,
-    ``is_consensus``, ``dirsource`` and ``descriptor``.
+    ``headers`` is the output of ``statuses.status_headers``, with the ``digest`` of each vote; ``entries`` has
+    ``validafter``, ``is_consensus``, ``dirsource``, ``digest`` and ``descriptor``.  A vote is found if one of
+    the named time, authority and digest is at hand.
     """
     consensuses = last_documents(headers.where("is_consensus"), "validafter", last)
-    named = consensuses.select("validafter", F.explode("vote_sources").alias("dirsource")).distinct()
-    votes = vote_completeness(named, headers.where("NOT is_consensus"), ["validafter"])
+    named = named_votes(consensuses)
+    votes = vote_completeness(named, headers.where("NOT is_consensus"), ["validafter"], VOTE_KEY)
     times = consensuses.select("validafter").distinct()
     listed = entries.where("is_consensus").join(times, "validafter", "left_semi").select(
         F.lit("C").alias("kind"), "validafter", F.lit(None).cast("string").alias("dirsource"), "descriptor"
     ).unionByName(
-        entries.where("NOT is_consensus").join(named, ["validafter", "dirsource"], "left_semi").select(
+        entries.where("NOT is_consensus").join(named, ["validafter", *VOTE_KEY], "left_semi").select(
             F.lit("V").alias("kind"), "validafter", "dirsource", "descriptor"
         )
     )

@@ -10,6 +10,8 @@ EXPECTED_AUTHORITIES = ["dannenberg", "dizum", "gabelmoo", "ides", "maatuska", "
 # Parameters a vote may set (fixed values).
 VALID_PARAMETERS = ["circwindow", "CircuitPriorityHalflifeMsec", "refuseunknownexits"]
 KEY_WARNING_DAYS = 14
+#: Stands for an authority in rows of the consensus itself.
+CONSENSUS = "consensus"
 STALE_HOURS = 3
 
 
@@ -45,14 +47,25 @@ def _with_consensus(votes, consensus, *columns):
     )
 
 
-def known_flags(votes):
-    """Flags each authority votes on, one row per flag."""
-    return votes.select("validafter", "dir", F.explode("known_flags").alias("flag"))
+def with_consensus_rows(votes, consensus):
+    """Rows of votes and, with ``dir`` ``consensus``, those of the consensus."""
+    return votes.unionByName(consensus.drop("dir").withColumn("dir", F.lit(CONSENSUS)).select(votes.columns))
 
 
-def relay_counts(entries):
-    """Relays listed per status document, and running ones; only entries with flags count."""
-    return entries.where("has_flags").groupBy("dir").agg(
+def known_flags(votes, consensus=None):
+    """Flags each authority votes on, one row per flag; and those of the consensus, if it is given."""
+    rows = votes.select("validafter", "dir", "known_flags")
+    if consensus is not None:
+        rows = with_consensus_rows(rows, consensus)
+    return rows.select("validafter", "dir", F.explode("known_flags").alias("flag"))
+
+
+def relay_counts(entries, by=("dir",)):
+    """Relays listed per status document, and running ones; only entries with flags count.
+
+    Entries of the consensus have ``dir`` ``consensus``, see ``with_consensus_rows``.
+    """
+    return entries.where("has_flags").groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(F.when(F.array_contains("flags", "Running"), 1).otherwise(0)).alias("running"),
     )
@@ -84,14 +97,23 @@ def version_agreement(votes, consensus):
 
 
 def parameter_conflicts(votes, consensus, valid=VALID_PARAMETERS):
-    """Whether a vote sets a parameter that is unknown or not in the consensus."""
+    """Whether a vote sets a parameter that is unknown or not in the consensus.
+
+    ``conflicting`` looks for the parameter in the text of the consensus' line, where ``a=1`` is found in ``a=10``;
+    ``conflicting_exactly`` compares whole parameters.
+    """
     both = _with_consensus(votes, consensus, "params")
     agreed = F.coalesce(F.col("cons_params"), F.array().cast("array<string>"))
-    conflict = F.exists(
+    line = F.when(F.col("cons_params").isNotNull(), F.concat(F.lit("params "), F.array_join("cons_params", " ")))
+    conflict = lambda found: F.exists(
         F.coalesce(F.col("params"), F.array().cast("array<string>")),
-        lambda p: ~F.array_contains(agreed, p) | ~F.split(p, "=")[0].isin(valid),
+        lambda p: ~found(p) | ~F.split(p, "=")[0].isin(valid),
+    )
+    return both.select(
+        "dir", "params",
+        conflict(lambda p: F.coalesce(F.contains(line, p), F.lit(False))).alias("conflicting"),
+        conflict(lambda p: F.array_contains(agreed, p)).alias("conflicting_exactly"),
     )
-    return both.select("dir", "params", conflict.alias("conflicting"))
 
 
 def expiring_keys(votes, now, days=KEY_WARNING_DAYS):

@@ -12,7 +12,8 @@ def status_headers(docs):
     """One row per consensus or vote: type, time, authority and the votes it names.
 
     ``vote_sources`` are the authorities whose ``dir-source`` line is followed
-    by a ``vote-digest`` line before the next ``dir-source`` line.
+    by a ``vote-digest`` line before the next ``dir-source`` line;
+    ``vote_references`` are those authorities with the digests of their votes.
     """
     head = tx.bind(docs, _head=F.substring_index("text", "\nr ", 1))
     head = tx.bind(head, _lines=tx.lines(F.col("_head")))
@@ -33,9 +34,17 @@ def status_headers(docs):
                 F.transform(voting, lambda s: tx.field(F.substring_index(s, "\n", 1), 2))
             )
         ).alias("vote_sources"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform(voting, _references)))).alias("vote_references"),
     )
 
 
+def _references(section):
+    """Authority and digest of each vote that a section of a consensus names."""
+    source = tx.field(F.substring_index(section, "\n", 1), 2).alias("dirsource")
+    digests_ = F.regexp_extract_all(section, F.lit("\nvote-digest ([^ \r\n]+)"), F.lit(1))
+    return F.transform(digests_, lambda d: F.struct(source, d.alias("digest")))
+
+
 def _entry_blocks(text):
     """Text of each entry, from its ``r`` line to the line before the next one."""
     body = F.regexp_replace(text, "\r\n?", "\n")

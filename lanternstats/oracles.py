@@ -184,10 +184,10 @@ _STATUS_SIGNED = f"""SELECT k AS doc_id, upper(sha1(replace(concat('network-stat
  'valid-after ', strftime(any_value(day), '%Y-%m-%d'), ' ', lpad(CAST(k // 3 % 4 * 6 AS VARCHAR), 2, '0'), ':00:00', chr(10),
  CASE WHEN k % 3 = 1 THEN concat('consensus-methods 1 10 ', k % 12, chr(10)) ELSE concat('consensus-method ', k % 12, chr(10)) END,
  {HEALTH_LINES.format(S='VARCHAR')}, 'known-flags Exit Fast Running', chr(10),
- 'dir-source a', k % 8, ' FP', k % 8, ' 10.0.0.1 80 443', chr(10), 'contact somebody', chr(10),
- CASE WHEN k % 3 <> 1 THEN concat('vote-digest D', k, chr(10), 'dir-source b', k % 8, ' GP', k % 8,
+ 'dir-source a', k % 8, ' FP', (k + 1 - k % 3) % 8, ' 10.0.0.1 80 443', chr(10), 'contact somebody', chr(10),
+ CASE WHEN k % 3 <> 1 THEN concat('vote-digest D', k // 8 % 2, chr(10), 'dir-source b', k % 8, ' GP', k % 8,
   ' 10.0.0.2 80 443', chr(10), 'contact nobody', chr(10),
-  CASE WHEN k % 2 = 0 THEN concat('vote-digest E', k, chr(10)) ELSE '' END)
+  CASE WHEN k % 2 = 0 THEN concat('vote-digest E', k // 8 % 2, chr(10)) ELSE '' END)
   ELSE concat('fingerprint KP', k % 8, chr(10)) END,
  string_agg(CASE WHEN k % 13 = 0 AND i = 2 THEN concat('r broken x', chr(10), substr({_RAW}, strpos({_RAW}, chr(10)) + 1))
   ELSE {_RAW} END, '' ORDER BY i), 'directory-signature '), chr(10),
@@ -282,12 +282,37 @@ def _state(name):
 # Votes and, per time, the consensus with the smallest key.
 _VOTES = f"""heads AS (SELECT {_VALID_AFTER} AS validafter, k, concat('a', k % 8) AS dir, k % 3 = 1 AS is_vote,
  CASE WHEN k % 4 <> 0 THEN concat('0.2.', k % 3) END AS client, CASE WHEN k % 5 <> 0 THEN concat('0.2.', k % 2) END AS server,
- k % 6 <> 0 AS has_params, k % 7 = 0 AS bogus FROM ({_K}) o),
+ k % 6 <> 0 AS has_params, k % 7 = 0 AS bogus, CASE WHEN k % 4 = 1 THEN 10 ELSE k % 2 END AS circ FROM ({_K}) o),
  votes AS (SELECT * FROM heads WHERE is_vote),
  cons AS (SELECT validafter, min(k) AS c FROM heads WHERE NOT is_vote GROUP BY 1),
- pairs AS (SELECT v.k AS k, v.dir AS dir, v.client, v.server, v.has_params, v.bogus, h.k AS c, h.client AS c_client, h.server AS c_server,
+ pairs AS (SELECT v.k AS k, v.dir AS dir, v.validafter AS validafter, v.client, v.server, v.has_params, v.bogus, v.circ, h.circ AS c_circ, h.k AS c, h.client AS c_client, h.server AS c_server,
   h.has_params AS c_has_params, h.bogus AS c_bogus FROM votes v JOIN cons USING (validafter) JOIN heads h ON h.k = cons.c)"""
 
+_AUTHORITIES = ("dannenberg", "dizum", "gabelmoo", "ides", "maatuska", "moria1", "tor26", "urras")
+_KNOWN = "['Exit', 'Fast', 'Running']"
+_FLAGS_OF = f"""list_filter([{', '.join(f"CASE WHEN {c} THEN '{f}' END" for f, c in _FLAG.items())}, 'Valid'], lambda x: x IS NOT NULL)"""
+# Comparisons of the latest time with a vote and a consensus; no relay of the test documents is in two of them.
+_HEALTH_REPORT = f"""SELECT x.* FROM (SELECT max(validafter) AS t FROM votes JOIN cons USING (validafter)) n, LATERAL (
+ WITH v AS (SELECT * FROM votes WHERE validafter = t), p AS (SELECT * FROM pairs WHERE validafter = t),
+  listed AS (SELECT dir, k, i FROM v JOIN entries USING (k) UNION ALL SELECT 'consensus', k, i FROM cons JOIN entries ON k = c WHERE validafter = t),
+  flags AS (SELECT dir, upper({_ID}) AS relay, unnest({_FLAGS_OF}) AS flag FROM listed WHERE dir <> 'consensus')
+ SELECT 'known_flags' AS "table", dir AS key, concat(unnest({_KNOWN}), '|', t) AS value FROM (SELECT dir FROM v UNION ALL SELECT 'consensus') d
+ UNION ALL SELECT 'relay_counts', dir, concat({_i(_sum(_FLAG['Running']))}, '|', count(*)) FROM listed GROUP BY dir
+ UNION ALL SELECT 'method_support', dir, concat_ws('|', concat('1 10 ', k % 12), contains(concat('1 10 ', k % 12), CAST(c % 12 AS VARCHAR)), c % 12 IN (1, 10, k % 12)) FROM p
+ UNION ALL SELECT 'version_agreement', dir, concat(coalesce(CAST(CASE WHEN client IS NOT NULL THEN client IS NOT DISTINCT FROM c_client END AS VARCHAR), '-'), '|',
+   coalesce(CAST(CASE WHEN server IS NOT NULL THEN server IS NOT DISTINCT FROM c_server END AS VARCHAR), '-')) FROM p
+ UNION ALL SELECT 'parameter_conflicts', dir, concat(has_params AND (bogus OR NOT c_has_params OR NOT (circ = c_circ OR circ = 1 AND c_circ = 10)), '|',
+   has_params AND (bogus OR NOT c_has_params OR circ <> c_circ), '|', CASE WHEN has_params THEN concat('circwindow=', circ, CASE WHEN bogus THEN ' bogus=1' ELSE '' END) ELSE '-' END) FROM p
+ UNION ALL SELECT 'expiring_keys', dir, concat(1 + k % 28 < 3, '|', TIMESTAMP '2024-02-01' + to_days(CAST(k % 28 AS INTEGER))) FROM v WHERE k % 9 <> 0
+ UNION ALL SELECT 'bandwidth_scanners', dir, CAST(count(*) AS VARCHAR) FROM listed WHERE dir <> 'consensus' AND (k + i) % 5 <> 0 AND (k + i) % 3 = 1 GROUP BY dir
+ UNION ALL SELECT 'authority_versions', upper({_ID}), concat('n', k, 'x', i, '|Rly 0.2.', (k + i) % 3, '.1') FROM listed
+  WHERE dir = 'consensus' AND (k + i) % 11 = 0 AND (k + i) % 6 <> 0
+ UNION ALL SELECT 'missing_votes', unnest([{', '.join(f"'{a}'" for a in _AUTHORITIES)}]), ''
+ UNION ALL SELECT 'consensus_age', '', concat(t < TIMESTAMP '2024-01-19 21:00:00', '|', t)
+ UNION ALL SELECT 'flag_matrix', concat(relay, ' ', dir), concat(flag, '|agree') FROM flags
+ UNION ALL SELECT 'flag_overlap', d.dir, concat(coalesce(CAST(nullif(count(f.flag), 0) AS VARCHAR), '-'), '|', d.flag, '|-|-')
+  FROM (SELECT DISTINCT dir, unnest({_KNOWN}) AS flag FROM v) d LEFT JOIN flags f ON f.dir = d.dir AND f.flag = d.flag GROUP BY d.dir, d.flag) x"""
+
 _RANGES_BY_VERSION = """versions AS (SELECT DISTINCT version FROM v_ip_ranges),
  asked AS (SELECT req_id, ip, day, coalesce((SELECT max(version) FROM versions WHERE version <= day),
   (SELECT min(version) FROM versions)) AS version FROM v_ips)"""
@@ -431,16 +456,17 @@ SELECT 'server', count(*) FROM customer UNION ALL SELECT 'extra', count(*) FROM
     "status_headers": _with(
         f"""SELECT k AS doc_id, k % 3 <> 1 AS is_consensus, {_VALID_AFTER} AS validafter,
  CASE WHEN k % 3 = 1 THEN concat('a', k % 8) ELSE concat('b', k % 8) END AS dirname,
- CASE WHEN k % 3 = 1 THEN concat('FP', k % 8) ELSE concat('GP', k % 8) END AS dirsource,
+ CASE WHEN k % 3 = 1 THEN concat('FP', (k + 1 - k % 3) % 8) ELSE concat('GP', k % 8) END AS dirsource,
  CASE WHEN k % 3 = 1 THEN concat('KP', k % 8) END AS fingerprint,
- CASE WHEN k % 3 = 1 THEN '' ELSE concat('FP', k % 8, CASE WHEN k % 2 = 0 THEN concat(',GP', k % 8) ELSE '' END) END AS vote_sources
+ CASE WHEN k % 3 = 1 THEN '' ELSE concat('FP', (k + 1 - k % 3) % 8, CASE WHEN k % 2 = 0 THEN concat(',GP', k % 8) ELSE '' END) END AS vote_sources,
+ CASE WHEN k % 3 = 1 THEN '' ELSE concat('FP', (k + 1 - k % 3) % 8, ' D', k // 8 % 2, CASE WHEN k % 2 = 0 THEN concat(',GP', k % 8, ' E', k // 8 % 2) ELSE '' END) END AS vote_references
 FROM ({_K}) o"""
     ),
     "stale_consensus": _with(
         f"SELECT k AS doc_id, {_VALID_AFTER} AS valid_after, {_VALID_AFTER} < TIMESTAMP '1996-12-31 18:00:00' AS is_stale FROM ({_K}) o"
     ),
     "references_seen": _with(
-        f"""SELECT 'vote' AS type, {_VALID_AFTER} AS published, concat('FP', k % 8) AS relay, CAST(NULL AS VARCHAR) AS digest
+        f"""SELECT 'vote' AS type, {_VALID_AFTER} AS published, concat('FP', (k + 1 - k % 3) % 8) AS relay, CAST(NULL AS VARCHAR) AS digest
  FROM ({_K}) o WHERE k % 3 <> 1
 UNION ALL SELECT 'vote', {_VALID_AFTER}, concat('GP', k % 8), NULL FROM ({_K}) o WHERE k % 3 <> 1 AND k % 2 = 0
 UNION ALL SELECT 'server', CAST(day AS TIMESTAMP) + to_hours(CAST(i AS INTEGER)), {_ID}, {_DESC} FROM entries
@@ -492,16 +518,19 @@ FROM (SELECT o_orderkey AS k FROM orders) o, unnest(generate_series(1, 1 + k % 4
 FROM v_known_flags k LEFT JOIN matrix m ON k.dir = m.dir AND k.flag = m.flag GROUP BY 1, 2""", _FLAG_MATRIX
     ),
     "known_flags": _with(
-        f"""SELECT {_VALID_AFTER} AS validafter, concat('a', k % 8) AS dir, unnest(['Exit', 'Fast', 'Running']) AS flag
-FROM ({_K}) o WHERE k % 3 = 1"""
+        """SELECT validafter, dir, unnest(['Exit', 'Fast', 'Running']) AS flag FROM votes
+UNION ALL SELECT validafter, 'consensus', unnest(['Exit', 'Fast', 'Running']) FROM cons""", _VOTES
     ),
     "missing_votes": _with(
         """SELECT DISTINCT concat('auth', CAST(s_suppkey % 8 AS VARCHAR)) AS dir FROM supplier
 WHERE concat('auth', CAST(s_suppkey % 8 AS VARCHAR)) NOT IN (SELECT dir FROM v_vote_flags WHERE dir <> 'auth7')"""
     ),
     "vote_relay_counts": _with(
-        f"SELECT k AS dir, count(*) AS total, {_i(_sum(_FLAG['Running']))} AS running FROM entries WHERE k % 3 = 1 GROUP BY k", _ENTRIES
+        f"""SELECT validafter, dir, count(*) AS total, {_i(_sum(_FLAG['Running']))} AS running FROM (
+ SELECT validafter, dir, k, i FROM votes JOIN entries USING (k)
+ UNION ALL SELECT validafter, 'consensus', k, i FROM cons JOIN entries ON k = c) x GROUP BY 1, 2""", _ENTRIES, _VOTES
     ),
+    "health_report": _with(_HEALTH_REPORT, _ENTRIES, _VOTES),
     "bandwidth_scanners": _with(
         f"""SELECT k AS dir, {_i(_sum('(k + i) % 5 <> 0 AND (k + i) % 3 = 1'))} AS measured FROM entries WHERE k % 3 = 1
 GROUP BY k HAVING sum(CASE WHEN (k + i) % 5 <> 0 AND (k + i) % 3 = 1 THEN 1 ELSE 0 END) > 0""", _ENTRIES
@@ -519,7 +548,8 @@ FROM entries WHERE k % 3 <> 1 AND (k + i) % 11 = 0 AND (k + i) % 6 <> 0""", _ENT
  CASE WHEN server IS NOT NULL THEN server IS NOT DISTINCT FROM c_server END AS server_agrees FROM pairs""", _VOTES
     ),
     "params_conflicts": _with(
-        "SELECT dir, has_params AND (bogus OR NOT c_has_params OR k % 2 <> c % 2) AS conflicting FROM pairs", _VOTES
+        """SELECT dir, has_params AND (bogus OR NOT c_has_params OR NOT (circ = c_circ OR circ = 1 AND c_circ = 10)) AS conflicting,
+ has_params AND (bogus OR NOT c_has_params OR circ <> c_circ) AS conflicting_exactly FROM pairs""", _VOTES
     ),
     "expiring_keys": _with(
         """SELECT dir, TIMESTAMP '2024-02-01' + to_days(CAST(k % 28 AS INTEGER)) AS key_expires, 1 + k % 28 < 3 AS expires_soon
@@ -546,15 +576,15 @@ LEFT JOIN states s ON s.dir = d.dir AND s.flag = f.flag GROUP BY 1, 2""", _ENTRI
  CASE WHEN count(*) FILTER (s.has_extra) > 0 THEN round(100.0 * count(*) FILTER (s.has_extra AND s.extra_found) / count(*) FILTER (s.has_extra), 1) END AS extras_pct,
  any_value(v.found_votes) AS found_votes, any_value(v.all_votes) AS all_votes, any_value(round(100.0 * v.found_votes / v.all_votes, 1)) AS votes_pct
 FROM (SELECT 'C' AS kind, r.validafter AS validafter, CAST(NULL AS VARCHAR) AS dirsource, k, i FROM refs r JOIN newest USING (validafter) WHERE NOT is_vote
- UNION ALL SELECT 'V', r.validafter, source, k, i FROM refs r JOIN named n ON n.validafter = r.validafter AND n.dirsource = r.source WHERE is_vote) x
+ UNION ALL SELECT 'V', r.validafter, source, k, i FROM refs r JOIN named n ON n.validafter = r.validafter AND n.dirsource = r.source AND n.digest = r.digest WHERE is_vote) x
 LEFT JOIN have s ON s.d = x.k * 8 + x.i
-LEFT JOIN (SELECT n.validafter, count(DISTINCT n.dirsource) AS all_votes, count(DISTINCT h.source) AS found_votes FROM named n
- LEFT JOIN refs h ON h.is_vote AND h.validafter = n.validafter AND h.source = n.dirsource GROUP BY 1) v ON x.kind = 'C' AND v.validafter = x.validafter
+LEFT JOIN (SELECT n.validafter, count(DISTINCT n.dirsource || n.digest) AS all_votes, count(DISTINCT h.source || h.digest) AS found_votes FROM named n
+ LEFT JOIN refs h ON h.is_vote AND h.validafter = n.validafter AND h.source = n.dirsource AND h.digest = n.digest GROUP BY 1) v ON x.kind = 'C' AND v.validafter = x.validafter
 GROUP BY 1, 2, 3""", _ENTRIES,
-        f"""refs AS (SELECT k, i, k % 3 = 1 AS is_vote, {_VALID_AFTER} AS validafter, concat(CASE WHEN k % 3 = 1 THEN 'FP' ELSE 'GP' END, k % 8) AS source FROM entries)""",
-        """newest AS (SELECT DISTINCT validafter FROM refs WHERE NOT is_vote ORDER BY 1 DESC LIMIT 3)""",
-        """named AS (SELECT DISTINCT validafter, dirsource FROM (SELECT validafter, concat('FP', k % 8) AS dirsource FROM refs WHERE NOT is_vote
- UNION ALL SELECT validafter, concat('GP', k % 8) FROM refs WHERE NOT is_vote AND k % 2 = 0) n JOIN newest USING (validafter))""",
+        f"""refs AS (SELECT k, i, k % 3 = 1 AS is_vote, {_VALID_AFTER} AS validafter, concat(CASE WHEN k % 3 = 1 THEN 'FP' ELSE 'GP' END, k % 8) AS source, concat('D', k // 8 % 2) AS digest FROM entries)""",
+        """newest AS (SELECT DISTINCT validafter FROM refs WHERE NOT is_vote ORDER BY 1 DESC LIMIT 400)""",
+        """named AS (SELECT DISTINCT validafter, dirsource, n.digest AS digest FROM (SELECT validafter, concat('FP', (k + 1 - k % 3) % 8) AS dirsource, digest FROM refs WHERE NOT is_vote
+ UNION ALL SELECT validafter, concat('GP', k % 8), concat('E', k // 8 % 2) FROM refs WHERE NOT is_vote AND k % 2 = 0) n JOIN newest USING (validafter))""",
         """have AS (SELECT k * 8 + i AS d, k % 2 = 0 AS has_extra, k % 4 = 0 AS extra_found FROM entries WHERE k % 5 <> 0)""",
     ),
     "consensus_age": _with(

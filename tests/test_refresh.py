@@ -246,10 +246,13 @@ def test_completeness_and_missing_references(spark):
 
     headers = spark.sql(
         "SELECT TIMESTAMP_NTZ'2010-02-01 00:00:00' + make_interval(0,0,0,0,h) AS validafter, true AS is_consensus,"
-        " 'X' AS dirsource, array('A', 'B') AS vote_sources FROM range(5) AS t(h)"
-        " UNION ALL SELECT TIMESTAMP_NTZ'2010-02-01 04:00:00', false, 'A', array()"
+        " 'X' AS dirsource, array('A', 'B') AS vote_sources, CAST(NULL AS STRING) AS digest,"
+        " array(named_struct('dirsource', 'A', 'digest', 'D1'), named_struct('dirsource', 'B', 'digest', 'D2')) AS vote_references FROM range(5) AS t(h)"
+        " UNION ALL SELECT TIMESTAMP_NTZ'2010-02-01 04:00:00', false, 'A', array(), 'D1', array()"
+        # A vote of a named authority and time, but not the one that is named.
+        " UNION ALL SELECT TIMESTAMP_NTZ'2010-02-01 03:00:00', false, 'A', array(), 'D9', array()"
     )
-    entries = headers.selectExpr("validafter", "is_consensus", "dirsource", "explode(array('d1', 'd2', 'd3')) AS descriptor")
+    entries = headers.selectExpr("validafter", "is_consensus", "dirsource", "digest", "explode(array('d1', 'd2', 'd3')) AS descriptor")
     servers = spark.sql("SELECT * FROM VALUES ('d1', 'x1'), ('d2', 'x2'), ('d9', NULL) AS t(descriptor, extrainfo)")
     extras = spark.sql("SELECT 'x1' AS extrainfo")
     report = completeness.archive_report(headers, entries, servers, extras).collect()

@@ -4,6 +4,7 @@ import base64
 import datetime
 import hashlib
 
+from lanternstats.plans import health_report
 from lanternstats.operators import documents, health, statuses
 
 ID = base64.b64encode(bytes(range(20))).decode().rstrip("=")
@@ -144,6 +145,39 @@ def test_health_of_documents(docs):
     assert {r.dir for r in health.missing_votes(votes, expected).collect()} == set(health.EXPECTED_AUTHORITIES) - {"moria1"}
 
 
+def test_parameter_within_another(spark):
+    votes = spark.sql("SELECT 1 AS validafter, 'a' AS dir, array('circwindow=1') AS params")
+    cons = spark.sql("SELECT 1 AS validafter, array('circwindow=10') AS params")
+    row = health.parameter_conflicts(votes, cons).first()
+    assert (row.conflicting, row.conflicting_exactly) == (False, True)
+    row = health.parameter_conflicts(cons.selectExpr("validafter", "'a' AS dir", "params"), votes).first()
+    assert (row.conflicting, row.conflicting_exactly) == (True, True)
+
+
+def test_references_name_digests(docs):
+    named = "dir-source a FP 1.1.1.1 80 443\ncontact x\nvote-digest D1\ndir-source b GP 1.1.1.2 80 443\ndir-source c HP 1.1.1.3 80 443\nvote-digest D3\nvote-digest D4\n"
+    row = statuses.status_headers(docs(HEAD + named + entry("one", "Running")).select("doc", "text")).first()
+    assert [tuple(r) for r in row.vote_references] == [("FP", "D1"), ("HP", "D3"), ("HP", "D4")]
+    assert row.vote_sources == ["FP", "HP"]
+
+
+def test_report_has_rows_of_the_consensus(docs, tmp_path):
+    consensus = HEAD + "known-flags Exit Running\nconsensus-method 1\n" + entry("one", "Running") + entry("two", "Exit")
+    vote = HEAD.replace("3\n", "3\nvote-status vote\n") + "known-flags Running\ndir-source moria1 F 1.1.1.1 80 443\n" + entry("one", "Running")
+    later = HEAD.replace("01:00", "09:00")
+    texts = docs(consensus, vote, later).withColumnRenamed("doc", "doc_id")
+    tables = health_report.health_report(texts, "2010-02-01 00:00:00", str(tmp_path), with_votes=True)
+    rows = {(r.table, r.key, r.value) for r in health_report.report_rows(tables).collect()}
+    of = lambda name: {r[1:] for r in rows if r[0] == name}
+    assert {(k, v.split("|")[0]) for k, v in of("known_flags")} == {("moria1", "Running"), ("consensus", "Exit"), ("consensus", "Running")}
+    assert of("relay_counts") == {("moria1", "1|1"), ("consensus", "1|2")}
+    assert len(of("missing_votes")) == len(health.EXPECTED_AUTHORITIES) - 1
+    assert set(tables) == {r[0] for r in rows} | {"expiring_keys", "bandwidth_scanners", "authority_versions"} - {r[0] for r in rows}
+    # Without the choice the latest time counts, which has no vote.
+    latest = health_report.health_report(texts, "2010-02-01 00:00:00", f"{tmp_path}/latest")
+    assert [r.dir for r in latest["known_flags"].collect()] == [] and latest["relay_counts"].count() == 0
+
+
 def test_no_consensus_parameters_means_conflict(spark):
     votes = spark.sql("SELECT 1 AS validafter, 'a' AS dir, array('circwindow=1') AS params")
     cons = spark.sql("SELECT 1 AS validafter, CAST(NULL AS ARRAY<STRING>) AS params")
