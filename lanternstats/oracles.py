@@ -424,6 +424,9 @@ LEFT JOIN r ON r.date = s.date LEFT JOIN b ON b.date = s.date""",
     "bridge_stats_rows": _with(f"SELECT * FROM ({_BRIDGE_USERS}) x WHERE users >= 1"),
     "timing_log": _TIMING_LOG,
     "timing_quartiles": _with(_QUARTILES),
+    "timing_stats_batches": _with(_QUARTILES),
+    "package_stats_batches": _with("SELECT date, bundle, downloads FROM v_packages"),
+    "bridge_history": _with(_BRIDGE_USERS),
     "last_observation": _with("SELECT source, max(started) AS last_seen FROM v_timing GROUP BY 1"),
     "package_log": _with(
         "SELECT date, bundle, downloads FROM kept UNION ALL SELECT date, 'other', user_id FROM kept", _PACKAGES

@@ -1,9 +1,7 @@
 """Stored pseudonymised bridge documents, kept consistent while further batches arrive.
 
-Tables below one folder: ``extras``, ``servers``, ``mapping`` (bridge and time to the digests of both) and
-``statuses``.  Rows lie in folders by batch and date; a batch writes the dates that it touches as a whole, and the
-commit table says which batch holds the rows of a date.  So a batch that fails is never seen and is run again, and no
-table is read while it is overwritten.
+Tables below one folder, by date: ``extras``, ``servers``, ``mapping`` (bridge and time to the digests of both) and
+``statuses``.  A batch writes the dates that it touches as a whole.
 
 A late extra-info changes the text of its server descriptor and with it that one's digest, which statuses name.  The
 batch carries the change on: extra-infos, servers of the same dates, mapping, and the statuses of the 24 hours after a
@@ -14,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lanternstats.operators import pseudonymise as ps
 from lanternstats.operators.intervals import statuses_to_rewrite
-from lanternstats.plans.warehouse import exists, stored_table
+from lanternstats.plans.dated_store import DatedStore, date_of, dates_of
 
 #: Columns of the tables, and the one that dates their rows.
 TABLES = {
@@ -23,52 +21,10 @@ TABLES = {
     "mapping": ("bridge string, published string, server_digest string, extra_digest string", "published"),
     "statuses": ("status string, validafter timestamp_ntz, scrubbed string", "validafter"),
 }
-#: Rows whose time cannot be read have this date.
-UNDATED = "1970-01-01"
 
-
-def _date(column):
-    return F.coalesce(F.try_to_timestamp(F.col(column).cast("string")).cast("date"), F.lit(UNDATED).cast("date"))
-
-
-def _dates(*frames):
-    """The dates of the frames' column ``date``: one a calendar day at most."""
-    rows = frames[0].select("date")
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame.select("date"))
-    return sorted(r[0] for r in rows.distinct().collect())
-
-
-def read_table(spark, root, name, dates=None, before=None):
-    """The rows of a table as committed, of some ``dates`` only, or as they were ``before`` a batch."""
-    columns, _ = TABLES[name]
-    commits = stored_table(spark, f"{root}/commits")
-    if commits is None or not exists(spark, f"{root}/{name}"):
-        return spark.createDataFrame([], f"{columns}, date date")
-    commits = commits.where(F.col("table") == name)
-    if before is not None:
-        commits = commits.where(F.col("batch") < before)
-    rows = spark.read.schema(f"{columns}, batch bigint, date date").parquet(f"{root}/{name}")
-    if dates is not None:
-        rows, commits = rows.where(F.col("date").isin(dates)), commits.where(F.col("date").isin(dates))
-    current = commits.groupBy("date").agg(F.max("batch").alias("batch"))
-    return rows.join(current, ["batch", "date"], "left_semi").drop("batch")
-
-
-def _write(spark, root, batch, name, rows):
-    columns, time = TABLES[name]
-    path = f"{root}/{name}/batch={batch}"
-    frame = rows.drop("date").withColumn("date", _date(time))
-    # Few files a date, and no task with all of a large one.
-    frame = frame.hint("rebalance", "date")
-    frame.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(path)
-    return spark.read.schema(f"{columns}, date date").parquet(path)
-
-
-def _stage(spark, root, batch, name, rows):
-    path = f"{root}/staging/batch={batch}/{name}"
-    rows.write.mode("overwrite").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+def read_table(spark, root, name):
+    """A table as committed."""
+    return DatedStore(spark, root, TABLES).read(name)
 
 
 def changed_servers(mapping, before):
@@ -91,45 +47,44 @@ def apply_batch(spark, root, batch, statuses=None, servers=None, extras=None):
     batch they came in, so two batches give what one with the documents of both gives; only statuses more than 24 hours after a
     changed server keep the reference they have.  A status that comes again replaces the stored one.
     """
+    store = DatedStore(spark, root, TABLES)
     none = lambda columns: spark.createDataFrame([], columns)
     statuses = none("status string, validafter timestamp_ntz, text string") if statuses is None else statuses
     servers, extras = (none("text string") if x is None else x for x in (servers, extras))
-    dated = lambda rows: rows.withColumn("date", _date("published"))
-    new_extras = _stage(spark, root, batch, "extras", dated(ps.scrub_extras(extras)))
-    new_servers = _stage(spark, root, batch, "servers", dated(ps.scrub_servers(servers)))
-    lines = _stage(spark, root, batch, "lines", ps.scrub_statuses(statuses, keep=["status", "validafter"]))
+    dated = lambda rows: rows.withColumn("date", date_of("published"))
+    new_extras = store.stage(batch, "extras", dated(ps.scrub_extras(extras)))
+    new_servers = store.stage(batch, "servers", dated(ps.scrub_servers(servers)))
+    lines = store.stage(batch, "lines", ps.scrub_statuses(statuses, keep=["status", "validafter"]))
 
     touched = []
-    days = _dates(new_extras, new_servers)
-    stored = lambda name, dates: read_table(spark, root, name, dates, before=batch)
+    days = dates_of(new_extras, new_servers)
+    stored = lambda name, dates: store.read(name, dates, before=batch)
     if days:
         infos = stored("extras", days).unionByName(new_extras).dropDuplicates(["bridge", "published", "extra_digest"])
-        infos = _write(spark, root, batch, "extras", infos)
+        infos = store.write(batch, "extras", infos)
         texts = stored("servers", days).select("bridge", "published", "scrubbed").unionByName(new_servers.drop("date"))
         linked = ps.link_servers(texts, infos).dropDuplicates(["bridge", "published", "server_digest"])
-        linked = _write(spark, root, batch, "servers", linked)
-        mapping = _write(spark, root, batch, "mapping", ps.reference_mapping(linked, infos))
+        linked = store.write(batch, "servers", linked)
+        mapping = store.write(batch, "mapping", ps.reference_mapping(linked, infos))
         touched += [(name, day) for name in ("extras", "servers", "mapping") for day in days]
-        changed = _stage(spark, root, batch, "changed", changed_servers(mapping, stored("mapping", days)))
+        changed = store.stage(batch, "changed", changed_servers(mapping, stored("mapping", days)))
     else:
         mapping = stored("mapping", [])
         changed = none("published timestamp_ntz")
 
     # Statuses of the batch, and stored ones on the days of a change and the days after.
     reached = changed.where("published IS NOT NULL").select(F.explode(F.array(F.to_date("published"), F.date_add(F.to_date("published"), 1))).alias("date"))
-    status_days = _dates(lines.select(_date("validafter").alias("date")), reached)
+    status_days = dates_of(lines.select(date_of("validafter").alias("date")), reached)
     if status_days:
         kept = stored("statuses", status_days).drop("date").join(lines.select("status").distinct(), "status", "left_anti")
         affected = _stage(
             spark, root, batch, "affected", ps.sanitized_statuses(statuses_to_rewrite(kept, changed).withColumnRenamed("scrubbed", "text"), keep=["status", "validafter"])
         )
-        named = _dates(*(x.where("published IS NOT NULL").select(_date("published").alias("date")) for x in (lines, affected)))
+        named = dates_of(*(x.where("published IS NOT NULL").select(date_of("published").alias("date")) for x in (lines, affected)))
         known = mapping.unionByName(stored("mapping", [d for d in named if d not in days])).drop("date")
         same = kept.join(affected.select("status").distinct(), "status", "left_anti")
         rewritten = _linked(affected, ps.mapping_with_read_digests(known, affected))
         rows = same.unionByName(rewritten).unionByName(_linked(lines, known))
-        written = _write(spark, root, batch, "statuses", rows)
-        touched += [("statuses", day) for day in _dates(written)]
-    if touched:
-        done = spark.createDataFrame([(name, batch, day) for name, day in touched], "table string, batch bigint, date date")
-        done.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+        written = store.write(batch, "statuses", rows)
+        touched += [("statuses", day) for day in dates_of(written)]
+    store.commit(batch, touched)

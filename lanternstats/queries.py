@@ -10,7 +10,7 @@ from lanternstats.operators import (
     bridges, completeness, descriptors, documents as docs_ops, health, intervals, ip_ranges,
     pseudonymise, statuses,
 )
-from lanternstats.plans import bridge_store, daily, health_report, keyed_tables, overlay_store, summaries
+from lanternstats.plans import bridge_history, bridge_store, daily, health_report, keyed_tables, measurements, overlay_store, summaries, warehouse
 from lanternstats.sources import logs, sinks
 
 NOW = "2024-01-20 00:00:00"
@@ -118,6 +118,35 @@ def timing_log(spark, sf_dir):
     return logs.timing_lines(lines)
 
 
+def timing_stats_batches(spark, sf_dir):
+    """Stored quartiles after two batches, between which most groups of source and date are split."""
+    root, timings = scratch(spark), view(spark, sf_dir, "v_timing")
+    for k in (0, 1):
+        measurements.update_timings(spark, root, timings.where(F.pmod(F.minute("started"), F.lit(2)) == k))
+    return warehouse.keyed_table(spark, root, "timing_stats").select("source", "date", "q1", "md", "q3")
+
+
+def package_stats_batches(spark, sf_dir):
+    """Stored requests after two batches: the second corrects every count but those of clicks."""
+    root, packages = scratch(spark), view(spark, sf_dir, "v_packages")
+    early = packages.withColumn("downloads", F.col("downloads") - F.when(F.col("bundle") == "click", 0).otherwise(1))
+    measurements.update_packages(spark, root, early)
+    measurements.update_packages(spark, root, packages.where("bundle <> 'click'"))
+    return warehouse.keyed_table(spark, root, "package_stats").select("date", "bundle", "downloads")
+
+
+def bridge_history_batches(spark, sf_dir):
+    """Stored bridge users after two batches; relays and broken versions of the second change dates of the first."""
+    root = scratch(spark)
+    observations, relays, broken = (view(spark, sf_dir, v) for v in ("v_bridge_obs", "v_hashed_relays", "v_broken"))
+    half = lambda rows, column, k: rows.where(F.pmod(column, F.lit(2)) == k)
+    for k in (0, 1):
+        bridge_history.update(
+            spark, root, k + 1, half(relays, F.col("hashed_relay"), 1 - k), half(broken, F.col("bridge"), 1 - k), half(observations, F.hour("seen"), k)
+        )
+    return bridge_history.read_stats(spark, root, observations)
+
+
 # ------------------------------------------------------------ keyed tables
 
 def _new(df, key="fingerprint"):
@@ -688,6 +717,9 @@ QUERIES = {
     "resanitized_servers": _d(resanitized_servers, "bridge_server_docs", "bridge_extra_docs"),
     "rewritten_statuses": rewritten_statuses,
     "late_extra_infos": late_extra_infos,
+    "timing_stats_batches": timing_stats_batches,
+    "package_stats_batches": package_stats_batches,
+    "bridge_history": bridge_history_batches,
     "stored_overlay": stored_overlay,
     "ip_country_stored": ip_country_stored,
     # sources and sinks

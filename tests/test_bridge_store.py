@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanternstats.operators import pseudonymise as ps
-from lanternstats.plans import bridge_store as store
+from lanternstats.plans import bridge_store as store, dated_store
 
 from test_pseudonymise import EXTRA, IDENTITY, SERVER, STATUS, TIME
 
@@ -104,4 +104,4 @@ def test_empty_batch_and_undated(spark, raw, tmp_path):
     store.apply_batch(spark, str(tmp_path), 1)
     assert all(not rows for rows in tables(spark, str(tmp_path)).values())
     store.apply_batch(spark, str(tmp_path), 2, servers=texts(SERVER.replace(TIME, "yesterday")))
-    assert [r.date for r in store.read_table(spark, str(tmp_path), "servers").select(F.col("date").cast("string").alias("date")).collect()] == [store.UNDATED]
+    assert [r.date for r in store.read_table(spark, str(tmp_path), "servers").select(F.col("date").cast("string").alias("date")).collect()] == [dated_store.UNDATED]
