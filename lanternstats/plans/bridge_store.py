@@ -77,8 +77,8 @@ def apply_batch(spark, root, batch, statuses=None, servers=None, extras=None):
     status_days = dates_of(lines.select(date_of("validafter").alias("date")), reached)
     if status_days:
         kept = stored("statuses", status_days).drop("date").join(lines.select("status").distinct(), "status", "left_anti")
-        affected = _stage(
-            spark, root, batch, "affected", ps.sanitized_statuses(statuses_to_rewrite(kept, changed).withColumnRenamed("scrubbed", "text"), keep=["status", "validafter"])
+        affected = store.stage(
+            batch, "affected", ps.sanitized_statuses(statuses_to_rewrite(kept, changed).withColumnRenamed("scrubbed", "text"), keep=["status", "validafter"])
         )
         named = dates_of(*(x.where("published IS NOT NULL").select(date_of("published").alias("date")) for x in (lines, affected)))
         known = mapping.unionByName(stored("mapping", [d for d in named if d not in days])).drop("date")
