@@ -283,6 +283,10 @@ def read_aggregate(spark, root, name):
     """A daily table: of every date the rows of the last batch that was committed for it."""
     current = spark.read.parquet(f"{root}/commits").groupBy("date").agg(F.max("batch").alias("batch"))
     rows = spark.read.parquet(f"{root}/aggregates/{name}").withColumn("batch", F.col("batch").cast("bigint"))
+    gathered = stored_table(spark, f"{root}/gathered")
+    if gathered is not None:
+        # The last gathering holds every date, so no earlier folder is read.
+        rows = rows.where(F.col("batch") >= gathered.agg(F.max("batch")).first()[0])
     columns = [c for c in rows.columns if c != "batch"]
     dated = rows.withColumn("_date", F.to_date(AGGREGATES[name]))
     return dated.join(current.withColumnRenamed("date", "_date"), ["batch", "_date"], "left_semi").select(columns)
@@ -291,10 +295,34 @@ def read_aggregate(spark, root, name):
 def drop_superseded(spark, root, batch):
     """Gather the current rows of all tables under one new batch number and commit it for every date.
 
-    Run it now and then, not beside a refresh; the folders of earlier batches
-    are no longer read then and can be removed.
+    Run it now and then, not beside a refresh.  Readers follow the new batch from then on; ``remove_superseded``
+    removes the folders of earlier ones.
     """
     dates = spark.read.parquet(f"{root}/commits").select("date").distinct()
     for name in AGGREGATES:
         write_table(spark, root, batch, name, read_aggregate(spark, root, name))
     commit(spark, root, batch, dates)
+    spark.createDataFrame([(batch,)], "batch bigint").write.mode("append").parquet(f"{root}/gathered")
+
+
+def remove_superseded(spark, root):
+    """Remove the folders of batches before the last but one that was gathered; returns their paths.
+
+    A reader that began before the last gathering may still read what the one before it left, so that stays
+    until the next time: no reader loses files unless it lasts from before one gathering until after the second one.
+    """
+    gathered = stored_table(spark, f"{root}/gathered")
+    batches = [] if gathered is None else sorted({r.batch for r in gathered.collect()})
+    if len(batches) < 2:
+        return []
+    jvm = spark.sparkContext._jvm
+    removed = []
+    for name in AGGREGATES:
+        top = jvm.org.apache.hadoop.fs.Path(f"{root}/aggregates/{name}")
+        system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in system.listStatus(top) if system.exists(top) else []:
+            key, _, number = status.getPath().getName().partition("=")
+            if key == "batch" and number.isdigit() and int(number) < batches[-2]:
+                system.delete(status.getPath(), True)
+                removed.append(f"{name}/batch={number}")
+    return sorted(removed)

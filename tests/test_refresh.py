@@ -189,6 +189,56 @@ def test_stream_of_files(spark, tmp_path):
     assert warehouse.fact_table(spark, root, "statusentry").count() == 12
 
 
+def test_stream_knows_base_names(spark, tmp_path):
+    """Files of known names in another folder add nothing, also after a restart; of one batch the first path counts."""
+    inbox, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+
+    def put(folder, name, time, *nodes):
+        (tmp_path / "in" / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / folder / name).write_text(HEAD.format(time=time) + "".join(ENTRY.format(n=n) for n in nodes))
+
+    def listed():
+        return {(str(r.validafter), r.nickname) for r in warehouse.fact_table(spark, root, "statusentry").collect()}
+
+    put("a", "one", "2010-02-01 00:00:00", "a")
+    put("b", "one", "2010-02-01 00:00:00", "x")
+    file_stream.start(spark, inbox, root, checkpoint).awaitTermination()
+    assert listed() == {("2010-02-01 00:00:00", "na")}
+    put("c", "one", "2010-02-01 00:00:00", "b", "c")
+    put("c", "two", "2010-02-01 01:00:00", "d")
+    file_stream.start(spark, inbox, root, checkpoint).awaitTermination()
+    assert listed() == {("2010-02-01 00:00:00", "na"), ("2010-02-01 01:00:00", "nd")}
+    # A batch that is run again has its own names still before it.
+    files = spark.createDataFrame([("in/c/two", "two"), ("in/c/one", "one")], "path string, name string")
+    assert [r.name for r in file_stream.new_names(spark, root, 1, files).collect()] == ["two"]
+    assert file_stream.new_names(spark, root, 2, files).count() == 0
+
+
+def test_removal_of_superseded_batches(spark, tmp_path):
+    root = str(tmp_path)
+
+    def write(batch, users):
+        rows = spark.sql(f"SELECT DATE'2010-02-01' AS date, {users} AS avg_running")
+        for name, time in warehouse.AGGREGATES.items():
+            warehouse.write_table(spark, root, batch, name, rows.withColumnRenamed("date", time))
+        warehouse.commit(spark, root, batch, rows)
+
+    read = lambda: [r.avg_running for r in warehouse.read_aggregate(spark, root, "network_size").collect()]
+    write(1, 5)
+    write(2, 6)
+    assert warehouse.remove_superseded(spark, root) == []
+    warehouse.drop_superseded(spark, root, 3)
+    assert warehouse.remove_superseded(spark, root) == [] and read() == [6]
+    # A reader from between the gatherings reads on during and after the removal.
+    reader = warehouse.read_aggregate(spark, root, "network_size")
+    write(4, 7)
+    warehouse.drop_superseded(spark, root, 5)
+    removed = warehouse.remove_superseded(spark, root)
+    assert {r.partition("=")[2] for r in removed} == {"1", "2"} and len(removed) == 2 * len(warehouse.AGGREGATES)
+    assert [r.avg_running for r in reader.collect()] == [6] and read() == [7]
+    assert warehouse.remove_superseded(spark, root) == []
+
+
 def test_failed_batch_keeps_its_dirty_dates(spark, tmp_path):
     """A batch that stops after the facts are appended still refreshes their dates later."""
     root = str(tmp_path)
