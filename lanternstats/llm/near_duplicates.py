@@ -30,7 +30,7 @@ PRUNE = 1e-6
 #: Hashes compared at a time.
 STEP = 20
 #: Classes of a bucket compared with as many others in a task at a time.
-BLOCK = 256
+BLOCK = 1024
 #: Remembered words of a task; beyond that it starts anew.
 CACHE = 400_000
 _SEED = 11
@@ -236,17 +236,24 @@ def components(edges, folder):
         state = now
 
 
-def block_links(members, labels, classes, sets, similarity, hashes, rows):
+def distinct_buckets(members):
+    """One of all buckets with the same members; the two sums tell members apart like a hash of 128 bits."""
+    same = members.groupBy("h").agg(
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    )
+    return members.join(same.groupBy("k", "x", "y").agg(F.min("h").alias("h")).select("h"), "h", "left_semi")
+
+
+def block_links(members, labels, classes, sets, similarity, hashes):
     """Links (a, b) between different components of a bucket, enough of them to join what belongs together.
 
     In each bucket the component with most members needs no comparison within.  The other members ask, in
     blocks, the blocks of all members; a pair of blocks meets in one task.  A pair that shares several buckets
-    is compared in that of its first band only, or nowhere if that is a bucket of two, whose pair the caller
-    has compared.  There it passes the sequential test, then the check on full
+    is compared in the first of them only.  There it passes the sequential test, then the check on full
     sets, unless its components have been linked in this task already.
     """
     t, of = similarity
-    bucket = members.join(labels, "node", "left").select("h", "band", "node", F.coalesce("component", "node").alias("component"))
+    bucket = members.join(labels, "node", "left").select("h", "node", F.coalesce("component", "node").alias("component"))
     share = bucket.groupBy("h", "component").agg(F.count("*").alias("k"))
     active = share.groupBy("h").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"),
@@ -258,13 +265,16 @@ def block_links(members, labels, classes, sets, similarity, hashes, rows):
         "h", "main", F.ceil(F.col("k_all") / BLOCK).alias("blocks"), F.ceil((F.col("k_all") - F.col("k_main")) / BLOCK).alias("asking")
     )
     bucket = bucket.join(active, "h").withColumn("mix", F.xxhash64("node"))
+    # The buckets of a class are as many as the bands at most.
+    own_buckets = bucket.groupBy("node").agg(F.collect_list("h").alias("buckets"))
     own = lambda n: F.pmod("mix", F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asked = bucket.select("h", "band", "node", "component", F.lit(False).alias("asks"), own("blocks").alias("j"), every("asking").alias("i"))
+    asked = bucket.select("h", "node", "component", F.lit(False).alias("asks"), own("blocks").alias("j"), every("asking").alias("i"))
     asks = bucket.where("component <> main").select(
-        "h", "band", "node", "component", F.lit(True).alias("asks"), every("blocks").alias("j"), own("asking").alias("i")
+        "h", "node", "component", F.lit(True).alias("asks"), every("blocks").alias("j"), own("asking").alias("i")
     )
-    cells = asked.unionByName(asks.select(asked.columns)).join(classes.select("node", "sig"), "node").join(sets, "node")
+    cells = asked.unionByName(asks.select(asked.columns))
+    cells = cells.join(own_buckets.join(classes.select("node", "sig"), "node").join(sets, "node"), "node")
     needed = least_matches(similarity, hashes)
 
     def links_of(table):
@@ -272,9 +282,8 @@ def block_links(members, labels, classes, sets, similarity, hashes, rows):
         column = {name: table.column(name) for name in table.column_names}
         node, part = column["node"].to_pylist(), column["component"].to_pylist()
         cell = np.stack([column[c].to_numpy() for c in ("h", "i", "j")], 1)
-        band, ask = column["band"].to_numpy(), column["asks"].to_numpy()
+        ask, shared = column["asks"].to_numpy(), [set(x) for x in column["buckets"].to_pylist()]
         sig = _matrix(column["sig"], hashes)
-        bands = sig.reshape(len(sig), hashes // rows, rows)
         full = [np.frombuffer(x, np.uint64) for x in column["shingles"].to_pylist()]
         starts = np.flatnonzero(np.append(True, (cell[1:] != cell[:-1]).any(1)))
         found = []
@@ -291,12 +300,10 @@ def block_links(members, labels, classes, sets, similarity, hashes, rows):
             for i in range(0, len(q), 64):
                 few = q[i : i + 64]
                 x, y, matches = surviving(sig, sig, np.repeat(few, len(c)), np.tile(c, len(few)), needed)
-                first = (bands[x] == bands[y]).all(2).argmax(1) == band[lo]
-                x, y, matches = x[first], y[first], matches[first]
                 for k in np.argsort(-matches, kind="stable"):
                     a, b = x[k], y[k]
                     left, right = find(part[a]), find(part[b])
-                    if left != right and _similar(full[a], full[b], t, of):
+                    if left != right and min(shared[a] & shared[b]) == cell[lo, 0] and _similar(full[a], full[b], t, of):
                         group[left] = right
                         found.append((node[a], node[b]))
         return found
@@ -311,16 +318,15 @@ def block_links(members, labels, classes, sets, similarity, hashes, rows):
             cut = int(other[-1]) + 1 if len(other) else 0
             rest = table.slice(cut)
             if cut:
-                yield pairs_of(links_of(table.slice(0, cut)))
+                yield pairs_of(table.slice(0, cut))
         if rest is not None and rest.num_rows:
-            yield pairs_of(links_of(rest))
+            yield pairs_of(rest)
 
-    kind = classes.schema["node"].dataType.simpleString()
-    id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-    def pairs_of(found):
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], id_arrow) for k in (0, 1)], names=["a", "b"])
+    def pairs_of(table):
+        kind, found = table.column("node").type, links_of(table)
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], kind) for k in (0, 1)], names=["a", "b"])
 
+    kind = classes.schema["node"].dataType.simpleString()
     ordered = cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
     return ordered.mapInArrow(run, f"a {kind}, b {kind}")
 
@@ -329,7 +335,7 @@ def near_duplicates(df, id_col="doc_id", text_col="text", words=WORDS, similarit
     """Per row of ``df``: size of its shingle set, its component and whether it is the component's kept one.
 
     A text of fewer words than a shingle is one shingle; null and empty texts have none, are linked with nothing
-    and kept.  Ids are whole numbers or strings.  Rows that repeat an id each get the component of their own text; where
+    and kept.  Ids are of any type that has an order.  Rows that repeat an id each get the component of their own text; where
     the id is the smallest of both texts' classes, these are one.  Rows without an id are not linked: they are
     kept, with no component.  ``similarity`` is a fraction; pairs that
     reach it are linked.  Empty tables give no rows.  Extra columns are left out.
@@ -368,8 +374,8 @@ def near_duplicates(df, id_col="doc_id", text_col="text", words=WORDS, similarit
     of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
     rest = near.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
-    large = members.where("k > 2").select("h", "band", "node")
-    later = block_links(large, labels, classes, sets, similarity, hashes, rows)
+    large = distinct_buckets(members.where("k > 2").select("h", "node"))
+    later = block_links(large, labels, classes, sets, similarity, hashes)
     later = stored(verify_sets(rest, sets, similarity).unionByName(later), folder, "later")
     if not later.isEmpty():
         labels = components(_stars(labels).unionByName(later), f"{folder}/later-components")

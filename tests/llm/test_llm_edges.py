@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and columns with clashing names."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lanternstats.llm import (
     decontaminate,
@@ -149,6 +150,10 @@ def test_near_duplicates(docs, empty, spark):
     assert rows_of(got.where("doc_id IN (2, 3, 4)"), "doc_id", "n_shingles", "kept") == [(i, 0, True) for i in (2, 3, 4)]
     assert rows_of(got.where("doc_id IS NULL"), "component_id", "kept") == [(None, True)] * 2
     assert near_duplicates.near_duplicates(empty).count() == 0
+    copies = spark.createDataFrame([(k, f"{TEXT} w{k}") for k in range(5)], "doc_id int, text string")
+    for kind in ("smallint", "decimal(9,0)", "int"):
+        of_kind = copies.select(F.col("doc_id").cast(kind).alias("doc_id"), "text")
+        assert {int(r.component_id) for r in near_duplicates.near_duplicates(of_kind).collect()} == {0}
     named = spark.createDataFrame([("b", TEXT), ("a", TEXT), ("c", "short")], "doc_id string, text string")
     assert rows_of(near_duplicates.near_duplicates(named), "doc_id", "component_id") == [("a", "a"), ("b", "a"), ("c", "c")]
 

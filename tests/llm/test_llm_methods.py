@@ -177,12 +177,12 @@ def test_blocks_cover_every_pair(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "BLOCK", 3)
     sig = bytearray(np.zeros(20, np.uint32).tobytes())
     classes = spark.createDataFrame([(i, 10, sig) for i in range(17)], "node long, n long, sig binary")
-    members = spark.createDataFrame([(b, b, i) for b in (0, 1) for i in range(17) if b == 0 or i % 2], "h long, band int, node long")
+    members = spark.createDataFrame([(b, i) for b in (0, 1) for i in range(17) if b == 0 or i % 2], "h long, node long")
     labels = spark.createDataFrame([(i, 0) for i in range(1, 9)], "node long, component long")
     for x, y in [(2, 11), (10, 12), (16, 9), (0, 16)]:
         sets = [(i, bytearray(np.arange(10, dtype=np.uint64).tobytes() if i in (x, y) else np.arange(100 * i + 100, 100 * i + 110, dtype=np.uint64).tobytes())) for i in range(17)]
         frame = spark.createDataFrame(sets, "node long, shingles binary")
-        got = near_duplicates.block_links(members, labels, classes, frame, (85, 100), 20, 5).collect()
+        got = near_duplicates.block_links(members, labels, classes, frame, (85, 100), 20).collect()
         assert {frozenset((r["a"], r["b"])) for r in got} == {frozenset((x, y))}
 
 
