@@ -20,10 +20,12 @@ WHOLE_BANDS = (
     (65_536, 1.7, 5.5),
     (float("inf"), 1.8, 6.0),
 )
-#: The same for chunks; a document fails when more than a share of its chunks do.
+#: The same for chunks.
 CHUNK_BYTES = 4_096
 CHUNK_BANDS = ((512, 0.85, 4.0), (1_024, 1.15, 4.0), (float("inf"), 1.4, 4.5))
-CHUNK_SHARE = 0.5
+#: (up to so many chunks, share): a document fails when more than this share of its chunks do.  One bad chunk of two
+#: is too much; of many chunks about a sixth.
+CHUNK_SHARES = ((2, 0.4), (8, 0.25), (float("inf"), 0.15))
 LEVEL = 3
 
 COLUMNS = (
@@ -62,7 +64,7 @@ def in_band(size, ratio, bands):
     return "incompressible" if ratio < low else "repetitive" if ratio > high else None
 
 
-def judge(raw, compressor, whole_bands, chunk_bytes, chunk_bands, chunk_share):
+def judge(raw, compressor, whole_bands, chunk_bytes, chunk_bands, chunk_shares):
     """Ratio, number of chunks, number of bad chunks and verdict of one text."""
     if not raw:
         return 0.0, 0, 0, "empty"
@@ -73,7 +75,8 @@ def judge(raw, compressor, whole_bands, chunk_bytes, chunk_bands, chunk_share):
     bad = [in_band(len(x), len(x) / len(compressor.compress(x)), chunk_bands) for x in chunks]
     n_bad = sum(x is not None for x in bad)
     verdict = in_band(len(raw), ratio, whole_bands)
-    if verdict is None and n_bad > chunk_share * len(chunks):
+    share = next(share for most, share in chunk_shares if len(chunks) <= most)
+    if verdict is None and n_bad > share * len(chunks):
         verdict = "chunks " + ("repetitive" if 2 * bad.count("repetitive") >= n_bad else "incompressible")
     return ratio, len(chunks), n_bad, verdict or "ok"
 
@@ -85,14 +88,15 @@ def compression_bands(
     whole_bands=WHOLE_BANDS,
     chunk_bytes=CHUNK_BYTES,
     chunk_bands=CHUNK_BANDS,
-    chunk_share=CHUNK_SHARE,
+    chunk_shares=CHUNK_SHARES,
     level=LEVEL,
 ):
     """Counts, ratios and the verdict of each row of ``df``.
 
     A row is kept if it passes the plain rules (50 words, at most half of them in repeated windows) and the
-    bands.  Null and empty texts have no words and fail.  Each row is judged alone, so null ids, repeated rows
-    and extra columns change nothing; other columns than the id are left out.
+    bands.  Null and empty texts have no words and fail.  Texts of any length are compressed whole and in all
+    their chunks.  Each row is judged alone, so null ids, repeated rows
+    and extra columns change nothing; other columns than the id are left out.  An empty table gives no rows.
     """
 
     def run(batches):
@@ -105,7 +109,7 @@ def compression_bands(
                 words = raw.split()
                 n, repeat = len(words), repeated_words(words)
                 failed = n < 50 or 100 * repeat > 50 * n
-                ratio, chunks, bad, verdict = judge(raw, compressor, whole_bands, chunk_bytes, chunk_bands, chunk_share)
+                ratio, chunks, bad, verdict = judge(raw, compressor, whole_bands, chunk_bytes, chunk_bands, chunk_shares)
                 rows.append(
                     (n, len(text) - sum(map(raw.count, _SPACE_BYTES)), sum(map(raw.count, _SYMBOL_BYTES)),
                      repeated_lines(raw), repeat, failed, len(raw), ratio, chunks, bad, verdict,

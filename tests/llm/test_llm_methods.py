@@ -215,12 +215,21 @@ def test_bands():
     prose = " ".join("".join(r.choice(["th", "an", "er", "ing", "on"]) for _ in range(r.randint(1, 4))) for _ in range(900))
     noise = "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(3000))
     judge = lambda t: quality_bands.judge(
-        t.encode(), zstandard.ZstdCompressor(), quality_bands.WHOLE_BANDS, 4096, quality_bands.CHUNK_BANDS, 0.5
+        t.encode(), zstandard.ZstdCompressor(), quality_bands.WHOLE_BANDS, 4096, quality_bands.CHUNK_BANDS, quality_bands.CHUNK_SHARES
     )[3]
     assert judge(prose) == "ok"
     assert judge("the same line again\n" * 300) == "repetitive"
     assert judge("".join(r.choice("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/") for _ in range(9000))) != "ok"
     assert judge(noise) != "repetitive"
+    # Texts that are repetitive in part: one sentence over and over in a half, or a fifth, of them.
+    word = lambda: "".join(r.choice(["th", "an", "er", "ing", "on"]) for _ in range(r.randint(1, 4)))
+    prose = lambda size: " ".join(word() for _ in range(size // 4))[:size]
+    sentence = "one and the same sentence again. "
+    for size, share in ((8_192, 0.5), (100_000, 0.45), (100_000, 0.2), (24_000, 0.4)):
+        part = (sentence * 4_000)[: int(size * share)]
+        assert judge(prose(size - len(part)) + part) != "ok" and judge(part + prose(size - len(part))) != "ok"
+    assert judge(prose(100_000)) == "ok" and judge(prose(8_192)) == "ok"
+    assert judge(prose(60_000) + (sentence * 4_000)[:4_000] + prose(36_000)) == "ok"
 
 
 def test_misspelt_words_are_near_the_known():
