@@ -3,8 +3,8 @@
 A word is the mean of the vectors of its character n-grams (and of itself), a window of words the mean of its
 words, and a linear softmax on top tells the classes apart.  Vectors and softmax are trained jointly in numpy.
 Unseen spellings share n-grams, and so vectors, with known ones.  A few words make a document toxic, so a
-document is as toxic as its worst window; training alternates between choosing the worst window of each toxic
-document and fitting.
+document is as toxic as its worst window, of all that start at any of its words; training alternates between choosing
+the worst window of each toxic document and fitting.
 """
 
 import re
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from lanternstats.llm.common import is_in_fold, ship, slices
 
-#: Bounds of what is learnt from: documents per class, first characters of each.
+#: Bound of what is learnt from: documents per class, whole texts.
 SAMPLE_DOCS = 1_600
-SAMPLE_CHARS = 20_000
 #: The model.
 BUCKETS = 1 << 17
 NGRAMS = (3, 4, 5)
@@ -71,9 +70,18 @@ def subwords(words, buckets=BUCKETS, ngrams=NGRAMS):
     return (h[order] >> np.uint64(20)).astype(np.int64) % buckets, np.bincount(whose, minlength=len(words))
 
 
-def windows_of(n, window=WINDOW):
-    """Starts of the windows of ``n`` words; a short rest belongs to the last window."""
-    return np.arange(0, max(n - window // 2, 1), window) if n else np.zeros(0, np.int64)
+def means(values, sizes, window=WINDOW):
+    """(mean, document) of every window of the documents, whose ``sizes`` values stand one after the other.
+
+    A window starts at each word that has as many after it; a document of fewer words is one window.  Sums run
+    along, so the work does not grow with the window.
+    """
+    sums = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+    first, width = np.cumsum(sizes) - sizes, np.minimum(sizes, window)
+    doc = np.repeat(np.arange(len(sizes)), sizes - width + 1)
+    count = sizes - width + 1
+    at = np.arange(len(doc)) + np.repeat(first - (np.cumsum(count) - count), count)
+    return (sums[at + width[doc]] - sums[at]) / width[doc], doc, at
 
 
 class Model:
@@ -128,42 +136,46 @@ def train(texts, labels, first_epochs=FIRST_EPOCHS, rounds=ROUNDS, rate=RATE, ba
     tokens = [np.fromiter((ids.setdefault(x, len(ids)) for x in w), np.int64, len(w)) for w, _ in docs]
     grams, n_grams = subwords(list(ids))
     gram_start = np.cumsum(n_grams) - n_grams
-    starts = [windows_of(len(t), window) for t in tokens]
-    flat = np.concatenate(tokens)
-    offset = np.cumsum([0, *map(len, tokens)])
-    begin = np.concatenate([s + o for s, o in zip(starts, offset)])
-    size = np.diff(np.append(begin, len(flat)))
-    doc = np.repeat(np.arange(len(docs)), list(map(len, starts)))
+    flat, length = np.concatenate(tokens), np.array(list(map(len, tokens)))
     label = np.array([y for _, y in docs])
     model, random = Model(seed=seed), np.random.default_rng(seed)
 
     def ranges(start, count):
         return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
-    def epoch(chosen, lift):
-        y = label[doc[chosen]]
+    def windows(of):
+        """(start, size, document) of windows side by side, from a word of each document drawn anew each time."""
+        count, first = np.maximum(length[of] // window, 1), np.cumsum(length)[of] - length[of]
+        rest = np.maximum(length[of] - count * window, 0)
+        doc = np.repeat(of, count)
+        start = ranges(np.zeros(len(of), np.int64), count) * window + np.repeat(first + random.integers(0, rest + 1), count)
+        return start, np.minimum(length[doc], window), doc
+
+    def epoch(begin, size, doc, lift):
+        y = label[doc]
         share = np.bincount(y, minlength=2)
         weights = (np.maximum(len(y) / np.maximum(share, 1), 1) ** lift)[y]
-        order = random.permutation(len(chosen))
+        order = random.permutation(len(doc))
         for i in range(0, len(order), batch):
-            part = chosen[order[i : i + batch]]
+            part = order[i : i + batch]
             words, word_ids = np.unique(flat[ranges(begin[part], size[part])], return_inverse=True)
             model.update(
                 grams[ranges(gram_start[words], n_grams[words])], n_grams[words], word_ids, size[part],
-                label[doc[part]], weights[order[i : i + batch]], rate,
+                y[part], weights[part], rate,
             )
 
-    every = np.arange(len(begin))
+    every, clean = np.arange(len(docs)), np.flatnonzero(label == 0)
     for _ in range(first_epochs):
-        epoch(every, 1.0)
+        epoch(*windows(every), 1.0)
     for _ in range(rounds):
         scores, _ = model.bucket_scores()
         word = np.add.reduceat(scores[grams], gram_start) / n_grams
-        window_score = np.add.reduceat(word[flat], begin) / size
-        by_doc = np.lexsort((-window_score, doc))
-        first = by_doc[np.append(True, np.diff(doc[by_doc]) > 0)]
-        worst = first[label[doc[first]] == 1]
-        epoch(np.concatenate([worst, every[label[doc] == 0]]), LIFT)
+        score, doc, start = means(word[flat], length, window)
+        by_doc = np.lexsort((-score, doc))
+        worst = by_doc[np.append(True, np.diff(doc[by_doc]) > 0)]
+        worst = worst[label[doc[worst]] == 1]
+        toxic = start[worst], np.minimum(length[doc[worst]], window), doc[worst]
+        epoch(*map(np.concatenate, zip(toxic, windows(clean))), LIFT)
     return model.bucket_scores()
 
 
@@ -186,16 +198,17 @@ class Scorer:
         for words in found:
             worst = self.bias
             if words:
-                starts = windows_of(len(words), self.window)
                 values = np.fromiter(map(self.seen.__getitem__, words), np.float64, len(words))
-                sizes = np.diff(np.append(starts, len(words)))
-                worst += float((np.add.reduceat(values, starts) / sizes).max())
+                worst += float(means(values, np.array([len(words)]), self.window)[0].max())
             out.append(float(1 / (1 + np.exp(-min(max(worst, -500.0), 500.0)))))
         return out
 
 
-def training_rows(df, labels, id_col, text_col, label_col, fold, docs=SAMPLE_DOCS, chars=SAMPLE_CHARS):
-    """(text, label) of so many labelled documents of each class with the smallest hashes, outside the fold."""
+def training_rows(df, labels, id_col, text_col, label_col, fold, docs=SAMPLE_DOCS):
+    """(whole text, label) of so many labelled documents of each class with the smallest hashes, outside the fold.
+
+    Of rows that repeat an id one counts, so that no more than those texts come to the driver.
+    """
     rows = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
     if fold:
         rows = rows.where(~is_in_fold(id_col, *fold))
@@ -206,7 +219,8 @@ def training_rows(df, labels, id_col, text_col, label_col, fold, docs=SAMPLE_DOC
     chosen = {r["id"]: r["label"] for r in keyed.withColumn("rank", rank).where(F.col("rank") <= docs // _SALTS).collect()}
     if not chosen:
         return []
-    found = df.where(F.col(id_col).isin(list(chosen))).select(id_col, F.substring(text_col, 1, chars)).collect()
+    rows = df.where(F.col(id_col).isin(list(chosen)) & (F.length(text_col) > 0))
+    found = rows.groupBy(F.col(id_col)).agg(F.min(text_col)).collect()
     return [(t, chosen[i]) for i, t in sorted((r for r in found if r[1]), key=lambda r: (str(r[0]), r[1]))]
 
 
@@ -216,7 +230,8 @@ def toxicity(df, labels, id_col="doc_id", text_col="text", label_col="toxic", fo
     Learns from the labelled rows outside the fold.  Null and empty texts, and those without a word, get the
     score of the bias.  If only one class is labelled, every score says that class; without labels all are
     near 0.  Each row is scored alone: null ids and repeated rows are returned as they are.  An id that is labelled
-    twice counts as toxic if one label says so.  Extra columns are left out.
+    twice counts as toxic if one label says so.  Texts of any length are learnt from and scored whole.  An empty
+    table gives no rows.  Extra columns are left out.
     """
     pairs = training_rows(df, labels, id_col, text_col, label_col, fold)
     scores, bias = train([t for t, _ in pairs], [y for _, y in pairs])

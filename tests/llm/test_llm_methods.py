@@ -258,6 +258,27 @@ def archive(n=30, dictionary=True):
     return texts, trained, warc_zstd.dictionary_frame(trained), [compressor.compress(f) for f in frames]
 
 
+def test_windows_start_at_every_word():
+    rng = np.random.default_rng(3)
+    sizes = np.array([1, 5, 6, 7, 40])
+    values = rng.standard_normal(sizes.sum())
+    got, doc, at = toxicity.means(values, sizes)
+    want, first = [], 0
+    for d, n in enumerate(sizes):
+        w = min(n, toxicity.WINDOW)
+        want += [(values[first + k : first + k + w].mean(), d, first + k) for k in range(n - w + 1)]
+        first += n
+    np.testing.assert_allclose(got, [x[0] for x in want])
+    assert list(doc) == [x[1] for x in want] and list(at) == [x[2] for x in want]
+    # What stands in front of a long text does not change how bad its worst window is.
+    scores = rng.standard_normal(toxicity.BUCKETS).astype(np.float32)
+    score = toxicity.Scorer(np.where(scores > 0, scores, 0), -2.0)
+    words = [f"w{rng.integers(50)}" for _ in range(60)]
+    texts = [" ".join(["0"] * k + words) for k in range(7)]
+    score.seen = {"0": 0.0}
+    assert len(set(score(texts))) == 1
+
+
 @pytest.mark.parametrize("dictionary", [True, False])
 def test_archives_round_trip(dictionary):
     texts, trained, head, frames = archive(dictionary=dictionary)
