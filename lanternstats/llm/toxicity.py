@@ -174,7 +174,14 @@ def train(texts, labels, first_epochs=FIRST_EPOCHS, rounds=ROUNDS, rate=RATE, ba
         by_doc = np.lexsort((-score, doc))
         worst = by_doc[np.append(True, np.diff(doc[by_doc]) > 0)]
         worst = worst[label[doc[worst]] == 1]
-        toxic = start[worst], np.minimum(length[doc[worst]], window), doc[worst]
+        of, start = doc[worst], start[worst]
+        # For half of them another window with the worst word, so that what happens to stand beside it is not learnt.
+        wide = np.minimum(length[of], window)
+        inside = np.minimum(np.arange(window), wide[:, None] - 1)
+        peak = start + word[flat[start[:, None] + inside]].argmax(1)
+        begin = np.cumsum(length)[of] - length[of]
+        other = np.clip(peak - random.integers(0, wide), begin, begin + length[of] - wide)
+        toxic = np.where(random.random(len(of)) < 0.5, other, start), wide, of
         epoch(*map(np.concatenate, zip(toxic, windows(clean))), LIFT)
     return model.bucket_scores()
 
