@@ -374,7 +374,7 @@ def near_duplicates(df, id_col="doc_id", text_col="text", words=WORDS, similarit
     of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
     rest = near.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
-    large = distinct_buckets(members.where("k > 2").select("h", "node"))
+    large = stored(distinct_buckets(members.where("k > 2").select("h", "node")), folder, "large")
     later = block_links(large, labels, classes, sets, similarity, hashes)
     later = stored(verify_sets(rest, sets, similarity).unionByName(later), folder, "later")
     if not later.isEmpty():
