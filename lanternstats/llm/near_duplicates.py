@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from lanternstats.llm.bitmaps import ROW_BITS, bitmap, contains, table_of
 from lanternstats.llm.common import ship, slices, stored, workspace
 
 WORDS = 5
@@ -170,17 +171,19 @@ def verify_signatures(pairs, classes, similarity, hashes):
 
 
 def shingle_sets(df, id_col, text_col, nodes, words):
-    """(node, shingles) of the documents named in ``nodes``."""
+    """(node, shingles) of the documents named in ``nodes`` (distinct); a bitmap keeps most others out of the shuffle."""
+    packed = bitmap(nodes.select(F.xxhash64("node")), ROW_BITS)
 
     def run(batches):
-        shingles = Shingler(words)
+        shingles, cells = Shingler(words), table_of(packed, (1 << ROW_BITS) // 8)
         for batch in slices(batches):
-            sets = [shingles(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            some = batch.take(pa.array(np.flatnonzero(contains(cells, batch.column(2).to_numpy().view(np.uint64), ROW_BITS))))
+            sets = [shingles(t).tobytes() for t in some.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("node"), text_col).join(nodes.select("node").distinct(), "node", "left_semi")
-    return rows.mapInArrow(run, f"node {id_type}, shingles binary")
+    rows = df.select(F.col(id_col).alias("node"), text_col, F.xxhash64(F.col(id_col)))
+    return rows.mapInArrow(run, f"node {id_type}, shingles binary").join(nodes, "node", "left_semi")
 
 
 def _similar(x, y, t, of):
@@ -365,6 +368,7 @@ def near_duplicates(df, id_col="doc_id", text_col="text", words=WORDS, similarit
     near = stored(verify_signatures(pairs, classes, similarity, hashes), folder, "near")
     # A bucket of two is a pair with its leader, so only survivors and larger buckets need their sets.
     nodes = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.where("k > 2").select("node"))
+    nodes = stored(nodes.distinct(), folder, "nodes")
     sets = stored(shingle_sets(df, id_col, text_col, nodes, words), folder, "sets")
     best = near.groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a"))
     links = stored(verify_sets(best, sets, similarity), folder, "first")

@@ -18,10 +18,10 @@ verified on the full sets; if one of them fails, the blocks are asked again with
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lanternstats.llm.bitmaps import PIECES, ROW_BITS, bitmap, cell_of, contains, merged_pieces, pack, table_of
 from lanternstats.llm.common import ship, slices, stored, workspace
 from lanternstats.llm.near_duplicates import Shingler, components
 
@@ -31,8 +31,6 @@ SIMILARITY = (80, 100)
 #: shuffles, as powers of two.  They are sent to all tasks in packed pieces; their size does not depend on the data.
 COUNT_BITS = 26
 TOKEN_BITS = 26
-ROW_BITS = 24
-PIECES = 64
 #: Documents of a bucket that meet as many others in a task at a time.
 BLOCK = 256
 #: In buckets of more members than this, all of them ask the leader before they ask each other.
@@ -60,20 +58,6 @@ def _prints(shingles):
     return _signed(xxhash.xxh64_intdigest(raw)), _signed(xxhash.xxh64_intdigest(raw, 1))
 
 
-def _cell(hashes, bits):
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _pack(part):
-    """A piece in as few bytes a cell as hold it, which the first byte tells."""
-    part = part.astype(np.min_scalar_type(int(part.max())))
-    return bytes([part.itemsize]) + zstandard.ZstdCompressor(level=1).compress(part.tobytes())
-
-
-def _unpack(packed):
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), f"u{packed[0]}")
-
-
 def sketch(df, id_col, text_col, words, bits=COUNT_BITS):
     """(id, n, fp1, fp2) of each row; and at the end of each task (piece, counts): the cells of its n-grams."""
 
@@ -81,7 +65,7 @@ def sketch(df, id_col, text_col, words, bits=COUNT_BITS):
         shingles, cells, waiting, held = Shingler(words), np.zeros(1 << bits, np.uint8), [], 0
 
         def count():
-            at, often = np.unique(_cell(np.concatenate(waiting), bits), return_counts=True)
+            at, often = np.unique(cell_of(np.concatenate(waiting), bits), return_counts=True)
             # A cell that a single task fills is frequent enough.
             cells[at] = np.minimum(cells[at] + often, 255).astype(np.uint8)
 
@@ -105,7 +89,7 @@ def sketch(df, id_col, text_col, words, bits=COUNT_BITS):
         if cells.any():
             for k, part in enumerate(np.split(cells, PIECES)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, batch.column(0).type), *(pa.nulls(1, pa.int64()) for _ in range(3)), pa.array([k], pa.int32()), pa.array([_pack(part)])],
+                    [pa.nulls(1, batch.column(0).type), *(pa.nulls(1, pa.int64()) for _ in range(3)), pa.array([k], pa.int32()), pa.array([pack(part)])],
                     names=["id", "n", "fp1", "fp2", "piece", "counts"],
                 )
 
@@ -113,37 +97,6 @@ def sketch(df, id_col, text_col, words, bits=COUNT_BITS):
     return df.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, n long, fp1 long, fp2 long, piece int, counts binary")
 
 
-def _merged(pieces, finish):
-    """Pieces (piece, counts) of all tasks, combined by ``finish(so far, next)`` and ended by ``finish(all, None)``.
-
-    They stay packed, and are bounded by the size of the table, not by the data.
-    """
-
-    def run(batches):
-        place, total = None, None
-        for batch in slices(batches, 16):
-            for k, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                part = _unpack(packed)
-                if k != place:
-                    if place is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([_pack(finish(total, None))])], names=["piece", "cells"])
-                    place, total = k, None
-                total = finish(total, part)
-        if place is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([_pack(finish(total, None))])], names=["piece", "cells"])
-
-    rows = pieces.repartition(PIECES, "piece").sortWithinPartitions("piece").mapInArrow(run, "piece int, cells binary").collect()
-    return {r.piece: bytes(r.cells) for r in rows}
-
-
-def _table(packed, size):
-    """A table of ``size`` bytes from its packed pieces; those left out are zero."""
-    table = np.zeros((PIECES, size // PIECES), np.uint8)
-    for k, piece in packed.items():
-        table[k] = _unpack(piece)
-    return table.reshape(-1)
-
-
 def ranks(pieces, total, bits=COUNT_BITS):
     """How frequent the n-grams of each cell are against the mean of ``total`` n-grams: two levels, 0 to 15, a byte."""
     mean = total / (1 << bits)
@@ -154,46 +107,19 @@ def ranks(pieces, total, bits=COUNT_BITS):
             return level[::2] << 4 | level[1::2]
         return part.astype(np.uint64) if total is None else total + part
 
-    return _merged(pieces, finish)
+    return merged_pieces(pieces, finish)
 
 
 def _rank(cells, hashes, bits):
-    at = _cell(hashes, bits)
+    at = cell_of(hashes, bits)
     return np.where(at & 1 == 0, cells[at >> 1] >> 4, cells[at >> 1] & 15)
 
 
-def bitmap(hashes, bits):
-    """Cells in which one of the 64-bit ``hashes`` (a frame of one column) lies, a bit each."""
-    width = (1 << bits) // PIECES
-
-    def run(batches):
-        at = [np.unique(_cell(b.column(0).to_numpy().view(np.uint64), bits)) for b in batches if b.num_rows]
-        at = np.unique(np.concatenate(at)) if at else np.zeros(0, np.int64)
-        for k in range(PIECES):
-            here = at[np.searchsorted(at, k * width) : np.searchsorted(at, (k + 1) * width)]
-            if len(here):
-                cells = np.zeros(width, np.uint8)
-                cells[here - k * width] = 1
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_pack(np.packbits(cells))])], names=["piece", "counts"])
-
-    def finish(total, part):
-        if part is None:
-            return total
-        return part if total is None else total | part
-
-    return _merged(hashes.mapInArrow(run, "piece int, counts binary"), finish)
-
-
-def _in(cells, hashes, bits):
-    at = _cell(hashes, bits)
-    return (cells[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-
-
 def prefixes(df, id_col, text_col, words, similarity, rank, bits=COUNT_BITS):
     """(id, fp1, fp2, prefix) of all rows with an n-gram: the first members under the order by rarity."""
 
     def run(batches):
-        shingles, cells = Shingler(words), _table(rank, (1 << bits) // 2)
+        shingles, cells = Shingler(words), table_of(rank, (1 << bits) // 2)
         for batch in slices(batches):
             at, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
@@ -218,11 +144,11 @@ def likely_members(prefixed, tokens, bits=TOKEN_BITS):
     packed = bitmap(tokens, bits)
 
     def run(batches):
-        cells = _table(packed, (1 << bits) // 8)
+        cells = table_of(packed, (1 << bits) // 8)
         for batch in slices(batches, 4_096):
             column = batch.column(3)
             tokens = column.flatten().to_numpy()
-            stay = np.flatnonzero(_in(cells, tokens.view(np.uint64), bits))
+            stay = np.flatnonzero(contains(cells, tokens.view(np.uint64), bits))
             row = pa.array(np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))[stay])
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(row) for k in range(3)), pa.array(tokens[stay])], names=["id", "fp1", "fp2", "token"])
 
@@ -260,9 +186,9 @@ def texts_of(df, id_col, text_col, owners, words, result, bits=ROW_BITS):
     packed = bitmap(owners.select(F.xxhash64("id")), bits)
 
     def run(batches):
-        shingles, cells = Shingler(words), _table(packed, (1 << bits) // 8)
+        shingles, cells = Shingler(words), table_of(packed, (1 << bits) // 8)
         for batch in slices(batches):
-            some = batch.take(pa.array(np.flatnonzero(_in(cells, batch.column(2).to_numpy().view(np.uint64), bits))))
+            some = batch.take(pa.array(np.flatnonzero(contains(cells, batch.column(2).to_numpy().view(np.uint64), bits))))
             texts = some.column(1).to_pylist()
             sets = [shingles(t) for t in texts]
             prints = [_prints(s) for s in sets]
