@@ -450,6 +450,7 @@ UNION SELECT CAST(CAST(o_orderdate AS DATE) + 1 AS DATE) FROM orders UNION SELEC
     ),
     "denormalised_mirror": _with(_MIRROR),
     "mirror_refresh": _with(_MIRROR),
+    "mirror_batches": _with(_MIRROR),
     "split_documents": f"""SELECT doc_id, CAST(n AS BIGINT) AS doc_no, octet_length(encode(t)) AS bytes, sha1(t) AS digest FROM (
  SELECT doc_id, unnest(generate_series(0, doc_id % 3)) AS n, concat('router ', text, chr(10), 'router-signature', chr(10),
  '-----BEGIN SIGNATURE-----', chr(10), 'c2ln', chr(10), '-----END SIGNATURE-----', chr(10)) AS t FROM documents) x""",

@@ -20,9 +20,9 @@ def _place(column):
     return F.pmod(F.xxhash64(F.col(column).cast("string")), F.lit(FILTER_BITS)) + 1
 
 
-def filter_bits(relays):
-    """(bucket, bits): the filter of a set of relays."""
-    place = _place("hashed_relay")
+def filter_bits(relays, column="hashed_relay"):
+    """(bucket, bits): the filter of a set of relays, or of the values of another column."""
+    place = _place(column)
     return relays.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
 
 

@@ -10,7 +10,7 @@ from lanternstats.operators import (
     bridges, completeness, descriptors, documents as docs_ops, health, intervals, ip_ranges,
     pseudonymise, statuses,
 )
-from lanternstats.plans import bridge_history, bridge_store, daily, health_report, keyed_tables, measurements, overlay_store, summaries, warehouse
+from lanternstats.plans import bridge_history, bridge_store, daily, health_report, keyed_tables, measurements, mirror_store, overlay_store, summaries, warehouse
 from lanternstats.sources import logs, sinks
 
 NOW = "2024-01-20 00:00:00"
@@ -147,6 +147,20 @@ def bridge_history_batches(spark, sf_dir):
     return bridge_history.read_stats(spark, root, observations)
 
 
+def mirror_batches(spark, sf_dir):
+    """The stored mirror after three batches, of which later ones bring descriptors that earlier entries list."""
+    root = scratch(spark)
+    status = view(spark, sf_dir, "v_status")
+    day = F.expr("CAST(date_add(DATE'2010-01-01', CAST(descriptor % 60 AS INT)) AS TIMESTAMP_NTZ)")
+    descriptor = view(spark, sf_dir, "v_descriptor").withColumn("published", day)
+    third = lambda rows, column, k: rows.where(F.pmod(column, F.lit(3)) == k)
+    for k in range(3):
+        mirror_store.update(
+            spark, root, k + 1, third(status, F.col("fingerprint"), k), third(descriptor, F.col("descriptor"), 2 - k)
+        )
+    return mirror_store.read_mirror(spark, root, status, descriptor).drop("published")
+
+
 # ------------------------------------------------------------ keyed tables
 
 def _new(df, key="fingerprint"):
@@ -657,6 +671,7 @@ QUERIES = {
     "dirty_dates": dirty_dates_query,
     "denormalised_mirror": _q(keyed_tables.denormalised_mirror, "v_status", "v_descriptor"),
     "mirror_refresh": _q(mirror_refresh, "v_status", "v_descriptor"),
+    "mirror_batches": mirror_batches,
     # documents
     "split_documents": _d(split_documents, "cached_files"),
     "document_digest": _d(document_digest, "cached_files"),
