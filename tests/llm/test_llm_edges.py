@@ -112,13 +112,29 @@ def test_token_counts(docs, empty):
 def test_contamination(docs, empty, items):
     got = decontaminate.contamination(docs, items)
     found = {r["doc_id"]: r for r in got.collect()}
-    assert len(found) == 8 and set(found) == {r[0] for r in ROWS}
+    assert got.count() == len(ROWS) and set(found) == {r[0] for r in ROWS}
     assert found[1]["items"] == ["1"] and found[1]["n_hit"] == 32
     assert found[5]["n_hit"] == found[5]["n_words"] and found[5]["items"] == ["5"]
-    assert found[2]["n_words"] == 0 and not found[4]["contaminated"] and found[None]["n_words"] == 96
+    assert found[2]["n_words"] == 0 and not found[4]["contaminated"]
+    assert rows_of(got.where("doc_id IS NULL"), "n_words") == [(8,), (96,)]
     assert decontaminate.contamination(empty, items).count() == 0
     clean = decontaminate.contamination(docs, items.where("false"))
-    assert clean.count() == 8 and clean.where("contaminated OR n_items > 0").isEmpty()
+    assert clean.count() == len(ROWS) and clean.where("contaminated OR n_items > 0").isEmpty()
+
+
+def test_contamination_is_judged_by_row(spark, items):
+    text = items.where("text IS NOT NULL").first()["text"]
+    docs = spark.createDataFrame([(None, text), (None, "quite another text"), (7, text), (7, "clean"), (7, None)], "doc_id int, text string")
+    got = rows_of(decontaminate.contamination(docs, items), "doc_id", "contaminated")
+    assert got == sorted([(None, True), (None, False), (7, True), (7, False), (7, False)], key=str)
+
+
+def test_draws_without_an_id(spark):
+    rows = [(None, f"w{i} and more", "s") for i in range(2000)]
+    plan = mixing.mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    copies = {r["copies"]: r["count"] for r in plan.groupBy("copies").count().collect()}
+    # The rate is 1.5: about half of the rows once, half twice.
+    assert set(copies) == {1, 2} and 850 < copies[1] < 1150
 
 
 def test_blocks_of_the_benchmark(docs, items, monkeypatch):
