@@ -22,9 +22,10 @@ def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def draw(id_column, seed=SEED):
-    """A number from 0 to 1 fixed by the id: the first 48 bits of its digest."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
+def draw(id_column, seed=SEED, text_column="text"):
+    """A number from 0 to 1 fixed by the id, or by the text where it is null: the first 48 bits of a digest."""
+    of_text = F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary")))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), of_text))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(2**48))
 
 
@@ -65,8 +66,9 @@ def mix_plan(df, id_col="doc_id", text_col="text", source_col="source", weights=
     """Every row of ``df`` with its size, source size, target and number of copies.
 
     Null sources are one source, the last.  Null and empty texts have size 0.  A source of size 0 has target 0
-    and no copies.  Rows with the same id, or none, draw the same number.  An empty table gives no rows.  Extra
-    columns are kept, except those with the names of the results, which are replaced.
+    and no copies.  Rows with the same id draw the same number, as do rows without one whose texts are equal.  An
+    empty table gives no rows.  Very long texts are counted whole.  Extra columns are kept, except those with the
+    names of the results, which are replaced.
     """
     made = ("size", "source_size", "target", "copies")
     rows = df.drop(*[c for c in made if c not in (id_col, text_col, source_col)]).withColumn("size", word_count(F.col(text_col)))
@@ -79,7 +81,7 @@ def mix_plan(df, id_col="doc_id", text_col="text", source_col="source", weights=
         .withColumn("_rate", rate)
         .withColumn(
             "copies",
-            (F.floor("_rate") + F.when(draw(id_col, seed) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)).cast("long"),
+            (F.floor("_rate") + F.when(draw(id_col, seed, text_col) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)).cast("long"),
         )
         .drop("_rate")
     )
@@ -92,7 +94,7 @@ def emit(plan, number_col="copy"):
 
 ORACLE = f"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, text, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
   FROM d GROUP BY source),
@@ -105,7 +107,7 @@ t AS (
   SELECT source, source_size, least(cap, weight * coalesce((SELECT min_by(level, bound) FROM l WHERE level <= bound), 'inf'::DOUBLE)) AS target FROM k),
 r AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-   ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS drawn
+   ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS drawn
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
 """
