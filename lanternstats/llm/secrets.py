@@ -61,6 +61,9 @@ SCOPE = 200
 #: A weak candidate needs a neighbour with one of these roles.
 PARTNERS = {"access": ("secret",), "secret": ("access", "endpoint"), "endpoint": ("secret",)}
 
+#: Matches or spans of a text that an array grows by at a time: growing copies it, so stretches keep the work linear.
+STRETCH = 512
+
 _SPAN = "array<struct<kind:string,start:int,stop:int>>"
 
 
@@ -69,6 +72,13 @@ def _once(column, fn):
     return F.element_at(F.transform(F.array(column), fn), 1)
 
 
+def _stretches(column):
+    """An array cut into arrays of ``STRETCH`` members."""
+    last = F.floor((F.size(column) - 1) / STRETCH).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.slice(column, k * STRETCH + 1, STRETCH))
+    return F.filter(cut, lambda stretch: F.size(stretch) > 0)
+
+
 def spans_of(text, lowered, kind, pattern, group, least, hints):
     """Spans of the leftmost matches of ``pattern`` whose group is long enough, in code points."""
 
@@ -77,6 +87,11 @@ def spans_of(text, lowered, kind, pattern, group, least, hints):
         sized = F.regexp_extract_all(t, F.lit(pattern), F.lit(group)) if group else matches
         gaps = F.transform(F.split(t, pattern, -1), F.length)
         parts = F.arrays_zip(gaps.alias("gap"), F.transform(matches, F.length).alias("size"), F.transform(sized, F.length).alias("value"))
+        inside = F.filter(parts, lambda p: p["size"].isNotNull())  # the last gap has no match after it
+        return _once(inside, lambda p: _once(F.transform(_stretches(p), places), moved))
+
+    def places(stretch):
+        """Characters up to the end of a stretch's last match, and spans that count from its beginning."""
         begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
 
         def step(state, part):
@@ -86,8 +101,15 @@ def spans_of(text, lowered, kind, pattern, group, least, hints):
             grown = F.when(part["value"] >= least, F.concat(state["spans"], span)).otherwise(state["spans"])
             return F.struct(stop.alias("at"), grown.alias("spans"))
 
-        inside = F.filter(parts, lambda p: p["size"].isNotNull())  # the last gap has no match after it
-        return F.aggregate(inside, begin, step, lambda state: state["spans"])
+        return F.aggregate(stretch, begin, step)
+
+    def moved(stretches):
+        """The spans of all stretches, counted from the beginning of the text."""
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+        step = lambda state, x: F.struct((state["at"] + x["at"]).alias("at"), F.concat(state["begins"], F.array(state["at"])).alias("begins"))
+        by = lambda n: lambda s: F.struct(s["kind"].alias("kind"), (s["start"] + n).alias("start"), (s["stop"] + n).alias("stop"))
+        begins = F.aggregate(stretches, begin, step, lambda state: state["begins"])
+        return F.flatten(F.zip_with(stretches, begins, lambda x, n: F.transform(x["spans"], by(n))))
 
     may = F.lit(True)
     if hints:
@@ -116,7 +138,8 @@ def scan(df, id_col="doc_id", text_col="text", scope=SCOPE):
 
     Null and empty texts have no spans.  Rows are told apart by their place, not by their id: null and repeated
     ids give a row each.  Spans count code points from 0, the end is exclusive.  A weak span that overlaps a
-    strong one is not reported.  Extra columns are left out.
+    strong one is not reported.  Empty tables give no rows.  Very long texts are scanned whole, in time that grows with
+    their length and their spans.  Extra columns are left out.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = df.select(F.col(id_col).alias("id"), text.alias("t"))
@@ -169,17 +192,33 @@ def linked_weak(found, scope=SCOPE):
 
 
 def redact(text, spans, mark="[SECRET]"):
-    """``text`` with every span, and spans that overlap, replaced by ``mark``; ``spans`` are in order."""
+    """``text`` with every span, and spans that overlap, replaced by ``mark``; ``spans`` are in order.
+
+    Each stretch of spans looks only into its own part of the text, so that the work grows with the text and the spans.
+    """
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("pieces"))
 
-    def step(state, span):
-        before = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        fresh = span["start"] >= state["at"]
-        pieces = F.when(fresh, F.concat(state["pieces"], F.array(before, F.lit(mark)))).otherwise(state["pieces"])
-        return F.struct(F.greatest(state["at"], span["stop"]).alias("at"), pieces.alias("pieces"))
+    def within(base, part):
+        """How a span continues the pieces of ``part``, which is the text from ``base`` on."""
+
+        def step(state, span):
+            before = F.substring(part, state["at"] - base + 1, span["start"] - state["at"])
+            fresh = span["start"] >= state["at"]
+            pieces = F.when(fresh, F.concat(state["pieces"], F.array(before, F.lit(mark)))).otherwise(state["pieces"])
+            return F.struct(F.greatest(state["at"], span["stop"]).alias("at"), pieces.alias("pieces"))
+
+        return step
+
+    def step(state, stretch):
+        base = state["at"]
+        part = F.substring(text, base + 1, F.greatest(F.element_at(stretch, -1)["start"] - base, F.lit(0)))
+        start = F.struct(base.alias("at"), F.array().cast("array<string>").alias("pieces"))
+        done = _once(part, lambda p: F.aggregate(stretch, start, within(base, p)))
+        grown = lambda d: F.struct(d["at"].alias("at"), F.concat(state["pieces"], F.array(F.array_join(d["pieces"], ""))).alias("pieces"))
+        return _once(done, grown)
 
     end = lambda s: F.concat(F.array_join(s["pieces"], ""), F.substring(text, s["at"] + 1, F.length(text)))
-    return F.aggregate(spans, begin, step, end)
+    return _once(spans, lambda x: F.aggregate(_stretches(x), begin, step, end))
 
 
 def digests(scanned, id_col="doc_id"):
