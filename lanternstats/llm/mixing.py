@@ -71,7 +71,9 @@ def mix_plan(df, id_col="doc_id", text_col="text", source_col="source", weights=
     names of the results, which are replaced.
     """
     made = ("size", "source_size", "target", "copies")
-    rows = df.drop(*[c for c in made if c not in (id_col, text_col, source_col)]).withColumn("size", word_count(F.col(text_col)))
+    rows = df.drop(*[c for c in made if c not in (id_col, text_col, source_col)])
+    # Size and draw come before the join, so that a result without the texts does not shuffle them.
+    rows = rows.withColumn("_draw", draw(id_col, seed, text_col)).withColumn("size", word_count(F.col(text_col)))
     sizes = df.select(F.col(source_col), word_count(F.col(text_col)).alias("size"))
     targets = source_targets(sizes, source_col, weights, share, most).withColumnRenamed(source_col, "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -81,9 +83,9 @@ def mix_plan(df, id_col="doc_id", text_col="text", source_col="source", weights=
         .withColumn("_rate", rate)
         .withColumn(
             "copies",
-            (F.floor("_rate") + F.when(draw(id_col, seed, text_col) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)).cast("long"),
+            (F.floor("_rate") + F.when(F.col("_draw") < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)).cast("long"),
         )
-        .drop("_rate")
+        .drop("_rate", "_draw")
     )
 
 
