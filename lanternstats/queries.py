@@ -148,15 +148,15 @@ def bridge_history_batches(spark, sf_dir):
 
 
 def mirror_batches(spark, sf_dir):
-    """The stored mirror after three batches, of which later ones bring descriptors that earlier entries list."""
+    """The stored mirror after two batches, of which the second brings descriptors that earlier entries list."""
     root = scratch(spark)
     status = view(spark, sf_dir, "v_status")
     day = F.expr("CAST(date_add(DATE'2010-01-01', CAST(descriptor % 60 AS INT)) AS TIMESTAMP_NTZ)")
     descriptor = view(spark, sf_dir, "v_descriptor").withColumn("published", day)
-    third = lambda rows, column, k: rows.where(F.pmod(column, F.lit(3)) == k)
-    for k in range(3):
+    half = lambda rows, column, k: rows.where(F.pmod(column, F.lit(2)) == k)
+    for k in (0, 1):
         mirror_store.update(
-            spark, root, k + 1, third(status, F.col("fingerprint"), k), third(descriptor, F.col("descriptor"), 2 - k)
+            spark, root, k + 1, half(status, F.col("fingerprint"), k), half(descriptor, F.col("descriptor"), 1 - k)
         )
     return mirror_store.read_mirror(spark, root, status, descriptor).drop("published")
 
