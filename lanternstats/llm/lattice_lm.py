@@ -12,6 +12,7 @@ count in a join, in which no training word is more frequent than the last of tho
 """
 
 import math
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ PASSES = 2
 FLOOR = 0.05
 #: A task sends its word counts on when it has so many different words.
 FLUSH = 400_000
-#: Words longer than this are scored one by one.
+#: Words of so many characters are scored and learnt from one by one.
 LONG = 256
 MARK = "▁"
 _CELLS = 60_000
@@ -163,20 +164,41 @@ class Lattice:
         return out
 
     def long(self, word, counts):
-        """The same sum for one long word, in memory for a few characters; its uses are not counted."""
-        text, recent = MARK + word, [0.0]
+        """The same sum for one long word, one character after the other; ``counts`` as in ``log_probabilities``."""
+        text, alpha = MARK + word, array("d", [0.0])
         for j in range(1, len(text) + 1):
-            terms = []
-            for k in range(1, min(len(recent), self.longest) + 1):
-                found = self.ids.get(text[j - k : j])
-                if found is not None:
-                    terms.append(recent[-k] + self.scores[found])
-                elif k == 1:
-                    terms.append(recent[-1] + sum(self.scores[self.n + b] for b in text[j - 1].encode("utf-8", "replace")))
+            terms = [alpha[j - k] + weight for k, weight, _ in self.pieces_at(text, j)]
             top = max(terms)
-            recent.append(top + math.log(sum(math.exp(t - top) for t in terms)))
-            del recent[: -self.longest - 1]
-        return recent[-1]
+            alpha.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+        total = alpha[-1]
+        if counts is not None:
+            # beta[j]: logarithm of the sum over all ways to end from j on; only the last few are held.
+            beta = {len(text): 0.0}
+            ahead = {}
+            for j in range(len(text), 0, -1):
+                if j < len(text):
+                    terms = ahead.pop(j, None)
+                    if terms is None:
+                        continue
+                    top = max(terms)
+                    beta[j] = top + math.log(sum(math.exp(t - top) for t in terms))
+                for k, weight, uses in self.pieces_at(text, j):
+                    ahead.setdefault(j - k, []).append(beta[j] + weight)
+                    share = math.exp(alpha[j - k] + weight + beta[j] - total)
+                    for i in uses:
+                        counts[i] += share
+                del beta[j]
+        return total
+
+    def pieces_at(self, text, end):
+        """(length, score, entries used) of each subword that ends at a place; bytes spell a character that is none."""
+        for k in range(1, min(end, self.longest) + 1):
+            found = self.ids.get(text[end - k : end])
+            if found is not None:
+                yield k, self.scores[found], (found,)
+            elif k == 1:
+                spelt = [self.n + b for b in text[end - 1].encode("utf-8", "replace")]
+                yield k, sum(self.scores[i] for i in spelt), spelt
 
 
 def words_of(text):

@@ -44,6 +44,26 @@ def test_lattice_sums_every_segmentation():
     assert np.isfinite(lattice.log_probabilities(["x" * 5000])).all()
 
 
+def test_long_words_are_learnt_from(spark):
+    pieces, scores = lattice_lm.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    lattice = lattice_lm.Lattice(pieces, scores)
+    for word in ("thandon", "ción☃x", "日本のanan"):
+        batch, single = np.zeros(lattice.n + 256), np.zeros(lattice.n + 256)
+        lattice.log_probabilities([word], batch)
+        lattice.long(word, single)
+        np.testing.assert_allclose(single, batch, rtol=1e-9, atol=1e-12)
+    # Every character of a long word is used once, by a subword or by its bytes.
+    word = "日本のanan" * 60
+    uses = np.zeros(lattice.n + 256)
+    lattice.log_probabilities([word], uses)
+    length = np.array([len(p) for p in pieces])
+    assert uses[: lattice.n] @ length + uses[lattice.n + 0xC0 :].sum() == pytest.approx(len(word) + 1)
+    # So a fit knows its subwords beyond the floor.
+    counts = spark.createDataFrame([("", 1), (word, 1)], "word string, n long")
+    fitted = np.exp(lattice_lm.fit_subwords(counts, pieces, scores, passes=1))
+    assert fitted[lattice.ids["an"]] > 100 * fitted[lattice.ids["ed"]]
+
+
 def test_merges_equal_the_library():
     r = random.Random(3)
     letters = "ab eilnorst'  \n\t.,!?0123456789ñçß日本😀́\xa0\x1cAZ_<|>"
