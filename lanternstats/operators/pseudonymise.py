@@ -11,6 +11,7 @@ from lanternstats.functions import digests, text as tx
 from lanternstats.operators.intervals import statuses_to_rewrite
 
 NO_REFERENCE = "0" * 40
+LOCAL = " 127.0.0.1 "  # stands for every address
 # Line starts copied unchanged, and whole lines copied unchanged (fixed values).
 SERVER_COPIED = [
     "reject ", "accept ", "platform ", "opt protocols ", "uptime ", "bandwidth ", "opt hibernating ",
@@ -153,36 +154,48 @@ def _text_digest(text):
     return F.sha1(tx.to_bytes(text))
 
 
+def _entries(docs, plain, keep, is_entry, identity):
+    """One row per ``r`` line with the lines after it, and one for lines before the first; see ``scrub_statuses``.
+
+    ``_parts`` are the fields of the ``r`` line; ``bridge`` is what ``identity`` makes of the second.
+    """
+    rows = docs.select(*keep, F.posexplode_outer(F.split(plain, "\n(?=r )")).alias("line_no", "_block")).withColumn(
+        "_parts", F.split(F.substring_index("_block", "\n", 1), " ")
+    )
+    is_r = F.col("_block").startswith("r ") & is_entry(F.col("_parts"))
+    return tx.bind(rows, _is_r=is_r, bridge=F.when(is_r, identity(F.try_element_at(F.col("_parts"), F.lit(3)))))
+
+
+def _of_entries(line):
+    """Publication time, other text and what follows the address of the rows of ``_entries``."""
+    part = lambda n: F.try_element_at(F.col("_parts"), F.lit(n + 1))
+    is_r, known = F.col("_is_r"), F.col("bridge").isNotNull()
+    time = F.concat_ws(" ", part(4), part(5))
+    after = F.col("_block").substr(F.length(F.substring_index("_block", "\n", 1)) + 1, F.lit(2147483647))
+    rest = F.concat(part(7), F.lit(" "), part(8), after)
+    return [
+        F.when(is_r & known, time).alias("published"),
+        F.when(is_r, line).otherwise(F.col("_block")).alias("line"),
+        F.when(is_r, F.when(known, rest).otherwise(F.concat(time, F.lit(LOCAL), rest))).alias("tail"),
+    ]
+
+
 def scrub_statuses(docs, keep=()):
-    """Scrubbed status lines: one row per line with its position.
+    """Scrubbed statuses: one row per ``r`` line, with the lines after it, and its position.
 
-    ``bridge`` and ``published`` are set on ``r`` lines; their digest is still
-    missing, ``line`` holds what comes before it and ``tail`` what comes after.
+    ``bridge`` (hashed identity) and ``published`` are set on these rows; ``tail`` holds what comes after the address.
+    ``line`` holds text that cannot be made of these.  The digest of the descriptor is still missing.
     A status with any other line than ``r`` and ``s`` is dropped.
     """
     plain = F.regexp_replace(F.regexp_replace(F.col("text"), "\r\n?", "\n"), "\n\\z", "")
-    cut = tx.bind(docs, _lines=F.split(plain, "\n")).where(
+    cut = tx.bind(docs, _plain=plain).where(
         ~F.exists(
-            "_lines",
+            F.split("_plain", "\n"),
             lambda x: ~(x.startswith("s ") | (x.startswith("r ") & (F.size(F.split(x, " ")) >= 9))),
         )
     )
-    rows = cut.select(*keep, F.posexplode_outer("_lines").alias("line_no", "_line")).withColumn(
-        "_parts", F.split("_line", " ")
-    )
-    part = lambda n: F.try_element_at(F.col("_parts"), F.lit(n + 1))
-    is_r = F.col("_line").startswith("r ")
-    hashed = F.lower(digests.sha1_of_base64(part(2)))
-    return tx.bind(rows, bridge=F.when(is_r, hashed)).select(
-        *keep,
-        "line_no",
-        "bridge",
-        F.when(is_r, F.concat_ws(" ", part(4), part(5))).alias("published"),
-        F.when(is_r, F.concat(F.lit("r Unnamed "), digests.base64_of_hex(F.col("bridge"))))
-        .otherwise(F.col("_line")).alias("line"),
-        F.when(is_r, F.concat(part(4), F.lit(" "), part(5), F.lit(" 127.0.0.1 "), part(7), F.lit(" "), part(8)))
-        .alias("tail"),
-    )
+    rows = _entries(cut, F.col("_plain"), keep, lambda _: F.lit(True), lambda x: F.lower(digests.sha1_of_base64(x)))
+    return rows.select(*keep, "line_no", "bridge", *_of_entries(F.lit(None).cast("string")))
 
 
 def set_extra_digest(text, digest):
@@ -230,7 +243,8 @@ def reference_mapping(linked_servers, extras, stored=None, status_lines=None):
     keys = ["bridge", "published"]
     mapping = servers.join(infos, keys, "full")
     if status_lines is not None:
-        named = status_lines.where("bridge IS NOT NULL").select(*keys).distinct()
+        named = status_lines.where("bridge IS NOT NULL").select(_bytes_of(F.col("bridge")).alias("_bridge"), "published").distinct()
+        named = named.select(F.lower(F.hex("_bridge")).alias("bridge"), "published")
         mapping = mapping.join(named, keys, "full")
     if stored is not None:
         old = stored.select(
@@ -248,34 +262,44 @@ def reference_mapping(linked_servers, extras, stored=None, status_lines=None):
     )
 
 
-def link_statuses(status_lines, mapping, status_key):
+def _bytes_of(column):
+    """Bytes of a hex value, half as many as digits; null for what is none."""
+    return F.when(F.length(column) % 2 == 0, F.unhex(column))
+
+
+def link_statuses(status_lines, mapping, status_key, near=None):
     """Scrubbed statuses put together again, with the digests of the mapping.
 
     A status came in as one row and is put together to one row of at most the
     same number of lines.  Lines of one much-listed bridge differ in their
     time; those of one time and bridge are left to the skew handling of the join.
-    Lines without a bridge, half of all, get keys that match nothing, so that
-    their nulls do not meet in one task.
+    Rows without a bridge get keys that match nothing, so that their nulls do not meet in one task.
+
+    Identities and digests travel as bytes, and text is made of them where a status is put together.  With ``near``, a
+    column, statuses come out in ranges of it, so a writer finds few of its values in a task.
     """
-    digests_by_key = mapping.select("bridge", "published", "server_digest")
-    no_bridge = F.concat(F.lit("-"), F.xxhash64(*status_key, "line_no").cast("string"))
-    keyed = status_lines.withColumn("bridge", F.coalesce("bridge", no_bridge)).withColumn(
-        "published", F.coalesce("published", F.lit(""))
-    )
-    filled = keyed.join(digests_by_key, ["bridge", "published"], "left").withColumn(
-        "line",
-        F.when(
-            F.col("tail").isNotNull(),
-            F.concat_ws(
-                " ", "line",
-                digests.base64_of_hex(F.coalesce("server_digest", F.lit(NO_REFERENCE))),
-                "tail",
-            ),
-        ).otherwise(F.col("line")),
+    known = mapping.select(_bytes_of(F.col("bridge")).alias("_bridge"), "published", F.unhex("server_digest").alias("_digest"))
+    no_bridge = F.xxhash64(*status_key, "line_no").cast("string").cast("binary")
+    keyed = status_lines.select(
+        *status_key, "line_no", F.coalesce(_bytes_of(F.col("bridge")), no_bridge).alias("_bridge"), "published", "line", "tail"
     )
-    ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return filled.groupBy(*status_key).agg(
-        F.concat(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n"), F.lit("\n")).alias("scrubbed")
+    filled = keyed.join(known, ["_bridge", "published"], "left")
+    groups = list(status_key)
+    if near is not None:
+        filled = filled.withColumn("_near", near).repartitionByRange("_near", *status_key)
+        groups += ["_near"]
+    short = lambda column: F.substring(F.base64(column), 1, 27)
+    nothing = F.unhex(F.lit(NO_REFERENCE))
+
+    def text(x):
+        head = F.coalesce(x["line"], F.when(x["published"].isNotNull(), F.concat(F.lit("r Unnamed "), short(x["_bridge"]))))
+        time = F.concat(x["published"], F.lit(LOCAL))
+        entry = F.concat_ws(" ", head, short(F.coalesce(x["_digest"], nothing)), F.concat(F.coalesce(time, F.lit("")), x["tail"]))
+        return F.when(x["tail"].isNotNull(), entry).otherwise(x["line"])
+
+    ordered = F.array_sort(F.collect_list(F.struct("line_no", "_bridge", "published", "line", "tail", "_digest")))
+    return filled.groupBy(*groups).agg(ordered.alias("_rows")).select(
+        *status_key, F.concat(F.array_join(F.transform("_rows", text), "\n"), F.lit("\n")).alias("scrubbed")
     )
 
 
@@ -361,37 +385,33 @@ def sanitized_extras(docs, keep=()):
 
 
 def sanitized_statuses(docs, keep=()):
-    """Lines of already scrubbed statuses in the form of ``scrub_statuses``.
+    """Rows of already scrubbed statuses in the form of ``scrub_statuses``.
 
     ``read_digest`` is the reference the status had; it stands in for a
     descriptor the mapping does not know.
     """
     plain = F.regexp_replace(F.regexp_replace(F.col("text"), "\r\n?", "\n"), "\n\\z", "")
-    rows = docs.select(*keep, F.posexplode_outer(F.split(plain, "\n")).alias("line_no", "_line")).withColumn(
-        "_parts", F.split("_line", " ")
-    )
+    rows = _entries(docs, plain, keep, lambda parts: F.size(parts) >= 9, digests.hex_of_base64)
     part = lambda n: F.try_element_at(F.col("_parts"), F.lit(n + 1))
-    is_r = F.col("_line").startswith("r ") & (F.size("_parts") >= 9)
+    as_read = F.when(~F.coalesce(digests.base64_of_hex(F.col("bridge")) == part(2), F.lit(False)), F.concat(F.lit("r Unnamed "), part(2)))
     return rows.select(
-        *keep,
-        "line_no",
-        F.when(is_r, digests.hex_of_base64(part(2))).alias("bridge"),
-        F.when(is_r, F.concat_ws(" ", part(4), part(5))).alias("published"),
-        F.when(is_r, digests.hex_of_base64(part(3))).alias("read_digest"),
-        F.when(is_r, F.concat(F.lit("r Unnamed "), part(2))).otherwise(F.col("_line")).alias("line"),
-        F.when(is_r, F.concat(part(4), F.lit(" "), part(5), F.lit(" 127.0.0.1 "), part(7), F.lit(" "), part(8)))
-        .alias("tail"),
+        *keep, "line_no", "bridge", F.when(F.col("_is_r"), digests.hex_of_base64(part(3))).alias("read_digest"), *_of_entries(as_read)
     )
 
 
 def mapping_with_read_digests(mapping, status_lines):
     """Add references read from scrubbed statuses for keys the mapping lacks."""
-    keys = ["bridge", "published"]
-    read = status_lines.where("bridge IS NOT NULL").groupBy(*keys).agg(
-        F.max("read_digest").alias("server_digest")
+    keys = ["_bridge", "published"]
+    read = status_lines.where("bridge IS NOT NULL").groupBy(_bytes_of(F.col("bridge")).alias("_bridge"), "published").agg(
+        F.max(F.unhex("read_digest")).alias("_digest")
     )
+    new = read.join(mapping.select(_bytes_of(F.col("bridge")).alias("_bridge"), "published"), keys, "left_anti")
+    as_hex = lambda name: F.lower(F.hex(name))
     return mapping.unionByName(
-        read.join(mapping, keys, "left_anti").withColumn("extra_digest", F.lit(NO_REFERENCE))
+        new.select(
+            as_hex("_bridge").alias("bridge"), "published", as_hex("_digest").alias("server_digest"),
+            F.lit(NO_REFERENCE).alias("extra_digest"),
+        )
     )
 
 

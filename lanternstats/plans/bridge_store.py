@@ -11,7 +11,7 @@ server whose digest changed.
 from pyspark.sql import functions as F
 
 from lanternstats.operators import pseudonymise as ps
-from lanternstats.operators.intervals import statuses_to_rewrite
+from lanternstats.operators.intervals import statuses_to_keep, statuses_to_rewrite
 from lanternstats.plans.dated_store import DatedStore, date_of, dates_of
 
 #: Columns of the tables, and the one that dates their rows.
@@ -36,7 +36,7 @@ def changed_servers(mapping, before):
 
 
 def _linked(lines, mapping):
-    return ps.link_statuses(lines, mapping, ["status", "validafter"])
+    return ps.link_statuses(lines, mapping, ["status", "validafter"], near=date_of("validafter"))
 
 
 def apply_batch(spark, root, batch, statuses=None, servers=None, extras=None):
@@ -48,7 +48,7 @@ def apply_batch(spark, root, batch, statuses=None, servers=None, extras=None):
     changed server keep the reference they have.  A status that comes again replaces the stored one.
     """
     store = DatedStore(spark, root, TABLES)
-    none = lambda columns: spark.createDataFrame([], columns)
+    none = lambda columns: spark.createDataFrame([], columns).limit(0)
     statuses = none("status string, validafter timestamp_ntz, text string") if statuses is None else statuses
     servers, extras = (none("text string") if x is None else x for x in (servers, extras))
     dated = lambda rows: rows.withColumn("date", date_of("published"))
@@ -82,9 +82,7 @@ def apply_batch(spark, root, batch, statuses=None, servers=None, extras=None):
         )
         named = dates_of(*(x.where("published IS NOT NULL").select(date_of("published").alias("date")) for x in (lines, affected)))
         known = mapping.unionByName(stored("mapping", [d for d in named if d not in days])).drop("date")
-        same = kept.join(affected.select("status").distinct(), "status", "left_anti")
         rewritten = _linked(affected, ps.mapping_with_read_digests(known, affected))
-        rows = same.unionByName(rewritten).unionByName(_linked(lines, known))
-        written = store.write(batch, "statuses", rows)
+        written = store.write(batch, "statuses", statuses_to_keep(kept, changed), [rewritten, _linked(lines, known)])
         touched += [("statuses", day) for day in dates_of(written)]
     store.commit(batch, touched)

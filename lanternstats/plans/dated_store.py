@@ -34,7 +34,8 @@ class DatedStore:
         columns, _ = self.tables[name]
         commits = stored_table(self.spark, f"{self.root}/commits")
         if commits is None or not exists(self.spark, f"{self.root}/{name}"):
-            return self.spark.createDataFrame([], f"{columns}, date date")
+            # A limit of none is known to be empty when the plan is made.
+            return self.spark.createDataFrame([], f"{columns}, date date").limit(0)
         commits = commits.where(F.col("table") == name)
         if before is not None:
             commits = commits.where(F.col("batch") < before)
@@ -44,20 +45,25 @@ class DatedStore:
         current = commits.groupBy("date").agg(F.max("batch").alias("batch"))
         return rows.join(current, ["batch", "date"], "left_semi").drop("batch")
 
-    def write(self, batch, name, rows):
-        """The rows of a batch in their table; readers do not see them before ``commit``."""
+    def write(self, batch, name, rows, placed=()):
+        """The rows of a batch in their table; readers do not see them before ``commit``.
+
+        ``placed`` are frames of further rows of which every task has few dates already.
+        """
         columns, time = self.tables[name]
         path = f"{self.root}/{name}/batch={batch}"
         # Few files a date, and no task with all of a large one.
-        frame = rows.drop("date").withColumn("date", date_of(time)) if time != "date" else rows
-        frame = frame.hint("rebalance", "date")
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(path)
+        dated = lambda rows: rows.drop("date").withColumn("date", date_of(time)) if time != "date" else rows
+        frame = dated(rows).hint("rebalance", "date")
+        for more in placed:
+            frame = frame.unionByName(dated(more))
+        frame.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd").partitionBy("date").parquet(path)
         return self.spark.read.schema(f"{columns}, date date").parquet(path)
 
     def stage(self, batch, name, rows):
         """Rows that a batch needs more than once."""
         path = f"{self.root}/staging/batch={batch}/{name}"
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def commit(self, batch, touched):

@@ -153,3 +153,40 @@ def test_written_batch(docs, spark, tmp_path):
     plain, written = ps.pseudonymise_batch(*args), ps.write_batch(spark, str(tmp_path), 1, *args)
     for name, frame in plain.items():
         assert sorted(map(str, written[name].select(frame.columns).collect())) == sorted(map(str, frame.collect())), name
+
+
+def test_entries_travel_once_and_as_bytes(docs, spark):
+    """A status is one row per ``r`` line until it is put together, and no text is shuffled."""
+    lines = ps.scrub_statuses(docs(STATUS * 3, STATUS), keep=["doc"])
+    assert sorted((r.doc, r.line_no) for r in lines.collect()) == [(0, 0), (0, 1), (0, 2), (1, 0)]
+    _, _, server = expected_server()
+    out = ps.pseudonymise_batch(docs(), docs(SERVER), docs(EXTRA), ["doc"])
+    linked = ps.link_statuses(lines, ps.server_digests(out["servers"]), ["doc"], near=F.col("doc") % 2)
+    assert {r.doc: r.scrubbed for r in linked.collect()} == {0: status_line(server) * 3, 1: status_line(server)}
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "_bridge" in join and "RepartitionByExpression" in plan
+
+
+def test_odd_lines_of_scrubbed_statuses_stay(docs, spark):
+    """Lines before the first entry, short ones, empty ones and identities in another form."""
+    entry = status_line("cd" * 20)
+    texts = ["s Valid\n" + entry, "r short\n" + entry + "w x\n\np y\n", "\n", entry, entry.replace("Unnamed ", "Unnamed AAAA"), entry.replace("Unnamed ", "Unnamed !")]
+    lines = ps.sanitized_statuses(docs(*texts), keep=["doc"])
+    empty = spark.createDataFrame([], "bridge string, published string, server_digest string, extra_digest string")
+    got = {r.doc: r.scrubbed for r in ps.link_statuses(lines, ps.mapping_with_read_digests(empty, lines), ["doc"]).collect()}
+    nothing = B64(bytes(20))
+    assert got == {**dict(enumerate(texts)), 5: texts[5].replace(B64(bytes.fromhex("cd" * 20)), nothing)}
+
+
+def test_rewriting_and_keeping_are_complements(spark):
+    import datetime
+
+    from lanternstats.operators import intervals
+
+    start = datetime.datetime(2010, 2, 1, 10)
+    rows = [(h, start + datetime.timedelta(hours=h)) for h in range(-30, 60)] + [(99, None)]
+    statuses = spark.createDataFrame(rows, "id int, validafter timestamp_ntz")
+    changed = spark.createDataFrame([(start,), (start + datetime.timedelta(hours=30),), (None,)], "published timestamp_ntz")
+    hit, kept = ({r.id for r in f(statuses, changed).collect()} for f in (intervals.statuses_to_rewrite, intervals.statuses_to_keep))
+    assert hit == {*range(0, 25), *range(30, 55)} and not hit & kept and len(hit) + len(kept) == len(rows)
