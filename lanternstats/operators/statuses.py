@@ -129,14 +129,16 @@ def status_entries(docs, keep=()):
     )
 
 
-def vote_entries(docs, keep=()):
-    """Every relay listed in a status document with its flags: consensus or vote."""
+def vote_entries(docs, keep=(), outer=False):
+    """Every relay listed in a status document with its flags: consensus or vote.
+
+    With ``outer`` a document that lists none gives a row of nulls, of which ``has_flags`` is null as well.
+    """
     blocks = tx.bind(docs, _blocks=_entry_blocks(F.col("text")))
-    entries = (
-        blocks.select(*keep, F.explode_outer(tx.before_first(F.col("_blocks"), _is_broken)).alias("_block"))
-        .where("_block IS NOT NULL")
-        .withColumn("_lines", F.split("_block", "\n"))
-    )
+    entries = blocks.select(*keep, F.explode_outer(tx.before_first(F.col("_blocks"), _is_broken)).alias("_block"))
+    if not outer:
+        entries = entries.where("_block IS NOT NULL")
+    entries = entries.withColumn("_lines", F.split("_block", "\n"))
     parts = tx.bind(
         entries,
         _r=F.split(tx.first(F.col("_lines")), " "),
@@ -149,7 +151,7 @@ def vote_entries(docs, keep=()):
         digests.hex_of_base64(F.element_at("_r", 4)).alias("descriptor"),
         tx.timestamp(F.concat_ws(" ", F.element_at("_r", 5), F.element_at("_r", 6))).alias("published"),
         F.filter(F.split(F.substring("_s", 3, 2147483647), " "), lambda f: f != "").alias("flags"),
-        F.col("_s").isNotNull().alias("has_flags"),
+        F.when(F.col("_block").isNotNull(), F.col("_s").isNotNull()).alias("has_flags"),
         tx.last_value(F.col("_lines"), "v ").alias("version"),
         F.exists(tx.starting(F.col("_lines"), "w "), lambda w: F.contains(w, F.lit(" Measured"))).alias("is_measured"),
     )

@@ -363,12 +363,24 @@ def missing_votes(spark, sf_dir):
     return health.missing_votes(view(spark, sf_dir, "v_vote_flags").where("dir <> 'auth7'"), expected)
 
 
+def _parsed_statuses(docs, *columns):
+    """Header lines and entries of all documents, parsed once: a row per entry, and one for a document without any."""
+    spark, path = docs.sparkSession, f"{scratch(docs.sparkSession)}/parsed"
+    headers = health.health_headers(docs, keep=["doc_id", "text"])
+    entries = statuses.vote_entries(headers, keep=["doc_id", "is_consensus", "validafter", "dir", "known_flags"], outer=True)
+    parsed = entries.select("doc_id", "is_consensus", "validafter", "dir", "known_flags", "has_flags", "flags", *columns)
+    parsed.write.parquet(path)
+    return spark.read.schema(parsed.schema).parquet(path)
+
+
 def vote_relay_counts(docs):
     """Relays by time and authority, and those of one consensus per time."""
-    votes, consensus = _vote_headers(docs)
-    entries = statuses.vote_entries(docs, keep=["doc_id"])
-    listed = lambda headers: entries.join(headers.select("doc_id", "validafter", "dir"), "doc_id")
-    return health.relay_counts(health.with_consensus_rows(listed(votes), listed(consensus)), by=("validafter", "dir"))
+    parsed = _parsed_statuses(docs)
+    consensus = health_report.one_consensus(parsed.select("doc_id", "is_consensus", "validafter", "dir"))
+    listed = lambda rows: rows.select("doc_id", "validafter", "dir", "flags", "has_flags")
+    votes = listed(parsed.where("NOT is_consensus"))
+    chosen = listed(parsed.where("is_consensus")).join(consensus.select("doc_id"), "doc_id", "left_semi")
+    return health.relay_counts(health.with_consensus_rows(votes, chosen), by=("validafter", "dir"))
 
 
 def health_report_rows(spark, sf_dir):
@@ -415,18 +427,16 @@ def latest_votes(docs):
 
 def flag_overlap_documents(docs):
     """Flags of parsed votes by authority and place in the vote, against those of parsed consensuses."""
-    headers = health.health_headers(docs, keep=["doc_id"])
-    votes = headers.where("NOT is_consensus").select("doc_id", "dir", "known_flags")
-    entries = statuses.vote_entries(docs, keep=["doc_id"]).select(
-        "doc_id", F.substring_index("nickname", "x", -1).alias("relay"), "flags"
-    )
+    place = F.substring_index("nickname", "x", -1).alias("relay")
+    parsed = _parsed_statuses(docs, place)
+    # Documents without entries have headers only.
+    entries = parsed.where("has_flags IS NOT NULL")
     together = lambda rows, *key: rows.groupBy(*key).agg(F.array_distinct(F.flatten(F.collect_set("flags"))).alias("flags"))
-    known = health.known_flags(headers.where("NOT is_consensus")).select("dir", "flag").distinct()
-    voted = together(entries.join(votes.select("doc_id", "dir"), "doc_id"), "relay", "dir").join(
+    known = health.known_flags(parsed.where("NOT is_consensus")).select("dir", "flag").distinct()
+    voted = together(entries.where("NOT is_consensus"), "relay", "dir").join(
         known.groupBy("dir").agg(F.collect_set("flag").alias("known_flags")), "dir", "left"
     )
-    listed = together(entries.join(headers.where("is_consensus").select("doc_id"), "doc_id", "left_semi"), "relay")
-    return health.flag_overlap(health.flag_matrix(voted, listed), known)
+    return health.flag_overlap(health.flag_matrix(voted, together(entries.where("is_consensus"), "relay")), known)
 
 
 def archive_report(spark, sf_dir):
