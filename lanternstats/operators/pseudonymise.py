@@ -159,9 +159,8 @@ def _entries(docs, plain, keep, is_entry, identity):
 
     ``_parts`` are the fields of the ``r`` line; ``bridge`` is what ``identity`` makes of the second.
     """
-    rows = docs.select(*keep, F.posexplode_outer(F.split(plain, "\n(?=r )")).alias("line_no", "_block")).withColumn(
-        "_parts", F.split(F.substring_index("_block", "\n", 1), " ")
-    )
+    rows = docs.select(*keep, F.posexplode_outer(F.split(plain, "\n(?=r )")).alias("line_no", "_block"))
+    rows = tx.bind(rows, _parts=F.split(F.substring_index("_block", "\n", 1), " "))
     is_r = F.col("_block").startswith("r ") & is_entry(F.col("_parts"))
     return tx.bind(rows, _is_r=is_r, bridge=F.when(is_r, identity(F.try_element_at(F.col("_parts"), F.lit(3)))))
 

@@ -629,10 +629,14 @@ def rewritten_statuses(spark, sf_dir):
 def resanitized_statuses(spark, sf_dir):
     """Stored scrubbed documents go through the second form of the job unchanged."""
     raw = [documents(spark, sf_dir, n) for n in ("bridge_status_docs", "bridge_server_docs", "bridge_extra_docs")]
-    batch = pseudonymise.write_batch(spark, scratch(spark), 1, *raw, ["doc_id"])
+    root = scratch(spark)
+    batch = pseudonymise.write_batch(spark, root, 1, *raw, ["doc_id"])
     lines = pseudonymise.sanitized_statuses(
         batch["statuses"].withColumnRenamed("scrubbed", "text"), keep=["doc_id"]
     )
+    # Needed twice, parsed once.
+    lines.write.parquet(f"{root}/again")
+    lines = spark.read.schema(lines.schema).parquet(f"{root}/again")
     mapping = pseudonymise.mapping_with_read_digests(batch["mapping"], lines)
     return pseudonymise.link_statuses(lines, mapping, ["doc_id"])
 

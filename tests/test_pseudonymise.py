@@ -190,3 +190,12 @@ def test_rewriting_and_keeping_are_complements(spark):
     changed = spark.createDataFrame([(start,), (start + datetime.timedelta(hours=30),), (None,)], "published timestamp_ntz")
     hit, kept = ({r.id for r in f(statuses, changed).collect()} for f in (intervals.statuses_to_rewrite, intervals.statuses_to_keep))
     assert hit == {*range(0, 25), *range(30, 55)} and not hit & kept and len(hit) + len(kept) == len(rows)
+
+
+def test_scrubbed_statuses_are_parsed_once(spark):
+    """Rows of the second form are stored: the result is made of them, not of the stored texts."""
+    from lanternstats.queries import QUERIES
+
+    found = QUERIES["resanitized_statuses"](spark, "/root/testdata/sf0.001")
+    files = found.inputFiles()
+    assert any("/again/" in f for f in files) and not any("/statuses/" in f for f in files)
